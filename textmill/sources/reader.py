@@ -99,3 +99,12 @@ def expand_metadata(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
 
 
 MAX_METADATA_KEYS = 1000
+
+
+def balance(df: DataFrame) -> DataFrame:
+    """Deal rows out when the scan has too few splits to keep the cores busy.
+
+    A large table has splits enough and passes unchanged, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < 4 * cores else df
