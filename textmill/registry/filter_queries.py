@@ -172,9 +172,9 @@ NS_DUP = [n for n, _ in DUP_N_GRAMS]
 
 
 def gram_cte(ns) -> str:
-    """g(id, n, gram, at): every n-gram; pos(id, i, s): word offsets in the re-joined words."""
+    """g(id, n, gram, pos): every n-gram; pos(id, i, s): word offsets in the re-joined words."""
     grams = " UNION ALL ".join(
-        f"""SELECT id, {n} AS n, i AS at, array_to_string(words[i:i + {n - 1}], ' ') AS gram
+        f"""SELECT id, {n} AS n, i AS pos, array_to_string(words[i:i + {n - 1}], ' ') AS gram
         FROM (SELECT id, words, unnest(range(1, len(words) - {n - 1} + 1)) AS i FROM w WHERE len(words) >= {n})"""
         for n in ns
     )
@@ -202,10 +202,10 @@ def top_ngram_char_frac(spark, sf):
     return with_ngram_fractions(df, p, NS_TOP, []).select("id", *[f"top_{n}_gram" for n in NS_TOP])
 
 
-DUP_TAIL = """, off AS (SELECT id, k AS at, (sum(length(words[k]) + 1) OVER (PARTITION BY id ORDER BY k) - length(words[k]) - 1) AS s
+DUP_TAIL = """, off AS (SELECT id, k AS pos, (sum(length(words[k]) + 1) OVER (PARTITION BY id ORDER BY k) - length(words[k]) - 1) AS s
    FROM (SELECT id, words, unnest(range(1, len(words) + 1)) AS k FROM w)),
- later AS (SELECT * FROM (SELECT g.*, row_number() OVER (PARTITION BY id, n, gram ORDER BY at) AS r FROM g) WHERE r > 1),
- span AS (SELECT later.id, n, s, s + length(gram) AS e FROM later JOIN off ON off.id = later.id AND off.at = later.at),
+ later AS (SELECT * FROM (SELECT g.*, row_number() OVER (PARTITION BY id, n, gram ORDER BY pos) AS r FROM g) WHERE r > 1),
+ span AS (SELECT later.id, n, s, s + length(gram) AS e FROM later JOIN off ON off.id = later.id AND off.pos = later.pos),
  cover AS (SELECT id, n, sum(least(e, coalesce(nxt, e)) - s) AS chars
    FROM (SELECT *, lead(s) OVER (PARTITION BY id, n ORDER BY s) AS nxt FROM span) GROUP BY id, n)"""
 
