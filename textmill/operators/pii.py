@@ -79,7 +79,7 @@ class Detector:
     """``pattern`` finds a place, ``core`` is the entity at its end, ``valid`` confirms it.
 
     ``gate`` is a cheap test that spares most texts the search. Patterns use no
-    look-around, so they mean the same in other regex engines.
+    look-around, and possessive quantifiers only where they cannot change a match.
     """
 
     type: str
@@ -96,11 +96,10 @@ def _shape(regex: str, check: Callable[[Column], Column] | None = None):
 
 
 # Patterns (fixed values). An alphanumeric token with at least one digit:
-TOKEN = "[A-Za-z]*[0-9][0-9A-Za-z]*"
-EMAIL = "[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}"
+TOKEN = "[A-Za-z]*+[0-9][0-9A-Za-z]*+"
+EMAIL = "[A-Za-z0-9._%+-]++@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}"
 IP = "[0-9]+(?:\\.[0-9]+){3}"
 PHONE = "\\+[0-9]{1,3}[ -]?(?:\\([0-9]{1,4}\\)[ -]?)?[0-9]{2,4}(?:[ -]?[0-9]{2,4}){1,4}"
-PHONE_LOCAL = "(?:^|[^0-9A-Za-z])0[0-9]{1,3}-[0-9]{6,8}"
 URL = "https?://[^ \\t\\r\\n<>\"']+"
 CARD = "[0-9](?:[ -]?[0-9]){12,18}"
 EXPIRATION = "[0-9]+(?:/[0-9]+)+"
@@ -109,7 +108,7 @@ LICENSE = "(?i)(?:driver'?s? licen[cs]e|rijbewijs)[^0-9\\n]{0,20}[0-9]+"
 HEALTH = "(?i)(?:healthcare|health|polis|policy|zorg)[^0-9\\n]{0,20}[0-9]+"
 ZIP = "[0-9]+ ?[A-Za-z]+"
 COORDINATE = "-?[0-9]{1,3}\\.[0-9]{3,}, ?-?[0-9]{1,3}\\.[0-9]{3,}"
-DASHED = "[0-9A-Za-z]+(?:-[0-9A-Za-z]+)+"
+DASHED = "[0-9A-Za-z]++(?:-[0-9A-Za-z]++)+"
 PLATE_SHAPE = "^([0-9]{1,3}|[B-DF-HJ-NP-TV-XZ]{1,3})(-([0-9]{1,3}|[B-DF-HJ-NP-TV-XZ]{1,3})){2}$"
 TAIL_DIGITS = "[0-9]+$"
 
@@ -117,7 +116,7 @@ DETECTORS = [
     Detector("EMAIL_ADDRESS", EMAIL, "@"),
     Detector("IP_ADDRESS", IP, "[0-9]\\.[0-9]", valid=octets),
     Detector("PHONE_NUMBER", PHONE, "\\+[0-9]"),
-    Detector("PHONE_NUMBER", PHONE_LOCAL, "[0-9]-[0-9]", core="[0-9]+-[0-9]+$"),
+    Detector("PHONE_NUMBER", DASHED, "0[0-9]{1,3}-[0-9]{6}", valid=_shape("^0[0-9]{1,3}-[0-9]{6,8}$")),
     Detector("URL", URL, "://"),
     Detector("BANK_ACCOUNT", TOKEN, "[A-Z]{2}[0-9]{2}[A-Z0-9]{11}", valid=_shape("^[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}$", mod_97)),
     Detector("CREDIT_CARD", CARD, "[0-9][ -]?[0-9]{3}", valid=luhn),
@@ -139,30 +138,39 @@ def _none() -> Column:
     return F.array().cast(ENTITIES)
 
 
-def located(text: Column, pattern: str) -> Column:
-    """Matches of a pattern with their start, from the gaps the pattern leaves."""
-
-    def place(found: Column) -> Column:
-        return let(
-            F.split(text, pattern),
-            lambda gaps: let(
-                prefix_sums(F.zip_with(F.slice(gaps, 1, F.size(found)), found, lambda g, m: F.length(g) + F.length(m))),
-                lambda before: F.transform(
-                    found,
-                    lambda m, i: F.struct(
-                        (F.get(before, i) + F.length(F.get(gaps, i))).alias("start"), m.alias("match")
-                    ),
-                ),
-            ),
+SENTINEL = "\u0001"
+
+
+def _cut(text: Column, pattern: str) -> Column:
+    """Gaps at even and matches at odd places: one search brackets every match with a sentinel."""
+    return F.split(F.regexp_replace(text, f"({pattern})", f"{SENTINEL}$1{SENTINEL}"), SENTINEL)
+
+
+def _placed(pieces: Column) -> Column:
+    """(start, match) of the odd pieces; running lengths give the starts."""
+
+    def place(starts: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(1), F.size(pieces) - 2, F.lit(2)),
+            lambda k: F.struct(F.get(starts, k).alias("start"), F.get(pieces, k).alias("match")),
         )
 
     empty = F.array().cast("array<struct<start:int,match:string>>")
-    return let(
-        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
-        lambda found: F.when(F.size(found) == 0, empty).otherwise(place(found)),
+    return F.when(F.size(pieces) < 3, empty).otherwise(
+        let(prefix_sums(F.transform(pieces, lambda x: F.length(x))), place)
     )
 
 
+def located(text: Column, pattern: str) -> Column:
+    """Matches of a pattern with their start. The text must not hold the sentinel."""
+    return let(_cut(text, pattern), _placed)
+
+
+def without_sentinel(text: Column) -> Column:
+    """Same length, no sentinel."""
+    return F.when(F.contains(text, F.lit(SENTINEL)), F.translate(text, SENTINEL, " ")).otherwise(text)
+
+
 def _entities(found: Column, d: Detector) -> Column:
     def entity(x: Column) -> Column:
         whole = x["match"]
@@ -184,13 +192,21 @@ def detect(text: Column, types: list[str] | None = None) -> Column:
     Detectors with one pattern share one search.
     """
     wanted = [d for d in DETECTORS if types is None or d.type in types]
-    parts = []
-    for pattern in dict.fromkeys(d.pattern for d in wanted):
-        same = [d for d in wanted if d.pattern == pattern]
-        gate = text.rlike("|".join(f"(?:{d.gate})" for d in same))
-        found = let(located(text, pattern), lambda f: F.concat(*[_entities(f, d) for d in same]))
-        parts.append(F.when(gate, found).otherwise(_none()))
-    return F.array_sort(F.concat(*parts).cast(ENTITIES)) if parts else _none()
+    if not wanted:
+        return _none()
+    clean = without_sentinel(text)
+    patterns = list(dict.fromkeys(d.pattern for d in wanted))
+    cuts = []
+    for pattern in patterns:
+        gate = clean.rlike("|".join(f"(?:{d.gate})" for d in wanted if d.pattern == pattern))
+        cuts.append(F.when(gate, _cut(clean, pattern)).otherwise(F.array().cast("array<string>")))
+    # One expression places the matches of all patterns.
+    return let(
+        F.transform(F.array(*cuts), _placed),
+        lambda found: F.array_sort(
+            F.concat(*[_entities(F.get(found, F.lit(patterns.index(d.pattern))), d) for d in wanted]).cast(ENTITIES)
+        ),
+    )
 
 
 def gazetteer_matches(
@@ -221,7 +237,7 @@ def gazetteer_matches(
         return F.when(F.size(tokens) >= n, tight).otherwise(empty)
 
     runs_ = (
-        df.select(id_col, located(F.col(text), "[\\p{L}\\p{N}_]+").alias("_t"))
+        df.select(id_col, located(without_sentinel(F.col(text)), "[\\p{L}\\p{N}_]+").alias("_t"))
         .select(id_col, F.explode(F.concat(*[run_of(n) for n in range(1, max_words + 1)])).alias("g"))
         .select(id_col, "g.start", "g.end", "g.term")
     )

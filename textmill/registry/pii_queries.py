@@ -54,7 +54,7 @@ SQL_DETECTORS = [
     ("EMAIL_ADDRESS", pii.EMAIL, None, "true"),
     ("IP_ADDRESS", pii.IP, None, OCTETS),
     ("PHONE_NUMBER", pii.PHONE, None, "true"),
-    ("PHONE_NUMBER", pii.PHONE_LOCAL, "[0-9]+-[0-9]+$", "true"),
+    ("PHONE_NUMBER", pii.DASHED, None, "regexp_matches(entity, '^0[0-9]{1,3}-[0-9]{6,8}$')"),
     ("URL", pii.URL, None, "true"),
     ("BANK_ACCOUNT", pii.TOKEN, None, IBAN),
     ("CREDIT_CARD", pii.CARD, None, LUHN),
@@ -82,6 +82,8 @@ def candidates_sql(types=None, source: str = SRC) -> str:
     for type_, pattern, core, rule in SQL_DETECTORS:
         if types is not None and type_ not in types:
             continue
+        # RE2 never backtracks, so it has no possessive quantifiers.
+        pattern = pattern.replace("++", "+").replace("*+", "*")
         entity = "m" if core is None else f"regexp_extract(m, {_q(core)})"
         out.append(f"""SELECT id, e - length(entity) AS s, e, '{type_}' AS type, entity FROM (
   SELECT id, e, {entity} AS entity FROM (
@@ -195,7 +197,7 @@ def resolve_overlaps(spark, sf):
 @query(
     "pii_public_figures",
     resolved_ctes(
-        DOCS, f" UNION ALL SELECT id, s, s + length(term), 'NAME_GIVEN', term FROM (SELECT id, strpos(text, term) - 1 AS s, term FROM src, (VALUES ('The')) v(term)) WHERE s = 0 AND regexp_matches(text, '^The[^\\p{{L}}\\p{{N}}_]') "
+        DOCS, f" UNION ALL SELECT id, s, s + length(term), 'NAME_GIVEN', term FROM (SELECT id, text, 0 AS s, 'The' AS term FROM src) WHERE regexp_matches(text, '^The[^\\p{{L}}\\p{{N}}_]') "
     ) + " SELECT id, s::INTEGER AS start_index, type, entity, type LIKE 'NAME%' AND entity = 'The' AS public FROM ent",
 )
 def pii_public_figures(spark, sf):
