@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 BLOCK = 32
 
@@ -103,3 +103,14 @@ def runs(sorted_values: Column, same: Callable[[Column, Column], Column]) -> Col
 def char_blocks(text: Column, size: int) -> Column:
     """Cut a text into pieces of ``size`` characters in one linear pass."""
     return F.regexp_extract_all(text, F.lit("(?s).{1,%d}" % size), F.lit(0))
+
+
+def explode_once(df: DataFrame, keep: list, array: Column, out: str, pos: str | None = None) -> DataFrame:
+    """One row per element, none for an empty array.
+
+    A plain explode makes the optimizer test the array's size below it, which
+    computes a costly array twice; the outer form does not.
+    """
+    index = pos or "_pos"
+    rows = df.select(*keep, F.posexplode_outer(array).alias(index, out)).where(F.col(index).isNotNull())
+    return rows if pos else rows.drop(index)

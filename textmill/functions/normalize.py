@@ -27,7 +27,7 @@ def unicode_normalize(text: Column, form: str = "NFC") -> Column:
 
     # The UDF runs for every row of a batch, so ASCII rows pass a null instead.
     wide = F.when(text.rlike("[^\\x00-\\x7F]"), text)
-    return F.coalesce(normalized(wide), text)
+    return F.coalesce(normalized.asNondeterministic()(wide), text)
 
 
 def fix_mojibake(text: Column) -> Column:

@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import ArrayType, LongType
 
-from textmill.functions.arrays import let
+from textmill.functions.arrays import explode_once, let
 from textmill.functions.text import words
 from textmill.operators.skew import hot_keys, keep_smallest, salted_join
 from textmill.session import materialize
@@ -100,11 +100,16 @@ def signature(
     b = np.array([p[1] for p in pairs], np.uint64)
 
     @F.pandas_udf(ArrayType(LongType()))
-    def minima(lists: pd.Series) -> pd.Series:
+    def minima(lists: pd.Series, sizes: pd.Series) -> pd.Series:
         empty = np.empty(0, np.int64)
-        return lists.map(lambda h: _minima(h, a, b, bit_precision) if len(h) else empty)
+        return pd.Series([_minima(h, a, b, bit_precision) if n else empty for h, n in zip(lists, sizes)])
 
-    return df.withColumn("signature", minima(shingle_hashes(words(F.col(text)), n_grams, bit_precision)))
+    # Marked so that the plan never copies the call into later expressions.
+    minima = minima.asNondeterministic()
+    # The hashes are used twice, which keeps them a column of their own: nested
+    # lambdas must not end up inside the arguments of a Python function.
+    df = df.withColumn("_hashes", shingle_hashes(words(F.col(text)), n_grams, bit_precision))
+    return df.withColumn("signature", minima(F.col("_hashes"), F.size("_hashes"))).drop("_hashes")
 
 
 def bands(
@@ -122,22 +127,21 @@ def bands(
         )
 
     index = F.sequence(F.lit(0), F.lit(num_buckets - 1))
-    return (
-        signatures.where(F.size("signature") > 0)
-        .select(id_col, F.explode(F.transform(index, keyed)).alias("k"))
-        .select(id_col, "k.band", "k.hi", "k.lo")
-    )
+    signed = signatures.where(F.size("signature") > 0)
+    return explode_once(signed, [id_col], F.transform(index, keyed), "k").select(id_col, "k.band", "k.hi", "k.lo")
 
 
 def star_edges(
-    members: DataFrame, keys: list[str], id_col: str = "id", salts: int = BUCKET_SALTS
+    members: DataFrame, keys: list[str], id_col: str = "id", salt: Column | None = None
 ) -> DataFrame:
     """Edges (src, dst) that connect all ids sharing a key; dst is the smaller id.
 
     First inside a salted share of the key, then between the heads of the
-    shares (at most ``salts`` per key): never all pairs, never one big group.
+    shares (at most BUCKET_SALTS per key): never all pairs, never one big group.
     """
-    salted = members.withColumn("_salt", F.pmod(F.xxhash64(id_col), F.lit(salts)))
+    if salt is None:
+        salt = F.pmod(F.xxhash64(id_col), F.lit(BUCKET_SALTS))
+    salted = members.withColumn("_salt", salt)
     share = Window.partitionBy(*keys, "_salt")
     salted = salted.withColumn("_head", F.min(id_col).over(share))
     inner = salted.where(F.col(id_col) != F.col("_head")).select(
@@ -158,9 +162,11 @@ def minhash_buckets(
     id_col: str = "id",
     num_buckets: int = NUM_BUCKETS,
     hashes_per_bucket: int = HASHES_PER_BUCKET,
+    salt: Column | None = None,
 ) -> DataFrame:
     """Candidate edges: documents that agree on all hashes of at least one band."""
-    return star_edges(bands(signatures, id_col, num_buckets, hashes_per_bucket), ["band", "hi", "lo"], id_col)
+    members = bands(signatures, id_col, num_buckets, hashes_per_bucket)
+    return star_edges(members, ["band", "hi", "lo"], id_col, salt)
 
 
 def cluster_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:

@@ -41,21 +41,22 @@ def batched_inference(text: Column, factory: ModelFactory, batch_size: int = BAT
         for batch in batches:
             yield pd.Series(_run(model, batch.fillna("").tolist(), batch_size))
 
-    return infer(text)
+    return infer.asNondeterministic()(text)
 
 
-def infer_chunks(chunks: Column, factory: ModelFactory, batch_size: int = BATCH_SIZE) -> Column:
+def infer_chunks(chunks: str, factory: ModelFactory, batch_size: int = BATCH_SIZE) -> Column:
     """One answer per chunk of an array column; batches are filled across rows."""
 
     @F.pandas_udf(ArrayType(StringType()))
-    def infer(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def infer(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         model = factory()
-        for rows in batches:
+        for rows, sizes in batches:
             flat = [text for row in rows for text in row]
             answers = iter(_run(model, flat, batch_size))
-            yield pd.Series([[next(answers) for _ in row] for row in rows])
+            yield pd.Series([[next(answers) for _ in range(n)] for n in sizes])
 
-    return infer(chunks)
+    # Used twice, so the chunks stay a column and are not built inside the call.
+    return infer.asNondeterministic()(F.col(chunks), F.size(chunks))
 
 
 def apply_model(
@@ -101,7 +102,7 @@ def translate(
         chunks = F.slice(chunks, 1, batch_stop_at * batch_size)
     glue = "" if chunk_mode == "characters" else " "
     return df.withColumn("_chunks", chunks).withColumn(
-        text, F.array_join(infer_chunks(F.col("_chunks"), factory, batch_size), glue)
+        text, F.array_join(infer_chunks("_chunks", factory, batch_size), glue)
     ).drop("_chunks")
 
 

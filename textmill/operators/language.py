@@ -14,6 +14,8 @@ from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
+from textmill.functions.arrays import explode_once
+
 MAX_VOCABULARY = 2**18
 MAX_LANGUAGES = 500
 
@@ -63,7 +65,7 @@ def fit_language_model(
     if not 0 < len(languages) <= MAX_LANGUAGES:
         raise ValueError(f"expected 1 to {MAX_LANGUAGES} languages, found {len(languages)}")
     top = (
-        rows.select(F.explode(trigrams(F.col(text))).alias("g"))
+        explode_once(rows, [], trigrams(F.col(text)), "g")
         .groupBy("g")
         .count()
         .orderBy(F.desc("count"), "g")

@@ -10,6 +10,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from textmill.functions.arrays import explode_once
 from textmill.functions.text import words
 from textmill.operators.skew import lookup_join
 from textmill.session import materialize
@@ -22,7 +23,7 @@ def bigrams(text: Column) -> Column:
     """Neighbouring words as structs; empty below two words."""
     w = words(text)
     return F.slice(
-        F.zip_with(w, F.slice(w, 2, 2**31 - 1), lambda a, b: F.struct(a.alias("w1"), b.alias("w2"))),
+        F.zip_with(w, F.slice(w, 2, F.size(w)), lambda a, b: F.struct(a.alias("w1"), b.alias("w2"))),
         1,
         F.greatest(F.size(w) - 1, F.lit(0)),
     )
@@ -39,7 +40,7 @@ class BigramModel:
 def fit_bigram_model(training: DataFrame, text: str = "text", k: float = 0.1) -> BigramModel:
     """Count the training bigrams once and keep the two tables in the shared folder."""
     pairs = (
-        training.select(F.explode(bigrams(F.col(text))).alias("b"))
+        explode_once(training, [], bigrams(F.col(text)), "b")
         .groupBy("b.w1", "b.w2")
         .agg(F.count(F.lit(1)).alias("n_pair"))
     )
@@ -51,7 +52,7 @@ def fit_bigram_model(training: DataFrame, text: str = "text", k: float = 0.1) ->
 
 def perplexity(df: DataFrame, model: BigramModel, id_col: str, keep: list[str], text: str = "text") -> DataFrame:
     """exp of the mean negative log-probability per document; no row for texts under two words."""
-    rows = df.select(id_col, *keep, F.posexplode(bigrams(F.col(text))).alias("pos", "b"))
+    rows = explode_once(df, [id_col, *keep], bigrams(F.col(text)), "b", "pos")
     rows = rows.select(id_col, *keep, "pos", "b.w1", "b.w2")
     rows = lookup_join(rows, model.pairs, ["w1", "w2"], [id_col, "pos"], "left")
     rows = lookup_join(rows, model.firsts, ["w1"], [id_col, "pos"], "left")

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from textmill.functions.arrays import char_blocks, let, prefix_scan, prefix_sums, runs, total
+from textmill.functions.arrays import char_blocks, explode_once, let, prefix_scan, prefix_sums, runs, total
 from textmill.functions.fixed_values import LOCALE_TERMS, PII_PRECEDENCE
 from textmill.operators.skew import lookup_join
 
@@ -236,11 +236,9 @@ def gazetteer_matches(
         tight = F.filter(grams, lambda g: g["end"] - g["start"] == F.length(g["term"]))
         return F.when(F.size(tokens) >= n, tight).otherwise(empty)
 
-    runs_ = (
-        df.select(id_col, located(without_sentinel(F.col(text)), "[\\p{L}\\p{N}_]+").alias("_t"))
-        .select(id_col, F.explode(F.concat(*[run_of(n) for n in range(1, max_words + 1)])).alias("g"))
-        .select(id_col, "g.start", "g.end", "g.term")
-    )
+    spotted = df.select(id_col, located(without_sentinel(F.col(text)), "[\\p{L}\\p{N}_]+").alias("_t"))
+    grams = F.concat(*[run_of(n) for n in range(1, max_words + 1)])
+    runs_ = explode_once(spotted, [id_col], grams, "g").select(id_col, "g.start", "g.end", "g.term")
     found = lookup_join(runs_, terms, ["term"], [id_col, "start"])
     entity = F.struct("start", "end", "type", F.col("term").alias("entity"), "public").cast(ENTITY)
     return found.groupBy(id_col).agg(F.array_sort(F.collect_list(entity)).alias("entities"))

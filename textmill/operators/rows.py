@@ -7,7 +7,7 @@ import math
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import NumericType
 
-from textmill.functions.arrays import char_blocks
+from textmill.functions.arrays import char_blocks, explode_once
 from textmill.operators.ordering import ROWS_PER_RANGE, running_total
 
 DELIVERY_COLUMNS = {
@@ -90,10 +90,8 @@ def first_rows(df: DataFrame, n: int, id_col: str = "id") -> DataFrame:
 
 def chunk_text(df: DataFrame, n: int, text: str = "text") -> DataFrame:
     """Each row becomes ceil(length / n) rows of n characters; empty text yields none."""
-    return df.select(
-        *[F.col(c) for c in df.columns if c != text],
-        F.posexplode(char_blocks(F.col(text), n)).alias("chunk_idx", text),
-    )
+    keep = [c for c in df.columns if c != text]
+    return explode_once(df, keep, char_blocks(F.col(text), n), text, "chunk_idx")
 
 
 def plan_file_split(
@@ -110,10 +108,8 @@ def plan_file_split(
 
 def split_rows(df: DataFrame, text: str = "text", separator: str = "\n") -> DataFrame:
     """One row per piece of the text, numbered by part_idx."""
-    return df.select(
-        *[F.col(c) for c in df.columns if c != text],
-        F.posexplode(F.split(text, separator)).alias("part_idx", text),
-    )
+    keep = [c for c in df.columns if c != text]
+    return explode_once(df, keep, F.split(text, separator), text, "part_idx")
 
 
 def combine_rows(

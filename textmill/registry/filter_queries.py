@@ -254,16 +254,14 @@ def gopher_repetition(spark, sf):
     return flt.annotate(df, "GopherRepetitionFilter", ngram_rules()).select("id", "filter_module", "filter_reason")
 
 
-EXTRA = F.to_json(F.struct(F.col("lang").alias("original_language"), F.col("source").alias("from")))
-
-
 @query(
     "extra_field_filter",
     f"""SELECT id, CASE WHEN lang NOT IN ('en', 'fr') OR source = 'src0' THEN 'ExtraFieldFilter' END AS filter_module,
     CASE WHEN lang NOT IN ('en', 'fr') OR source = 'src0' THEN 'extra_field' END AS filter_reason FROM {DOCS}""",
 )
 def extra_field_filter(spark, sf):
-    df = busy_docs(spark, sf).withColumn("extra", F.when(F.col("source") == "src0", "{}").otherwise(EXTRA))
+    fields = F.to_json(F.struct(F.col("lang").alias("original_language"), F.col("source").alias("from")))
+    df = busy_docs(spark, sf).withColumn("extra", F.when(F.col("source") == "src0", "{}").otherwise(fields))
     return flt.extra_field_filter(df, "original_language", ["en", "fr"], raise_missing=False).select(
         "id", "filter_module", "filter_reason"
     )

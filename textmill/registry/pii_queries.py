@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from textmill.functions.arrays import explode_once
 from textmill.functions.fixed_values import PII_PRECEDENCE
 from textmill.operators import pii
 from textmill.registry.base import DOCS, busy_docs, query, table
@@ -116,7 +117,7 @@ def grouped_ctes(source: str = SRC, window: int = 4500) -> str:
 def flat(df, array: str, *fields: str):
     """One row per entity, so results are plain columns."""
     names = {"start": "start_index", "end": "end_index"}
-    return df.select("id", F.explode(array).alias("x")).select(
+    return explode_once(df, ["id"], F.col(array), "x").select(
         "id", *[F.col(f"x.{f}").alias(names.get(f, f)) for f in fields]
     )
 
