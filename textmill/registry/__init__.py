@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-SECTIONS = ["io_queries", "text_queries", "filter_queries", "pii_queries", "dedup_queries", "model_queries"]
+SECTIONS = ["io_queries", "text_queries", "filter_queries", "pii_queries", "dedup_queries", "model_queries", "plan_queries"]
 
 
 def _load() -> None:
