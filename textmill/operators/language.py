@@ -1,54 +1,82 @@
 """Language detection: multinomial naive Bayes over character trigrams.
 
-Training counts are distributed; scoring is a narrow transformation with a
-vocabulary of bounded size, so documents are never shuffled to get a label.
+Training counts are distributed. Scoring looks trigrams up in a table of bounded
+size, a whole Arrow batch at a time, so documents are never shuffled to get a
+label. Weights are whole micro-nats: sums do not depend on their order.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.classification import NaiveBayes
-from pyspark.ml.feature import CountVectorizerModel
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, functions as F
-
-from textmill.functions.arrays import explode_once
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, functions as F
 
 MAX_VOCABULARY = 2**18
-MAX_LANGUAGES = 500
+MAX_LANGUAGES = 200
+MICRO = 1_000_000
+
 
+def trigram_codes(texts: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    """Every overlapping trigram of every text, and the index of its text.
 
-def trigrams(text: Column) -> Column:
-    """All overlapping character trigrams: three runs of adjacent ones, shifted by 0, 1, 2."""
-    low = F.lower(text)
-    runs = [
-        F.regexp_extract_all(low if k == 0 else F.substring(low, k + 1, 2**31 - 1), F.lit("(?s).{3}"), F.lit(0))
-        for k in range(3)
-    ]
-    return F.concat(*runs)
+    A code is the three code points side by side (21 bits each), so it is exact.
+    """
+    points = [np.frombuffer(t.encode("utf-32-le"), np.uint32) for t in texts]
+    sizes = np.array([len(p) for p in points], np.int64)
+    flat = np.concatenate(points).astype(np.int64) if points else np.empty(0, np.int64)
+    doc = np.repeat(np.arange(len(points)), sizes)
+    if len(flat) < 3:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    inside = doc[:-2] == doc[2:]
+    codes = (flat[:-2] << 42) | (flat[1:-1] << 21) | flat[2:]
+    return codes[inside], doc[:-2][inside]
 
 
 @dataclass(frozen=True)
 class LanguageModel:
-    stages: PipelineModel
+    """Sorted trigram codes, their weight per language, and the prior per language."""
+
+    codes: np.ndarray
+    weights: np.ndarray
+    priors: np.ndarray
     languages: list[str]
 
     def detect(self, df: DataFrame, text: str = "text") -> DataFrame:
-        """Add language and language_score; null and 0.0 for texts under three characters."""
-        names = F.array(*[F.lit(x) for x in self.languages])
-        scored = self.stages.transform(df.withColumn("_grams", trigrams(F.col(text))))
-        scored = scored.withColumn("_p", vector_to_array("_probability")).withColumn("_best", F.array_max("_p"))
-        seen = F.size("_grams") > 0
-        return scored.withColumns(
-            {
-                "language": F.when(
-                    seen, F.element_at(names, F.array_position("_p", F.col("_best")).cast("int"))
-                ),
-                "language_score": F.when(seen, F.col("_best")).otherwise(F.lit(0.0)),
-            }
-        ).drop("_grams", "_counts", "_raw", "_probability", "_prediction", "_p", "_best")
+        """Add language and language_score; null and 0.0 for texts without trigrams."""
+        model = df.sparkSession.sparkContext.broadcast((self.codes, self.weights, self.priors))
+        languages = self.languages
+
+        @F.pandas_udf("language string, language_score double")
+        def best(texts: pd.Series) -> pd.DataFrame:
+            codes, weights, priors = model.value
+            flat, doc = trigram_codes(texts)
+            n_docs = len(texts)
+            found = np.bincount(doc, minlength=n_docs) > 0
+            at = np.minimum(np.searchsorted(codes, flat), len(codes) - 1)
+            known = codes[at] == flat
+            at, doc = at[known], doc[known]
+            edges = np.searchsorted(doc, np.arange(n_docs + 1))
+            totals = np.tile(priors, (n_docs, 1))
+            for k in range(len(languages)):
+                running = np.concatenate(([0], np.cumsum(weights[at, k])))
+                totals[:, k] += running[edges[1:]] - running[edges[:-1]]
+            top = totals.argmax(axis=1)
+            gaps = (totals - totals.max(axis=1, keepdims=True)) / MICRO
+            score = 1.0 / np.exp(gaps).sum(axis=1)
+            return pd.DataFrame(
+                {
+                    "language": np.where(found, np.array(languages, object)[top], None),
+                    "language_score": np.where(found, score, 0.0),
+                }
+            )
+
+        return df.withColumn("_best", best.asNondeterministic()(F.lower(F.coalesce(text, F.lit(""))))).withColumns(
+            {"language": F.col("_best.language"), "language_score": F.col("_best.language_score")}
+        ).drop("_best")
 
 
 def fit_language_model(
@@ -56,29 +84,34 @@ def fit_language_model(
 ) -> LanguageModel:
     """Train on documents with a known language.
 
-    The vocabulary is the ``max_vocabulary`` most frequent trigrams, ties in
-    trigram order; that bound is also the size of what the model ships to tasks.
+    The vocabulary is the ``max_vocabulary`` most frequent trigrams; that bound,
+    times the number of languages, is what comes to the driver and goes to tasks.
     """
-    rows = labelled.where(F.col(language).isNotNull())
+    rows = labelled.where(F.col(language).isNotNull()).select(language, text)
     found = rows.groupBy(language).count().orderBy(F.desc("count"), language).limit(MAX_LANGUAGES + 1).collect()
-    languages = sorted(r[0] for r in found)
-    if not 0 < len(languages) <= MAX_LANGUAGES:
-        raise ValueError(f"expected 1 to {MAX_LANGUAGES} languages, found {len(languages)}")
-    top = (
-        explode_once(rows, [], trigrams(F.col(text)), "g")
-        .groupBy("g")
-        .count()
-        .orderBy(F.desc("count"), "g")
-        .limit(max_vocabulary)
+    n_docs = {r[0]: r[1] for r in found}
+    if not 0 < len(n_docs) <= MAX_LANGUAGES:
+        raise ValueError(f"expected 1 to {MAX_LANGUAGES} languages, found {len(n_docs)}")
+    languages = sorted(n_docs)
+
+    def count_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Counts per batch, so a trigram leaves a batch once per language."""
+        for batch in batches:
+            for name, part in batch.groupby("language"):
+                codes, n = np.unique(trigram_codes(part["text"])[0], return_counts=True)
+                yield pd.DataFrame({"language": name, "g": codes, "n": n})
+
+    partial = rows.select(F.col(language).alias("language"), F.lower(text).alias("text")).mapInPandas(
+        count_batch, "language string, g bigint, n bigint"
     )
-    vocabulary = sorted(r.g for r in top.select("g").collect())
-    counter = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="_grams", outputCol="_counts")
-    label = F.array_position(F.array(*[F.lit(x) for x in languages]), F.col(language)) - 1
-    training = counter.transform(
-        rows.select(trigrams(F.col(text)).alias("_grams"), label.cast("double").alias("_label"))
+    counted = partial.groupBy("g").agg(
+        F.sum("n").alias("n"),
+        *[F.sum(F.when(F.col("language") == x, F.col("n")).otherwise(0)).alias(f"n{k}") for k, x in enumerate(languages)],
     )
-    bayes = NaiveBayes(
-        smoothing=1.0, featuresCol="_counts", labelCol="_label",
-        rawPredictionCol="_raw", probabilityCol="_probability", predictionCol="_prediction",
-    ).fit(training)
-    return LanguageModel(PipelineModel([counter, bayes]), languages)
+    top = counted.orderBy(F.desc("n"), "g").limit(max_vocabulary).toPandas().sort_values("g")
+    counts = top[[f"n{k}" for k in range(len(languages))]].to_numpy(np.float64)
+    sizes = counts.sum(axis=0) + len(top)
+    weights = np.rint((np.log(counts + 1) - np.log(sizes)) * MICRO).astype(np.int64)
+    total = sum(n_docs.values()) + len(languages)
+    priors = [round((math.log(n_docs[x] + 1) - math.log(total)) * MICRO) for x in languages]
+    return LanguageModel(top["g"].to_numpy(np.int64), weights, np.array(priors, np.int64), languages)

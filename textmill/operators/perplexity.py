@@ -10,9 +10,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from textmill.functions.arrays import explode_once
+from textmill.functions.arrays import explode_once, let
 from textmill.functions.text import words
-from textmill.operators.skew import lookup_join
+from textmill.operators.skew import MAX_HOT_KEYS, lookup_join
 from textmill.session import materialize
 
 MICRO = 1_000_000
@@ -20,13 +20,14 @@ TOP_VALUES = 100_000
 
 
 def bigrams(text: Column) -> Column:
-    """Neighbouring words as structs; empty below two words."""
-    w = words(text)
-    return F.slice(
-        F.zip_with(w, F.slice(w, 2, F.size(w)), lambda a, b: F.struct(a.alias("w1"), b.alias("w2"))),
-        1,
-        F.greatest(F.size(w) - 1, F.lit(0)),
-    )
+    """Neighbouring words as pairs of 64-bit hashes; empty below two words."""
+    codes = F.transform(words(text), lambda w: F.xxhash64(w))
+
+    def paired(c: Column) -> Column:
+        both = F.zip_with(c, F.slice(c, 2, F.size(c)), lambda a, b: F.struct(a.alias("w1"), b.alias("w2")))
+        return F.slice(both, 1, F.greatest(F.size(c) - 1, F.lit(0)))
+
+    return let(codes, paired)
 
 
 @dataclass(frozen=True)
@@ -54,8 +55,11 @@ def perplexity(df: DataFrame, model: BigramModel, id_col: str, keep: list[str],
     """exp of the mean negative log-probability per document; no row for texts under two words."""
     rows = explode_once(df, [id_col, *keep], bigrams(F.col(text)), "b", "pos")
     rows = rows.select(id_col, *keep, "pos", "b.w1", "b.w2")
-    rows = lookup_join(rows, model.pairs, ["w1", "w2"], [id_col, "pos"], "left")
-    rows = lookup_join(rows, model.firsts, ["w1"], [id_col, "pos"], "left")
+    # What is frequent in training is what is hot here; no pass over the rows is needed to know it.
+    hot_pairs = model.pairs.orderBy(F.desc("n_pair")).limit(MAX_HOT_KEYS).select("w1", "w2")
+    hot_firsts = model.firsts.orderBy(F.desc("n_first")).limit(MAX_HOT_KEYS).select("w1")
+    rows = lookup_join(rows, model.pairs, ["w1", "w2"], [id_col, "pos"], "left", hot_pairs)
+    rows = lookup_join(rows, model.firsts, ["w1"], [id_col, "pos"], "left", hot_firsts)
     p = (F.coalesce("n_pair", F.lit(0)) + model.k) / (
         F.coalesce("n_first", F.lit(0)) + model.k * model.vocabulary
     )

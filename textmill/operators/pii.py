@@ -8,9 +8,11 @@ never shuffles; only gazetteer matches travel, without the text.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from textmill.functions.arrays import char_blocks, explode_once, let, prefix_scan, prefix_sums, runs, total
@@ -22,6 +24,7 @@ ENTITIES = f"array<{ENTITY}>"
 GROUPED = "array<struct<start:int,end:int,type:string,entity:string,public:boolean,no:int>>"
 BLOCK_CHARS = 1024
 MAX_FIGURES = 10_000
+MAX_LISTED_TERMS = 200_000
 
 
 # Check digits --------------------------------------------------------------
@@ -209,16 +212,43 @@ def detect(text: Column, types: list[str] | None = None) -> Column:
     )
 
 
+def listed_entities(text: Column, terms: DataFrame, max_words: int = 3) -> Column:
+    """Gazetteer matches inside the row, for a term table that passed the size check."""
+    rows = terms.select("term", "type", "public").collect()
+    table: dict[str, list] = {}
+    for row in rows:
+        table.setdefault(row.term, []).append((row.type, row.public))
+    shared = terms.sparkSession.sparkContext.broadcast(table)
+
+    @F.pandas_udf(ENTITIES)
+    def matches(texts: pd.Series) -> pd.Series:
+        known, word = shared.value, re.compile(r"\w+")
+
+        def scan(value: str) -> list[dict]:
+            spots = [m.span() for m in word.finditer(value)]
+            out = []
+            for i, (start, _) in enumerate(spots):
+                for j in range(i, min(i + max_words, len(spots))):
+                    if j > i and value[spots[j - 1][1] : spots[j][0]] != " ":
+                        break
+                    end = spots[j][1]
+                    for type_, public in known.get(value[start:end], ()):
+                        out.append({"start": start, "end": end, "type": type_, "entity": value[start:end], "public": public})
+            return out
+
+        return texts.map(scan)
+
+    return matches.asNondeterministic()(F.coalesce(text, F.lit("")))
+
+
 def gazetteer_matches(
     df: DataFrame, terms: DataFrame, id_col: str = "id", text: str = "text", max_words: int = 3
 ) -> DataFrame:
-    """(id, entities) for token runs found in a term table (term, type[, public]).
+    """(id, entities) for token runs found in a term table (term, type, public) of any size.
 
-    The term table is broadcast behind a count; a larger one is joined with
-    hot tokens salted. Only matches are regrouped by id.
+    Token runs are joined with the table, hot ones salted; only matches are
+    regrouped by id.
     """
-    if "public" not in terms.columns:
-        terms = terms.withColumn("public", F.lit(False))
     tokens = F.col("_t")
 
     def run_of(n: int) -> Column:
@@ -250,14 +280,17 @@ def with_entities(
 ) -> DataFrame:
     """Add ``entities``: resolved, non-overlapping."""
     found = detect(F.col(text), types)
-    if terms is None:
-        return df.withColumn("_found", found).withColumn(
-            "entities", resolve_overlaps(F.col("_found"), F.col(text))
-        ).drop("_found")
-    listed = gazetteer_matches(df, terms, id_col, text).withColumnRenamed("entities", "_listed")
+    if terms is not None:
+        if "public" not in terms.columns:
+            terms = terms.withColumn("public", F.lit(False))
+        if terms.limit(MAX_LISTED_TERMS + 1).count() <= MAX_LISTED_TERMS:
+            df = df.withColumn("_listed", listed_entities(F.col(text), terms))
+        else:
+            listed = gazetteer_matches(df, terms, id_col, text).withColumnRenamed("entities", "_listed")
+            df = df.join(listed, id_col, "left")
+        found = F.concat(found, F.coalesce("_listed", _none()))
     return (
-        df.join(listed, id_col, "left")
-        .withColumn("_found", F.array_sort(F.concat(found, F.coalesce("_listed", _none()))))
+        df.withColumn("_found", found)
         .withColumn("entities", resolve_overlaps(F.col("_found"), F.col(text)))
         .drop("_listed", "_found")
     )

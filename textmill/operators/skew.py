@@ -54,7 +54,12 @@ def salted_join(
 
 
 def lookup_join(
-    big: DataFrame, table: DataFrame, keys: list[str], spread: list[str], how: str = "inner"
+    big: DataFrame,
+    table: DataFrame,
+    keys: list[str],
+    spread: list[str],
+    how: str = "inner",
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Join a model table to a large one: broadcast behind a count, salted beyond it.
 
@@ -62,7 +67,7 @@ def lookup_join(
     """
     if table.count() <= MAX_BROADCAST_ROWS:
         return big.join(F.broadcast(table), keys, how)
-    return salted_join(big, table, keys, spread, how)
+    return salted_join(big, table, keys, spread, how, hot=hot)
 
 
 def keep_smallest(df: DataFrame, keys: list[str], id_col: str) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.ml.feature import IDF, CountVectorizerModel
 from pyspark.sql import Column, DataFrame, functions as F
 
 from textmill.functions.arrays import let, prefix_sums, total
+from textmill.session import materialize
 
 BUCKETS = 4096
 SPAN_TYPE = "array<struct<label:string,score:double,sentence:string,start_index:bigint>>"
@@ -46,16 +47,17 @@ class ToxicityModel:
         return 1.0 / (1.0 + F.exp(-logit))
 
 
-def fit_toxicity_model(labelled: DataFrame, text: str = "text", label: str = "toxic", reg: float = 0.001) -> ToxicityModel:
+def fit_toxicity_model(labelled: DataFrame, text: str = "text", label: str = "toxic", reg: float = 0.001, max_iter: int = 30) -> ToxicityModel:
     counter = CountVectorizerModel.from_vocabulary(
         [str(i) for i in range(BUCKETS)], inputCol="_b", outputCol="_tf"
     )
     names = F.transform(buckets(F.col(text)), lambda b: b.cast("string"))
     # Word presence, not counts: long texts must not dominate.
     rows = labelled.select(F.array_distinct(names).alias("_b"), F.col(label).cast("double").alias("label"))
-    tf = counter.transform(rows)
+    # Written once: every pass of the solver would otherwise split the texts again.
+    tf = counter.transform(materialize(rows, "words"))
     idf = IDF(inputCol="_tf", outputCol="features", minDocFreq=2).fit(tf)
-    model = LogisticRegression(regParam=reg, elasticNetParam=1.0, maxIter=100).fit(idf.transform(tf))
+    model = LogisticRegression(regParam=reg, elasticNetParam=1.0, maxIter=max_iter).fit(idf.transform(tf))
     weights = [float(w * i) for w, i in zip(model.coefficients.toArray(), idf.idf.toArray())]
     return ToxicityModel(weights, float(model.intercept))
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from textmill.operators.filters import Outcome
 from textmill.plans import stages as s
-from textmill.sources.reader import read_documents
+from textmill.sources.reader import balance, read_documents
 from textmill.sources.writer import overwrite_stage, write_removed
 
 STAGES = {
@@ -59,6 +59,8 @@ def curation_chain(spark: SparkSession, config: dict, source: DataFrame | None =
             raise ValueError(f"Stage {step['stage']} requires an input folder.")
         if df is None:
             raise ValueError("The first stage needs an input folder or a source.")
+        if at == 0 or step.get("input_folder"):
+            df = balance(df)
         done: Outcome = STAGES[step["stage"]](df, **params)
         result.removed[f"{at + 1}_{step['stage']}"] = done.removed
         result.kept = done.kept

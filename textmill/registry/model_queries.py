@@ -19,11 +19,11 @@ LANGUAGE_CTES = f"""WITH gr AS (SELECT id, lang, c[i] || c[i + 1] || c[i + 2] AS
  tot AS (SELECT lang, sum(c) AS n FROM cnt GROUP BY lang),
  voc AS (SELECT DISTINCT g FROM cnt),
  size AS (SELECT count(*) AS v FROM voc),
- pri AS (SELECT lang, ln((count(*) + 1)::DOUBLE) - ln(((SELECT count(*) FROM {DOCS}) + (SELECT count(*) FROM tot))::DOUBLE) AS pi FROM {DOCS} GROUP BY lang),
- theta AS (SELECT tot.lang, voc.g, ln((coalesce(c, 0) + 1)::DOUBLE) - ln((n + v)::DOUBLE) AS t
+ pri AS (SELECT lang, round((ln((count(*) + 1)::DOUBLE) - ln(((SELECT count(*) FROM {DOCS}) + (SELECT count(*) FROM tot))::DOUBLE)) * 1000000)::BIGINT AS pi FROM {DOCS} GROUP BY lang),
+ theta AS (SELECT tot.lang, voc.g, round((ln((coalesce(c, 0) + 1)::DOUBLE) - ln((n + v)::DOUBLE)) * 1000000)::BIGINT AS t
    FROM voc CROSS JOIN tot CROSS JOIN size LEFT JOIN cnt ON cnt.g = voc.g AND cnt.lang = tot.lang),
  dg AS (SELECT id, g, count(*) AS c FROM gr GROUP BY id, g),
- sc AS (SELECT dg.id, theta.lang, any_value(pi) + sum(dg.c * t) AS s FROM dg JOIN theta ON theta.g = dg.g JOIN pri ON pri.lang = theta.lang GROUP BY dg.id, theta.lang),
+ sc AS (SELECT dg.id, theta.lang, (any_value(pi) + sum(dg.c * t)) / 1000000::DOUBLE AS s FROM dg JOIN theta ON theta.g = dg.g JOIN pri ON pri.lang = theta.lang GROUP BY dg.id, theta.lang),
  best AS (SELECT id, arg_max(lang, s) AS language, max(s) AS m FROM sc GROUP BY id),
  det AS (SELECT best.id, any_value(language) AS language, round(1.0 / sum(exp(s - m)), 4) AS language_score FROM best JOIN sc ON sc.id = best.id GROUP BY best.id)"""
 

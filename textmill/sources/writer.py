@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import math
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import BinaryType, StringType
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from textmill.session import materialize
 
@@ -14,23 +13,22 @@ SPLIT_FILE_BYTES = 100_000_000
 REMOVED_FILE_BYTES = 2**29
 
 
-def row_bytes(df: DataFrame) -> Column:
-    """Approximate stored size of a row before compression."""
-    size = F.lit(0)
-    for field in df.schema.fields:
-        name = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, (StringType, BinaryType)):
-            size = size + F.coalesce(F.octet_length(name), F.lit(0))
-        elif field.dataType.typeName() in ("array", "map", "struct", "variant"):
-            size = size + F.coalesce(F.octet_length(F.to_json(F.struct(name))), F.lit(0))
-        else:
-            size = size + 8
-    return size
-
-
-def n_files(df: DataFrame, max_file_bytes: int) -> int:
-    total = df.agg(F.sum(row_bytes(df).cast("long"))).first()[0] or 0
-    return max(1, math.ceil(total / max_file_bytes))
+@contextmanager
+def _file_target(spark: SparkSession, max_file_bytes: int):
+    """Let adaptive execution aim its rebalanced partitions at the file size."""
+    wanted = {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(max_file_bytes),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
+    before = {key: spark.conf.get(key) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def write_sized(
@@ -39,18 +37,17 @@ def write_sized(
     max_file_bytes: int = STAGE_FILE_BYTES,
     mode: str = "error",
     partition_by: list[str] | None = None,
-) -> int:
-    """Write parquet files near a target size; returns the number planned.
+) -> None:
+    """Write parquet files near a target size, computing the rows once.
 
-    One pass sums the row sizes; rows are then dealt out evenly, so a source or
-    key with most of the rows cannot make one oversized file.
+    The rows go through one rebalancing exchange; its measured sizes decide how
+    partitions are merged, and how a folder with most of the rows is split.
     """
-    files = n_files(df, max_file_bytes)
-    writer = df.repartition(files).write.mode(mode)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-    return files
+    with _file_target(df.sparkSession, max_file_bytes):
+        writer = df.hint("rebalance", *(partition_by or [])).write.mode(mode)
+        if partition_by:
+            writer = writer.partitionBy(*partition_by)
+        writer.parquet(path)
 
 
 def write_removed(df: DataFrame, path: str, max_file_bytes: int = REMOVED_FILE_BYTES) -> None:
@@ -80,10 +77,10 @@ def _normal(path: str) -> str:
     return path.removeprefix("file://").removeprefix("file:").rstrip("/")
 
 
-def overwrite_stage(df: DataFrame, path: str, max_file_bytes: int = STAGE_FILE_BYTES) -> int:
+def overwrite_stage(df: DataFrame, path: str, max_file_bytes: int = STAGE_FILE_BYTES) -> None:
     """Replace a stage's output folder. Refused when the plan reads from that folder."""
     target = _normal(path)
     for source in df.inputFiles():
         if _normal(source).startswith(target + "/") or _normal(source) == target:
             raise ValueError(f"{path} is an input of this plan; choose another output folder")
-    return write_sized(df, path, max_file_bytes, mode="overwrite")
+    write_sized(df, path, max_file_bytes, mode="overwrite")
