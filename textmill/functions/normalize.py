@@ -11,7 +11,9 @@ from pyspark.sql.types import StringType
 from textmill.functions.fixed_values import PUNCTUATION_ONE_TO_ONE, PUNCTUATION_SPELLED_OUT
 
 FORMS = ("NFC", "NFKC", "NFD", "NFKD")
-REPEATED_WORDS = r"(?U)\b(\w+)\s+\1\s+\1(\s+\1)*\b"
+# Three or more copies of a word. The repeated part is possessive, with its own word
+# boundary: the engine then loops instead of recursing, whatever the number of copies.
+REPEATED_WORDS = r"(?U)\b(\w+)\s+\1\s+\1\b(?:\s+\1\b)*+"
 BRACKET_TAG = r"(?U)\s?\[[a-zA-Z&;_à-üÀ-Ü\s]{0,15}\]"
 SPACE_SIGNS = "[\\t\\r\\f\\x0B\\u00A0\\u1680\\u2000-\\u200A\\u202F\\u205F\\u3000]"
 

@@ -105,13 +105,13 @@ IP = "[0-9]+(?:\\.[0-9]+){3}"
 PHONE = "\\+[0-9]{1,3}[ -]?(?:\\([0-9]{1,4}\\)[ -]?)?[0-9]{2,4}(?:[ -]?[0-9]{2,4}){1,4}"
 URL = "https?://[^ \\t\\r\\n<>\"']+"
 CARD = "[0-9](?:[ -]?[0-9]){12,18}"
-EXPIRATION = "[0-9]+(?:/[0-9]+)+"
+EXPIRATION = "[0-9]+(?:/[0-9]++)++"
 CVV = "(?i)(?:cvv2?|cvc2?)[^0-9\\n]{0,5}[0-9]+"
 LICENSE = "(?i)(?:driver'?s? licen[cs]e|rijbewijs)[^0-9\\n]{0,20}[0-9]+"
 HEALTH = "(?i)(?:healthcare|health|polis|policy|zorg)[^0-9\\n]{0,20}[0-9]+"
 ZIP = "[0-9]+ ?[A-Za-z]+"
 COORDINATE = "-?[0-9]{1,3}\\.[0-9]{3,}, ?-?[0-9]{1,3}\\.[0-9]{3,}"
-DASHED = "[0-9A-Za-z]++(?:-[0-9A-Za-z]++)+"
+DASHED = "[0-9A-Za-z]++(?:-[0-9A-Za-z]++)++"
 PLATE_SHAPE = "^([0-9]{1,3}|[B-DF-HJ-NP-TV-XZ]{1,3})(-([0-9]{1,3}|[B-DF-HJ-NP-TV-XZ]{1,3})){2}$"
 TAIL_DIGITS = "[0-9]+$"
 

@@ -20,6 +20,7 @@ def _file_target(spark: SparkSession, max_file_bytes: int):
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(max_file_bytes),
         "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(min(2**20, max_file_bytes)),
     }
     before = {key: spark.conf.get(key) for key in wanted}
     for key, value in wanted.items():
