@@ -25,16 +25,19 @@ PRIME_31 = 2**31 - 1
 _MASK = 2**64 - 1
 
 
-def exact_dedup(df: DataFrame, id_col: str = "id", text: str = "text") -> DataFrame:
-    """One row per distinct text, the smallest id."""
-    return keep_smallest(df.withColumn("_digest", F.sha2(text, 256)), ["_digest"], id_col).drop("_digest")
+def exact_duplicate_ids(df: DataFrame, id_col: str = "id", text: str = "text") -> DataFrame:
+    """Ids of all but the smallest id of every distinct text; only ids and digests travel."""
+    digests = df.select(id_col, F.sha2(text, 256).alias("_digest"))
+    return digests.join(keep_smallest(digests, ["_digest"], id_col).select(id_col), id_col, "left_anti").select(id_col)
 
 
-def exact_duplicates(df: DataFrame, id_col: str = "id", text: str = "text") -> DataFrame:
-    """The rows exact_dedup removes."""
-    digests = df.select(id_col, F.sha2(text, 256).alias("_digest"))
-    winners = digests.groupBy("_digest").agg(F.min(id_col).alias(id_col)).select(id_col)
-    return df.join(winners, id_col, "left_anti")
+def exact_dedup(df: DataFrame, id_col: str = "id", text: str = "text") -> DataFrame:
+    """One row per distinct text, the smallest id.
+
+    Rows are matched against the ids to drop, which are few in most corpora;
+    adaptive execution can then broadcast them and leave the texts in place.
+    """
+    return df.join(exact_duplicate_ids(df, id_col, text), id_col, "left_anti")
 
 
 def hash_coefficients(count: int, precision: int, seed: int = 1) -> list[tuple[int, int]]:
@@ -164,8 +167,11 @@ def minhash_buckets(
     hashes_per_bucket: int = HASHES_PER_BUCKET,
     salt: Column | None = None,
 ) -> DataFrame:
-    """Candidate edges: documents that agree on all hashes of at least one band."""
-    members = bands(signatures, id_col, num_buckets, hashes_per_bucket)
+    """Candidate edges: documents that agree on all hashes of at least one band.
+
+    The bands are written once; both levels of edges read them, not the texts.
+    """
+    members = materialize(bands(signatures, id_col, num_buckets, hashes_per_bucket), "bands")
     return star_edges(members, ["band", "hi", "lo"], id_col, salt)
 
 
@@ -227,16 +233,14 @@ def near_dup_overlap(
     df: DataFrame, clusters: DataFrame, id_col: str = "id", n_grams: int = N_GRAMS, text: str = "text"
 ) -> DataFrame:
     """Exact shingle Jaccard of each removed document with its survivor: linear in documents."""
-    sets = df.select(
-        F.col(id_col).alias("id"),
-        F.array_distinct(shingle_hashes(words(F.col(text)), n_grams, 64)).alias("s"),
-    )
-    members = clusters.where("id <> cluster_id").join(sets, "id")
-    heads = clusters.where("id = cluster_id").select("cluster_id").join(
-        sets.select(F.col("id").alias("cluster_id"), F.col("s").alias("t")), "cluster_id"
-    )
+    hashes = F.array_distinct(shingle_hashes(words(F.col(text)), n_grams, 64))
+    clustered = df.select(F.col(id_col).alias("id"), text).join(clusters, "id")
+    sets = clustered.select("id", "cluster_id", hashes.alias("s"))
+    members = sets.where("id <> cluster_id")
+    heads = sets.where("id = cluster_id").select("cluster_id", F.col("s").alias("t"))
     shared = F.size(F.array_intersect("s", "t"))
-    return salted_join(members, heads, ["cluster_id"], ["id"]).select(
+    big = hot_keys(clusters.where("id <> cluster_id"), ["cluster_id"])
+    return salted_join(members, heads, ["cluster_id"], ["id"], hot=big).select(
         "id", "cluster_id", (shared / (F.size("s") + F.size("t") - shared)).alias("jaccard")
     )
 

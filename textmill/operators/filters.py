@@ -24,6 +24,8 @@ class Outcome:
 
     kept: DataFrame
     removed: DataFrame
+    # The rows with their verdict, where both outputs are cut from one table.
+    annotated: DataFrame | None = None
 
 
 def open_verdict(df: DataFrame) -> DataFrame:
@@ -52,6 +54,7 @@ def outcome(df: DataFrame) -> Outcome:
     return Outcome(
         df.where(F.col("filter_reason").isNull()).drop("filter_module", "filter_reason"),
         df.where(F.col("filter_reason").isNotNull()),
+        df,
     )
 
 

@@ -58,6 +58,10 @@ def running_total(
 ) -> DataFrame:
     """Add ``out``: the sum of ``value`` over all earlier rows in key order (exclusive)."""
     cuts = range_cuts(df, keys, rows_per_range)
+    if not cuts:
+        # Fewer than rows_per_range rows: one small window will do.
+        whole = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+        return df.withColumn(out, F.coalesce(F.sum(value.cast("long")).over(whole), F.lit(0).cast("long")))
     df = df.withColumns({"_value": value.cast("long"), "_range": range_of(keys, cuts)})
     inside = Window.partitionBy("_range").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
     # One row per range, at most MAX_RANGES: small by construction.

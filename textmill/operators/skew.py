@@ -78,5 +78,3 @@ def keep_smallest(df: DataFrame, keys: list[str], id_col: str) -> DataFrame:
     """
     winners = df.groupBy(*keys).agg(F.min(id_col).alias(id_col)).select(id_col)
     return df.join(winners, id_col, "left_semi")
-
-

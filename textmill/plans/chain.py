@@ -6,10 +6,10 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from textmill.operators.filters import Outcome
+from textmill.operators.filters import Outcome, outcome
 from textmill.plans import stages as s
 from textmill.sources.reader import balance, read_documents
-from textmill.sources.writer import overwrite_stage, write_removed
+from textmill.sources.writer import overwrite_stage, tee_write, write_removed
 
 STAGES = {
     "data_splitting": s.data_splitting,
@@ -62,9 +62,12 @@ def curation_chain(spark: SparkSession, config: dict, source: DataFrame | None =
         if at == 0 or step.get("input_folder"):
             df = balance(df)
         done: Outcome = STAGES[step["stage"]](df, **params)
+        folder = step.get("output_folder")
+        if folder and done.annotated is not None:
+            # Both outputs are written, so the verdicts are computed once and kept.
+            done = outcome(tee_write(done.annotated))
         result.removed[f"{at + 1}_{step['stage']}"] = done.removed
         result.kept = done.kept
-        folder = step.get("output_folder")
         if folder:
             overwrite_stage(done.kept, folder)
             write_removed(done.removed, f"{folder.rstrip('/')}_removed")

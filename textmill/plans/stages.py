@@ -109,7 +109,7 @@ def deduplication(
     Signatures and digests are computed in the row, and from there on only ids
     and hashes travel. The text moves once, in the final join on the unique id.
     """
-    exact = dedup.exact_duplicates(df.select(id_col, "text"), id_col).select(id_col, F.lit("exact").alias("_why"))
+    exact = dedup.exact_duplicate_ids(df, id_col).withColumn("_why", F.lit("exact"))
     signed = dedup.signature(df.select(id_col, "text"), num_buckets, hashes_per_bucket, n_grams, bit_precision)
     edges = dedup.minhash_buckets(signed.drop("text"), id_col, num_buckets, hashes_per_bucket)
     near = dedup.removable(dedup.cluster_components(edges), id_col).withColumn("_why", F.lit("minhash"))

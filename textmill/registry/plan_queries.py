@@ -110,7 +110,7 @@ def collection_rollup(spark, sf):
     FROM {planted_parts(whitespace_sql('text'))}) GROUP BY ALL""",
 )
 def heuristic_kept_by_lang(spark, sf):
-    df = null_guard(docs(spark, sf)).withColumn("text", normalize_whitespace(F.col("text")))
+    df = null_guard(busy_docs(spark, sf)).withColumn("text", normalize_whitespace(F.col("text")))
     df, p = with_parts(df)
     rules = flt.nordic_rules(p, min_mean_med_char=None, min_mean_med_word=None)
     rules += flt.line_repetition_rules(p, dup_para_frac=None, dup_line_char_frac=None, dup_para_char_frac=None)
