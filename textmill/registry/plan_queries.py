@@ -10,6 +10,7 @@ from textmill.plans import stages
 from textmill.plans.chain import curation_chain
 from textmill.plans.delivery import deliver
 from textmill.registry.base import DOCS, PARTS, busy_docs, docs, query, r6, table, words_sql
+from textmill.registry.dedup_queries import CLUSTER_CTES
 from textmill.registry.filter_queries import QUALITY_SQL, dup_sql, list_mean, list_median, planted_parts, repetition_ctes, CHARS, LINE_WORDS
 from textmill.registry.io_queries import NORDIC_REASON
 from textmill.registry.model_queries import (
@@ -200,15 +201,19 @@ def quality_analysis(spark, sf):
     return rounded(stages.quality_analysis(df, fit_bigram_model(df), group=["lang"])["summary"])
 
 
-@query(
-    "curation_chain",
-    heuristics_sql(NORMAL_SQL) + f""", body AS (SELECT id, {NORMAL_SQL} AS text FROM {DOCS})
- SELECT body.id, text FROM body JOIN verdict USING (id) WHERE filter_reason IS NULL
- AND body.id IN (SELECT min(b.id) FROM body b JOIN verdict v ON v.id = b.id WHERE v.filter_reason IS NULL GROUP BY b.text)""",
+CHAIN_SQL = (
+    f"""WITH RECURSIVE body AS (SELECT id, {NORMAL_SQL} AS text FROM {DOCS}),
+ judged AS ({heuristics_sql(NORMAL_SQL)} SELECT id, filter_reason FROM verdict),
+ passed AS (SELECT body.id, body.text FROM body JOIN judged ON judged.id = body.id WHERE filter_reason IS NULL), """
+    + CLUSTER_CTES.replace("WITH RECURSIVE ", "").replace(DOCS, "passed")
+    + """ SELECT id, text FROM passed WHERE id IN (SELECT min(id) FROM passed GROUP BY text)
+ AND id NOT IN (SELECT id FROM cl WHERE id <> cluster_id)"""
 )
+
+
+@query("curation_chain", CHAIN_SQL)
 def curation_chain_(spark, sf):
-    """Split, normalise, filter, then drop copies; bands of one hash in one bucket would match
-    almost nothing, so only the exact part of the last stage can act."""
+    """Split, normalise, filter, deduplicate; the border after the filters is written."""
     source = table(spark, sf, "documents").select(
         F.col("doc_id").alias("extraction_uid"), "text", F.col("lang").alias("language"), F.lit(1.0).alias("language_score")
     )
@@ -218,7 +223,7 @@ def curation_chain_(spark, sf):
             {"stage": "data_splitting"},
             {"stage": "string_normalization"},
             {"stage": "heuristic_filtering", "languages": ["en", "de", "fr"], "output_folder": scratch_path(spark, "chain")},
-            {"stage": "deduplication", "num_buckets": 1, "hashes_per_bucket": 112, "n_grams": 100_000},
+            {"stage": "deduplication", "bit_precision": 32},
         ],
     }
     return curation_chain(spark, config, source).kept.select("id", "text")
