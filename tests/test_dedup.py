@@ -4,7 +4,7 @@ from itertools import combinations
 import pytest
 from pyspark.sql import functions as F
 
-from textmill.operators import dedup
+from textmill.operators import dedup, skew
 from textmill.plans.stages import deduplication
 
 
@@ -104,3 +104,10 @@ def test_short_texts_have_no_band_but_copies_go(spark):
     done = deduplication(df)
     assert sorted(r.id for r in done.kept.collect()) == [1, 3, 4]
     assert [(r.id, r.filter_reason) for r in done.removed.collect()] == [(2, "exact")]
+
+
+def test_salted_rounds_agree_with_plain_ones(spark, monkeypatch):
+    edges = [(1000 + i, 1000) for i in range(1, 120)] + [(i + 1, i) for i in range(30)] + [(1050, 3)]
+    monkeypatch.setattr(dedup, "HOT_ROWS", 20)
+    monkeypatch.setattr(dedup, "hot_keys", lambda df, keys: skew.hot_keys(df, keys, 20))
+    assert run_components(spark, edges) == components(edges)

@@ -14,7 +14,7 @@ from pyspark.sql.types import ArrayType, LongType
 
 from textmill.functions.arrays import explode_once, let
 from textmill.functions.text import words
-from textmill.operators.skew import hot_keys, keep_smallest, salted_join
+from textmill.operators.skew import HOT_ROWS, hot_keys, keep_smallest, salted_join
 from textmill.session import materialize
 
 NUM_BUCKETS = 14
@@ -184,7 +184,13 @@ def cluster_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     """
     both = edges.select("src", "dst").union(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
     both = materialize(both.where("src <> dst").distinct(), "edges")
-    hubs = materialize(hot_keys(both, ["dst"]), "hubs")
+    # Neither edges nor labels can hold a hot key while there are fewer edges than make one.
+    large = both.count() > HOT_ROWS
+    hubs = materialize(hot_keys(both, ["dst"]), "hubs") if large else None
+
+    def join(big: DataFrame, table: DataFrame, key: str, spread: str, hot: DataFrame | None = None) -> DataFrame:
+        return salted_join(big, table, [key], [spread], hot=hot) if large else big.join(table, key)
+
     labels = materialize(
         both.groupBy("src").agg(F.min("dst").alias("_m"))
         .select(F.col("src").alias("id"), F.least("src", "_m").alias("f")),
@@ -193,7 +199,7 @@ def cluster_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     for _ in range(max_rounds):
         of_neighbour = labels.select(F.col("id").alias("dst"), "f")
         nearest = (
-            salted_join(both, of_neighbour, ["dst"], ["src"], hot=hubs)
+            join(both, of_neighbour, "dst", "src", hubs)
             .groupBy("src")
             .agg(F.min("f").alias("m"))
         )
@@ -208,7 +214,7 @@ def cluster_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
         )
         hooked = materialize(offers.groupBy("o.id").agg(F.min("o.f").alias("f")), "hooked")
         parents = hooked.select(F.col("id").alias("f"), F.col("f").alias("g"))
-        halved = salted_join(hooked, parents, ["f"], ["id"])
+        halved = join(hooked, parents, "f", "id")
         compared = halved.join(labels.select("id", F.col("f").alias("_old")), "id").select(
             "id", F.col("g").alias("f"), (F.col("g") != F.col("_old")).alias("moved")
         )
