@@ -182,8 +182,9 @@ def cluster_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     current parent as well, and halves the paths; every round is written out,
     and the loop ends when no label changes. Joins on hubs are salted.
     """
-    both = edges.select("src", "dst").union(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    both = materialize(both.where("src <> dst").distinct(), "edges")
+    ways = F.array(F.struct("src", "dst"), F.struct(F.col("dst").alias("src"), F.col("src").alias("dst")))
+    both = edges.where("src <> dst").select(F.explode(ways).alias("e")).select("e.src", "e.dst")
+    both = materialize(both.distinct(), "edges")
     # Neither edges nor labels can hold a hot key while there are fewer edges than make one.
     large = both.count() > HOT_ROWS
     hubs = materialize(hot_keys(both, ["dst"]), "hubs") if large else None
