@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from textmill.llm import secrets, url_filters
+from textmill.llm import fingerprints, near_dedup, packing, secrets, toxicity, url_filters
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -22,6 +22,15 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+# 2: document fingerprints ---------------------------------------------------
+
+
+@query
+def op2_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    """Fingerprints of every document and its edited text."""
+    return fingerprints.edited_likeness(table(spark, sf, "documents").select("doc_id", "text"))
+
+
 # 3: secret scans -----------------------------------------------------------
 
 
@@ -65,6 +74,16 @@ SELECT doc_id, len(a)::BIGINT AS n_assign, len(k)::BIGINT AS n_access, len(h)::B
 """
 
 
+# 5: near-deduplication ------------------------------------------------------
+
+
+@query
+def op5_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """The near-duplicate class of every document, named by its smallest doc_id."""
+    classes = near_dedup.near_classes(table(spark, sf, "documents").select("doc_id", "text"))
+    return classes.select(F.col("id").alias("doc_id"), "class_id")
+
+
 # 7: URL filters ------------------------------------------------------------
 
 URL_RULES = [
@@ -98,3 +117,27 @@ best AS (SELECT page_id, url, max_by(rule, length(rule)) AS rule, max_by(verdict
 SELECT p.page_id, p.host, p.path, b.rule, coalesce(b.verdict, 'allow') AS verdict
 FROM parts p LEFT JOIN best b ON p.page_id = b.page_id AND p.url = b.url
 """
+
+
+# 8: packing ----------------------------------------------------------------
+
+
+@query
+def op8_packing(spark: SparkSession, sf: str) -> DataFrame:
+    """Every piece of every document in sequences of at most 2048 tokens."""
+    return packing.pack_documents(table(spark, sf, "documents").select("doc_id", "text"))
+
+
+# 10: toxicity --------------------------------------------------------------
+
+
+@query
+def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    """The toxicity score of every document."""
+    documents = table(spark, sf, "documents").select("doc_id", "text")
+    sample = toxicity.labelled_sample(documents, table(spark, sf, "labels"))
+    scored = toxicity.score_texts(documents, toxicity.fit_model(sample))
+    return scored.select(
+        "doc_id", toxicity.held_out("doc_id").alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )

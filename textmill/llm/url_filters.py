@@ -46,15 +46,15 @@ def split_url(url: Column) -> tuple[Column, Column]:
     return F.translate(host, string.ascii_uppercase, string.ascii_lowercase), path
 
 
-def _suffixes(host: Column, most_labels: Column) -> Column:
+def _suffixes(host: Column, most_labels: int) -> Column:
     labels = F.split(host, "\\.")
     n = F.size(labels)
-    first = F.greatest(n - most_labels + 1, F.lit(1))
+    first = F.greatest(n - (most_labels - 1), F.lit(1))
     return F.transform(F.sequence(first, n), lambda i: F.array_join(F.slice(labels, i, n), "."))
 
 
-def _prefixes(path: Column, lengths: Column) -> Column:
-    fitting = F.filter(lengths, lambda k: k <= F.length(path))
+def _prefixes(path: Column, lengths: list[int]) -> Column:
+    fitting = F.filter(F.array(*map(F.lit, lengths)).cast("array<int>"), lambda k: k <= F.length(path))
     return F.transform(fitting, lambda k: F.substr(path, F.lit(1), k))
 
 
@@ -62,18 +62,16 @@ def expressions(urls: DataFrame, rules: DataFrame, url: str = "url") -> DataFram
     """One row per URL and expression: its digest and the digest's short prefix.
 
     Longer host suffixes than any rule has, and path prefixes of other lengths,
-    cannot equal a rule and are not made. The shape of the rules (one number and
-    one list of lengths, at most the longest path) is one row, joined to all.
+    cannot equal a rule and are not made. That shape of the rules is one number
+    and the distinct lengths of their paths, at most as many as the longest has characters.
     """
     shape = rules.agg(
-        F.coalesce(F.max(F.size(F.split("host", "\\."))), F.lit(0)).alias("_labels"),
-        F.collect_set(F.length("path")).alias("_lengths"),
-    )
+        F.coalesce(F.max(F.size(F.split("host", "\\."))), F.lit(1)), F.sort_array(F.collect_set(F.length("path")))
+    ).first()
     host, path = split_url(F.col(url))
     parts = urls.select(url, host.alias("_host"), path.alias("_path")).where("_host <> ''")
-    shaped = parts.join(F.broadcast(shape))
-    by_host = shaped.select(url, "_path", "_lengths", F.explode(_suffixes(F.col("_host"), F.col("_labels"))).alias("_h"))
-    by_path = by_host.select(url, "_h", F.explode(_prefixes(F.col("_path"), F.col("_lengths"))).alias("_p"))
+    by_host = parts.select(url, "_path", F.explode(_suffixes(F.col("_host"), shape[0])).alias("_h"))
+    by_path = by_host.select(url, "_h", F.explode(_prefixes(F.col("_path"), shape[1])).alias("_p"))
     digest = F.sha2(F.concat("_h", "_p"), 256)
     return by_path.select(url, digest.alias("_digest")).withColumn("_short", F.substring("_digest", 1, PREFIX_HEX))
 
