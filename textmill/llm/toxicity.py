@@ -37,7 +37,9 @@ LEAST_G = 24.0
 # A stem that toxic texts use again and again needs fewer of them.
 LEAST_G_REPEATED = 12.0
 REPEATED = 3
-LEAST_PRECISION = 0.7
+LEAST_PRECISION = 0.4
+# How much heavier a longer stem must be than a chosen stem it begins with.
+HEAVIER = 0.15
 THRESHOLD = 0.3
 
 # Fixed words of the grammar.
@@ -324,10 +326,10 @@ def fit_model(sample: DataFrame) -> ToxicityModel:
     for row in sorted(strong, key=lambda r: (int(r["stem"]) % (1 << 64)).bit_length()):
         code = int(row["stem"]) % (1 << 64)
         size = (code.bit_length() + 7) // 8
-        if any((code & _mask(s)) in chosen for s in STEM_BYTES if s < size):
-            continue
         odds = np.log((row["k"] + 0.5) / (row["n"] - row["k"] + 0.5)) - np.log(share / (1 - share))
-        chosen[code] = float(np.clip(odds / 6.0, 0.1, 1.0))
+        weight = float(np.clip(odds / 6.0, 0.1, 1.0))
+        if weight >= max((chosen.get(code & _mask(s), 0.0) for s in STEM_BYTES if s < size), default=0.0) + HEAVIER * (size > 4):
+            chosen[code] = weight
     model = ToxicityModel(base | chosen)
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
