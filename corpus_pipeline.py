@@ -1,13 +1,60 @@
-"""A training corpus from documents, in stages that each write Parquet."""
+"""A training corpus from documents, in stages that each write Parquet.
+
+Toxic documents go, one document of each near-duplicate group stays, documents
+with benchmark passages go, secrets are blanked out, and what is left is packed.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from textmill.llm import decontamination, near_dedup, packing, secrets, toxicity
 from textmill.session import materialize
 
-STAGES: list = []
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score below the threshold of a model learned from the labels."""
+    sample = toxicity.labelled_sample(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    model = toxicity.fit_model(sample)
+    scored = toxicity.score_texts(docs, model, out="_score")
+    return scored.where(F.col("_score") < toxicity.THRESHOLD).drop("_score")
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate class, the one with the smallest id."""
+    return near_dedup.keep_one(docs, materialize(near_dedup.near_classes(docs), "classes"))
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any benchmark passage."""
+    return decontamination.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def blank_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with every secret in their texts replaced by a marker."""
+    found = secrets.findings(docs, secrets.update_ledger(docs))
+    text = secrets.redact(F.col("text"), F.col("secret_spans"))
+    cleaned = found.withColumn("text", text).withColumn(
+        "n_chars", F.when(F.size("secret_spans") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    )
+    return cleaned.select(docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences of at most 2048 tokens."""
+    return packing.pack_documents(docs)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_dedup", drop_near_copies),
+    ("decontamination", drop_leaks),
+    ("secret_scans", blank_secrets),
+    ("packing", pack),
+]
+
+# Fitted models, signatures, embeddings and tokenizers are beyond SQL; the tests
+# follow the stages by brute force.
 ORACLE_SQL = None
 
 

@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from textmill.llm import fingerprints, near_dedup, packing, secrets, toxicity, url_filters
+from textmill.llm import (
+    decontamination,
+    fingerprints,
+    html_extraction,
+    lm_scoring,
+    near_dedup,
+    packing,
+    secrets,
+    token_counts,
+    toxicity,
+    url_filters,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -22,6 +33,15 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+# 1: token counts -------------------------------------------------------------
+
+
+@query
+def op1_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """The histogram of encoded lengths of all documents."""
+    return token_counts.length_histogram(token_counts.with_token_count(table(spark, sf, "documents").select("text")))
+
+
 # 2: document fingerprints ---------------------------------------------------
 
 
@@ -74,6 +94,16 @@ SELECT doc_id, len(a)::BIGINT AS n_assign, len(k)::BIGINT AS n_access, len(h)::B
 """
 
 
+# 4: benchmark decontamination -------------------------------------------------
+
+
+@query
+def op4_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    """Every benchmark item found in every document."""
+    documents = table(spark, sf, "documents").select("doc_id", "text")
+    return decontamination.find_leaks(documents, table(spark, sf, "benchmark"))
+
+
 # 5: near-deduplication ------------------------------------------------------
 
 
@@ -84,6 +114,18 @@ def op5_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return classes.select(F.col("id").alias("doc_id"), "class_id")
 
 
+# 6: LM scoring ---------------------------------------------------------------
+
+
+@query
+def op6_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    """The stupid-backoff score of every document, counted over all documents."""
+    scored = lm_scoring.score_corpus(table(spark, sf, "documents").select("doc_id", "text"))
+    return scored.select(
+        F.col("id").alias("doc_id"), "n_words", F.round("score", 6).alias("score"), F.round("per_word", 9).alias("per_word")
+    )
+
+
 # 7: URL filters ------------------------------------------------------------
 
 URL_RULES = [
@@ -128,6 +170,17 @@ def op8_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf, "documents").select("doc_id", "text"))
 
 
+# 9: HTML extraction ----------------------------------------------------------
+
+
+@query
+def op9_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    """The main text of every page."""
+    pages = table(spark, sf, "pages").select("page_id", "url", "html")
+    extracted = html_extraction.extract_text(pages, html_extraction.fit_labeller(pages)).drop("html")
+    return extracted.withColumn("n_chars", F.length("text").cast("long"))
+
+
 # 10: toxicity --------------------------------------------------------------
 
 
