@@ -29,16 +29,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from textmill.llm.near_dedup import weighted
 from textmill.llm.rows import whole_text
-from textmill.llm.text_arrays import buffers, mix, slices, word_hashes, words
+from textmill.llm.text_arrays import buffers, grouped, mix, slices, word_hashes, words
 from textmill.session import materialize
 
 ALPHA = 0.4
-HOT = 200_000
-SAMPLE = 32
+HOT = 2_000_000
+SAMPLE = 16
 
 _LEFT, _RIGHT = np.uint64(0xD1342543DE82EF95), np.uint64(0xAF251AF3B0F025B5)
 _ONE = np.uint64(0x9E3779B97F4A7C15)
@@ -62,19 +61,22 @@ def document_grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     unigram, bigram, more, doc = word_grams(texts)
     if not len(doc):
         return unigram, doc, doc, doc
-    key, owner, uses = weighted(np.concatenate([unigram, bigram[more]]), np.concatenate([doc, doc[more]]))
-    # Words' coefficients: +1 for a text's first word, -1 wherever it is a context.
-    first = np.append(True, doc[1:] != doc[:-1])
-    order = np.lexsort((unigram, doc))
-    head = np.flatnonzero(
-        np.append(True, (unigram[order][1:] != unigram[order][:-1]) | (doc[order][1:] != doc[order][:-1]))
-    )
-    of_word = np.add.reduceat((first.astype(np.int64) - more)[order], head)
-    pairs = np.rec.fromarrays([owner, key], names="doc,key")
-    at = np.searchsorted(pairs, np.rec.fromarrays([doc[order][head], unigram[order][head]], names="doc,key"))
-    coefficient = uses.copy()
-    coefficient[at] = of_word
-    return key, owner, uses, coefficient
+    key, owner = np.concatenate([unigram, bigram[more]]), np.concatenate([doc, doc[more]])
+    # A bigram counts for itself; a word for a text's beginning, and against wherever it is a context.
+    first = np.append(True, doc[1:] != doc[:-1]).astype(np.int64)
+    value = np.concatenate([first - more, np.ones(int(more.sum()), np.int64)])
+    order, head = grouped(key, owner)
+    at = order[head]
+    return key[at], owner[at], np.diff(np.append(head, len(key))), np.add.reduceat(value[order], head)
+
+
+def uses_of() -> Column:
+    """The uses in ``both``; a coefficient is below 2^31 in size, so rounding gives them back."""
+    return F.shiftright(F.col("both") + F.lit(1 << 31), 32)
+
+
+def coefficient_of() -> Column:
+    return F.col("both") - F.shiftleft(uses_of(), 32)
 
 
 def document_rows(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -93,8 +95,10 @@ def document_rows(df: DataFrame, id_col: str = "doc_id", text: str = "text") ->
 
 
 def gram_rows(df: DataFrame, id_col: str = "doc_id", text: str = "text", share: int = 1) -> DataFrame:
-    """(doc, gram, uses, coefficient), one row per distinct n-gram of each document.
+    """(doc, gram, both), one row per distinct n-gram of each document.
 
+    ``both`` holds uses and coefficient side by side (see uses_of and coefficient_of),
+    so that counts and scores read the very same columns of one exchange.
     ``share`` above 1 takes only the documents whose hash it divides.
     """
 
@@ -107,32 +111,31 @@ def gram_rows(df: DataFrame, id_col: str = "doc_id", text: str = "text", share:
                     [
                         pa.array(docs[a:b][owner], pa.int64()),
                         pa.array(key.view(np.int64)),
-                        pa.array(uses, pa.int64()),
-                        pa.array(coefficient, pa.int64()),
+                        pa.array((uses << 32) + coefficient),
                     ],
-                    ["doc", "gram", "uses", "coefficient"],
+                    ["doc", "gram", "both"],
                 )
 
     named = df.select(F.xxhash64(F.col(id_col), whole_text(text)).alias("doc"), whole_text(text).alias("_text"))
     if share > 1:
         named = named.where(F.pmod("doc", F.lit(share)) == 0)
-    return named.mapInArrow(exploded, "doc long, gram long, uses long, coefficient long")
+    return named.mapInArrow(exploded, "doc long, gram long, both long")
 
 
 def count_table(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(gram, c): how often every unigram and bigram is used in all documents."""
-    return gram_rows(df, id_col, text).groupBy("gram").agg(F.sum("uses").alias("c"))
+    return gram_rows(df, id_col, text).groupBy("gram").agg(F.sum(uses_of()).alias("c"))
 
 
 def hot_counts(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """Exact counts of the n-grams that a sample shows to be frequent; at most HOT rows."""
     sampled = materialize(
-        gram_rows(df, id_col, text, SAMPLE).groupBy("gram").agg(F.sum("uses").alias("c")).where("c > 1"), "sampled"
+        gram_rows(df, id_col, text, SAMPLE).groupBy("gram").agg(F.sum(uses_of()).alias("c")).where("c > 1"), "sampled"
     )
     uses = sampled.agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
     # No more than HOT n-grams can each hold a HOT-th of the uses.
     hot = materialize(sampled.where(F.col("c") * HOT >= uses).select("gram"), "hot")
-    counts = gram_rows(df, id_col, text).join(F.broadcast(hot), "gram").groupBy("gram").agg(F.sum("uses").alias("c"))
+    counts = gram_rows(df, id_col, text).join(F.broadcast(hot), "gram").groupBy("gram").agg(F.sum(uses_of()).alias("c"))
     return materialize(counts, "hot_counts")
 
 
@@ -148,14 +151,15 @@ def score_corpus(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> D
     rows = gram_rows(df, id_col, text)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     cold = rows.join(F.broadcast(hot.select("gram")), "gram", "left_anti").repartition(parts, "gram")
-    # All columns of the exchange are used on both sides, so both read the same one.
-    table = cold.groupBy("gram").agg(F.sum("uses").alias("c"), F.count("doc").alias("df"), F.max("coefficient").alias("_k"))
+    # Both sides use all columns of the exchange (df is the number of documents), so both read the same one.
+    table = cold.groupBy("gram").agg(F.sum(uses_of()).alias("c"), F.count("doc").alias("df"))
 
     def summed(joined: DataFrame) -> DataFrame:
-        return joined.groupBy("doc").agg(F.sum(F.col("coefficient") * F.log("c")).alias("part"))
+        return joined.groupBy("doc").agg(F.sum(coefficient_of() * F.log("c")).alias("part"))
 
     frequent = summed(rows.join(F.broadcast(hot), "gram"))
-    rare = summed(cold.join(table.where("df > 0"), "gram"))
+    # Not broadcast: a small table would be, and the rows counted twice.
+    rare = summed(cold.join(table.where("df > 0").hint("merge"), "gram"))
     parts_of = materialize(rare, "rare").unionByName(materialize(frequent, "frequent"))
     sums = parts_of.groupBy("doc").agg(F.sum("part").alias("sum"))
     return _finished(documents, sums, total)

@@ -8,11 +8,11 @@ agree on a register with the probability Jaccard similarity J_P of their
 weighted shingles (plain Jaccard when no shingle repeats).
 
 Registers form bands. In every bucket of a band each member is verified against
-one head, not against all others. 1 - J_P is a metric, so these exact
-similarities also settle most other pairs of the bucket: members of one class
-need no check, and pairs whose distances to the head differ by more than the
-threshold allows cannot be links. Only what is left, pairs of different classes
-that may still be close, is verified as well. Classes are the connected
+one head, the text that most of them are copies of, not against all others.
+Members of one class then need no further check, and exact bounds (the distances
+to the head, as 1 - J_P is a metric, and the weight of shingles that only one
+text has) rule most other pairs out. Only what is left, pairs of different
+classes that may still be close, is verified as well. Classes are the connected
 components of all verified links; equal texts are one node from the start.
 
 Defined results
@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from textmill.llm.rows import left_lookup, whole_text
-from textmill.llm.text_arrays import SHINGLE, mix, slices, text_shingles
+from textmill.llm.text_arrays import SHINGLE, grouped, mix, slices, text_shingles
 from textmill.operators.dedup import cluster_components
 from textmill.session import materialize
 
@@ -47,12 +47,9 @@ SHARES = 64
 
 def weighted(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct shingles per text, ordered by text and hash: hash, text number, count."""
-    if not len(key):
-        return key, doc, np.empty(0, np.int64)
-    order = np.lexsort((key, doc))
-    key, doc = key[order], doc[order]
-    head = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])))
-    return key[head], doc[head], np.diff(np.append(head, len(key)))
+    order, head = grouped(key, doc)
+    first = order[head]
+    return key[first], doc[first], np.diff(np.append(head, len(key)))
 
 
 def prob_minhash(key: np.ndarray, doc: np.ndarray, weight: np.ndarray, n_docs: int, registers: int) -> np.ndarray:
@@ -178,18 +175,52 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def bucket_members(nodes: DataFrame) -> DataFrame:
-    """(band, node, head) for buckets of two or more nodes; the head is the smallest node."""
+    """(band, node, head) for buckets of two or more nodes.
+
+    The head is the member whose own buckets are the fullest, which is the text
+    that most others are copies of; of equals the largest node.
+    """
     exploded = nodes.select("node", F.explode("bands").alias("band"))
-    heads = exploded.groupBy("band").agg(F.min("node").alias("head"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
-    return left_lookup(exploded, heads, ["band"], F.col("node")).where(F.col("head").isNotNull())
+    sizes = exploded.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    full = materialize(left_lookup(exploded, sizes, ["band"], F.col("node")).where("n > 1"), "full")
+    ranked = full.join(full.groupBy("node").agg(F.sum("n").alias("rank")), "node").select("band", "node", "rank")
+    heads = ranked.groupBy("band").agg(F.max(F.struct("rank", "node")).alias("_h")).select("band", F.col("_h.node").alias("head"))
+    return left_lookup(full.select("band", "node"), heads, ["band"], F.col("node"))
 
 
-def open_pairs(members: DataFrame, sims: DataFrame, labels: DataFrame, threshold: float) -> DataFrame:
-    """Pairs of one bucket, of different classes, that the distances to the head do not rule out.
+def masses(texts: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """Per text (node) its weight in shingles that other texts have too and in its own.
 
-    Within a bucket the members of one class that lie equally far from the head
-    are still told apart: only pairs known not to be links are left out.
+    own, common: weight of shingles no other text has, and of the others;
+    kinds: number of different common shingles; extra: weight beyond one per shingle.
     """
+
+    def exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, last in slices(batch.column("text"), 1 << 20):
+                key, doc, weight = weighted(*text_shingles(batch.column("text").slice(first, last - first), size))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("node").slice(first, last - first).take(pa.array(doc)), pa.array(key.view(np.int64)), pa.array(weight)],
+                    ["node", "key", "weight"],
+                )
+
+    rows = texts.select("node", "text").mapInArrow(exploded, "node binary, key long, weight long")
+    common = rows.groupBy("key").agg(F.count("*").alias("_n")).where("_n > 1").select("key", F.lit(1).alias("_c"))
+    shared = F.col("_c").isNotNull()
+    return (
+        rows.join(common, "key", "left")
+        .groupBy("node")
+        .agg(
+            F.sum(F.when(shared, 0).otherwise(F.col("weight"))).alias("own"),
+            F.sum(F.when(shared, F.col("weight")).otherwise(0)).alias("common"),
+            F.count("_c").alias("kinds"),
+            F.sum(F.col("weight") - 1).alias("extra"),
+        )
+    )
+
+
+def open_members(members: DataFrame, sims: DataFrame, labels: DataFrame) -> DataFrame:
+    """(band, node, label, far) of buckets with more than one class; far is the distance to the head."""
     to_head = sims.select(F.col("a").alias("head"), F.col("b").alias("node"), "sim")
     known = (
         members.join(to_head, ["head", "node"], "left")
@@ -197,12 +228,32 @@ def open_pairs(members: DataFrame, sims: DataFrame, labels: DataFrame, threshold
         .select("band", "node", F.coalesce("label", "node").alias("label"), (1 - F.coalesce("sim", F.lit(1.0))).alias("far"))
     )
     mixed = known.groupBy("band").agg(F.min("label").alias("_low"), F.max("label").alias("_high")).where("_low < _high")
-    # A member whose distance to the head is beyond any other's reach drops out by the same rule below.
-    parts = materialize(known.join(mixed.select("band"), "band", "left_semi").where("far < 1"), "mixed")
-    other = parts.select("band", F.col("node").alias("b"), F.col("label").alias("_label"), F.col("far").alias("_far"))
-    near = (F.abs(F.col("far") - F.col("_far")) <= 1 - threshold + 1e-9) & (F.col("far") > 0) & (F.col("_far") > 0)
-    met = parts.join(other, "band").where((F.col("label") < F.col("_label")) & near)
-    return met.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")).distinct()
+    # Pairs with the head (far = 0) are settled; a text that shares nothing with it settles nothing.
+    return known.join(mixed.select("band"), "band", "left_semi").where("far > 0")
+
+
+def open_pairs(parts: DataFrame, mass: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of one bucket and of different classes that no bound rules out as links.
+
+    Two bounds, both exact. The distances to the head may not differ by more
+    than 1 - threshold. And with own weight p and common weight g on each side
+    J_P is at most 1 / (1 + p/g + p'/g'), where common weight that the other
+    side cannot match (it has fewer kinds) counts as own.
+    """
+    edge = 1 / threshold
+    sized = parts.join(mass, "node").where((F.col("common") > 0) & (1 + F.col("own") / F.col("common") <= edge + 1e-9))
+    names = ["node", "label", "far", "own", "common", "kinds", "extra"]
+    left = sized.select("band", *[F.col(c).alias(f"a_{c}") for c in names])
+    right = sized.select("band", *[F.col(c).alias(f"b_{c}") for c in names])
+
+    def excess(x: str, y: str) -> Column:
+        missing = F.greatest(F.col(f"{x}_common") - F.col(f"{y}_kinds") - F.col(f"{x}_extra"), F.lit(0))
+        return (F.col(f"{x}_own") + missing) / F.greatest(F.col(f"{x}_common") - missing, F.lit(1e-9))
+
+    near = F.abs(F.col("a_far") - F.col("b_far")) <= 1 - threshold + 1e-9
+    possible = 1 + excess("a", "b") + excess("b", "a") <= edge + 1e-9
+    met = left.join(right, (left["band"] == right["band"]) & (F.col("a_label") < F.col("b_label")) & near & possible)
+    return met.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct()
 
 
 def near_classes(
@@ -217,20 +268,19 @@ def near_classes(
     )
     members = materialize(bucket_members(nodes), "buckets")
 
-    def check(pairs: DataFrame, label: str) -> DataFrame:
-        ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-        texts = materialize(node_texts(df, nodes.join(ends, "node", "left_semi"), id_col, text), "texts")
-        return materialize(verified(pairs, texts), label)
-
     stars = materialize(
         members.where("head <> node").select(F.col("head").alias("a"), F.col("node").alias("b")).distinct(), "stars"
     )
-    sims = check(stars, "sims")
+    ends = stars.select(F.col("a").alias("node")).union(stars.select(F.col("b").alias("node")))
+    texts = materialize(node_texts(df, nodes.join(ends, "node", "left_semi"), id_col, text), "texts")
+    sims = materialize(verified(stars, texts), "sims")
     links = sims.where(F.col("sim") >= threshold).select(F.col("a").alias("src"), F.col("b").alias("dst"))
     labels = cluster_components(links)
-    left = materialize(open_pairs(members, sims, labels, threshold), "open")
+    parts = materialize(open_members(members, sims, labels), "mixed")
+    held = texts.join(parts.select("node"), "node", "left_semi")
+    left = materialize(open_pairs(parts, masses(held), threshold), "open")
     if not left.isEmpty():
-        more = check(left, "more").where(F.col("sim") >= threshold)
+        more = verified(left, texts).where(F.col("sim") >= threshold)
         labels = cluster_components(links.union(more.select(F.col("a").alias("src"), F.col("b").alias("dst"))))
     # Only nodes with a copy or a link can have a class id other than the row's own.
     grouped = nodes.select("node", "id", "n").join(

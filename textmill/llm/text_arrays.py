@@ -123,6 +123,24 @@ def shingles(
     return key[order], owner[order]
 
 
+def grouped(key: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order by text and hash, and where each run of equal (text, hash) begins in it."""
+    if not len(key):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    order = None
+    if doc.max() < 4096:
+        # Text number and the upper 52 bits of the hash in one word sort several times faster.
+        packed = (doc.astype(np.uint64) << np.uint64(52)) | (key >> np.uint64(12))
+        order = np.argsort(packed)
+        k, p = key[order], packed[order]
+        if ((p[1:] == p[:-1]) & (k[1:] != k[:-1])).any():
+            order = None
+    if order is None:
+        order = np.lexsort((key, doc))
+    k, d = key[order], doc[order]
+    return order, np.flatnonzero(np.append(True, (k[1:] != k[:-1]) | (d[1:] != d[:-1])))
+
+
 def text_shingles(texts: pa.Array, size: int = SHINGLE, prefixes: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Shingle hashes of a string array and the row each belongs to."""
     data, offsets = buffers(texts)
