@@ -311,6 +311,7 @@ def test_classes_against_all_pairs(spark, none):
     # A chain: neighbours are near, the ends are not.
     chain = prose(300, 200).split()
     rows += [(2000 + k, " ".join(chain[6 * k : 6 * k + 120])) for k in range(12)]
+    rows += [(None, prose(2, 80)), (1000, edited(prose(100, 120), 0, 0)), (None, "alone and without id")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     got = near_dedup.near_classes(df).collect()
     assert len(got) == len(rows)
@@ -336,6 +337,8 @@ def test_classes_against_all_pairs(spark, none):
     kept = near_dedup.keep_one(df, classes).collect()
     with_id = [v for v in smallest.values() if v is not None]
     assert Counter(r["doc_id"] for r in kept if r["doc_id"] is not None) == Counter(with_id)
+    # Without any id in a class, one row of each text stays.
+    assert Counter(r["text"] for r in kept if r["doc_id"] is None) == {prose(4, 30): 1, "alone and without id": 1}
     assert near_dedup.near_classes(none).count() == 0
 
 

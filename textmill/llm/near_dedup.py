@@ -40,6 +40,7 @@ BANDS = 24
 ROWS = 5
 THRESHOLD = 0.8
 SHARES = 64
+PARTS = 64
 
 
 # Signatures ------------------------------------------------------------------
@@ -192,7 +193,7 @@ def masses(texts: DataFrame, size: int = SHINGLE) -> DataFrame:
     """Per text (node) its weight in shingles that other texts have too and in its own.
 
     own, common: weight of shingles no other text has, and of the others;
-    kinds: number of different common shingles; extra: weight beyond one per shingle.
+    kinds: number of different common shingles; parts: the same by PARTS classes of their hash.
     """
 
     def exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,7 +215,7 @@ def masses(texts: DataFrame, size: int = SHINGLE) -> DataFrame:
             F.sum(F.when(shared, 0).otherwise(F.col("weight"))).alias("own"),
             F.sum(F.when(shared, F.col("weight")).otherwise(0)).alias("common"),
             F.count("_c").alias("kinds"),
-            F.sum(F.col("weight") - 1).alias("extra"),
+            F.array(*[F.count(F.when(F.pmod("key", F.lit(PARTS)) == i, F.col("_c"))) for i in range(PARTS)]).alias("parts"),
         )
     )
 
@@ -232,28 +233,41 @@ def open_members(members: DataFrame, sims: DataFrame, labels: DataFrame) -> Data
     return known.join(mixed.select("band"), "band", "left_semi").where("far > 0")
 
 
-def open_pairs(parts: DataFrame, mass: DataFrame, threshold: float) -> DataFrame:
+def open_pairs(members: DataFrame, mass: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
     """Pairs of one bucket and of different classes that no bound rules out as links.
 
     Two bounds, both exact. The distances to the head may not differ by more
     than 1 - threshold. And with own weight p and common weight g on each side
-    J_P is at most 1 / (1 + p/g + p'/g'), where common weight that the other
-    side cannot match (it has fewer kinds) counts as own.
+    J_P is at most 1 / (1 + p/g + p'/g'), where common weight that the other side
+    cannot match counts as own: of the common shingles in a class of hashes, at
+    least as many as one side has more than the other.
     """
     edge = 1 / threshold
-    sized = parts.join(mass, "node").where((F.col("common") > 0) & (1 + F.col("own") / F.col("common") <= edge + 1e-9))
-    names = ["node", "label", "far", "own", "common", "kinds", "extra"]
+    alive = mass.where((F.col("common") > 0) & (1 + F.col("own") / F.col("common") <= edge + 1e-9))
+    sized = members.join(alive.join(nodes.select("node", "bands"), "node"), "node")
+    names = ["node", "label", "far", "own", "common", "kinds", "parts", "bands"]
     left = sized.select("band", *[F.col(c).alias(f"a_{c}") for c in names])
     right = sized.select("band", *[F.col(c).alias(f"b_{c}") for c in names])
 
-    def excess(x: str, y: str) -> Column:
-        missing = F.greatest(F.col(f"{x}_common") - F.col(f"{y}_kinds") - F.col(f"{x}_extra"), F.lit(0))
+    def share(x: str, missing: Column) -> Column:
         return (F.col(f"{x}_own") + missing) / F.greatest(F.col(f"{x}_common") - missing, F.lit(1e-9))
 
+    def by_total(x: str, y: str) -> Column:
+        return share(x, F.greatest(F.col(f"{x}_kinds") - F.col(f"{y}_kinds"), F.lit(0)))
+
+    def by_parts(x: str, y: str) -> Column:
+        more = F.zip_with(f"{x}_parts", f"{y}_parts", lambda m, n: F.greatest(m - n, F.lit(0)))
+        return share(x, F.aggregate(more, F.lit(0).cast("long"), lambda total, m: total + m))
+
     near = F.abs(F.col("a_far") - F.col("b_far")) <= 1 - threshold + 1e-9
-    possible = 1 + excess("a", "b") + excess("b", "a") <= edge + 1e-9
-    met = left.join(right, (left["band"] == right["band"]) & (F.col("a_label") < F.col("b_label")) & near & possible)
-    return met.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b")).distinct()
+    # The cheap bound first, which spares most pairs the dear one.
+    possible = (1 + by_total("a", "b") + by_total("b", "a") <= edge + 1e-9) & (
+        1 + by_parts("a", "b") + by_parts("b", "a") <= edge + 1e-9
+    )
+    # A pair is made in the first bucket it shares, where a head's pairs are settled already.
+    once = left["band"] == F.array_min(F.array_intersect("a_bands", "b_bands"))
+    met = left.join(right, (left["band"] == right["band"]) & (F.col("a_label") < F.col("b_label")) & near & possible & once)
+    return met.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b"))
 
 
 def near_classes(
@@ -278,7 +292,7 @@ def near_classes(
     labels = cluster_components(links)
     parts = materialize(open_members(members, sims, labels), "mixed")
     held = texts.join(parts.select("node"), "node", "left_semi")
-    left = materialize(open_pairs(parts, masses(held), threshold), "open")
+    left = materialize(open_pairs(parts, masses(held), nodes, threshold), "open")
     if not left.isEmpty():
         more = verified(left, texts).where(F.col("sim") >= threshold)
         labels = cluster_components(links.union(more.select(F.col("a").alias("src"), F.col("b").alias("dst"))))
@@ -304,9 +318,8 @@ def keep_one(df: DataFrame, classes: DataFrame, id_col: str = "doc_id", text: st
     key = ["_id", "_node"]
     rows = df.withColumns({"_id": F.col(id_col), "_node": digest(whole_text(text))})
     known = classes.select(F.col("id").alias("_id"), F.col("node").alias("_node"), "class_id")
-    # A class keeps its smallest (id, node); the same id may hold several texts of one class.
-    stays = known.groupBy("class_id").agg(F.min(F.struct("_id", "_node")).alias("_s"))
-    stays = stays.where("class_id is not null").select("_s._id", "_s._node")
+    # A class keeps its smallest id; of several texts of the class with that id the smallest node.
+    stays = known.where("_id = class_id").groupBy(F.col("class_id").alias("_id")).agg(F.min("_node").alias("_node"))
     counted = known.groupBy(*key).agg(F.count("*").alias("_n"), F.max("class_id").alias("_class"))
     kept_key = stays.withColumn("_stays", F.lit(True))
     judged = counted.join(
@@ -318,6 +331,9 @@ def keep_one(df: DataFrame, classes: DataFrame, id_col: str = "doc_id", text: st
         t = table.select(F.col("_id").alias("_i"), F.col("_node").alias("_d"))
         return side.join(t, side["_id"].eqNullSafe(t["_i"]) & (side["_node"] == t["_d"]), how)
 
-    plain = matched(rows, special, "left_anti")
-    repeated = matched(rows, special.where("_stays"), "left_semi").dropDuplicates(key)
-    return plain.unionByName(repeated).drop(*key)
+    kept = matched(rows, special, "left_anti")
+    repeated = special.where("_stays")
+    if not repeated.isEmpty():
+        # Rows equal in id and text, which are rare: only these pay for a second pass.
+        kept = kept.unionByName(matched(rows, repeated, "left_semi").dropDuplicates(key))
+    return kept.drop(*key)
