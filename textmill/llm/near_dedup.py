@@ -260,13 +260,14 @@ def open_pairs(members: DataFrame, mass: DataFrame, nodes: DataFrame, threshold:
         return share(x, F.aggregate(more, F.lit(0).cast("long"), lambda total, m: total + m))
 
     near = F.abs(F.col("a_far") - F.col("b_far")) <= 1 - threshold + 1e-9
-    # The cheap bound first, which spares most pairs the dear one.
-    possible = (1 + by_total("a", "b") + by_total("b", "a") <= edge + 1e-9) & (
-        1 + by_parts("a", "b") + by_parts("b", "a") <= edge + 1e-9
-    )
     # A pair is made in the first bucket it shares, where a head's pairs are settled already.
     once = left["band"] == F.array_min(F.array_intersect("a_bands", "b_bands"))
-    met = left.join(right, (left["band"] == right["band"]) & (F.col("a_label") < F.col("b_label")) & near & possible & once)
+    # In order of cost: each test spares most pairs the next one.
+    cheap = 1 + by_total("a", "b") + by_total("b", "a") <= edge + 1e-9
+    dear = 1 + by_parts("a", "b") + by_parts("b", "a") <= edge + 1e-9
+    met = left.join(
+        right, (left["band"] == right["band"]) & (F.col("a_label") < F.col("b_label")) & near & cheap & once & dear
+    )
     return met.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b"))
 
 
