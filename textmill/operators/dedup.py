@@ -9,12 +9,12 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, LongType
 
 from textmill.functions.arrays import explode_once, let
 from textmill.functions.text import words
-from textmill.operators.skew import HOT_ROWS, hot_keys, keep_smallest, salted_join
+from textmill.operators.skew import hot_keys, salted_join
 from textmill.session import materialize
 
 NUM_BUCKETS = 14
@@ -25,19 +25,35 @@ PRIME_31 = 2**31 - 1
 _MASK = 2**64 - 1
 
 
-def exact_duplicate_ids(df: DataFrame, id_col: str = "id", text: str = "text") -> DataFrame:
-    """Ids of all but the smallest id of every distinct text; only ids and digests travel."""
-    digests = df.select(id_col, F.sha2(text, 256).alias("_digest"))
-    return digests.join(keep_smallest(digests, ["_digest"], id_col).select(id_col), id_col, "left_anti").select(id_col)
+ROW_KEY = "_key"
+
+
+def keyed_rows(df: DataFrame, id_col: str = "id") -> DataFrame:
+    """The rows written once, each with a key of its own: its id and a row number.
+
+    Ids may repeat (parts of a document, injected copies); keys do not, and they
+    order rows by id first. The written copy keeps the numbers stable and is
+    what every later step reads, so the plan above runs once.
+    """
+    numbered = materialize(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
+    return numbered.withColumn(ROW_KEY, F.struct(F.col(id_col).alias("id"), F.col("_row").alias("row"))).drop("_row")
+
+
+def exact_duplicate_keys(digests: DataFrame, key: str = ROW_KEY) -> DataFrame:
+    """Keys of all but the smallest key of every ``_digest``; only keys and digests travel."""
+    winners = digests.groupBy("_digest").agg(F.min(key).alias(key)).select(key)
+    return digests.select(key).join(winners, key, "left_anti")
 
 
 def exact_dedup(df: DataFrame, id_col: str = "id", text: str = "text") -> DataFrame:
-    """One row per distinct text, the smallest id.
+    """One row per distinct text, the one with the smallest id (any one of several equal rows).
 
-    Rows are matched against the ids to drop, which are few in most corpora;
+    Rows are matched against the keys to drop, which are few in most corpora;
     adaptive execution can then broadcast them and leave the texts in place.
     """
-    return df.join(exact_duplicate_ids(df, id_col, text), id_col, "left_anti")
+    rows = keyed_rows(df, id_col)
+    copies = exact_duplicate_keys(rows.select(ROW_KEY, F.sha2(text, 256).alias("_digest")))
+    return rows.join(copies, ROW_KEY, "left_anti").drop(ROW_KEY)
 
 
 def hash_coefficients(count: int, precision: int, seed: int = 1) -> list[tuple[int, int]]:
@@ -139,24 +155,19 @@ def star_edges(
 ) -> DataFrame:
     """Edges (src, dst) that connect all ids sharing a key; dst is the smaller id.
 
-    First inside a salted share of the key, then between the heads of the
-    shares (at most BUCKET_SALTS per key): never all pairs, never one big group.
+    Each id is linked to the head of its salted share of the key, each head to
+    the key's smallest id. Heads come from map-side combined minima, so no task
+    holds all ids of a key, and never are all pairs made.
     """
     if salt is None:
         salt = F.pmod(F.xxhash64(id_col), F.lit(BUCKET_SALTS))
     salted = members.withColumn("_salt", salt)
-    share = Window.partitionBy(*keys, "_salt")
-    salted = salted.withColumn("_head", F.min(id_col).over(share))
-    inner = salted.where(F.col(id_col) != F.col("_head")).select(
+    heads = salted.groupBy(*keys, "_salt").agg(F.min(id_col).alias("_head"))
+    tops = heads.groupBy(*keys).agg(F.min("_head").alias("_top"))
+    inner = salted.join(heads, [*keys, "_salt"]).where(F.col(id_col) != F.col("_head")).select(
         F.col(id_col).alias("src"), F.col("_head").alias("dst")
     )
-    heads = salted.where(F.col(id_col) == F.col("_head"))
-    top = F.min(id_col).over(Window.partitionBy(*keys))
-    outer = (
-        heads.withColumn("_top", top)
-        .where(F.col(id_col) != F.col("_top"))
-        .select(F.col(id_col).alias("src"), F.col("_top").alias("dst"))
-    )
+    outer = heads.join(tops, keys).where("_head <> _top").select(F.col("_head").alias("src"), F.col("_top").alias("dst"))
     return inner.union(outer).distinct()
 
 
@@ -175,35 +186,26 @@ def minhash_buckets(
     return star_edges(members, ["band", "hi", "lo"], id_col, salt)
 
 
-def cluster_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
+def cluster_components(edges: DataFrame) -> DataFrame:
     """Connected components as (id, cluster_id), cluster_id being the smallest id.
 
     Each round takes the smallest label of the neighbours, hooks it to the
     current parent as well, and halves the paths; every round is written out,
-    and the loop ends when no label changes. Joins on hubs are salted.
+    and the loop ends when no label changes (labels only fall, so it ends).
+    The joins have one row per id on one side; the rows of a hub on the other
+    are split by adaptive execution, and minima are combined before they travel.
     """
     ways = F.array(F.struct("src", "dst"), F.struct(F.col("dst").alias("src"), F.col("src").alias("dst")))
     both = edges.where("src <> dst").select(F.explode(ways).alias("e")).select("e.src", "e.dst")
     both = materialize(both.distinct(), "edges")
-    # Neither edges nor labels can hold a hot key while there are fewer edges than make one.
-    large = both.count() > HOT_ROWS
-    hubs = materialize(hot_keys(both, ["dst"]), "hubs") if large else None
-
-    def join(big: DataFrame, table: DataFrame, key: str, spread: str, hot: DataFrame | None = None) -> DataFrame:
-        return salted_join(big, table, [key], [spread], hot=hot) if large else big.join(table, key)
-
     labels = materialize(
         both.groupBy("src").agg(F.min("dst").alias("_m"))
         .select(F.col("src").alias("id"), F.least("src", "_m").alias("f")),
         "labels",
     )
-    for _ in range(max_rounds):
+    while True:
         of_neighbour = labels.select(F.col("id").alias("dst"), "f")
-        nearest = (
-            join(both, of_neighbour, "dst", "src", hubs)
-            .groupBy("src")
-            .agg(F.min("f").alias("m"))
-        )
+        nearest = both.join(of_neighbour, "dst").groupBy("src").agg(F.min("f").alias("m"))
         known = labels.join(nearest, labels["id"] == nearest["src"]).select("id", "f", "m")
         offers = known.select(
             F.explode(
@@ -215,14 +217,12 @@ def cluster_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
         )
         hooked = materialize(offers.groupBy("o.id").agg(F.min("o.f").alias("f")), "hooked")
         parents = hooked.select(F.col("id").alias("f"), F.col("f").alias("g"))
-        halved = join(hooked, parents, "f", "id")
-        compared = halved.join(labels.select("id", F.col("f").alias("_old")), "id").select(
+        compared = hooked.join(parents, "f").join(labels.select("id", F.col("f").alias("_old")), "id").select(
             "id", F.col("g").alias("f"), (F.col("g") != F.col("_old")).alias("moved")
         )
         labels = materialize(compared, "labels")
         if labels.where("moved").isEmpty():
             return labels.select("id", F.col("f").alias("cluster_id"))
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")
 
 
 def removable(clusters: DataFrame, id_col: str = "id") -> DataFrame:
@@ -231,7 +231,10 @@ def removable(clusters: DataFrame, id_col: str = "id") -> DataFrame:
 
 
 def minhash_filter(df: DataFrame, clusters: DataFrame, id_col: str = "id") -> tuple[DataFrame, DataFrame]:
-    """Kept rows (one per cluster, all unclustered ones) and removed rows."""
+    """Kept rows (one per cluster, all unclustered ones) and removed rows.
+
+    ``id_col`` must tell rows apart; with repeated ids use keyed_rows and its key.
+    """
     gone = removable(clusters, id_col)
     return df.join(gone, id_col, "left_anti"), df.join(gone, id_col, "left_semi")
 

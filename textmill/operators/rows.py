@@ -113,15 +113,17 @@ def split_rows(df: DataFrame, text: str = "text", separator: str = "\n") -> Data
 
 
 def combine_rows(
-    df: DataFrame, id_col: str, idx: str, separator: str, text: str = "text"
+    df: DataFrame, id_col: str | list[str], idx: str, separator: str, text: str = "text"
 ) -> DataFrame:
-    """Join the parts of every id in index order; other columns come from the first part.
+    """Join the parts of every document in index order; other columns come from the first part.
 
-    A group is one output document, so its size is that of a single row.
+    ``id_col`` names what tells documents apart, several columns if the id alone
+    does not. A group is one output document, so its size is that of a single row.
     """
+    keys = [id_col] if isinstance(id_col, str) else list(id_col)
     parts = F.array_sort(F.collect_list(F.struct(F.col(idx).alias("i"), F.col(text).alias("t"))))
     joined = F.array_join(F.transform(parts, lambda x: x["t"]), separator)
-    others = [c for c in df.columns if c not in (id_col, idx, text)]
-    return df.groupBy(id_col).agg(
+    others = [c for c in df.columns if c not in (*keys, idx, text)]
+    return df.groupBy(*keys).agg(
         joined.alias(text), *[F.min_by(c, idx).alias(c) for c in others]
     )

@@ -5,22 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 
-MAX_BROADCAST_ROWS = 1_000_000
-MAX_HOT_KEYS = 1_000
 HOT_ROWS = 1_000_000
-SALTS = 64
 
 
 def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The most frequent keys, at most MAX_HOT_KEYS rows; any further key is below their size."""
-    return (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > hot_rows)
-        .orderBy(F.desc("_n"))
-        .limit(MAX_HOT_KEYS)
-        .select(*keys)
-    )
+    """Every key with more than ``hot_rows`` rows and its number of rows."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
 
 
 def salted_join(
@@ -30,44 +20,23 @@ def salted_join(
     spread: list[str],
     how: str = "inner",
     hot_rows: int = HOT_ROWS,
-    salts: int = SALTS,
     hot: DataFrame | None = None,
 ) -> DataFrame:
-    """Equi-join in which rows of hot keys of ``big`` are spread over ``salts`` tasks.
+    """Equi-join in which rows of hot keys of ``big`` are spread over several tasks.
 
-    Exact: only the matching rows of ``table`` are repeated, once per salt.
-    ``spread`` names columns of ``big`` that differ between rows of one key;
-    ``hot`` may bring the hot keys when they are known already.
+    A key gets as many salts as it has times ``hot_rows`` rows. Exact: only the
+    matching rows of ``table`` are repeated, once per salt. ``spread`` names
+    columns of ``big`` that differ between rows of one key; ``hot`` may bring
+    the result of hot_keys when it is known already. Adaptive execution chooses
+    how the hot keys are joined.
     """
     if hot is None:
         hot = hot_keys(big, keys, hot_rows)
-    hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))
-    left = big.join(hot, keys, "left").withColumn(
-        "_salt",
-        F.when(F.col("_hot"), F.pmod(F.xxhash64(*spread), F.lit(salts))).otherwise(F.lit(0)).cast("int"),
-    )
-    right = table.join(hot, keys, "left").withColumn(
-        "_salt",
-        F.explode(F.sequence(F.lit(0), F.when(F.col("_hot"), salts - 1).otherwise(0))),
-    )
-    return left.drop("_hot").join(right.drop("_hot"), [*keys, "_salt"], how).drop("_salt")
-
-
-def lookup_join(
-    big: DataFrame,
-    table: DataFrame,
-    keys: list[str],
-    spread: list[str],
-    how: str = "inner",
-    hot: DataFrame | None = None,
-) -> DataFrame:
-    """Join a model table to a large one: broadcast behind a count, salted beyond it.
-
-    ``table`` must be cheap to count (written or checkpointed).
-    """
-    if table.count() <= MAX_BROADCAST_ROWS:
-        return big.join(F.broadcast(table), keys, how)
-    return salted_join(big, table, keys, spread, how, hot=hot)
+    hot = hot.select(*keys, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_salts"))
+    salts = F.coalesce("_salts", F.lit(1))
+    left = big.join(hot, keys, "left").withColumn("_salt", F.pmod(F.xxhash64(*spread), salts).cast("int"))
+    right = table.join(hot, keys, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+    return left.drop("_salts").join(right.drop("_salts"), [*keys, "_salt"], how).drop("_salt")
 
 
 def keep_smallest(df: DataFrame, keys: list[str], id_col: str) -> DataFrame:

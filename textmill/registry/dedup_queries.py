@@ -7,6 +7,7 @@ the operators themselves.
 from pyspark.sql import functions as F
 
 from textmill.operators import dedup
+from textmill.operators.rows import chunk_text
 from textmill.plans.stages import deduplication
 from textmill.registry.base import DOCS, busy_docs, docs, query, words_sql
 
@@ -15,23 +16,39 @@ COEFFICIENTS = ", ".join(
     f"({k}, {a}::BIGINT, {b}::BIGINT)" for k, (a, b) in enumerate(dedup.hash_coefficients(BUCKETS * PER, 32))
 )
 
-SIGNATURE_CTES = f"""WITH RECURSIVE w AS (SELECT id, {words_sql()} AS words FROM {DOCS}),
+
+
+def signature_ctes(source: str = DOCS) -> str:
+    return f"""WITH RECURSIVE w AS (SELECT id, {words_sql()} AS words FROM {source}),
  sh AS (SELECT DISTINCT id, ('0x' || substr(md5(array_to_string(words[i:i + 4], ' ')), 1, 8))::BIGINT AS h
    FROM (SELECT id, words, unnest(range(1, len(words) - 3)) AS i FROM w WHERE len(words) >= 5)),
  coef(k, a, b) AS (VALUES {COEFFICIENTS}),
  sig AS (SELECT id, k, min((a * h + b) % {dedup.PRIME_31}) AS v FROM sh CROSS JOIN coef GROUP BY id, k)"""
 
-BAND_CTES = SIGNATURE_CTES + f""",
+
+def band_ctes(source: str = DOCS) -> str:
+    return signature_ctes(source) + f""",
  band AS (SELECT id, k // {PER} AS band, string_agg(v, ',' ORDER BY k) AS key FROM sig GROUP BY id, k // {PER}),
  head AS (SELECT *, min(id) OVER (PARTITION BY band, key, id % {dedup.BUCKET_SALTS}) AS h1, min(id) OVER (PARTITION BY band, key) AS h0 FROM band),
  edge AS (SELECT DISTINCT id AS src, h1 AS dst FROM head WHERE id <> h1 UNION SELECT DISTINCT id, h0 FROM head WHERE id = h1 AND id <> h0)"""
 
-CLUSTER_CTES = BAND_CTES + """,
+
+def cluster_ctes(source: str = DOCS) -> str:
+    return band_ctes(source) + """,
  both_ways AS (SELECT src, dst FROM edge UNION SELECT dst, src FROM edge),
  reach(id, other) AS (SELECT src, dst FROM both_ways UNION SELECT reach.id, b.dst FROM reach JOIN both_ways b ON b.src = reach.other),
  cl AS (SELECT id, least(id, min(other)) AS cluster_id FROM reach GROUP BY id)"""
 
 
+def verdict_ctes(source: str = DOCS) -> str:
+    return cluster_ctes(source) + f""", first AS (SELECT id, min(id) OVER (PARTITION BY text) AS f FROM {source}),
+ why AS (SELECT first.id, coalesce(CASE WHEN first.id <> f THEN 'exact' WHEN cl.id <> cluster_id THEN 'minhash' END, 'kept') AS verdict
+   FROM first LEFT JOIN cl ON cl.id = first.id)"""
+
+
+SIGNATURE_CTES, BAND_CTES, CLUSTER_CTES = signature_ctes(), band_ctes(), cluster_ctes()
+
+
 def signatures(spark, sf):
     return dedup.signature(busy_docs(spark, sf).select("id", "text"), bit_precision=32)
 
@@ -102,15 +119,36 @@ def inject_duplicates(spark, sf):
     return dedup.inject_duplicates(docs(spark, sf).select("id", "source", "text"))
 
 
+def verdicts(done, *columns):
+    return done.kept.select(*columns, F.lit("kept").alias("verdict")).unionByName(
+        done.removed.select(*columns, F.col("filter_reason").alias("verdict"))
+    )
+
+
+@query("deduplication", verdict_ctes() + " SELECT id, verdict FROM why")
+def deduplication_(spark, sf):
+    return verdicts(deduplication(busy_docs(spark, sf), bit_precision=32), "id")
+
+
 @query(
-    "deduplication",
-    CLUSTER_CTES + f""", first AS (SELECT id, min(id) OVER (PARTITION BY text) AS f FROM {DOCS}),
- why AS (SELECT first.id, CASE WHEN first.id <> f THEN 'exact' WHEN cl.id <> cluster_id THEN 'minhash' END AS r
-   FROM first LEFT JOIN cl ON cl.id = first.id)
- SELECT id, coalesce(r, 'kept') AS verdict FROM why""",
+    "deduplication_injected",
+    verdict_ctes() + " SELECT id, verdict FROM why UNION ALL SELECT id, 'exact' FROM why WHERE ((id + 1) * 7919) % 100 < 5",
 )
-def deduplication_(spark, sf):
-    done = deduplication(busy_docs(spark, sf), bit_precision=32)
-    return done.kept.select("id", F.lit("kept").alias("verdict")).unionByName(
-        done.removed.select("id", F.col("filter_reason").alias("verdict"))
-    )
+def deduplication_injected(spark, sf):
+    """Injected copies share the ids of their originals, and all of them go."""
+    return verdicts(deduplication(dedup.inject_duplicates(busy_docs(spark, sf)), bit_precision=32), "id")
+
+
+# Parts of one document share its id; here SQL gives each an id of its own, in the same order.
+CHUNKS = f"""(SELECT id * 1000000 + i - 1 AS id, substring(text, (i - 1) * 700 + 1, 700) AS text
+   FROM (SELECT *, unnest(range(1, ceil(length(text) / 700)::BIGINT + 1)) AS i FROM {DOCS}))"""
+
+
+@query(
+    "deduplication_chunks",
+    verdict_ctes(CHUNKS) + " SELECT id // 1000000 AS id, (id % 1000000)::INTEGER AS chunk_idx, verdict FROM why",
+)
+def deduplication_chunks(spark, sf):
+    """Parts of 700 characters, many to an id, are told apart."""
+    parts = chunk_text(busy_docs(spark, sf).select("id", "text"), 700)
+    return verdicts(deduplication(parts, bit_precision=32), "id", "chunk_idx")
