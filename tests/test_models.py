@@ -1,3 +1,4 @@
+import hashlib
 import math
 import re
 import sys
@@ -40,20 +41,28 @@ def test_perplexity_against_python(docs):
     got = {r.id: r.perplexity for r in ppl.perplexity(docs, model, "id", ["lang"]).collect()}
     pairs, firsts, vocabulary, texts = Counter(), Counter(), set(), {}
     for r in docs.collect():
-        w = [x for x in re.split(r"[ \t\r\n]+", r.text) if x]
-        texts[r.id] = w
-        pairs.update(zip(w, w[1:]))
-        firsts.update(w[:-1])
+        # Words by the leading 32 bits of their MD5; counts by bucket.
+        w = [int(hashlib.md5(x.encode()).hexdigest()[:8], 16) for x in re.split(r"[ \t\r\n]+", r.text) if x]
+        texts[r.id] = [((a * ppl.SPREAD + b) % ppl.PAIRS, a % ppl.FIRSTS) for a, b in zip(w, w[1:])]
+        pairs.update(p for p, _ in texts[r.id])
+        firsts.update(f for _, f in texts[r.id])
         if len(w) > 1:
-            vocabulary.update(w)
-    for i, w in texts.items():
-        logs = [math.log((pairs[p] + 0.5) / (firsts[p[0]] + 0.5 * len(vocabulary))) for p in zip(w, w[1:])]
+            vocabulary.update(x % ppl.FIRSTS for x in w)
+    for i, spots in texts.items():
+        logs = [math.log((pairs[p] + 0.5) / (firsts[f] + 0.5 * len(vocabulary))) for p, f in spots]
         if logs:
             assert got[i] == pytest.approx(math.exp(-sum(logs) / len(logs)), rel=1e-4)
         else:
             assert i not in got
 
 
+def test_merged_spread_keeps_its_digits(spark):
+    rows = [("x", 1_000_000 + 0.03 * (-1) ** i) for i in range(1000)] + [(None, 5.0)]
+    scored = spark.createDataFrame(rows, "lang string, perplexity double").repartition(7)
+    merged = {r.lang: r.std for r in ppl.merge_stats(ppl.partial_stats(scored, ["lang"]), ["lang"]).collect()}
+    assert merged["x"] == pytest.approx(0.03, rel=1e-4) and merged[None] == 0.0
+
+
 def test_merged_stats_equal_one_pass(docs):
     scored = ppl.perplexity(docs, ppl.fit_bigram_model(docs), "id", ["lang"])
     merged = {r.lang: r for r in ppl.merge_stats(ppl.partial_stats(scored.repartition(5), ["lang"]), ["lang"]).collect()}
@@ -129,3 +138,24 @@ def test_rewriting_stage_drops_junk_lines(spark, language):
     done = stages.llm_processing(df, dutch_model, language, prompt="{text}", languages=["en"], language_threshold=0.0)
     assert [r.text for r in done.kept.collect()] == ["The and of the thing\nthe with that and"]
     assert [(r.part_idx, r.filter_reason) for r in done.removed.collect()] == [(1, "regex")]
+
+
+def test_llm_lines_of_rows_with_one_id_stay_apart(spark, language):
+    df = spark.createDataFrame([(1, "a1 a\na2 a"), (1, "b1 b\nsee x.com\nb2 b"), (2, "see y.com")], "id long, text string")
+    done = stages.llm_processing(df, lambda: lambda texts: list(texts), language, prompt="{text}", languages=["en", "de", "fr", "es"], language_threshold=0.0)
+    assert sorted(r.text for r in done.kept.select("text").collect()) == ["a1 a\na2 a", "b1 b\nb2 b"]
+    assert sorted((r.id, r.part_idx) for r in done.removed.collect()) == [(1, 1), (2, 0)]
+
+
+def test_translation_options(spark, language):
+    df = spark.createDataFrame([(1, 0, "".join(f"e{i:02d} " for i in range(40)), '{"original_language": "en"}'), (1, 1, "end", '{"original_language": "en"}')],
+                               "id long, chunk_idx int, text string, extra string")
+    options = {"allowed_values": ["en"], "languages": ["en", "de", "fr", "es"], "language_threshold": 0.0}
+    def swapped():
+        return lambda texts: [t.replace("e", "3") for t in texts]
+    whole = stages.machine_translation(df, swapped, language, **options).kept.collect()
+    assert len(whole) == 1 and whole[0].text == "".join(f"3{i:02d} " for i in range(40)) + "3nd"
+    cut = stages.machine_translation(df, swapped, language, chunk_size=4, batch_size=2, batch_stop_at=1, part_col=None, **options)
+    assert sorted(r.text for r in cut.kept.collect()) == ["300 301 ", "3nd"]
+    dry = stages.machine_translation(df, swapped, language, dry_run=True, chunk_size=4, batch_size=2, **options).kept.first()
+    assert (dry.n_docs, dry.n_chunks) == (2, 41)

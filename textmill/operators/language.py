@@ -1,8 +1,9 @@
 """Language detection: multinomial naive Bayes over character trigrams.
 
-Training counts are distributed. Scoring looks trigrams up in a table of bounded
-size, a whole Arrow batch at a time, so documents are never shuffled to get a
-label. Weights are whole micro-nats: sums do not depend on their order.
+Trigrams are counted in a fixed number of hash buckets, so the model has one size
+whatever the corpus. Scoring looks buckets up a whole Arrow batch at a time, so
+documents are never shuffled to get a label. Weights are whole micro-nats: sums
+do not depend on their order.
 """
 
 from __future__ import annotations
@@ -15,15 +16,15 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-MAX_VOCABULARY = 2**18
-MAX_LANGUAGES = 200
+# A prime, so that all three characters of a trigram decide its bucket.
+BUCKETS = 262_139
 MICRO = 1_000_000
 
 
-def trigram_codes(texts: pd.Series) -> tuple[np.ndarray, np.ndarray]:
-    """Every overlapping trigram of every text, and the index of its text.
+def trigram_buckets(texts: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    """The bucket of every overlapping trigram of every text, and the index of its text.
 
-    A code is the three code points side by side (21 bits each), so it is exact.
+    The bucket is the three code points side by side (21 bits each), modulo BUCKETS.
     """
     points = [np.frombuffer(t.encode("utf-32-le"), np.uint32) for t in texts]
     sizes = np.array([len(p) for p in points], np.int64)
@@ -33,32 +34,31 @@ def trigram_codes(texts: pd.Series) -> tuple[np.ndarray, np.ndarray]:
         return np.empty(0, np.int64), np.empty(0, np.int64)
     inside = doc[:-2] == doc[2:]
     codes = (flat[:-2] << 42) | (flat[1:-1] << 21) | flat[2:]
-    return codes[inside], doc[:-2][inside]
+    return codes[inside] % BUCKETS, doc[:-2][inside]
 
 
 @dataclass(frozen=True)
 class LanguageModel:
-    """Sorted trigram codes, their weight per language, and the prior per language."""
+    """Which buckets were seen, their weight per language, and the prior per language."""
 
-    codes: np.ndarray
+    seen: np.ndarray
     weights: np.ndarray
     priors: np.ndarray
     languages: list[str]
 
     def detect(self, df: DataFrame, text: str = "text") -> DataFrame:
         """Add language and language_score; null and 0.0 for texts without trigrams."""
-        model = df.sparkSession.sparkContext.broadcast((self.codes, self.weights, self.priors))
+        model = df.sparkSession.sparkContext.broadcast((self.seen, self.weights, self.priors))
         languages = self.languages
 
         @F.pandas_udf("language string, language_score double")
         def best(texts: pd.Series) -> pd.DataFrame:
-            codes, weights, priors = model.value
-            flat, doc = trigram_codes(texts)
+            seen, weights, priors = model.value
+            flat, doc = trigram_buckets(texts)
             n_docs = len(texts)
             found = np.bincount(doc, minlength=n_docs) > 0
-            at = np.minimum(np.searchsorted(codes, flat), len(codes) - 1)
-            known = codes[at] == flat
-            at, doc = at[known], doc[known]
+            known = seen[flat]
+            at, doc = flat[known], doc[known]
             edges = np.searchsorted(doc, np.arange(n_docs + 1))
             totals = np.tile(priors, (n_docs, 1))
             for k in range(len(languages)):
@@ -79,39 +79,32 @@ class LanguageModel:
         ).drop("_best")
 
 
-def fit_language_model(
-    labelled: DataFrame, text: str = "text", language: str = "lang", max_vocabulary: int = MAX_VOCABULARY
-) -> LanguageModel:
+def fit_language_model(labelled: DataFrame, text: str = "text", language: str = "lang") -> LanguageModel:
     """Train on documents with a known language.
 
-    The vocabulary is the ``max_vocabulary`` most frequent trigrams; that bound,
-    times the number of languages, is what comes to the driver and goes to tasks.
+    What comes to the driver and goes to tasks is one number per bucket and
+    language, however large the corpus.
     """
-    rows = labelled.where(F.col(language).isNotNull()).select(language, text)
-    found = rows.groupBy(language).count().orderBy(F.desc("count"), language).limit(MAX_LANGUAGES + 1).collect()
-    n_docs = {r[0]: r[1] for r in found}
-    if not 0 < len(n_docs) <= MAX_LANGUAGES:
-        raise ValueError(f"expected 1 to {MAX_LANGUAGES} languages, found {len(n_docs)}")
+    rows = labelled.where(F.col(language).isNotNull()).select(F.col(language).alias("language"), F.lower(text).alias("text"))
+    n_docs = {r[0]: r[1] for r in rows.groupBy("language").count().collect()}
+    if not n_docs:
+        raise ValueError("no document has a language")
     languages = sorted(n_docs)
 
     def count_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Counts per batch, so a trigram leaves a batch once per language."""
+        """Counts per batch, so a bucket leaves a batch once per language."""
         for batch in batches:
             for name, part in batch.groupby("language"):
-                codes, n = np.unique(trigram_codes(part["text"])[0], return_counts=True)
-                yield pd.DataFrame({"language": name, "g": codes, "n": n})
-
-    partial = rows.select(F.col(language).alias("language"), F.lower(text).alias("text")).mapInPandas(
-        count_batch, "language string, g bigint, n bigint"
-    )
-    counted = partial.groupBy("g").agg(
-        F.sum("n").alias("n"),
-        *[F.sum(F.when(F.col("language") == x, F.col("n")).otherwise(0)).alias(f"n{k}") for k, x in enumerate(languages)],
-    )
-    top = counted.orderBy(F.desc("n"), "g").limit(max_vocabulary).toPandas().sort_values("g")
-    counts = top[[f"n{k}" for k in range(len(languages))]].to_numpy(np.float64)
-    sizes = counts.sum(axis=0) + len(top)
+                buckets, n = np.unique(trigram_buckets(part["text"].fillna(""))[0], return_counts=True)
+                yield pd.DataFrame({"language": name, "bucket": buckets, "n": n})
+
+    partial = rows.mapInPandas(count_batch, "language string, bucket bigint, n bigint")
+    counted = partial.groupBy("language", "bucket").agg(F.sum("n").alias("n")).toPandas()
+    counts = np.zeros((BUCKETS, len(languages)))
+    counts[counted["bucket"], counted["language"].map(languages.index)] = counted["n"]
+    seen = counts.sum(axis=1) > 0
+    sizes = counts.sum(axis=0) + seen.sum()
     weights = np.rint((np.log(counts + 1) - np.log(sizes)) * MICRO).astype(np.int64)
     total = sum(n_docs.values()) + len(languages)
     priors = [round((math.log(n_docs[x] + 1) - math.log(total)) * MICRO) for x in languages]
-    return LanguageModel(top["g"].to_numpy(np.int64), weights, np.array(priors, np.int64), languages)
+    return LanguageModel(seen, weights, np.array(priors, np.int64), languages)

@@ -1,101 +1,137 @@
 """Perplexity under an add-k word bigram model, its summaries and their merge.
 
-Log-probabilities are kept as whole micro-nats, so sums do not depend on the
-order in which partitions are added.
+Bigrams and words are counted in fixed numbers of hash buckets. The two count
+arrays are small enough for every task, so a document is scored where it lies.
+Log-probabilities are kept as whole micro-nats, so sums do not depend on their order.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from textmill.functions.arrays import explode_once, let
 from textmill.functions.text import words
-from textmill.operators.skew import MAX_HOT_KEYS, lookup_join
-from textmill.session import materialize
 
 MICRO = 1_000_000
 TOP_VALUES = 100_000
+# Primes: buckets for pairs (16 MB of counts) and for words, and the multiplier of a pair's first word.
+PAIRS, FIRSTS, SPREAD = 4_194_301, 1_048_573, 1_000_003
 
 
-def bigrams(text: Column) -> Column:
-    """Neighbouring words as pairs of 64-bit hashes; empty below two words."""
-    codes = F.transform(words(text), lambda w: F.xxhash64(w))
+def word_codes(text: Column) -> Column:
+    """The leading 32 bits of each word's MD5."""
+    return F.transform(
+        words(text), lambda w: F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("long")
+    )
+
+
+def bigram_buckets(text: Column) -> Column:
+    """(p, f, l) per bigram: the buckets of the pair, its first and its last word."""
 
     def paired(c: Column) -> Column:
-        both = F.zip_with(c, F.slice(c, 2, F.size(c)), lambda a, b: F.struct(a.alias("w1"), b.alias("w2")))
+        both = F.zip_with(
+            c,
+            F.slice(c, 2, F.size(c)),
+            lambda a, b: F.struct(
+                F.pmod(a * SPREAD + b, F.lit(PAIRS)).cast("int").alias("p"),
+                F.pmod(a, F.lit(FIRSTS)).cast("int").alias("f"),
+                F.pmod(b, F.lit(FIRSTS)).cast("int").alias("l"),
+            ),
+        )
         return F.slice(both, 1, F.greatest(F.size(c) - 1, F.lit(0)))
 
-    return let(codes, paired)
+    return let(word_codes(text), paired)
 
 
 @dataclass(frozen=True)
 class BigramModel:
-    pairs: DataFrame
-    firsts: DataFrame
+    """Training counts per pair bucket and per first-word bucket; the number of word buckets in use."""
+
+    pairs: np.ndarray
+    firsts: np.ndarray
     vocabulary: int
     k: float
 
 
 def fit_bigram_model(training: DataFrame, text: str = "text", k: float = 0.1) -> BigramModel:
-    """Count the training bigrams once and keep the two tables in the shared folder."""
-    pairs = (
-        explode_once(training, [], bigrams(F.col(text)), "b")
-        .groupBy("b.w1", "b.w2")
-        .agg(F.count(F.lit(1)).alias("n_pair"))
+    """Count the training bigrams; at most one number per bucket comes to the driver."""
+    spots = explode_once(training, [], bigram_buckets(F.col(text)), "b").select("b.*")
+    kinds = F.array(*[F.struct(F.lit(i).alias("kind"), F.col(c).alias("bucket")) for i, c in enumerate("pfl")])
+    counted = (
+        spots.select(F.explode(kinds).alias("x")).groupBy("x.kind", "x.bucket").agg(F.count(F.lit(1)).alias("n")).toPandas()
     )
-    pairs = materialize(pairs, "bigrams")
-    firsts = materialize(pairs.groupBy("w1").agg(F.sum("n_pair").alias("n_first")), "firsts")
-    seen = pairs.select(F.col("w1").alias("w")).union(pairs.select("w2"))
-    return BigramModel(pairs, firsts, seen.distinct().count(), k)
+    tables = []
+    for kind, size in enumerate((PAIRS, FIRSTS, FIRSTS)):
+        part = counted[counted["kind"] == kind]
+        table = np.zeros(size)
+        table[part["bucket"]] = part["n"]
+        tables.append(table)
+    return BigramModel(tables[0], tables[1], int(((tables[1] > 0) | (tables[2] > 0)).sum()), k)
 
 
 def perplexity(df: DataFrame, model: BigramModel, id_col: str, keep: list[str], text: str = "text") -> DataFrame:
     """exp of the mean negative log-probability per document; no row for texts under two words."""
-    rows = explode_once(df, [id_col, *keep], bigrams(F.col(text)), "b", "pos")
-    rows = rows.select(id_col, *keep, "pos", "b.w1", "b.w2")
-    # What is frequent in training is what is hot here; no pass over the rows is needed to know it.
-    hot_pairs = model.pairs.orderBy(F.desc("n_pair")).limit(MAX_HOT_KEYS).select("w1", "w2")
-    hot_firsts = model.firsts.orderBy(F.desc("n_first")).limit(MAX_HOT_KEYS).select("w1")
-    rows = lookup_join(rows, model.pairs, ["w1", "w2"], [id_col, "pos"], "left", hot_pairs)
-    rows = lookup_join(rows, model.firsts, ["w1"], [id_col, "pos"], "left", hot_firsts)
-    p = (F.coalesce("n_pair", F.lit(0)) + model.k) / (
-        F.coalesce("n_first", F.lit(0)) + model.k * model.vocabulary
-    )
-    return (
-        rows.groupBy(id_col, *keep)
-        .agg(
-            F.count(F.lit(1)).alias("n_bigrams"),
-            F.sum(F.round(F.ln(p) * MICRO).cast("long")).alias("_micro"),
-        )
-        .withColumn("perplexity", F.exp(-F.col("_micro") / MICRO / F.col("n_bigrams")))
-        .drop("_micro")
+    shared = df.sparkSession.sparkContext.broadcast((model.pairs, model.firsts))
+    k, floor = model.k, model.k * model.vocabulary
+
+    @F.pandas_udf("long")
+    def micro(pair_lists: pd.Series, first_lists: pd.Series) -> pd.Series:
+        pairs, firsts = shared.value
+        out = np.zeros(len(pair_lists), np.int64)
+        # A document at a time: no array is longer than one document.
+        for i, (p, f) in enumerate(zip(pair_lists, first_lists)):
+            out[i] = np.rint(np.log((pairs[p] + k) / (firsts[f] + floor)) * MICRO).sum()
+        return pd.Series(out)
+
+    rows = df.select(id_col, *keep, bigram_buckets(F.col(text)).alias("_b")).where(F.size("_b") > 0)
+    scored = rows.select(
+        id_col,
+        *keep,
+        F.size("_b").cast("long").alias("n_bigrams"),
+        micro.asNondeterministic()(F.col("_b.p"), F.col("_b.f")).alias("_micro"),
     )
+    return scored.withColumn("perplexity", F.exp(-F.col("_micro") / MICRO / F.col("n_bigrams"))).drop("_micro")
 
 
 def partial_stats(scored: DataFrame, group: list[str]) -> DataFrame:
-    """Mergeable sums per group and input partition, as a shard would report them."""
+    """Mergeable figures per group and input partition, as a shard would report them.
+
+    Spread is kept as the sum of squared distances from the shard's own mean.
+    """
     v = F.col("perplexity")
     return scored.withColumn("shard", F.spark_partition_id()).groupBy("shard", *group).agg(
         F.count(v).alias("n"),
         F.sum(v).alias("total"),
-        F.sum(v * v).alias("square_total"),
+        (F.var_pop(v) * F.count(v)).alias("m2"),
         F.min(v).alias("min"),
         F.max(v).alias("max"),
     )
 
 
 def merge_stats(partials: DataFrame, group: list[str]) -> DataFrame:
-    """One summary per group from any number of partial ones."""
-    n, s, q = F.sum("n"), F.sum("total"), F.sum("square_total")
-    return partials.groupBy(*group).agg(
-        n.alias("n"),
-        s.alias("total"),
-        (s / n).alias("mean"),
-        F.min("min").alias("min"),
-        F.max("max").alias("max"),
-        F.sqrt(F.greatest(q / n - (s / n) * (s / n), F.lit(0.0))).alias("std"),
+    """One summary per group from any number of partial ones.
+
+    Squared distances are moved to the common mean, never taken as a difference
+    of large sums of squares.
+    """
+    whole = Window.partitionBy(*group)
+    mean = F.sum("total").over(whole) / F.sum("n").over(whole)
+    away = F.when(F.col("n") > 0, F.col("total") / F.col("n") - F.col("_mean"))
+    return (
+        partials.withColumn("_mean", mean)
+        .groupBy(*group)
+        .agg(
+            F.sum("n").alias("n"),
+            F.sum("total").alias("total"),
+            (F.sum("total") / F.sum("n")).alias("mean"),
+            F.min("min").alias("min"),
+            F.max("max").alias("max"),
+            F.sqrt(F.sum(F.col("m2") + F.col("n") * away * away) / F.sum("n")).alias("std"),
+        )
     )
 
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from textmill.functions.fixed_values import PARAGRAPH_PROMPT
 from textmill.operators import filters as flt, inference, perplexity as ppl, toxicity
-from textmill.operators.language import fit_language_model
+from textmill.operators.language import BUCKETS, fit_language_model
 from textmill.operators.stats import with_file
 from textmill.registry.base import DOCS, busy_docs, docs, query, table, words_sql
 
@@ -13,7 +13,8 @@ def language_model(spark, sf):
     return fit_language_model(busy_docs(spark, sf))
 
 
-LANGUAGE_CTES = f"""WITH gr AS (SELECT id, lang, c[i] || c[i + 1] || c[i + 2] AS g FROM (
+LANGUAGE_CTES = f"""WITH gr AS (SELECT id, lang,
+   (ord(c[i]) * 4398046511104 + ord(c[i + 1]) * 2097152 + ord(c[i + 2])) % {BUCKETS} AS g FROM (
    SELECT id, lang, c, unnest(range(1, len(c) - 1)) AS i FROM (SELECT id, lang, string_split(lower(text), '') AS c FROM {DOCS}) WHERE len(c) >= 3)),
  cnt AS (SELECT lang, g, count(*) AS c FROM gr GROUP BY lang, g),
  tot AS (SELECT lang, sum(c) AS n FROM cnt GROUP BY lang),
@@ -75,19 +76,21 @@ def toxic_doc_flag(spark, sf):
     return toxicity.toxic_doc_flag(out).select("id", "is_toxic", "max_toxicity")
 
 
-BIGRAM_CTES = f"""WITH w AS (SELECT id, lang, {words_sql()} AS words FROM {DOCS}),
- b AS (SELECT id, lang, words[i] AS w1, words[i + 1] AS w2 FROM (SELECT *, unnest(range(1, len(words))) AS i FROM w)),
- pr AS (SELECT w1, w2, count(*) AS n_pair FROM b GROUP BY w1, w2),
- fi AS (SELECT w1, count(*) AS n_first FROM b GROUP BY w1),
- vo AS (SELECT count(*) AS v FROM (SELECT w1 FROM b UNION SELECT w2 FROM b)),
- lp AS (SELECT id, lang, round(ln((n_pair + 0.1::DOUBLE) / (n_first + 0.1::DOUBLE * v)) * 1000000)::BIGINT AS micro
-   FROM b JOIN pr USING (w1, w2) JOIN fi USING (w1) CROSS JOIN vo),
+BIGRAM_CTES = f"""WITH w AS (SELECT id, lang, list_transform({words_sql()}, lambda x: ('0x' || substr(md5(x), 1, 8))::BIGINT) AS codes FROM {DOCS}),
+ b AS (SELECT id, lang, (codes[i] * {ppl.SPREAD} + codes[i + 1]) % {ppl.PAIRS} AS p, codes[i] % {ppl.FIRSTS} AS f, codes[i + 1] % {ppl.FIRSTS} AS l
+   FROM (SELECT *, unnest(range(1, len(codes))) AS i FROM w)),
+ pr AS (SELECT p, count(*) AS n_pair FROM b WHERE id % 2 = 0 GROUP BY p),
+ fi AS (SELECT f, count(*) AS n_first FROM b WHERE id % 2 = 0 GROUP BY f),
+ vo AS (SELECT count(*) AS v FROM (SELECT f FROM b WHERE id % 2 = 0 UNION SELECT l FROM b WHERE id % 2 = 0)),
+ lp AS (SELECT id, lang, round(ln((coalesce(n_pair, 0) + 0.1::DOUBLE) / (coalesce(n_first, 0) + 0.1::DOUBLE * v)) * 1000000)::BIGINT AS micro
+   FROM b LEFT JOIN pr USING (p) LEFT JOIN fi USING (f) CROSS JOIN vo WHERE id % 2 = 1),
  pp AS (SELECT id, lang, count(*) AS n_bigrams, exp(-(sum(micro)::DOUBLE / 1000000 / count(*))) AS perplexity FROM lp GROUP BY id, lang)"""
 
 
 def scored(spark, sf):
+    """Trained on documents with an even id; the others are scored, so unseen bigrams occur."""
     df = busy_docs(spark, sf)
-    return ppl.perplexity(df, ppl.fit_bigram_model(df), "id", ["lang"])
+    return ppl.perplexity(df.where("id % 2 = 1"), ppl.fit_bigram_model(df.where("id % 2 = 0")), "id", ["lang"])
 
 
 @query("perplexity", BIGRAM_CTES + " SELECT id, lang, n_bigrams, round(perplexity, 6) AS perplexity FROM pp")
