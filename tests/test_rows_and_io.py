@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from textmill.operators import rows
 from textmill.operators.ordering import global_row_number, range_cuts, running_total
 from textmill.operators.skew import hot_keys, keep_smallest, salted_join
-from textmill.plans.chain import check_config, curation_chain
+from textmill.plans.chain import curation_chain, faults
 from textmill.session import scratch_path
 from textmill.sources import files, reader, writer
 
@@ -38,14 +38,14 @@ def test_ordering_over_many_ranges(spark):
     for n, i in enumerate(sorted(ids), 1):
         expected[i] = (n, total)
         total += i % 7
-    numbered = {r.id: r.n for r in global_row_number(df, ["id"], "n", 100).collect()}
+    numbered = {r.id: r.n for r in global_row_number(df, ["id"], "n", rows_per_range=100).collect()}
     summed = {r.id: r.s for r in running_total(df, ["id"], F.col("v"), "s", 100).collect()}
     assert {i: (numbered[i], summed[i]) for i in ids} == expected
 
 
 def test_ordering_by_two_columns_splits_a_hot_first_one(spark):
     df = spark.range(2000).select(F.lit("same").alias("doc"), F.col("id").alias("part"))
-    out = global_row_number(df, ["doc", "part"], "n", 100)
+    out = global_row_number(df, ["doc", "part"], "n", rows_per_range=100)
     assert out.where("n <> part + 1").isEmpty()
     assert len(range_cuts(df, ["doc", "part"], 100)) > 5
 
@@ -55,6 +55,18 @@ def test_skip_and_limit(docs):
     got = reader.scan_skip_limit(docs.select("id"), 5, 20)
     assert sorted(r.id for r in got.collect()) == ids[5:25]
     assert reader.scan_skip_limit(docs, 190).count() == len(ids) - 190
+    assert reader.scan_skip_limit(docs, 10**6).isEmpty()
+
+
+def test_skip_and_limit_leave_texts_in_place(docs):
+    plan = reader.scan_skip_limit(docs, 5, 20)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan
+
+
+def test_skip_takes_rows_of_one_id_together(spark):
+    df = spark.createDataFrame([(1,), (2,), (2,), (3,), (None,)], "id long")
+    assert sorted(r.id for r in reader.scan_skip_limit(df, 1, 2).collect()) == [2, 2]
+    assert sorted(r.id for r in reader.scan_skip_limit(df, 2).collect()) == [2, 2, 3]
 
 
 def test_salted_join_is_exact(spark):
@@ -62,7 +74,7 @@ def test_salted_join_is_exact(spark):
     table = spark.range(40).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
     for how in ("inner", "left"):
         plain = big.join(table, "k", how)
-        salted = salted_join(big, table, ["k"], ["id"], how, hot_rows=100, salts=8)
+        salted = salted_join(big, table, ["k"], ["id"], how, hot_rows=100)
         assert salted.exceptAll(plain.select(salted.columns)).isEmpty()
         assert salted.count() == plain.count()
     assert [r.k for r in hot_keys(big, ["k"], 100).collect()] == [0]
@@ -137,10 +149,12 @@ def test_delivery_columns(docs):
 
 
 def test_chain_config_errors(spark):
-    with pytest.raises(ValueError, match="cannot be empty"):
-        check_config({"stages": [{"stage": ""}]})
-    with pytest.raises(ValueError, match="Unknown stage: nope"):
-        check_config({"stages": [{"stage": "nope"}]})
+    assert faults({}) == ["no stages given"]
+    bad = {"stages": [{"stage": "nope"}, {"stage": ""}, {"stage": "pii_masking"}], "input_from_previous_output": False}
+    found = faults(bad)
+    assert len(found) == 4 and "'nope'" in found[0] and found[1].startswith("step 2")
+    with pytest.raises(ValueError, match="step 1 asks for 'nope'.*step 3 has nothing to read"):
+        curation_chain(spark, bad)
 
 
 def test_chain_prefers_an_explicit_input(spark, docs):
@@ -155,3 +169,31 @@ def test_chain_prefers_an_explicit_input(spark, docs):
         ],
     }
     assert curation_chain(spark, config).kept.count() == 20
+
+
+def test_chain_reads_with_the_options_of_a_step(spark, docs):
+    folder, listed = scratch_path(spark, "in"), scratch_path(spark, "list")
+    docs.withColumnRenamed("text", "body").coalesce(1).write.parquet(folder)
+    step = {"stage": "data_splitting", "id_key": "id", "text_key": "body", "skip": 5, "limit": 20, "input_folder": folder}
+    kept = curation_chain(spark, {"stages": [step]}).kept
+    assert sorted(r.id for r in kept.collect()) == sorted(r.id for r in docs.collect())[5:25]
+    docs.coalesce(1).write.parquet(f"{folder}2")
+    files = [f.rsplit("/", 1)[1] for f in spark.read.parquet(f"{folder}2").inputFiles()]
+    spark.createDataFrame([(f,) for f in files], "value string").coalesce(1).write.text(listed)
+    step = {"stage": "data_splitting", "id_key": "id", "paths_file": listed, "input_folder": f"{folder}2"}
+    assert curation_chain(spark, {"stages": [step]}).kept.count() == docs.count()
+
+
+def test_language_rejects_go_by_language(spark, docs):
+    path = scratch_path(spark, "rejects")
+    rows = docs.limit(6).withColumns(
+        {
+            "language": F.when(F.col("id") % 2 == 0, "fr").otherwise("nl"),
+            "filter_module": F.when(F.col("id") < 4, "LanguageFilter").otherwise("Other"),
+            "filter_reason": F.lit("language"),
+        }
+    )
+    writer.write_removed(rows, path)
+    by_language = spark.read.parquet(f"{path}/removed_languages")
+    assert {r.language for r in by_language.collect()} == {r.language for r in rows.where("id < 4").collect()}
+    assert spark.read.parquet(f"{path}/removed_data").count() == rows.where("id >= 4").count()

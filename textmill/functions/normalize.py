@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import sys
 import unicodedata
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
@@ -18,17 +20,42 @@ BRACKET_TAG = r"(?U)\s?\[[a-zA-Z&;_à-üÀ-Ü\s]{0,15}\]"
 SPACE_SIGNS = "[\\t\\r\\f\\x0B\\u00A0\\u1680\\u2000-\\u200A\\u202F\\u205F\\u3000]"
 
 
+@lru_cache(maxsize=None)
+def composing_signs() -> str:
+    """A character class of everything NFC can change: by itself or as the second part of a composition."""
+    points = set()
+    for c in range(sys.maxunicode + 1):
+        sign = chr(c)
+        parts = unicodedata.decomposition(sign).split()
+        if unicodedata.combining(sign) or not unicodedata.is_normalized("NFC", sign):
+            points.add(c)
+        if len(parts) == 2 and not parts[0].startswith("<"):
+            points.add(int(parts[1], 16))
+    # Hangul vowels and finals compose by rule, not by table.
+    points |= {*range(0x1161, 0x1176), *range(0x11A8, 0x11C3)}
+    points -= {*range(0xD800, 0xE000)}
+    out, ordered = "", sorted(points)
+    for c in ordered:
+        if c - 1 not in points:
+            last = c
+            while last + 1 in points:
+                last += 1
+            out += f"\\x{{{c:X}}}-\\x{{{last:X}}}"
+    return f"[{out}]"
+
+
 def unicode_normalize(text: Column, form: str = "NFC") -> Column:
-    """Unicode normal form. Pure ASCII is in every form already and stays in the JVM."""
+    """Unicode normal form. Texts without any sign the form can change stay in the JVM."""
     if form not in FORMS:
         raise ValueError(f"form must be one of {FORMS}, got {form}")
 
+    # Arrow's own utf8_normalize leaves NFC and NFKC decomposed, so the standard library does the work.
     @F.pandas_udf(StringType())
     def normalized(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: unicodedata.normalize(form, t), na_action="ignore")
 
-    # The UDF runs for every row of a batch, so ASCII rows pass a null instead.
-    wide = F.when(text.rlike("[^\\x00-\\x7F]"), text)
+    # The UDF runs for every row of a batch, so untouched rows pass a null instead.
+    wide = F.when(text.rlike(composing_signs() if form == "NFC" else "[^\\x00-\\x7F]"), text)
     return F.coalesce(normalized.asNondeterministic()(wide), text)
 
 

@@ -10,24 +10,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 ROWS_PER_RANGE = 500_000
-MAX_RANGES = 4_000
 SAMPLES_PER_RANGE = 20
 
 
 def range_cuts(df: DataFrame, keys: list[str], rows_per_range: int = ROWS_PER_RANGE) -> list:
-    """Ordered cut points from a hash sample of the keys; their number is bounded."""
+    """Ordered cut points from a hash sample of the keys.
+
+    There are as many ranges as shuffle partitions, or more when they would hold
+    more than ``rows_per_range`` rows each.
+    """
     n_rows = df.count()
-    n_ranges = min(MAX_RANGES, n_rows // rows_per_range + 1)
-    if n_ranges == 1:
-        return []
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n_ranges = max(2, partitions, n_rows // rows_per_range + 1)
     wanted = n_ranges * SAMPLES_PER_RANGE
     step = max(1, n_rows // wanted)
     sample = (
         df.select(*keys)
         .where(F.pmod(F.xxhash64(*keys), F.lit(step)) == 0)
         .distinct()
-        .orderBy(F.xxhash64(*keys))
-        .limit(4 * wanted)
         .collect()
     )
     points = sorted(tuple(r) for r in sample)
@@ -58,13 +58,9 @@ def running_total(
 ) -> DataFrame:
     """Add ``out``: the sum of ``value`` over all earlier rows in key order (exclusive)."""
     cuts = range_cuts(df, keys, rows_per_range)
-    if not cuts:
-        # Fewer than rows_per_range rows: one small window will do.
-        whole = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
-        return df.withColumn(out, F.coalesce(F.sum(value.cast("long")).over(whole), F.lit(0).cast("long")))
     df = df.withColumns({"_value": value.cast("long"), "_range": range_of(keys, cuts)})
     inside = Window.partitionBy("_range").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
-    # One row per range, at most MAX_RANGES: small by construction.
+    # One row per range: small by construction.
     across = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         df.groupBy("_range")
@@ -79,8 +75,12 @@ def running_total(
 
 
 def global_row_number(
-    df: DataFrame, keys: list[str], out: str, rows_per_range: int = ROWS_PER_RANGE
+    df: DataFrame, keys: list[str], out: str, rows: Column | None = None, rows_per_range: int = ROWS_PER_RANGE
 ) -> DataFrame:
-    """Add ``out``: 1, 2, 3, ... over all rows in key order."""
-    numbered = running_total(df, keys, F.lit(1), out, rows_per_range)
-    return numbered.withColumn(out, F.col(out) + 1)
+    """Add ``out``: 1, 2, 3, ... over all rows in key order.
+
+    A row that stands for several counts as ``rows`` and gets the number of its last.
+    """
+    rows = F.lit(1) if rows is None else rows
+    numbered = running_total(df, keys, rows, out, rows_per_range)
+    return numbered.withColumn(out, F.col(out) + rows)

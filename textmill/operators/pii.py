@@ -17,14 +17,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from textmill.functions.arrays import char_blocks, explode_once, let, prefix_scan, prefix_sums, runs, total
 from textmill.functions.fixed_values import LOCALE_TERMS, PII_PRECEDENCE
-from textmill.operators.skew import lookup_join
+from textmill.operators.skew import salted_join
 
 ENTITY = "struct<start:int,end:int,type:string,entity:string,public:boolean>"
 ENTITIES = f"array<{ENTITY}>"
 GROUPED = "array<struct<start:int,end:int,type:string,entity:string,public:boolean,no:int>>"
 BLOCK_CHARS = 1024
 MAX_FIGURES = 10_000
-MAX_LISTED_TERMS = 200_000
+LISTED_TERMS = 200_000
 
 
 # Check digits --------------------------------------------------------------
@@ -213,10 +213,20 @@ def detect(text: Column, types: list[str] | None = None) -> Column:
 
 
 def listed_entities(text: Column, terms: DataFrame, max_words: int = 3) -> Column:
-    """Gazetteer matches inside the row, for a term table that passed the size check."""
-    rows = terms.select("term", "type", "public").collect()
+    """Gazetteer matches inside the row.
+
+    A list of any length is worked through in blocks of about LISTED_TERMS terms,
+    drawn by a hash, so what a task holds at a time is bounded.
+    """
+    blocks = 1 + terms.count() // LISTED_TERMS
+    block = F.pmod(F.xxhash64("term"), F.lit(blocks))
+    found = [_listed_block(text, terms.where(block == i), max_words) for i in range(blocks)]
+    return found[0] if blocks == 1 else F.array_sort(F.concat(*found))
+
+
+def _listed_block(text: Column, terms: DataFrame, max_words: int) -> Column:
     table: dict[str, list] = {}
-    for row in rows:
+    for row in terms.select("term", "type", "public").collect():
         table.setdefault(row.term, []).append((row.type, row.public))
     shared = terms.sparkSession.sparkContext.broadcast(table)
 
@@ -244,10 +254,10 @@ def listed_entities(text: Column, terms: DataFrame, max_words: int = 3) -> Colum
 def gazetteer_matches(
     df: DataFrame, terms: DataFrame, id_col: str = "id", text: str = "text", max_words: int = 3
 ) -> DataFrame:
-    """(id, entities) for token runs found in a term table (term, type, public) of any size.
+    """(id, entities) for token runs found in a term table (term, type, public), as a join.
 
-    Token runs are joined with the table, hot ones salted; only matches are
-    regrouped by id.
+    For lists too long for many blocks. ``id_col`` must tell rows apart. Hot
+    runs are salted; only matches are regrouped by id.
     """
     tokens = F.col("_t")
 
@@ -269,7 +279,7 @@ def gazetteer_matches(
     spotted = df.select(id_col, located(without_sentinel(F.col(text)), "[\\p{L}\\p{N}_]+").alias("_t"))
     grams = F.concat(*[run_of(n) for n in range(1, max_words + 1)])
     runs_ = explode_once(spotted, [id_col], grams, "g").select(id_col, "g.start", "g.end", "g.term")
-    found = lookup_join(runs_, terms, ["term"], [id_col, "start"])
+    found = salted_join(runs_, terms, ["term"], [id_col, "start"])
     entity = F.struct("start", "end", "type", F.col("term").alias("entity"), "public").cast(ENTITY)
     return found.groupBy(id_col).agg(F.array_sort(F.collect_list(entity)).alias("entities"))
 
@@ -283,11 +293,7 @@ def with_entities(
     if terms is not None:
         if "public" not in terms.columns:
             terms = terms.withColumn("public", F.lit(False))
-        if terms.limit(MAX_LISTED_TERMS + 1).count() <= MAX_LISTED_TERMS:
-            df = df.withColumn("_listed", listed_entities(F.col(text), terms))
-        else:
-            listed = gazetteer_matches(df, terms, id_col, text).withColumnRenamed("entities", "_listed")
-            df = df.join(listed, id_col, "left")
+        df = df.withColumn("_listed", listed_entities(F.col(text), terms))
         found = F.concat(found, F.coalesce("_listed", _none()))
     return (
         df.withColumn("_found", found)

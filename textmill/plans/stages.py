@@ -21,6 +21,7 @@ from textmill.operators.filters import (
     nordic_rules,
     outcome,
     quality_rules,
+    SENTENCE_JUNK,
     regex_filter,
 )
 from textmill.operators.language import LanguageModel
@@ -104,23 +105,28 @@ def deduplication(
     bit_precision: int = 64,
     id_col: str = "id",
 ) -> Outcome:
-    """Exact copies and MinHash clusters; the smallest id of each stays.
+    """Exact copies and MinHash clusters; the row with the smallest id of each stays.
 
-    Signatures and digests are computed in the row, and from there on only ids
-    and hashes travel. The text moves once, in the final join on the unique id.
+    Rows are told apart by keys, not by ids, so repeated ids do no harm. The
+    input is written once; digests and bands come from one projection of it, and
+    from there on only keys and hashes travel. The text moves once, in the final
+    join on the key.
     """
-    exact = dedup.exact_duplicate_ids(df, id_col).withColumn("_why", F.lit("exact"))
-    signed = dedup.signature(df.select(id_col, "text"), num_buckets, hashes_per_bucket, n_grams, bit_precision)
-    edges = dedup.minhash_buckets(signed.drop("text"), id_col, num_buckets, hashes_per_bucket)
-    near = dedup.removable(dedup.cluster_components(edges), id_col).withColumn("_why", F.lit("minhash"))
+    rows = dedup.keyed_rows(df, id_col)
+    key = dedup.ROW_KEY
+    signed = dedup.signature(rows.select(key, "text"), num_buckets, hashes_per_bucket, n_grams, bit_precision)
+    projected = tee_write(signed.select(key, F.sha2("text", 256).alias("_digest"), "signature"))
+    exact = dedup.exact_duplicate_keys(projected).withColumn("_why", F.lit("exact"))
+    edges = dedup.minhash_buckets(projected, key, num_buckets, hashes_per_bucket)
+    near = dedup.removable(dedup.cluster_components(edges), key).withColumn("_why", F.lit("minhash"))
     # A copy inside a cluster is reported once, as exact.
-    gone = tee_write(exact.unionByName(near).groupBy(id_col).agg(F.min("_why").alias("_why")))
+    gone = tee_write(exact.unionByName(near).groupBy(key).agg(F.min("_why").alias("_why")))
     removed = (
-        df.join(gone, id_col)
+        rows.join(gone, key)
         .withColumns({"filter_module": F.lit("Deduplication"), "filter_reason": F.col("_why")})
-        .drop("_why")
+        .drop("_why", key)
     )
-    return Outcome(df.join(gone, id_col, "left_anti"), removed)
+    return Outcome(rows.join(gone, key, "left_anti").drop(key), removed)
 
 
 def toxic_language_detection(
@@ -142,14 +148,19 @@ def machine_translation(
     stop_at: int | None = None,
     languages: list[str] = ("nl",),
     language_threshold: float = 0.65,
-    part_col: str | None = None,
+    part_col: str | None = "chunk_idx",
     formatted_rows_path: str | None = None,
     id_col: str = "id",
+    dry_run: bool = False,
+    batch_stop_at: int | None = None,
+    chunk_mode: str = "characters",
 ) -> Outcome:
     """Clean up, keep the wanted source language, translate, check the result, combine parts.
 
     The cleaned rows are written once (mid-plan copy) and the plan goes on from
-    that copy. ``part_col`` numbers the parts of a split document.
+    that copy. Where ``part_col`` exists the parts of a document are combined.
+    ``dry_run`` only counts what would be translated; ``batch_stop_at`` ends each
+    row after so many batches; ``chunk_mode`` is that of inference.translate.
     """
     cleaned = norm.apply_patches(df, [norm.collapse_repeated_words, norm.strip_bracket_tags])
     cleaned = tee_write(cleaned, formatted_rows_path)
@@ -158,10 +169,13 @@ def machine_translation(
     )
     wanted = outcome(selected)
     to_do = wanted.kept if stop_at is None else wanted.kept.orderBy(id_col).limit(stop_at)
-    translated = tee_write(inference.translate(to_do, translator, chunk_size, batch_size))
+    if dry_run:
+        named = to_do if "filename" in to_do.columns else to_do.withColumn("filename", F.lit("all"))
+        return Outcome(inference.translate_dry_run(named, "filename", chunk_size, batch_size), wanted.removed)
+    translated = tee_write(inference.translate(to_do, translator, chunk_size, batch_size, chunk_mode, batch_stop_at))
     checked = outcome(language_filter(model.detect(translated), list(languages), language_threshold))
     kept = checked.kept
-    if part_col is not None:
+    if part_col is not None and part_col in kept.columns:
         kept = combine_rows(kept, id_col, part_col, "")
     return Outcome(kept, wanted.removed.unionByName(checked.removed, allowMissingColumns=True))
 
@@ -175,16 +189,21 @@ def llm_processing(
     batch_size: int = 1000,
     languages: list[str] = ("nl", "en"),
     language_threshold: float = 0.65,
-    id_col: str = "id",
 ) -> Outcome:
-    """Split into lines, drop lines with junk, rejoin, prompt the model, check the language."""
-    parts = split_rows(df)
-    judged = regex_filter(parts, regex_exp) if regex_exp else regex_filter(parts)
-    lines = outcome(judged)
-    joined = combine_rows(lines.kept, id_col, "part_idx", "\n")
+    """Drop lines with junk, prompt the model with the others, check the language.
+
+    Lines are dropped inside their row, so no text travels and rows with equal
+    ids are never mixed; rows without any other line go. Rejected lines are
+    reported one by one, numbered by part_idx.
+    """
+    pattern = regex_exp or SENTENCE_JUNK
+    clean = F.filter(F.split("text", "\n"), lambda line: ~line.rlike(pattern))
+    rejected = outcome(regex_filter(split_rows(df.where(F.col("text").rlike(pattern))), pattern)).removed
+    joined = df.withColumn("_lines", clean).where(F.size("_lines") > 0)
+    joined = joined.withColumn("text", F.array_join("_lines", "\n")).drop("_lines")
     answered = tee_write(inference.prompt_model(joined, generator, prompt, batch_size))
     checked = outcome(language_filter(model.detect(answered), list(languages), language_threshold))
-    return Outcome(checked.kept, lines.removed.unionByName(checked.removed, allowMissingColumns=True))
+    return Outcome(checked.kept, rejected.unionByName(checked.removed, allowMissingColumns=True))
 
 
 def quality_analysis(

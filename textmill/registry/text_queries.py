@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from textmill.functions import normalize as norm
 from textmill.functions.fixed_values import PUNCTUATION_ONE_TO_ONE, PUNCTUATION_SPELLED_OUT
-from textmill.functions.text import text_metrics
+from textmill.functions.text import text_metrics, words
 from textmill.operators import rows
 from textmill.registry.base import DOCS, busy_docs, docs, query, table, words_sql
 
@@ -97,26 +97,29 @@ def combine_rows(spark, sf):
 
 @query(
     "unicode_normalize",
-    f"""SELECT lang, count(*) AS n_rows, count_if(nfc_normalize(t) <> t) AS n_changed,
-    sum(length(nfc_normalize(t)))::BIGINT AS n_char, md5(min(nfc_normalize(t))) AS smallest
-    FROM (SELECT lang, {PLANT_DECOMPOSED} AS t FROM {DOCS}) GROUP BY lang""",
+    f"""SELECT id, nfc_normalize(t) <> t AS changed, length(nfc_normalize(t))::BIGINT AS n_char, md5(nfc_normalize(t)) AS digest
+    FROM (SELECT id, {PLANT_DECOMPOSED} AS t FROM {DOCS})""",
 )
 def unicode_normalize(spark, sf):
     df = busy_docs(spark, sf).withColumn("text", F.replace("text", F.lit("\u00e9"), F.lit("e\u0301")))
     out = norm.with_changed_flag(df, norm.unicode_normalize)
-    return out.groupBy("lang").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.count_if("changed").alias("n_changed"),
-        F.sum(F.length("text")).alias("n_char"), F.md5(F.min("text")).alias("smallest"),
-    )
+    return out.select("id", "changed", F.length("text").cast("long").alias("n_char"), F.md5("text").alias("digest"))
 
 
 @query(
     "fix_mojibake",
-    f"SELECT id, 'café ' || regexp_replace(text, '[^\\x00-\\x7F]', '', 'g') AS text FROM {DOCS}",
+    f"""SELECT id, CASE id % 4 WHEN 2 THEN '{MOJIBAKE}— ' || text WHEN 3 THEN 'é {MOJIBAKE}' || text ELSE text END AS text FROM {DOCS}""",
 )
 def fix_mojibake(spark, sf):
-    plain = F.regexp_replace("text", "[^\\x00-\\x7F]", "")
-    return docs(spark, sf).select("id", norm.fix_mojibake(F.concat(F.lit(MOJIBAKE), plain)).alias("text"))
+    """Whole texts read as Latin-1 come back; texts with real accents, or mixed with other signs, stay."""
+    text, kind = F.col("text"), F.col("id") % 4
+    planted = (
+        F.when(kind == 0, F.decode(F.encode(text, "UTF-8"), "ISO-8859-1"))
+        .when(kind == 2, F.concat(F.lit(MOJIBAKE + "— "), text))
+        .when(kind == 3, F.concat(F.lit("é " + MOJIBAKE), text))
+        .otherwise(text)
+    )
+    return docs(spark, sf).select("id", norm.fix_mojibake(planted).alias("text"))
 
 
 PLANTED = "replace(replace(text, ', ', '，'), '. ', '…')"
@@ -137,11 +140,21 @@ def normalize_whitespace(spark, sf):
     return docs(spark, sf).select("id", norm.normalize_whitespace(planted).alias("text"))
 
 
-@query("collapse_repeated_words")
+@query(
+    "collapse_repeated_words",
+    f"""SELECT id, array_to_string(list_transform({words_sql()}, lambda w, i: regexp_replace(w, '[^A-Za-z]', '', 'g') || (i - 1)), ' ') AS text
+    FROM {DOCS}""",
+)
 def collapse_repeated_words(spark, sf):
-    df = busy_docs(spark, sf)
-    out = norm.collapse_repeated_words(F.col("text"))
-    return df.select("id", F.length("text").alias("n_before"), F.length(out).alias("n_after"), out.alias("text"))
+    """Numbered words never repeat; every third is tripled and every fifth given seven times."""
+
+    def planted(w, i):
+        word = F.concat(F.regexp_replace(w, "[^A-Za-z]", ""), i.cast("string"))
+        times = F.when(i % 5 == 0, 7).when(i % 3 == 0, 3).otherwise(1)
+        return F.array_join(F.array_repeat(word, times), " ")
+
+    numbered = F.array_join(F.transform(words(F.col("text")), planted), " ")
+    return busy_docs(spark, sf).select("id", norm.collapse_repeated_words(numbered).alias("text"))
 
 
 @query(

@@ -44,15 +44,18 @@ def read_paths_file(spark: SparkSession, paths_file: str, root: str = "") -> Dat
 def scan_skip_limit(df: DataFrame, skip: int = 0, limit: int = -1, id_col: str = "id") -> DataFrame:
     """Rows skip+1 .. skip+limit in id order; limit -1 keeps all that follow.
 
-    Row numbers come from a range-bucketed count, not from a global sort in one task.
+    Only ids are ordered, to find the two ids between which the wanted rows lie;
+    the rows themselves are filtered where they are. Rows with one id are taken
+    or left together. Rows without an id are never taken.
     """
     if skip <= 0 and limit < 0:
         return df
-    numbered = global_row_number(df, [id_col], "_row")
-    keep = F.col("_row") > skip
+    numbered = global_row_number(df.where(F.col(id_col).isNotNull()).groupBy(id_col).count(), [id_col], "_end", F.col("count"))
+    wanted = F.col("_end") > skip
     if limit >= 0:
-        keep &= F.col("_row") <= skip + limit
-    return numbered.where(keep).drop("_row")
+        wanted &= F.col("_end") <= skip + limit
+    first, last = numbered.where(wanted).agg(F.min(id_col), F.max(id_col)).first()
+    return df.where(F.col(id_col).between(first, last)) if first is not None else df.where(F.lit(False))
 
 
 def rename_id(df: DataFrame, id_key: str) -> DataFrame:
@@ -102,9 +105,10 @@ MAX_METADATA_KEYS = 1000
 
 
 def balance(df: DataFrame) -> DataFrame:
-    """Deal rows out when the scan has too few splits to keep the cores busy.
+    """Deal rows out to all cores when the scan has fewer splits than there are cores.
 
-    A large table has splits enough and passes unchanged, without a shuffle.
+    Never to fewer partitions than before: an input with a split for each core
+    passes unchanged, without a shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < 4 * cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

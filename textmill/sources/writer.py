@@ -54,16 +54,18 @@ def write_sized(
 def write_removed(df: DataFrame, path: str, max_file_bytes: int = REMOVED_FILE_BYTES) -> None:
     """Rejected rows go below filter_module=/filter_reason=, ready for pruned reads.
 
-    Rows without a reason are not rejects and are left out.
+    Rows that the language filter rejected go by their language instead of the
+    reason, below language=. Rows without a reason are not rejects and are left out.
     """
     removed = df.where(F.col("filter_reason").isNotNull())
-    write_sized(
-        removed,
-        f"{path.rstrip('/')}/removed_data",
-        max_file_bytes,
-        mode="overwrite",
-        partition_by=["filter_module", "filter_reason"],
-    )
+    by_language = F.col("filter_module") == "LanguageFilter"
+    parts = {"removed_data": (removed.where(~by_language), ["filter_module", "filter_reason"])}
+    if "language" in df.columns:
+        parts["removed_languages"] = (removed.where(by_language), ["filter_module", "language"])
+    else:
+        parts["removed_data"] = (removed, ["filter_module", "filter_reason"])
+    for name, (rows, columns) in parts.items():
+        write_sized(rows, f"{path.rstrip('/')}/{name}", max_file_bytes, mode="overwrite", partition_by=columns)
 
 
 def tee_write(df: DataFrame, path: str | None = None) -> DataFrame:
