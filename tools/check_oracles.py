@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import os
 import sys
+import tempfile
 import time
 
 import duckdb
@@ -53,7 +54,8 @@ def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     keys = sys.argv[2:]
     spark = build_session("check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
-                                                  "spark.driver.memory": "16g", "spark.ui.showConsoleProgress": "false"})
+                                                  "spark.driver.memory": "16g", "spark.checkpoint.dir": tempfile.mkdtemp(prefix="oracles-"),
+                                                  "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     con = duckdb.connect()
     for t in TABLES:
