@@ -19,7 +19,8 @@ Defined results
     null text: the empty text. Wordless texts are alike only when equal.
     A text of fewer than five words has one shingle, all its words.
     Repeated ids and rows: a row's class depends on its text alone; the class
-    id is the smallest id in the class (null only when all its ids are null).
+    id is the smallest id in the class (null only when all its ids are null), so
+    classes that share a repeated id share the class id, but not the label.
     Very long texts count whole.
 """
 
@@ -275,7 +276,10 @@ def near_classes(
     df: DataFrame, id_col: str = "doc_id", text: str = "text", threshold: float = THRESHOLD,
     bands: int = BANDS, rows: int = ROWS,
 ) -> DataFrame:
-    """(id, node, class_id) of every row; class_id is the smallest id of the row's class."""
+    """(id, node, label, class_id) of every row; class_id is the smallest id of the row's class.
+
+    The label tells classes apart even when ids repeat and two classes share their smallest.
+    """
     signed = materialize(signed_rows(df, id_col, text, bands, rows), "signed")
     nodes = materialize(
         signed.groupBy("node").agg(F.min("id").alias("id"), F.min_by("bands", "bands").alias("bands"), F.count("*").alias("n")),
@@ -303,9 +307,9 @@ def near_classes(
     ).where("label is not null or n > 1")
     grouped = materialize(grouped.select("node", "id", F.coalesce("label", "node").alias("label")), "grouped")
     lowest = grouped.groupBy("label").agg(F.min("id").alias("class_id"))
-    by_node = left_lookup(grouped.select("node", "label"), lowest, ["label"], F.col("node")).drop("label")
+    by_node = left_lookup(grouped.select("node", "label"), lowest, ["label"], F.col("node"))
     return left_lookup(signed.select("id", "node"), by_node, ["node"], F.col("id")).select(
-        "id", "node", F.coalesce("class_id", "id").alias("class_id")
+        "id", "node", F.coalesce("label", "node").alias("label"), F.coalesce("class_id", "id").alias("class_id")
     )
 
 
@@ -318,9 +322,10 @@ def keep_one(df: DataFrame, classes: DataFrame, id_col: str = "doc_id", text: st
     """
     key = ["_id", "_node"]
     rows = df.withColumns({"_id": F.col(id_col), "_node": digest(whole_text(text))})
-    known = classes.select(F.col("id").alias("_id"), F.col("node").alias("_node"), "class_id")
+    known = classes.select(F.col("id").alias("_id"), F.col("node").alias("_node"), "label", "class_id")
     # A class keeps its smallest id; of several texts of the class with that id the smallest node.
-    stays = known.where("_id = class_id").groupBy(F.col("class_id").alias("_id")).agg(F.min("_node").alias("_node"))
+    stays = known.where("_id = class_id").groupBy("label").agg(F.min("_id").alias("_id"), F.min("_node").alias("_node"))
+    stays = stays.select("_id", "_node")
     counted = known.groupBy(*key).agg(F.count("*").alias("_n"), F.max("class_id").alias("_class"))
     kept_key = stays.withColumn("_stays", F.lit(True))
     judged = counted.join(

@@ -163,8 +163,8 @@ def pack(items: list[Item], length: int = LENGTH, linear: float = LINEAR, final:
     """Place items into sequences of ``length`` tokens.
 
     Returns (placed, left): placed rows are (item, start in item, size, sequence,
-    offset); ``left`` are items that would fill less than one sequence, or
-    nothing when ``final``.
+    offset); ``left`` are items that would fill less than one sequence. When
+    ``final`` they get a last sequence of their own.
     """
     placed, parts, sequence = [], [], 0
     for item in items:
@@ -175,7 +175,7 @@ def pack(items: list[Item], length: int = LENGTH, linear: float = LINEAR, final:
         if size > start:
             parts.append((item, start, size - start))
     total = sum(p[2] for p in parts)
-    bins = total // length + (1 if final and total % length else 0)
+    bins = total // length
     left = []
     if bins:
         cost, room = np.zeros(bins), np.full(bins, length)
@@ -196,7 +196,14 @@ def pack(items: list[Item], length: int = LENGTH, linear: float = LINEAR, final:
                 start, size = start + put, size - put
     else:
         left = parts
-    return placed, [(i[0], i[1] + s, i[2][s : s + n], i[3]) for i, s, n in left], sequence + bins
+    used = sequence + bins
+    if final and left:
+        at = 0
+        for item, start, size in left:
+            placed.append((item, start, size, used, at))
+            at += size
+        left, used = [], used + 1
+    return placed, [(i[0], i[1] + s, i[2][s : s + n], i[3]) for i, s, n in left], used
 
 
 def _rows(placed, base: int, schema: pa.Schema, keep_ids: bool) -> pa.RecordBatch:
