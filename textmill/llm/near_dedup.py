@@ -42,6 +42,8 @@ ROWS = 5
 THRESHOLD = 0.8
 SHARES = 64
 PARTS = 64
+# Text signed or compared at a time, which bounds a worker's arrays.
+SIGNED_BYTES = 2 << 20
 
 
 # Signatures ------------------------------------------------------------------
@@ -76,7 +78,7 @@ def prob_minhash(key: np.ndarray, doc: np.ndarray, weight: np.ndarray, n_docs: i
 def band_keys(texts: pa.Array, bands: int = BANDS, rows: int = ROWS, size: int = SHINGLE) -> list[np.ndarray]:
     """One 64-bit key per band and text; none for texts without words."""
     out = []
-    for first, last in slices(texts):
+    for first, last in slices(texts, SIGNED_BYTES):
         key, doc, weight = weighted(*text_shingles(texts.slice(first, last - first), size))
         who = prob_minhash(key, doc, weight, last - first, bands * rows).reshape(last - first, bands, rows)
         code = np.tile(mix(np.arange(1, bands + 1, dtype=np.uint64)), (last - first, 1))
@@ -157,9 +159,9 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             text_a, text_b = batch.column("text_a"), batch.column("text_b")
-            for first, last in slices(text_a, 2 << 20):
+            for first, last in slices(text_a, SIGNED_BYTES):
                 # A range bounded by the left texts is cut again by the right ones.
-                for f, l in slices(text_b.slice(first, last - first), 2 << 20):
+                for f, l in slices(text_b.slice(first, last - first), SIGNED_BYTES):
                     at, n = first + f, l - f
                     sim = similarities(text_a.slice(at, n), text_b.slice(at, n))
                     yield pa.RecordBatch.from_arrays(
