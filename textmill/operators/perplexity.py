@@ -87,14 +87,16 @@ def perplexity(df: DataFrame, model: BigramModel, id_col: str, keep: list[str],
             out[i] = np.rint(np.log((pairs[p] + k) / (firsts[f] + floor)) * MICRO).sum()
         return pd.Series(out)
 
-    rows = df.select(id_col, *keep, bigram_buckets(F.col(text)).alias("_b")).where(F.size("_b") > 0)
+    rows = df.select(id_col, *keep, bigram_buckets(F.coalesce(text, F.lit(""))).alias("_b"))
     scored = rows.select(
         id_col,
         *keep,
         F.size("_b").cast("long").alias("n_bigrams"),
         micro.asNondeterministic()(F.col("_b.p"), F.col("_b.f")).alias("_micro"),
     )
-    return scored.withColumn("perplexity", F.exp(-F.col("_micro") / MICRO / F.col("n_bigrams"))).drop("_micro")
+    # Filtered behind the call, past which nothing is pushed: a filter on the array would compute it twice.
+    some = scored.where(F.col("n_bigrams") > 0)
+    return some.withColumn("perplexity", F.exp(-F.col("_micro") / MICRO / F.col("n_bigrams"))).drop("_micro")
 
 
 def partial_stats(scored: DataFrame, group: list[str]) -> DataFrame:
