@@ -1,23 +1,30 @@
 """Perplexity under an add-k word bigram model, its summaries and their merge.
 
-Bigrams and words are counted in fixed numbers of hash buckets. The two count
-arrays are small enough for every task, so a document is scored where it lies.
+fold_perplexity counts every bigram and word by 64-bit hashes, in partitioned tables
+that grow with the corpus. fit_bigram_model and perplexity are an estimate of fixed
+size (bigrams that share a bucket are added up); no registered query uses them.
 Log-probabilities are kept as whole micro-nats, so sums do not depend on their order.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from textmill.functions.arrays import explode_once, let
 from textmill.functions.text import words
+from textmill.session import materialize
 
 MICRO = 1_000_000
 TOP_VALUES = 100_000
+# No more than HOT n-grams can each hold a HOT-th of all uses; those are broadcast.
+HOT = 100_000
+WORDS_AT_ONCE = 1 << 18
 # Primes: buckets for pairs (16 MB of counts) and for words, and the multiplier of a pair's first word.
 PAIRS, FIRSTS, SPREAD = 4_194_301, 1_048_573, 1_000_003
 
@@ -99,6 +106,101 @@ def perplexity(df: DataFrame, model: BigramModel, id_col: str, keep: list[str],
     return some.withColumn("perplexity", F.exp(-F.col("_micro") / MICRO / F.col("n_bigrams"))).drop("_micro")
 
 
+def pair_rows(df: DataFrame, per_document: bool) -> DataFrame:
+    """(doc, fold, pair, w1, w2, uses) of df(doc, fold, codes): every bigram with its uses in a document.
+
+    Otherwise the uses of neighbouring documents of a fold are added up, and doc is null.
+    """
+
+    def exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            docs, folds = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            lists = batch.column(2)
+            offsets = lists.offsets.to_numpy()
+            values = lists.values.to_numpy().view(np.uint64)
+            a = 0
+            while a < len(docs):
+                # As many whole documents as fit, and one at least.
+                b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + WORDS_AT_ONCE, "right")) - 1)
+                b = min(b, len(docs))
+                code = values[offsets[a] : offsets[b]]
+                owner = np.repeat(np.arange(a, b), np.diff(offsets[a : b + 1]))
+                inside = np.flatnonzero(owner[1:] == owner[:-1])
+                owner, w1, w2 = owner[inside], code[inside], code[inside + 1]
+                a = b
+                pair = w1 * np.uint64(0x9E3779B97F4A7C15) + w2 * np.uint64(0xC2B2AE3D27D4EB4F)
+                pair = (pair ^ (pair >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+                pair ^= pair >> np.uint64(29)
+                key = owner if per_document else folds[owner]
+                order = np.lexsort((pair, key))
+                pair, key = pair[order], key[order]
+                new = np.ones(len(pair), bool)
+                new[1:] = (pair[1:] != pair[:-1]) | (key[1:] != key[:-1])
+                start = np.flatnonzero(new)
+                at = order[start]
+                columns = [
+                    pa.array(docs[owner[at]]) if per_document else pa.nulls(len(at), pa.int64()),
+                    pa.array(folds[owner[at]]),
+                    *[pa.array(c.view(np.int64)) for c in (pair[start], w1[at], w2[at])],
+                    pa.array(np.diff(np.append(start, len(pair))).astype(np.int64)),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["doc", "fold", "pair", "w1", "w2", "uses"])
+
+    shape = "doc long, fold int, pair long, w1 long, w2 long, uses long"
+    return df.select("doc", "fold", "codes").mapInArrow(exploded, shape)
+
+
+def fold_perplexity(
+    df: DataFrame, id_col: str, keep: list[str], fold: Column, text: str = "text", k: float = 0.1
+) -> DataFrame:
+    """perplexity of the texts of each fold (0 or 1) under the exact counts of the other one.
+
+    No row for texts under two words; null where the other fold has no bigram.
+    Rows stay apart though ids repeat.
+    """
+    body = F.coalesce(text, F.lit(""))
+    side = fold.cast("int")
+    named = df.select(id_col, *keep, F.xxhash64(id_col, body, side).alias("doc"), side.alias("fold"), words(body).alias("_w"))
+    coded = named.select("doc", "fold", F.transform("_w", lambda w: F.xxhash64(w)).alias("codes"))
+    used = [F.sum(F.when(F.col("fold") == i, F.col("uses")).otherwise(0)).alias(f"n{i}") for i in (0, 1)]
+    pairs = materialize(pair_rows(coded, False).groupBy("pair", "w1", "w2").agg(*used), "bigrams")
+    # A word's uses as a first word, and the folds it occurs in.
+    ends = F.array(
+        F.struct(F.col("w1").alias("w"), F.col("n0").alias("f0"), F.col("n1").alias("f1"), "n0", "n1"),
+        F.struct(F.col("w2").alias("w"), F.lit(0).cast("long").alias("f0"), F.lit(0).cast("long").alias("f1"), "n0", "n1"),
+    )
+    counted = pairs.select(F.explode(ends).alias("e")).groupBy(F.col("e.w").alias("w1")).agg(
+        *[F.sum(f"e.f{i}").alias(f"f{i}") for i in (0, 1)], *[F.max((F.col(f"e.n{i}") > 0).cast("int")).alias(f"s{i}") for i in (0, 1)]
+    )
+    firsts = materialize(counted, "firsts")
+    v0, v1, total = firsts.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in (F.col("s0"), F.col("s1"), F.col("f0") + F.col("f1"))]).first()
+
+    def under(n: str, f: str, vocabulary: int) -> Column:
+        p = (F.col(n) + k) / (F.col(f) + k * vocabulary)
+        return F.round(F.ln(p) * MICRO).cast("long") if vocabulary else F.lit(None).cast("long")
+
+    frequent = F.broadcast(firsts.where((F.col("f0") + F.col("f1")) * HOT >= max(total, 1)))
+    both = pairs.join(frequent, "w1").unionByName(pairs.join(frequent.select("w1"), "w1", "left_anti").join(firsts, "w1"))
+    rated = both.select(
+        "pair", (F.col("n0") + F.col("n1")).alias("n"), under("n1", "f1", v1).alias("m0"), under("n0", "f0", v0).alias("m1")
+    )
+    rated = materialize(rated, "rated")
+    often = F.col("n") * HOT >= max(total, 1)
+    hot = F.broadcast(rated.where(often))
+    rows = pair_rows(coded, True).select("doc", "fold", "pair", "uses")
+
+    def summed(joined: DataFrame) -> DataFrame:
+        micro = F.when(F.col("fold") == 0, F.col("m0")).otherwise(F.col("m1"))
+        return joined.groupBy("doc").agg(F.sum(micro * F.col("uses")).alias("micro"), F.sum("uses").alias("uses"))
+
+    rest = rows.join(hot.select("pair"), "pair", "left_anti")
+    parts = summed(rows.join(hot, "pair")).unionByName(summed(rest.join(rated.where(~often), "pair")))
+    # Equal rows share one sum, which holds the uses of all of them.
+    sums = parts.groupBy("doc").agg((F.sum("micro") / MICRO / F.sum("uses")).alias("_mean"))
+    texts = named.select(id_col, *keep, "doc", (F.size("_w") - 1).cast("long").alias("n_bigrams")).where("n_bigrams > 0")
+    return texts.join(sums, "doc").withColumn("perplexity", F.exp(-F.col("_mean"))).drop("doc", "_mean")
+
+
 def partial_stats(scored: DataFrame, group: list[str]) -> DataFrame:
     """Mergeable figures per group and input partition, as a shard would report them.
 

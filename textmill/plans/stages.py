@@ -6,7 +6,7 @@ Catalyst optimises across stage borders.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from textmill.functions import normalize as norm
 from textmill.functions.fixed_values import PARAGRAPH_PROMPT
@@ -207,11 +207,24 @@ def llm_processing(
 
 
 def quality_analysis(
-    df: DataFrame, model: ppl.BigramModel, id_col: str = "id", group: list[str] = ("language",), top_k: int = ppl.TOP_VALUES
+    df: DataFrame,
+    model: ppl.BigramModel | None = None,
+    id_col: str = "id",
+    group: list[str] = ("language",),
+    top_k: int = ppl.TOP_VALUES,
+    fold: Column | None = None,
 ) -> dict[str, DataFrame]:
-    """Perplexity per document, then the summary and histogram groups."""
+    """Perplexity per document, then the summary and histogram groups.
+
+    Without a model each fold of the rows (by a hash of the id, unless given) is
+    scored under the exact counts of the other one.
+    """
     group = list(group)
-    scored = tee_write(ppl.perplexity(df, model, id_col, group))
+    if model is None:
+        fold = F.pmod(F.xxhash64(id_col), F.lit(2)) if fold is None else fold
+        scored = tee_write(ppl.fold_perplexity(df, id_col, group, fold))
+    else:
+        scored = tee_write(ppl.perplexity(df, model, id_col, group))
     return {
         "documents": scored,
         "summary": ppl.merge_stats(ppl.partial_stats(scored, group), group),

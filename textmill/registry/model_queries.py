@@ -89,8 +89,7 @@ BIGRAM_CTES = f"""WITH w AS (SELECT id, lang, list_transform({words_sql()}, lamb
 
 def scored(spark, sf):
     """Trained on documents with an even id; the others are scored, so unseen bigrams occur."""
-    df = busy_docs(spark, sf)
-    return ppl.perplexity(df.where("id % 2 = 1"), ppl.fit_bigram_model(df.where("id % 2 = 0")), "id", ["lang"])
+    return ppl.fold_perplexity(busy_docs(spark, sf), "id", ["lang"], F.col("id") % 2).where("id % 2 = 1")
 
 
 @query("perplexity", BIGRAM_CTES + " SELECT id, lang, n_bigrams, round(perplexity, 6) AS perplexity FROM pp")
