@@ -13,7 +13,7 @@ EXACT_CTES = f"""WITH w AS (SELECT id, lang, {words_sql()} AS words FROM {DOCS})
  pr AS (SELECT 1 - side AS side, w1, w2, count(*) AS n_pair FROM b GROUP BY ALL),
  fi AS (SELECT 1 - side AS side, w1, count(*) AS n_first FROM b GROUP BY ALL),
  vo AS (SELECT 1 - side AS side, count(*) AS v FROM (SELECT side, w1 FROM b UNION SELECT side, w2 FROM b) GROUP BY ALL),
- lp AS (SELECT id, lang, round(ln((coalesce(n_pair, 0) + 0.1::DOUBLE) / (coalesce(n_first, 0) + 0.1::DOUBLE * v)) * 1000000)::BIGINT AS micro
+ lp AS (SELECT id, lang, round(ln(coalesce(n_pair, 0) + 0.1::DOUBLE) * 1000000)::BIGINT - round(ln(coalesce(n_first, 0) + 0.1::DOUBLE * v) * 1000000)::BIGINT AS micro
    FROM b LEFT JOIN pr USING (side, w1, w2) LEFT JOIN fi USING (side, w1) JOIN vo USING (side)),
  pp AS (SELECT id, lang, count(*) AS n_bigrams, exp(-(sum(micro)::DOUBLE / 1000000 / count(*))) AS perplexity FROM lp GROUP BY id, lang)"""
 
@@ -53,5 +53,20 @@ def test_rows_of_a_fold(spark):
 def test_registered_query_counts_exactly(spark):
     folder = "/root/testdata/sf0.01"
     got = {r.id: r.perplexity for r in all_queries()["perplexity"](spark, folder).collect()}
-    want = dict(exact(folder, " SELECT id, perplexity FROM pp WHERE id % 2 = 1"))
+    want = dict(exact(folder, " SELECT id, perplexity FROM pp"))
+    assert got.keys() == want.keys()
     assert all(got[i] == pytest.approx(want[i], abs=2e-6) for i in want)
+
+
+@pytest.mark.parametrize("key", ["perplexity_summary", "merge_stats", "quality_analysis"])
+def test_summaries_hold_all_documents(spark, sf, key):
+    got = {r.lang: r for r in all_queries()[key](spark, sf).collect()}
+    want = exact(sf, " SELECT lang, count(*), avg(perplexity), max(perplexity) FROM pp GROUP BY lang")
+    assert got.keys() == {r[0] for r in want}
+    for lang, n, mean, top in want:
+        assert got[lang].n == n and got[lang].mean == pytest.approx(mean, abs=1e-3) and got[lang].max == pytest.approx(top, abs=1e-3)
+
+
+def test_histogram_holds_all_documents(spark, sf):
+    got = sorted(map(tuple, all_queries()["perplexity_histogram"](spark, sf).select("lang", "value", "n").collect()))
+    assert got == sorted(exact(sf, " SELECT lang, round(perplexity) AS value, count(*) AS n FROM pp GROUP BY ALL"))

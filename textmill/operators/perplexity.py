@@ -22,8 +22,8 @@ from textmill.session import materialize
 
 MICRO = 1_000_000
 TOP_VALUES = 100_000
-# No more than HOT n-grams can each hold a HOT-th of all uses; those are broadcast.
-HOT = 100_000
+# No more than HOT n-grams can each hold a HOT-th of the uses in a sample (one document of SAMPLE); those are broadcast.
+HOT, SAMPLE = 1_000_000, 16
 WORDS_AT_ONCE = 1 << 18
 # Primes: buckets for pairs (16 MB of counts) and for words, and the multiplier of a pair's first word.
 PAIRS, FIRSTS, SPREAD = 4_194_301, 1_048_573, 1_000_003
@@ -106,13 +106,14 @@ def perplexity(df: DataFrame, model: BigramModel, id_col: str, keep: list[str],
     return some.withColumn("perplexity", F.exp(-F.col("_micro") / MICRO / F.col("n_bigrams"))).drop("_micro")
 
 
-def pair_rows(df: DataFrame, per_document: bool) -> DataFrame:
-    """(doc, fold, pair, w1, w2, uses) of df(doc, fold, codes): every bigram with its uses in a document.
+def gram_rows(coded: DataFrame) -> DataFrame:
+    """(doc, gram, both) of coded(doc, fold, codes): the bigrams of a document and its words that begin one.
 
-    Otherwise the uses of neighbouring documents of a fold are added up, and doc is null.
+    A bigram's gram is odd, a word's even; ``both`` is twice the uses plus the fold.
     """
 
     def exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        one = np.uint64(1)
         for batch in batches:
             docs, folds = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             lists = batch.column(2)
@@ -131,23 +132,17 @@ def pair_rows(df: DataFrame, per_document: bool) -> DataFrame:
                 pair = w1 * np.uint64(0x9E3779B97F4A7C15) + w2 * np.uint64(0xC2B2AE3D27D4EB4F)
                 pair = (pair ^ (pair >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
                 pair ^= pair >> np.uint64(29)
-                key = owner if per_document else folds[owner]
-                order = np.lexsort((pair, key))
-                pair, key = pair[order], key[order]
-                new = np.ones(len(pair), bool)
-                new[1:] = (pair[1:] != pair[:-1]) | (key[1:] != key[:-1])
+                gram, owner = np.concatenate([pair | one, w1 & ~one]), np.concatenate([owner, owner])
+                order = np.lexsort((gram, owner))
+                gram, owner = gram[order], owner[order]
+                new = np.ones(len(gram), bool)
+                new[1:] = (gram[1:] != gram[:-1]) | (owner[1:] != owner[:-1])
                 start = np.flatnonzero(new)
-                at = order[start]
-                columns = [
-                    pa.array(docs[owner[at]]) if per_document else pa.nulls(len(at), pa.int64()),
-                    pa.array(folds[owner[at]]),
-                    *[pa.array(c.view(np.int64)) for c in (pair[start], w1[at], w2[at])],
-                    pa.array(np.diff(np.append(start, len(pair))).astype(np.int64)),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, ["doc", "fold", "pair", "w1", "w2", "uses"])
+                uses, owner = np.diff(np.append(start, len(gram))).astype(np.int64), owner[start]
+                columns = [pa.array(docs[owner]), pa.array(gram[start].view(np.int64)), pa.array(2 * uses + folds[owner])]
+                yield pa.RecordBatch.from_arrays(columns, ["doc", "gram", "both"])
 
-    shape = "doc long, fold int, pair long, w1 long, w2 long, uses long"
-    return df.select("doc", "fold", "codes").mapInArrow(exploded, shape)
+    return coded.mapInArrow(exploded, "doc long, gram long, both long")
 
 
 def fold_perplexity(
@@ -158,45 +153,45 @@ def fold_perplexity(
     No row for texts under two words; null where the other fold has no bigram.
     Rows stay apart though ids repeat.
     """
+    spark = df.sparkSession
     body = F.coalesce(text, F.lit(""))
-    side = fold.cast("int")
+    side = fold.cast("long")
     named = df.select(id_col, *keep, F.xxhash64(id_col, body, side).alias("doc"), side.alias("fold"), words(body).alias("_w"))
     coded = named.select("doc", "fold", F.transform("_w", lambda w: F.xxhash64(w)).alias("codes"))
-    used = [F.sum(F.when(F.col("fold") == i, F.col("uses")).otherwise(0)).alias(f"n{i}") for i in (0, 1)]
-    pairs = materialize(pair_rows(coded, False).groupBy("pair", "w1", "w2").agg(*used), "bigrams")
-    # A word's uses as a first word, and the folds it occurs in.
-    ends = F.array(
-        F.struct(F.col("w1").alias("w"), F.col("n0").alias("f0"), F.col("n1").alias("f1"), "n0", "n1"),
-        F.struct(F.col("w2").alias("w"), F.lit(0).cast("long").alias("f0"), F.lit(0).cast("long").alias("f1"), "n0", "n1"),
-    )
-    counted = pairs.select(F.explode(ends).alias("e")).groupBy(F.col("e.w").alias("w1")).agg(
-        *[F.sum(f"e.f{i}").alias(f"f{i}") for i in (0, 1)], *[F.max((F.col(f"e.n{i}") > 0).cast("int")).alias(f"s{i}") for i in (0, 1)]
-    )
-    firsts = materialize(counted, "firsts")
-    v0, v1, total = firsts.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in (F.col("s0"), F.col("s1"), F.col("f0") + F.col("f1"))]).first()
-
-    def under(n: str, f: str, vocabulary: int) -> Column:
-        p = (F.col(n) + k) / (F.col(f) + k * vocabulary)
-        return F.round(F.ln(p) * MICRO).cast("long") if vocabulary else F.lit(None).cast("long")
-
-    frequent = F.broadcast(firsts.where((F.col("f0") + F.col("f1")) * HOT >= max(total, 1)))
-    both = pairs.join(frequent, "w1").unionByName(pairs.join(frequent.select("w1"), "w1", "left_anti").join(firsts, "w1"))
-    rated = both.select(
-        "pair", (F.col("n0") + F.col("n1")).alias("n"), under("n1", "f1", v1).alias("m0"), under("n0", "f0", v0).alias("m1")
-    )
-    rated = materialize(rated, "rated")
-    often = F.col("n") * HOT >= max(total, 1)
-    hot = F.broadcast(rated.where(often))
-    rows = pair_rows(coded, True).select("doc", "fold", "pair", "uses")
+    seen = coded.where(F.size("codes") > 1).select("fold", F.explode(F.array_distinct("codes")).alias("w")).distinct()
+    sizes = {r["fold"]: r["v"] for r in seen.groupBy("fold").agg(F.count("w").alias("v")).collect()}
+
+    uses, of_fold = F.shiftright("both", 1), F.col("both") % 2
+    counts = [F.sum(F.when(of_fold == i, uses).otherwise(0)).alias(f"n{i}") for i in (0, 1)]
+    sampled = gram_rows(coded.where(F.pmod("doc", F.lit(SAMPLE)) == 0)).groupBy("gram").agg(F.sum(uses).alias("c"))
+    sampled = materialize(sampled.where("c > 1"), "sampled")
+    total = sampled.agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
+    # Which way a gram goes changes no result: a sample may choose the frequent ones.
+    hot = materialize(sampled.where(F.col("c") * HOT >= total).select("gram"), "hot")
+    rows = gram_rows(coded)
+    hot_counts = materialize(rows.join(F.broadcast(hot), "gram").groupBy("gram").agg(*counts), "hot_counts")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cold = rows.join(F.broadcast(hot), "gram", "left_anti").repartition(parts, "gram")
+    # Both sides use all columns of the exchange (df is the number of documents), so both read the same one.
+    table = cold.groupBy("gram").agg(*counts, F.count("doc").alias("df"))
 
     def summed(joined: DataFrame) -> DataFrame:
-        micro = F.when(F.col("fold") == 0, F.col("m0")).otherwise(F.col("m1"))
-        return joined.groupBy("doc").agg(F.sum(micro * F.col("uses")).alias("micro"), F.sum("uses").alias("uses"))
+        other = F.when(of_fold == 0, F.col("n1")).otherwise(F.col("n0"))
+        vocabulary = F.when(of_fold == 0, F.lit(sizes.get(1))).otherwise(F.lit(sizes.get(0)))
+        is_pair = F.col("gram").bitwiseAND(1) == 1
+        micro = F.round(F.ln(other + F.when(is_pair, F.lit(k)).otherwise(k * vocabulary)) * MICRO).cast("long") * uses
+        return joined.groupBy("doc").agg(
+            F.sum(F.when(is_pair, micro).otherwise(-micro)).alias("micro"), F.sum(F.when(is_pair, uses)).alias("uses"),
+            F.count_if(micro.isNull()).alias("open"),
+        )
 
-    rest = rows.join(hot.select("pair"), "pair", "left_anti")
-    parts = summed(rows.join(hot, "pair")).unionByName(summed(rest.join(rated.where(~often), "pair")))
+    frequent = summed(rows.join(F.broadcast(hot_counts), "gram"))
+    # Not broadcast: a small table would be, and the rows counted twice.
+    rare = summed(cold.join(table.where("df > 0").hint("merge"), "gram"))
     # Equal rows share one sum, which holds the uses of all of them.
-    sums = parts.groupBy("doc").agg((F.sum("micro") / MICRO / F.sum("uses")).alias("_mean"))
+    sums = materialize(rare, "rare").unionByName(materialize(frequent, "frequent")).groupBy("doc").agg(
+        F.when(F.sum("open") == 0, F.sum("micro") / MICRO / F.sum("uses")).alias("_mean")
+    )
     texts = named.select(id_col, *keep, "doc", (F.size("_w") - 1).cast("long").alias("n_bigrams")).where("n_bigrams > 0")
     return texts.join(sums, "doc").withColumn("perplexity", F.exp(-F.col("_mean"))).drop("doc", "_mean")
 

@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 from textmill.functions.normalize import normalize_whitespace
 from textmill.functions.text import drop_parts, text_metrics, with_parts
 from textmill.operators import filters as flt, stats
-from textmill.operators.perplexity import merge_stats, partial_stats
 from textmill.plans import stages
 from textmill.plans.chain import curation_chain
 from textmill.plans.delivery import deliver
@@ -197,8 +196,7 @@ def llm_processing(spark, sf):
 
 @query("quality_analysis", BIGRAM_CTES + SUMMARY_SQL)
 def quality_analysis(spark, sf):
-    documents = stages.quality_analysis(busy_docs(spark, sf), group=["lang"], fold=F.col("id") % 2)["documents"]
-    return rounded(merge_stats(partial_stats(documents.where("id % 2 = 1"), ["lang"]), ["lang"]))
+    return rounded(stages.quality_analysis(busy_docs(spark, sf), group=["lang"], fold=F.pmod("id", F.lit(2)))["summary"])
 
 
 CHAIN_SQL = (
