@@ -536,6 +536,13 @@ def test_labels_agree_with_tags_on_pages_not_trained_on(spark, labeller):
     assert right / total > 0.995
 
 
+def test_path_holds_all_open_elements():
+    deep = "<html><body><div><main><div><div class='comments'>" + "<ul><li><div>" * 4 + "<p>Said by a reader.</p>" + "</div></li></ul>" * 4
+    first, last = html_extraction.blocks(deep + "</div><p>After.</p>")
+    assert ".comments" in first.path and "main" in first.path and ".comments" not in last.path
+    assert html_extraction.taught([first, last]) == [False, True]
+
+
 def test_training_without_pages_gives_a_labeller(spark):
     empty = spark.createDataFrame([], "page_id long, html string")
     assert html_extraction.fit_labeller(empty) is not None

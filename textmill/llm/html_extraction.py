@@ -72,6 +72,15 @@ EXTRAS = [
 ]
 
 
+# Tokens that labels come from keep their names; the others are known by their slot of the vector.
+# So the open elements of a page, however deep, have no more different tokens than these and PATH.
+NAMED = {"article", "main"} | BOILERPLATE_TAGS | {"." + name for name in BOILERPLATE_NAMES}
+
+
+def placed(token: str) -> str:
+    return token if token in NAMED else f"#{zlib.crc32(token.encode()) % PATH}"
+
+
 class Block(NamedTuple):
     path: tuple[str, ...]
     text: str
@@ -82,6 +91,7 @@ def blocks(page: str) -> list[Block]:
     """The leaf blocks of a page in order, with non-empty text."""
     out: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
+    opened: dict[str, int] = {}  # how often each token of all open elements occurs
     parts: list[str] = []
     links = [0, 0]  # open links, characters inside links
 
@@ -91,15 +101,17 @@ def blocks(page: str) -> list[Block]:
         linked, links[1] = links[1], 0
         text = " ".join(entities.unescape(raw).split())
         if text:
-            # The outermost and the nearest ancestors; a path has no more than these.
-            near = stack if len(stack) <= 12 else stack[:4] + stack[-8:]
-            out.append(Block(tuple(t for _, tokens in near for t in tokens), text, linked))
+            out.append(Block(tuple(opened), text, linked))
 
     def close(name: str, until: frozenset[str] = frozenset()) -> None:
         for i in range(len(stack) - 1, -1, -1):
             if stack[i][0] == name:
-                for tag, _ in stack[i:]:
+                for tag, tokens in stack[i:]:
                     links[0] -= tag == "a"
+                    for token in tokens:
+                        opened[token] -= 1
+                        if not opened[token]:
+                            del opened[token]
                 del stack[i:]
                 return
             if stack[i][0] in until:
@@ -132,6 +144,9 @@ def blocks(page: str) -> list[Block]:
             value = found[1] or found[2] or found[3] or ""
             tokens += ["." + part.lower() for part in _NAME_PART.findall(value)]
         links[0] += name == "a"
+        tokens = [placed(token) for token in tokens]
+        for token in tokens:
+            opened[token] = opened.get(token, 0) + 1
         stack.append((name, tuple(tokens)))
     if at < len(page):
         parts.append(page[at:])
@@ -149,7 +164,8 @@ def vectors(listed: list[Block], page_of: np.ndarray) -> np.ndarray:
         for token in block.path:
             slot = known.get(token)
             if slot is None:
-                slot = known[token] = zlib.crc32(token.encode()) % PATH
+                slot = int(token[1:]) if token[0] == "#" else zlib.crc32(token.encode()) % PATH
+                known[token] = slot
             x[i, slot] = 1.0
     texts = pa.array([b.text for b in listed], pa.string())
     for a, b in slices(texts):
