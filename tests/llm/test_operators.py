@@ -536,6 +536,23 @@ def test_labels_agree_with_tags_on_pages_not_trained_on(spark, labeller):
     assert right / total > 0.995
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<p>One.</p><svg class='i'/><p>Two.</p><p>Three.</p>", ["One.", "Two.", "Three."]),
+    ("<p>One.</p><template/><p>Two.</p><svg a='>'><text>no</text></svg><p>Three.</p>", ["One.", "Two.", "Three."]),
+    ("<p>One.</p><div data-x='" + "a>" * 2500 + "'>Two.</div>", ["One.", "Two."]),
+    ("<svg-icon>One.</svg-icon><p title=it's>Two.</p><p>It's three.</p>", ["One.", "Two.", "It's three."]),
+    ('<p title="open>One.</p><p>Two.</p>', ["One.", "Two."]),
+    ("<p>One.</p><script>a</script><p>Two.</p><script/>no", ["One.", "Two."]),
+])
+def test_tokens_of_valid_pages(page, want):
+    assert [b.text for b in html_extraction.blocks(page)] == want
+
+
+def test_unclosed_tags_and_quotes_are_read_once():
+    for piece in ("<a ", '<a b="', "<a b='x' c=\"", "<svg ", "<svg a='"):
+        html_extraction.blocks("<p>x</p>" + piece * 50_000)
+
+
 def test_path_holds_all_open_elements():
     deep = "<html><body><div><main><div><div class='comments'>" + "<ul><li><div>" * 4 + "<p>Said by a reader.</p>" + "</div></li></ul>" * 4
     first, last = html_extraction.blocks(deep + "</div><p>After.</p>")

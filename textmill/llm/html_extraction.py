@@ -39,11 +39,15 @@ EPOCHS = 10
 BLOCKS_AT_ONCE = 16_384
 SEED = 17
 
+# Values are quoted only behind an equals sign, so other quotes never hide a tag's end. A tag that the
+# page does not end is read to the page's end, so no part of a page is read again and again.
+_ATTRIBUTES = r"(?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')|=)*+"
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|$)"
-    r"|<(script|style|noscript|template|svg|iframe)\b[^>]*>.*?(?:</\1\s*>|$)"
-    r"|<(/?)([a-z][a-z0-9:-]*)((?:[^>\"']++|\"[^\"]{0,4096}+\"|'[^']{0,4096}+'|[\"'])*+)>"
-    r"|<[!?][^>]*>|</?[a-z][^<>]*$",
+    rf"|<(?P<raw>script|style|iframe)(?![a-z0-9:-]){_ATTRIBUTES}>.*?(?:</(?P=raw)\s*>|$)"
+    rf"|<(?P<unseen>noscript|template|svg)(?![a-z0-9:-]){_ATTRIBUTES}(?:(?<=/)>|>.*?(?:</(?P=unseen)\s*>|$))"
+    rf"|<(?P<end>/?)(?P<name>[a-z][a-z0-9:-]*)(?P<attributes>{_ATTRIBUTES})(?:>|$)"
+    r"|<[!?][^>]*>",
     re.S | re.I,
 )
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -123,14 +127,14 @@ def blocks(page: str) -> list[Block]:
             parts.append(page[at : m.start()])
             links[1] += (m.start() - at) if links[0] > 0 else 0
         at = m.end()
-        name = (m[3] or "").lower()
+        name = (m["name"] or "").lower()
         if not name:
             continue
         if name in BLOCK_TAGS:
             flush()
         elif name == "br":
             parts.append(" ")
-        if m[2]:
+        if m["end"]:
             close(name)
             continue
         if name in VOID_TAGS:
@@ -140,7 +144,7 @@ def blocks(page: str) -> list[Block]:
         for same in SAME_LEVEL.get(name, "").split():
             close(same, frozenset({"ul", "ol", "dl", "table", "select"}))
         tokens = [name]
-        for found in _NAMES.finditer(m[4]) if "=" in m[4] else ():
+        for found in _NAMES.finditer(m["attributes"]) if "=" in m["attributes"] else ():
             value = found[1] or found[2] or found[3] or ""
             tokens += ["." + part.lower() for part in _NAME_PART.findall(value)]
         links[0] += name == "a"
