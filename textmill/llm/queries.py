@@ -11,6 +11,7 @@ from textmill.llm import (
     fingerprints,
     html_extraction,
     lm_scoring,
+    merkle,
     near_dedup,
     packing,
     secrets,
@@ -194,3 +195,67 @@ def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", toxicity.held_out("doc_id").alias("held_out"), "score",
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
     )
+
+
+# 11: Merkle manifest -------------------------------------------------------------
+
+# DuckDB has no CRC-32: its table, and the digits of a text fed through it.
+_CRC_TABLE = """list_transform(range(256), lambda n: list_reduce(list_concat([n], [0, 0, 0, 0, 0, 0, 0, 0]),
+  lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))"""
+
+
+def _crc_sql(text: str) -> str:
+    return f"""xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(range(1, length({text}) + 1),
+      lambda i: ascii(substr({text}, i, 1))::BIGINT)), lambda c, b: xor(c >> 8, crc_table[(xor(c, b) & 255) + 1])), 4294967295)"""
+
+
+@query
+def op11_merkle(spark: SparkSession, sf: str) -> DataFrame:
+    """Proofs of all documents against the manifest, half of them with line ends deleted."""
+    documents = table(spark, sf, "documents").select(*merkle.FIELDS)
+    even = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    return merkle.tampered_proofs(documents, F.when(even, F.replace("text", F.lit("\n"), F.lit(""))))
+
+
+def _field_sql(name: str) -> str:
+    return f"coalesce(strlen({name}::VARCHAR) || ':' || {name}, '-')"
+
+
+ORACLES["op11_merkle"] = f"""
+WITH RECURSIVE crc AS (SELECT {_CRC_TABLE} AS crc_table),
+changed AS (SELECT *, CASE WHEN {_crc_sql('doc_id::VARCHAR')} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS cut
+  FROM documents, crc),
+leaves AS (SELECT doc_id, coalesce('.' || source, '') AS tree,
+  sha256({' || '.join(map(_field_sql, merkle.FIELDS))}) AS leaf,
+  sha256({' || '.join(map(_field_sql, [*merkle.FIELDS[:-1], 'cut']))}) AS tampered FROM changed),
+placed AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM leaves),
+low(tree, lvl, pos, h, n) AS (
+  SELECT tree, 0, pos, leaf, count(*) OVER (PARTITION BY tree) FROM placed
+  UNION ALL
+  SELECT tree, lvl + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos)), (max(n) + 2) // 3
+  FROM low WHERE n > 1 GROUP BY tree, lvl, pos // 3),
+subroots AS (SELECT tree, h, lvl, row_number() OVER (ORDER BY tree) - 1 AS pos FROM low WHERE n = 1),
+high(lvl, pos, h, n) AS (
+  SELECT 0, pos, h, count(*) OVER () FROM subroots
+  UNION ALL
+  SELECT lvl + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos)), (max(n) + 2) // 3
+  FROM high WHERE n > 1 GROUP BY lvl, pos // 3),
+steps AS (
+  SELECT p.tree, p.pos AS leaf_pos, l.lvl, l.lvl AS step, l.pos, l.h, p.pos // (3 ** l.lvl)::BIGINT AS own
+  FROM placed p JOIN low l ON l.tree = p.tree AND l.n > 1 AND l.pos // 3 = p.pos // (3 ** (l.lvl + 1))::BIGINT
+  UNION ALL
+  SELECT p.tree, p.pos, h.lvl, s.lvl + h.lvl, h.pos, h.h, s.pos // (3 ** h.lvl)::BIGINT
+  FROM placed p JOIN subroots s ON s.tree = p.tree
+  JOIN high h ON h.n > 1 AND h.pos // 3 = s.pos // (3 ** (h.lvl + 1))::BIGINT),
+levels AS (SELECT tree, leaf_pos, step, coalesce(string_agg(h, '' ORDER BY pos) FILTER (pos < own), '') AS l,
+  coalesce(string_agg(h, '' ORDER BY pos) FILTER (pos > own), '') AS r FROM steps GROUP BY tree, leaf_pos, step),
+proofs AS (SELECT tree, leaf_pos, list({{'l': l, 'r': r}} ORDER BY step) AS path FROM levels GROUP BY tree, leaf_pos),
+folds AS (SELECT p.*, coalesce(path, []) AS path,
+  list_reduce(list_concat([{{'l': tampered, 'r': ''}}], coalesce(path, [])),
+    lambda a, s: {{'l': sha256(s.l || a.l || s.r), 'r': ''}}).l AS folded_root
+  FROM placed p LEFT JOIN proofs q ON q.tree = p.tree AND q.leaf_pos = p.pos)
+SELECT f.doc_id, f.leaf, s.h AS subroot, (SELECT h FROM high WHERE n = 1) AS root,
+  sha256(coalesce(array_to_string(list_transform(f.path, lambda s: s.l || s.r), ''), '')) AS proof_sha256, folded_root,
+  folded_root = (SELECT h FROM high WHERE n = 1) AS verified
+FROM folds f JOIN subroots s ON s.tree = f.tree
+"""
