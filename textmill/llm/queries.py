@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from textmill.llm import (
+    conversations,
     decontamination,
     fingerprints,
     html_extraction,
@@ -259,3 +260,67 @@ SELECT f.doc_id, f.leaf, s.h AS subroot, (SELECT h FROM high WHERE n = 1) AS roo
   folded_root = (SELECT h FROM high WHERE n = 1) AS verified
 FROM folds f JOIN subroots s ON s.tree = f.tree
 """
+
+
+# 13: conversation structure repair ------------------------------------------------
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
+    """Faults, cheapest edits and repaired digest of every damaged conversation."""
+    rows = table(spark, sf, "conversations").select("conv_id", "turn", "role", "text")
+    return conversations.repair_report(conversations.damage(rows), rows)
+
+
+_WHITE = r"[\x20\x09-\x0D]*"
+# Steps of (s?(ua)+)? before a turn: inserts (state, edits, lines, cost, state after), then the turn's own edit.
+_INSERTS = """(0, '', '', 0, 0), (1, '', '', 0, 1), (2, '', '', 0, 2), (3, '', '', 0, 3),
+  (0, 'I', 'user:' || chr(10), 5, 2), (1, 'I', 'user:' || chr(10), 5, 2), (3, 'I', 'user:' || chr(10), 5, 2),
+  (2, 'I', 'assistant:' || chr(10), 5, 3), (0, 'II', 'user:' || chr(10) || 'assistant:' || chr(10), 10, 3),
+  (1, 'II', 'user:' || chr(10) || 'assistant:' || chr(10), 10, 3)"""
+ORACLES["op13_conversation_repair"] = f"""
+WITH RECURSIVE crc AS (SELECT {_CRC_TABLE} AS crc_table),
+keyed AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+dealt AS (SELECT *, {_crc_sql('k')} % 20 AS f FROM keyed, crc),
+damaged AS (SELECT coalesce('.' || conv_id, '') AS name, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role,
+  CASE f WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM dealt, range(CASE WHEN f = 3 THEN 2 ELSE 1 END) WHERE f <> 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY name ORDER BY turn NULLS FIRST, role, substr(sha256(text), 1, 32)) AS i
+  FROM damaged),
+seen AS (SELECT *, regexp_full_match(text, '{_WHITE}') AS blank,
+  row_number() OVER (PARTITION BY name, role, text ORDER BY i) > 1 AS again,
+  NOT regexp_matches(text, '[.!?]{_WHITE}$') AS unended, substr(role, 1, 1) AS initial,
+  substr(lag(role) OVER (PARTITION BY name ORDER BY i), 1, 1) AS before FROM placed),
+told AS (SELECT *, NOT blank AND again AS duplicate, NOT blank AND NOT again AND unended AS truncated FROM seen),
+counts AS (SELECT name, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+  count(*) FILTER (blank) AS blank, count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (truncated) AS truncated,
+  count(*) FILTER (i > 1 AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal FROM told GROUP BY name),
+inserts(state, edits, lines, cost, after) AS (VALUES {_INSERTS}),
+walk(name, i, state, best) AS (
+  SELECT name, 0::BIGINT, 0, {{'cost': 0::BIGINT, 'audit': '', 'lines': ''}} FROM counts
+  UNION ALL
+  SELECT name, i, state, arg_min(way, {{'cost': way.cost, 'audit': way.audit}}) FROM (
+    SELECT w.name, t.i, e.state, {{'cost': w.best.cost + n.cost + e.cost, 'audit': w.best.audit || n.edits || e.edit,
+      'lines': w.best.lines || n.lines || e.line}} AS way
+    FROM walk w JOIN told t ON t.name = w.name AND t.i = w.i + 1 JOIN inserts n ON n.state = w.state,
+    unnest([
+      {{'edit': 'D', 'state': n.after, 'cost': 2, 'line': '', 'fits': true}},
+      {{'edit': 'K', 'state': CASE t.initial WHEN 's' THEN 1 WHEN 'u' THEN 2 ELSE 3 END, 'cost': CASE WHEN t.truncated THEN 5 ELSE 0 END,
+        'line': t.role || ':' || t.text || chr(10),
+        'fits': NOT t.blank AND NOT t.duplicate AND ((t.initial = 's' AND n.after = 0)
+          OR (t.initial = 'u' AND n.after <> 2) OR (t.initial = 'a' AND n.after = 2))}},
+      {{'edit': 'R', 'state': CASE WHEN n.after = 2 THEN 3 ELSE 2 END, 'cost': CASE WHEN t.truncated THEN 6 ELSE 1 END,
+        'line': CASE WHEN n.after = 2 THEN 'assistant:' ELSE 'user:' END || t.text || chr(10),
+        'fits': NOT t.blank AND NOT t.duplicate}}]) AS u(e)
+    WHERE e.fits)
+  GROUP BY name, i, state),
+ended AS (SELECT w.name, arg_min({{'cost': w.best.cost + n.cost, 'audit': w.best.audit || n.edits, 'lines': w.best.lines || n.lines}},
+  {{'cost': w.best.cost + n.cost, 'audit': w.best.audit || n.edits}}) AS best
+  FROM walk w JOIN counts c ON c.name = w.name AND c.n = w.i JOIN inserts n ON n.state = w.state AND n.after IN (0, 3) GROUP BY w.name)
+SELECT v.conv_id, coalesce(c.gaps, 0) AS gaps, coalesce(c.blank, 0) AS blank, coalesce(c.duplicate, 0) AS duplicate,
+  coalesce(c.truncated, 0) AS truncated, coalesce(c.illegal, 0) AS illegal, coalesce(e.best.cost, 0) AS cost,
+  coalesce(e.best.audit, '') AS audit, sha256(coalesce(substr(e.best.lines, 1, length(e.best.lines) - 1), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) v LEFT JOIN counts c ON c.name = coalesce('.' || v.conv_id, '')
+LEFT JOIN ended e ON e.name = c.name
+"""
