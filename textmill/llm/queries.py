@@ -11,6 +11,7 @@ from textmill.llm import (
     decontamination,
     fingerprints,
     html_extraction,
+    jaccard_trees,
     lm_scoring,
     merkle,
     near_dedup,
@@ -262,6 +263,33 @@ FROM folds f JOIN subroots s ON s.tree = f.tree
 """
 
 
+# 12: n-gram Jaccard join -----------------------------------------------------------
+
+
+@query
+def op12_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    """The component of every document under links of at least 80 % shared shingles."""
+    joined = jaccard_trees.jaccard_components(table(spark, sf, "documents").select("doc_id", "text"))
+    return joined.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), "component_id")
+
+
+# Every pair of sets that share a shingle, counted through the shingle; then the closure of the links.
+ORACLES["op12_jaccard_join"] = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[^ 	-]+') AS w FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+  ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM w),
+t AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb, count(*) AS c
+  FROM t a JOIN t b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM shared WHERE 100 * c >= 80 * (na + nb - c)),
+ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(a, b) AS (SELECT a, b FROM ways UNION SELECT r.a, w.b FROM reach r JOIN ways w ON w.a = r.b)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, least(s.doc_id, coalesce(m.low, s.doc_id)) AS component_id
+FROM s LEFT JOIN (SELECT a, min(b) AS low FROM reach GROUP BY a) m ON m.a = s.doc_id
+"""
+
+
 # 13: conversation structure repair ------------------------------------------------
 
 
