@@ -6,22 +6,12 @@ from pyspark.sql import functions as F
 
 from textmill.operators import perplexity as ppl
 from textmill.registry import all_queries
-from textmill.registry.base import DOCS, words_sql
-
-EXACT_CTES = f"""WITH w AS (SELECT id, lang, {words_sql()} AS words FROM {DOCS}),
- b AS (SELECT id, lang, id % 2 AS side, words[i] AS w1, words[i + 1] AS w2 FROM (SELECT *, unnest(range(1, len(words))) AS i FROM w)),
- pr AS (SELECT 1 - side AS side, w1, w2, count(*) AS n_pair FROM b GROUP BY ALL),
- fi AS (SELECT 1 - side AS side, w1, count(*) AS n_first FROM b GROUP BY ALL),
- vo AS (SELECT 1 - side AS side, count(*) AS v FROM (SELECT side, w1 FROM b UNION SELECT side, w2 FROM b) GROUP BY ALL),
- lp AS (SELECT id, lang, round(ln(coalesce(n_pair, 0) + 0.1::DOUBLE) * 1000000)::BIGINT - round(ln(coalesce(n_first, 0) + 0.1::DOUBLE * v) * 1000000)::BIGINT AS micro
-   FROM b LEFT JOIN pr USING (side, w1, w2) LEFT JOIN fi USING (side, w1) JOIN vo USING (side)),
- pp AS (SELECT id, lang, count(*) AS n_bigrams, exp(-(sum(micro)::DOUBLE / 1000000 / count(*))) AS perplexity FROM lp GROUP BY id, lang)"""
-
+from textmill.registry.model_queries import BIGRAM_CTES
 
 def exact(folder, sql):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{folder}/documents.parquet'")
-    return con.execute(EXACT_CTES + sql).fetchall()
+    return con.execute(BIGRAM_CTES + sql).fetchall()
 
 
 def test_counts_are_those_of_whole_words(spark):
@@ -70,3 +60,21 @@ def test_summaries_hold_all_documents(spark, sf, key):
 def test_histogram_holds_all_documents(spark, sf):
     got = sorted(map(tuple, all_queries()["perplexity_histogram"](spark, sf).select("lang", "value", "n").collect()))
     assert got == sorted(exact(sf, " SELECT lang, round(perplexity) AS value, count(*) AS n FROM pp GROUP BY ALL"))
+
+
+def test_merged_histograms_equal_one_pass(spark):
+    """Values that no shard lists at its top but that win in the sum, ties at the border, null groups."""
+    rows = [(s, g, float(v), 1 + (v * 7 + s * 3) % 11) for s in range(9) for g in ("x", None) for v in range(60) if (v + s) % 4]
+    rows += [(s, "x", 500.0 + s, 40) for s in range(9)] + [(s, "x", 900.0, 14) for s in range(9)] + [(0, "small", 1.0, 2)]
+    partials = spark.createDataFrame(rows, "shard int, lang string, value double, n long")
+    totals = {}
+    for _, g, v, n in rows:
+        totals.setdefault(g, {}).setdefault(v, 0)
+        totals[g][v] += n
+    for k in (1, 3, 10, 100):
+        want = sorted(
+            ((g, v, n) for g, c in totals.items() for v, n in sorted(c.items(), key=lambda x: (-x[1], x[0]))[:k]), key=str
+        )
+        got = ppl.merge_histograms(partials, ["lang"], k).select("lang", "value", "n").collect()
+        assert sorted(map(tuple, got), key=str) == want
+    assert ppl.merge_histograms(partials.where("false"), ["lang"], 3).count() == 0

@@ -1,22 +1,19 @@
 """Perplexity under an add-k word bigram model, its summaries and their merge.
 
 fold_perplexity counts every bigram and word by 64-bit hashes, in partitioned tables
-that grow with the corpus. fit_bigram_model and perplexity are an estimate of fixed
-size (bigrams that share a bucket are added up); no registered query uses them.
-Log-probabilities are kept as whole micro-nats, so sums do not depend on their order.
+that grow with the corpus. Log-probabilities are kept as whole micro-nats, so sums do not depend on their order.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from textmill.functions.arrays import explode_once, let
 from textmill.functions.text import words
 from textmill.session import materialize
 
@@ -25,85 +22,6 @@ TOP_VALUES = 100_000
 # No more than HOT n-grams can each hold a HOT-th of the uses in a sample (one document of SAMPLE); those are broadcast.
 HOT, SAMPLE = 1_000_000, 16
 WORDS_AT_ONCE = 1 << 18
-# Primes: buckets for pairs (16 MB of counts) and for words, and the multiplier of a pair's first word.
-PAIRS, FIRSTS, SPREAD = 4_194_301, 1_048_573, 1_000_003
-
-
-def word_codes(text: Column) -> Column:
-    """The leading 32 bits of each word's MD5."""
-    return F.transform(
-        words(text), lambda w: F.conv(F.substring(F.md5(w), 1, 8), 16, 10).cast("long")
-    )
-
-
-def bigram_buckets(text: Column) -> Column:
-    """(p, f, l) per bigram: the buckets of the pair, its first and its last word."""
-
-    def paired(c: Column) -> Column:
-        both = F.zip_with(
-            c,
-            F.slice(c, 2, F.size(c)),
-            lambda a, b: F.struct(
-                F.pmod(a * SPREAD + b, F.lit(PAIRS)).cast("int").alias("p"),
-                F.pmod(a, F.lit(FIRSTS)).cast("int").alias("f"),
-                F.pmod(b, F.lit(FIRSTS)).cast("int").alias("l"),
-            ),
-        )
-        return F.slice(both, 1, F.greatest(F.size(c) - 1, F.lit(0)))
-
-    return let(word_codes(text), paired)
-
-
-@dataclass(frozen=True)
-class BigramModel:
-    """Training counts per pair bucket and per first-word bucket; the number of word buckets in use."""
-
-    pairs: np.ndarray
-    firsts: np.ndarray
-    vocabulary: int
-    k: float
-
-
-def fit_bigram_model(training: DataFrame, text: str = "text", k: float = 0.1) -> BigramModel:
-    """Count the training bigrams; at most one number per bucket comes to the driver."""
-    spots = explode_once(training, [], bigram_buckets(F.col(text)), "b").select("b.*")
-    kinds = F.array(*[F.struct(F.lit(i).alias("kind"), F.col(c).alias("bucket")) for i, c in enumerate("pfl")])
-    counted = (
-        spots.select(F.explode(kinds).alias("x")).groupBy("x.kind", "x.bucket").agg(F.count(F.lit(1)).alias("n")).toPandas()
-    )
-    tables = []
-    for kind, size in enumerate((PAIRS, FIRSTS, FIRSTS)):
-        part = counted[counted["kind"] == kind]
-        table = np.zeros(size)
-        table[part["bucket"]] = part["n"]
-        tables.append(table)
-    return BigramModel(tables[0], tables[1], int(((tables[1] > 0) | (tables[2] > 0)).sum()), k)
-
-
-def perplexity(df: DataFrame, model: BigramModel, id_col: str, keep: list[str], text: str = "text") -> DataFrame:
-    """exp of the mean negative log-probability per document; no row for texts under two words."""
-    shared = df.sparkSession.sparkContext.broadcast((model.pairs, model.firsts))
-    k, floor = model.k, model.k * model.vocabulary
-
-    @F.pandas_udf("long")
-    def micro(pair_lists: pd.Series, first_lists: pd.Series) -> pd.Series:
-        pairs, firsts = shared.value
-        out = np.zeros(len(pair_lists), np.int64)
-        # A document at a time: no array is longer than one document.
-        for i, (p, f) in enumerate(zip(pair_lists, first_lists)):
-            out[i] = np.rint(np.log((pairs[p] + k) / (firsts[f] + floor)) * MICRO).sum()
-        return pd.Series(out)
-
-    rows = df.select(id_col, *keep, bigram_buckets(F.coalesce(text, F.lit(""))).alias("_b"))
-    scored = rows.select(
-        id_col,
-        *keep,
-        F.size("_b").cast("long").alias("n_bigrams"),
-        micro.asNondeterministic()(F.col("_b.p"), F.col("_b.f")).alias("_micro"),
-    )
-    # Filtered behind the call, past which nothing is pushed: a filter on the array would compute it twice.
-    some = scored.where(F.col("n_bigrams") > 0)
-    return some.withColumn("perplexity", F.exp(-F.col("_micro") / MICRO / F.col("n_bigrams"))).drop("_micro")
 
 
 def gram_rows(coded: DataFrame) -> DataFrame:
@@ -148,7 +66,7 @@ def gram_rows(coded: DataFrame) -> DataFrame:
 def fold_perplexity(
     df: DataFrame, id_col: str, keep: list[str], fold: Column, text: str = "text", k: float = 0.1
 ) -> DataFrame:
-    """perplexity of the texts of each fold (0 or 1) under the exact counts of the other one.
+    """exp of the mean negative log-probability of the texts of each fold (0 or 1) under the exact counts of the other one.
 
     No row for texts under two words; null where the other fold has no bigram.
     Rows stay apart though ids repeat.
@@ -258,11 +176,55 @@ def perplexity_histogram(
     return top_values(counts, group, top_k)
 
 
+def partial_histograms(scored: DataFrame, group: list[str], shard: Column, digits: int = 0) -> DataFrame:
+    """(shard, group, value, n): what every shard counts by itself, whole."""
+    return (
+        scored.select(shard.alias("shard"), *group, F.round("perplexity", digits).alias("value"))
+        .groupBy("shard", *group, "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+
+
 def merge_histograms(partials: DataFrame, group: list[str], top_k: int = TOP_VALUES) -> DataFrame:
-    return top_values(partials.groupBy(*group, "value").agg(F.sum("n").alias("n")), group, top_k)
+    """The exact ``top_k`` values of each group from whole partial counts, most of which stay where they are.
+
+    Three rounds over the (written) partials. Every shard sends its own top
+    list; the k-th of the sums so far is a count that the final k-th reaches as
+    well. Split over m shards, it is a count that a value must have in some
+    shard to get there, so every shard sends what reaches it. A value's sum,
+    and that count for every shard that has not sent it, bounds its total; the
+    values whose bound reaches the k-th sum known by then are asked for in all
+    shards. Ties go to the smaller value, as in one pass.
+    """
+    keys = [*group, "value"]
+    own = Window.partitionBy("shard", *group).orderBy(F.desc("n"), "value")
+    listed = partials.withColumn("_rank", F.row_number().over(own)).where(F.col("_rank") <= top_k)
+    first = listed.groupBy(*keys).agg(F.sum("n").alias("n"))
+    shards = partials.groupBy("shard", *group).agg(F.lit(1).alias("_1")).groupBy(*group).agg(F.count("*").alias("_m"))
+    # Groups with fewer than top_k values so far bound nothing.
+    kth = top_values(first, group, top_k, "_rank").where(F.col("_rank") == top_k).select(*group, F.col("n").alias("_kth"))
+    share = _null_safe(shards, kth, group, "left").select(*group, "_m", (F.coalesce("_kth", F.lit(0)) / F.col("_m")).alias("_share"))
+    share = materialize(share, "shares")
+    sent = _null_safe(partials, share, group, "inner").where(F.col("n") >= F.col("_share"))
+    sums = sent.groupBy(*keys).agg(
+        F.sum("n").alias("n"), (F.sum("n") + (F.max("_m") - F.count("*")) * F.max("_share")).alias("_bound")
+    )
+    sums = materialize(sums, "sums")
+    kth = top_values(sums.select(*keys, "n"), group, top_k, "_rank").where(F.col("_rank") == top_k).select(*group, F.col("n").alias("_kth"))
+    asked = _null_safe(sums, kth, group, "left").where(F.col("_bound") >= F.coalesce("_kth", F.lit(0))).select(*keys)
+    whole = _null_safe(partials, asked, keys, "inner").groupBy(*keys).agg(F.sum("n").alias("n"))
+    return top_values(whole, group, top_k)
+
+
+def _null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """A join in which nulls are equal; the key columns come from the left."""
+    named = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    same = [left[k].eqNullSafe(named[f"_r_{k}"]) for k in keys]
+    return left.join(named, reduce(and_, same), how).drop(*[f"_r_{k}" for k in keys])
 
 
-def top_values(counts: DataFrame, group: list[str], top_k: int) -> DataFrame:
+def top_values(counts: DataFrame, group: list[str], top_k: int, rank: str | None = None) -> DataFrame:
     # The rank limit is pushed below the shuffle, so a group sends at most top_k rows per task.
     w = Window.partitionBy(*group).orderBy(F.desc("n"), "value")
-    return counts.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= top_k).drop("_rank")
+    ranked = counts.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= top_k)
+    return ranked.withColumnRenamed("_rank", rank) if rank else ranked.drop("_rank")

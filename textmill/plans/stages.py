@@ -208,7 +208,6 @@ def llm_processing(
 
 def quality_analysis(
     df: DataFrame,
-    model: ppl.BigramModel | None = None,
     id_col: str = "id",
     group: list[str] = ("language",),
     top_k: int = ppl.TOP_VALUES,
@@ -216,15 +215,12 @@ def quality_analysis(
 ) -> dict[str, DataFrame]:
     """Perplexity per document, then the summary and histogram groups.
 
-    Without a model each fold of the rows (by a hash of the id, unless given) is
-    scored under the exact counts of the other one.
+    Each fold of the rows (by a hash of the id, unless given) is scored under the
+    exact counts of the other one.
     """
     group = list(group)
-    if model is None:
-        fold = F.pmod(F.xxhash64(id_col), F.lit(2)) if fold is None else fold
-        scored = tee_write(ppl.fold_perplexity(df, id_col, group, fold))
-    else:
-        scored = tee_write(ppl.perplexity(df, model, id_col, group))
+    fold = F.pmod(F.xxhash64(id_col), F.lit(2)) if fold is None else fold
+    scored = tee_write(ppl.fold_perplexity(df, id_col, group, fold))
     return {
         "documents": scored,
         "summary": ppl.merge_stats(ppl.partial_stats(scored, group), group),

@@ -7,6 +7,7 @@ from textmill.operators import filters as flt, inference, perplexity as ppl, tox
 from textmill.operators.language import BUCKETS, fit_language_model
 from textmill.operators.stats import with_file
 from textmill.registry.base import DOCS, busy_docs, docs, query, table, words_sql
+from textmill.session import materialize
 
 
 def language_model(spark, sf):
@@ -76,14 +77,14 @@ def toxic_doc_flag(spark, sf):
     return toxicity.toxic_doc_flag(out).select("id", "is_toxic", "max_toxicity")
 
 
-BIGRAM_CTES = f"""WITH w AS (SELECT id, lang, list_transform({words_sql()}, lambda x: ('0x' || substr(md5(x), 1, 8))::BIGINT) AS codes FROM {DOCS}),
- b AS (SELECT id, lang, (codes[i] * {ppl.SPREAD} + codes[i + 1]) % {ppl.PAIRS} AS p, codes[i] % {ppl.FIRSTS} AS f, codes[i + 1] % {ppl.FIRSTS} AS l
-   FROM (SELECT *, unnest(range(1, len(codes))) AS i FROM w)),
- pr AS (SELECT p, count(*) AS n_pair FROM b WHERE id % 2 = 0 GROUP BY p),
- fi AS (SELECT f, count(*) AS n_first FROM b WHERE id % 2 = 0 GROUP BY f),
- vo AS (SELECT count(*) AS v FROM (SELECT f FROM b WHERE id % 2 = 0 UNION SELECT l FROM b WHERE id % 2 = 0)),
- lp AS (SELECT id, lang, round(ln((coalesce(n_pair, 0) + 0.1::DOUBLE) / (coalesce(n_first, 0) + 0.1::DOUBLE * v)) * 1000000)::BIGINT AS micro
-   FROM b LEFT JOIN pr USING (p) LEFT JOIN fi USING (f) CROSS JOIN vo WHERE id % 2 = 1),
+# Even ids are scored by the counts of odd ones and the other way round (side is the fold that is scored).
+BIGRAM_CTES = f"""WITH w AS (SELECT id, lang, {words_sql()} AS words FROM {DOCS}),
+ b AS (SELECT id, lang, id % 2 AS side, words[i] AS w1, words[i + 1] AS w2 FROM (SELECT *, unnest(range(1, len(words))) AS i FROM w)),
+ pr AS (SELECT 1 - side AS side, w1, w2, count(*) AS n_pair FROM b GROUP BY ALL),
+ fi AS (SELECT 1 - side AS side, w1, count(*) AS n_first FROM b GROUP BY ALL),
+ vo AS (SELECT 1 - side AS side, count(*) AS v FROM (SELECT side, w1 FROM b UNION SELECT side, w2 FROM b) GROUP BY ALL),
+ lp AS (SELECT id, lang, round(ln(coalesce(n_pair, 0) + 0.1::DOUBLE) * 1000000)::BIGINT - round(ln(coalesce(n_first, 0) + 0.1::DOUBLE * v) * 1000000)::BIGINT AS micro
+   FROM b LEFT JOIN pr USING (side, w1, w2) LEFT JOIN fi USING (side, w1) JOIN vo USING (side)),
  pp AS (SELECT id, lang, count(*) AS n_bigrams, exp(-(sum(micro)::DOUBLE / 1000000 / count(*))) AS perplexity FROM lp GROUP BY id, lang)"""
 
 
@@ -124,6 +125,17 @@ def merge_stats(spark, sf):
     return rounded(ppl.merge_stats(ppl.partial_stats(scored(spark, sf), ["lang"]), ["lang"]))
 
 
+@query(
+    "merge_histograms",
+    BIGRAM_CTES + """ SELECT lang, value, n FROM (SELECT lang, value, n, row_number() OVER (PARTITION BY lang ORDER BY n DESC, value) AS r
+    FROM (SELECT lang, round(perplexity / 100) * 100 AS value, count(*) AS n FROM pp GROUP BY ALL)) WHERE r <= 5""",
+)
+def merge_histograms(spark, sf):
+    """The five most frequent hundreds of perplexity per language, merged from sixteen shards."""
+    shards = materialize(ppl.partial_histograms(scored(spark, sf), ["lang"], F.pmod(F.xxhash64("id"), F.lit(16)), -2), "shards")
+    return ppl.merge_histograms(shards, ["lang"], 5)
+
+
 def stand_in_translator():
     """Stand-in for a translation model."""
     return lambda texts: [t.replace("e", "3") for t in texts]
