@@ -17,6 +17,8 @@ FORMS = ("NFC", "NFKC", "NFD", "NFKD")
 # boundary: the engine then loops instead of recursing, whatever the number of copies.
 REPEATED_WORDS = r"(?U)\b(\w+)\s+\1\s+\1\b(?:\s+\1\b)*+"
 BRACKET_TAG = r"(?U)\s?\[[a-zA-Z&;_à-üÀ-Ü\s]{0,15}\]"
+# Nothing below U+0300 and no general punctuation from U+2002 to U+20CF changes under NFC.
+BEYOND_NFC = "[\\x{0300}-\\x{2001}\\x{20D0}-\\x{10FFFF}]"
 SPACE_SIGNS = "[\\t\\r\\f\\x0B\\u00A0\\u1680\\u2000-\\u200A\\u202F\\u205F\\u3000]"
 
 
@@ -54,8 +56,10 @@ def unicode_normalize(text: Column, form: str = "NFC") -> Column:
     def normalized(texts: pd.Series) -> pd.Series:
         return texts.map(lambda t: unicodedata.normalize(form, t), na_action="ignore")
 
-    # The UDF runs for every row of a batch, so untouched rows pass a null instead.
-    wide = F.when(text.rlike(composing_signs() if form == "NFC" else "[^\\x00-\\x7F]"), text)
+    # The UDF runs for every row of a batch, so untouched rows pass a null instead. The long class
+    # is tried only on texts with a sign beyond those NFC never touches.
+    may_change = text.rlike(BEYOND_NFC) & text.rlike(composing_signs()) if form == "NFC" else text.rlike("[^\\x00-\\x7F]")
+    wide = F.when(may_change, text)
     return F.coalesce(normalized.asNondeterministic()(wide), text)
 
 
