@@ -7,6 +7,7 @@ the operators themselves.
 from pyspark.sql import functions as F
 
 from textmill.operators import dedup
+from textmill.operators.near_pairs import near_dup_pairs
 from textmill.operators.rows import chunk_text
 from textmill.plans.stages import deduplication
 from textmill.registry.base import DOCS, busy_docs, docs, query, words_sql
@@ -98,7 +99,7 @@ def minhash_filter(spark, sf):
 
 
 @query(
-    "near_dup_pairs_exact",
+    "near_dup_survivors",
     CLUSTER_CTES + """, sets AS (SELECT DISTINCT id, array_to_string(words[i:i + 4], ' ') AS s
    FROM (SELECT id, words, unnest(range(1, len(words) - 3)) AS i FROM w WHERE len(words) >= 5)),
  n AS (SELECT id, count(*) AS n FROM sets GROUP BY id),
@@ -107,10 +108,25 @@ def minhash_filter(spark, sf):
    LEFT JOIN sets b ON b.id = p.cluster_id AND b.s = a.s GROUP BY p.id, p.cluster_id)
  SELECT c.id, c.cluster_id, c::DOUBLE / (na.n + nb.n - c)::DOUBLE AS jaccard FROM common c JOIN n na ON na.id = c.id JOIN n nb ON nb.id = c.cluster_id""",
 )
-def near_dup_pairs_exact(spark, sf):
+def near_dup_survivors(spark, sf):
     return dedup.near_dup_overlap(docs(spark, sf), clusters(spark, sf))
 
 
+@query(
+    "near_dup_pairs_exact",
+    f"""WITH w AS (SELECT id, min(id) OVER (PARTITION BY text) AS node, {words_sql()} AS words FROM {DOCS}),
+ sets AS (SELECT DISTINCT id, array_to_string(words[i:i + 4], ' ') AS s
+   FROM (SELECT id, words, unnest(range(1, len(words) - 3)) AS i FROM w WHERE len(words) >= 5 AND id = node)),
+ n AS (SELECT id, count(*) AS n FROM sets GROUP BY id),
+ common AS (SELECT x.id AS a, y.id AS b, count(*) AS c FROM sets x JOIN sets y ON x.s = y.s AND x.id < y.id GROUP BY x.id, y.id),
+ scored AS (SELECT a, b, c::DOUBLE / (na.n + nb.n - c)::DOUBLE AS jaccard FROM common JOIN n na ON na.id = a JOIN n nb ON nb.id = b)
+ SELECT a, b, jaccard, false AS copy FROM scored WHERE jaccard >= 0.8::DOUBLE
+ UNION ALL SELECT node, id, 1.0::DOUBLE, true FROM w WHERE id <> node""",
+)
+def near_dup_pairs_exact(spark, sf):
+    return near_dup_pairs(docs(spark, sf))
+
+
 @query(
     "inject_duplicates",
     f"SELECT id, source, text FROM {DOCS} UNION ALL SELECT id, source, text FROM {DOCS} WHERE ((id + 1) * 7919) % 100 < 5",
