@@ -14,6 +14,7 @@ from pyspark.sql.types import ArrayType, LongType
 
 from textmill.functions.arrays import explode_once, let
 from textmill.functions.text import words
+from textmill.operators.addresses import address, is_scan, split_by_bitmap
 from textmill.operators.skew import hot_keys, salted_join
 from textmill.session import materialize
 
@@ -29,31 +30,42 @@ ROW_KEY = "_key"
 
 
 def keyed_rows(df: DataFrame, id_col: str = "id") -> DataFrame:
-    """The rows written once, each with a key of its own: its id and a row number.
+    """The rows with a key of their own: the id and what tells rows of one id apart.
 
     Ids may repeat (parts of a document, injected copies); keys do not, and they
-    order rows by id first. The written copy keeps the numbers stable and is
-    what every later step reads, so the plan above runs once.
+    order rows by id first. Rows of a file scan are keyed by their address, so
+    nothing is written; others are written once, numbered, and read from there.
     """
+    if is_scan(df):
+        return df.withColumn(ROW_KEY, F.struct(F.col(id_col).alias("id"), *[address()[c].alias(c) for c in ("file", "row")]))
     numbered = materialize(df.withColumn("_row", F.monotonically_increasing_id()), "rows")
     return numbered.withColumn(ROW_KEY, F.struct(F.col(id_col).alias("id"), F.col("_row").alias("row"))).drop("_row")
 
 
+def split_rows_by_key(rows: DataFrame, gone: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The keyed rows that are not in ``gone`` (keys), and those that are.
+
+    Addressed rows are tested where they are scanned, against a bitmap per file.
+    """
+    if "file" in rows.schema[ROW_KEY].dataType.fieldNames():
+        return split_by_bitmap(rows, gone, ROW_KEY)
+    return rows.join(gone, ROW_KEY, "left_anti"), rows.join(gone, ROW_KEY, "left_semi")
+
+
 def exact_duplicate_keys(digests: DataFrame, key: str = ROW_KEY) -> DataFrame:
     """Keys of all but the smallest key of every ``_digest``; only keys and digests travel."""
-    winners = digests.groupBy("_digest").agg(F.min(key).alias(key)).select(key)
-    return digests.select(key).join(winners, key, "left_anti")
+    winners = digests.groupBy(F.col("_digest").alias("_d")).agg(F.min(key).alias("_first"), F.count(F.lit(1)).alias("_n"))
+    # Null texts are equal as well.
+    copies = digests.join(winners.where("_n > 1"), F.col("_digest").eqNullSafe(F.col("_d")))
+    return copies.where(F.col(key) != F.col("_first")).select(key)
 
 
 def exact_dedup(df: DataFrame, id_col: str = "id", text: str = "text") -> DataFrame:
-    """One row per distinct text, the one with the smallest id (any one of several equal rows).
-
-    Rows are matched against the keys to drop, which are few in most corpora;
-    adaptive execution can then broadcast them and leave the texts in place.
-    """
+    """One row per distinct text, the one with the smallest id (any one of several equal rows)."""
     rows = keyed_rows(df, id_col)
-    copies = exact_duplicate_keys(rows.select(ROW_KEY, F.sha2(text, 256).alias("_digest")))
-    return rows.join(copies, ROW_KEY, "left_anti").drop(ROW_KEY)
+    digests = rows.select(ROW_KEY, F.unhex(F.sha2(text, 256)).alias("_digest"))
+    kept, _ = split_rows_by_key(rows, exact_duplicate_keys(digests))
+    return kept.drop(ROW_KEY)
 
 
 def hash_coefficients(count: int, precision: int, seed: int = 1) -> list[tuple[int, int]]:

@@ -27,7 +27,7 @@ from textmill.operators.filters import (
 from textmill.operators.language import LanguageModel
 from textmill.operators.repetition import DUP_N_GRAMS, TOP_N_GRAMS, ngram_rules, with_ngram_fractions
 from textmill.operators.rows import chunk_text, combine_rows, split_rows
-from textmill.sources.reader import expand_metadata, null_guard, rename_id
+from textmill.sources.reader import balance, expand_metadata, null_guard, rename_id
 from textmill.sources.writer import tee_write
 
 DEFAULT_LANGUAGES = ["en", "nl", "da", "sv", "af", "fy", "de"]
@@ -107,26 +107,27 @@ def deduplication(
 ) -> Outcome:
     """Exact copies and MinHash clusters; the row with the smallest id of each stays.
 
-    Rows are told apart by keys, not by ids, so repeated ids do no harm. The
-    input is written once; digests and bands come from one projection of it, and
-    from there on only keys and hashes travel. The text moves once, in the final
-    join on the key.
+    Rows are told apart by keys, not by ids, so repeated ids do no harm. Digests
+    and bands come from one pass over the texts, and from there on only keys and
+    hashes travel. The rows of a file scan are keyed by their addresses: the
+    input is read again at the end and tested against bitmaps of the rows to
+    drop, so no text is written or sent. Other inputs are written once.
     """
     rows = dedup.keyed_rows(df, id_col)
     key = dedup.ROW_KEY
-    signed = dedup.signature(rows.select(key, "text"), num_buckets, hashes_per_bucket, n_grams, bit_precision)
-    projected = tee_write(signed.select(key, F.sha2("text", 256).alias("_digest"), "signature"))
+    # Small inputs are dealt out to all cores; larger ones are signed where they are read.
+    texts = balance(rows.select(key, "text"))
+    signed = dedup.signature(texts, num_buckets, hashes_per_bucket, n_grams, bit_precision)
+    projected = tee_write(signed.select(key, F.unhex(F.sha2("text", 256)).alias("_digest"), "signature"))
     exact = dedup.exact_duplicate_keys(projected).withColumn("_why", F.lit("exact"))
     edges = dedup.minhash_buckets(projected, key, num_buckets, hashes_per_bucket)
     near = dedup.removable(dedup.cluster_components(edges), key).withColumn("_why", F.lit("minhash"))
     # A copy inside a cluster is reported once, as exact.
     gone = tee_write(exact.unionByName(near).groupBy(key).agg(F.min("_why").alias("_why")))
-    removed = (
-        rows.join(gone, key)
-        .withColumns({"filter_module": F.lit("Deduplication"), "filter_reason": F.col("_why")})
-        .drop("_why", key)
-    )
-    return Outcome(rows.join(gone, key, "left_anti").drop(key), removed)
+    kept, dropped = dedup.split_rows_by_key(rows, gone.select(key))
+    alike, equal = dedup.split_rows_by_key(dropped, gone.where("_why = 'exact'").select(key))
+    removed = equal.withColumn("filter_reason", F.lit("exact")).unionByName(alike.withColumn("filter_reason", F.lit("minhash")))
+    return Outcome(kept.drop(key), removed.drop(key).withColumn("filter_module", F.lit("Deduplication")))
 
 
 def toxic_language_detection(

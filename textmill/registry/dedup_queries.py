@@ -143,7 +143,7 @@ def verdicts(done, *columns):
 
 @query("deduplication", verdict_ctes() + " SELECT id, verdict FROM why")
 def deduplication_(spark, sf):
-    return verdicts(deduplication(busy_docs(spark, sf), bit_precision=32), "id")
+    return verdicts(deduplication(docs(spark, sf), bit_precision=32), "id")
 
 
 @query(
