@@ -1,11 +1,11 @@
 import sys
 
+import numpy as np
 import pytest
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from textmill.operators import inference, perplexity as ppl, toxicity
-from textmill.operators.language import fit_language_model
+from textmill.operators import inference, language, perplexity as ppl, toxicity
 from textmill.plans import stages
 from textmill.session import materialize
 
@@ -19,20 +19,64 @@ def docs(spark, sf):
 
 
 @pytest.fixture(scope="module")
-def language(docs):
-    return fit_language_model(docs)
+def language_model(docs):
+    return language.fit_language_model(docs)
 
 
-def test_language_is_mostly_right_and_total(spark, docs, language):
-    out = language.detect(docs)
+def test_language_is_mostly_right_and_total(spark, docs, language_model):
+    out = language_model.detect(docs)
     right = out.where("language = lang").count()
     assert right / docs.count() > 0.95
     edge = spark.createDataFrame([(1, ""), (2, None), (3, "ab"), (4, "\U0001f600\U0001f600\U0001f600")], "id long, text string")
-    rows = {r.id: r for r in language.detect(edge).collect()}
+    rows = {r.id: r for r in language_model.detect(edge).collect()}
     assert all(rows[i].language is None and rows[i].language_score == 0.0 for i in (1, 2, 3))
     assert rows[4].language is not None
 
 
+def calibration_error(judged):
+    """Mean distance of score and share of right answers over ten bins of the score."""
+    rows = judged.select(F.col("_best.score").alias("s"), (F.col("_best.language") == F.col("label")).cast("int").alias("r")).where("s > 0").collect()
+    bins = {}
+    for r in rows:
+        bins.setdefault(min(9, int(r.s * 10)), []).append(r)
+    return sum(abs(sum(r.s for r in b) - sum(r.r for r in b)) for b in bins.values()) / len(rows), len(rows)
+
+
+def test_language_scores_are_calibrated_on_held_out_examples(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").withColumnRenamed("doc_id", "id")
+    # Copies of a document must not stand on both sides.
+    docs = docs.dropDuplicates(["text"]).repartition(8)
+    fold = lambda k: docs.where(F.pmod("id", F.lit(3)) == k)
+    plain = language.fit_language_model(fold(0))
+    model = language.calibrate(plain, language.calibration_examples(fold(1), step=3))
+    held = language.calibration_examples(fold(2), step=3)
+    short = held.where("kind <> 'whole'").where(F.size(F.split("text", " ")).between(5, 50))
+    for name, examples in (("all", held), ("short", short), ("mixed", held.where("kind = 'mix'"))):
+        error, n = calibration_error(model.evidence(examples))
+        raw, _ = calibration_error(plain.evidence(examples))
+        assert n > 3000 and error <= 0.05, (name, error, raw, n)
+        assert name != "mixed" or error < raw / 5, (error, raw)
+    # A limit of 0.65 now parts right answers from wrong ones.
+    judged = model.evidence(held).where(F.col("_best.language").isNotNull())
+    right = F.col("_best.language") == F.col("label")
+    low, high = (judged.where(c).agg(F.avg(right.cast("int"))).first()[0] for c in (F.col("_best.score") < 0.65, F.col("_best.score") >= 0.65))
+    assert low < 0.75 < 0.95 < high
+
+
+def test_monotone_shares():
+    rng = np.random.default_rng(1)
+    for _ in range(20):
+        n = rng.integers(1, 9, 12).astype(float)
+        right = rng.random(12) * n
+        got = language.monotone(right, n)
+        # Pool adjacent violators, one at a time.
+        pools = [[r, m, 1] for r, m in zip(right, n)]
+        while any(a[0] / a[1] > b[0] / b[1] for a, b in zip(pools, pools[1:])):
+            k = next(k for k in range(len(pools) - 1) if pools[k][0] / pools[k][1] > pools[k + 1][0] / pools[k + 1][1])
+            pools[k : k + 2] = [[x + y for x, y in zip(pools[k], pools[k + 1])]]
+        assert np.allclose(got, np.repeat([r / m for r, m, _ in pools], [c for _, _, c in pools]))
+
+
 def test_merged_spread_keeps_its_digits(spark):
     rows = [("x", 1_000_000 + 0.03 * (-1) ** i) for i in range(1000)] + [(None, 5.0)]
     scored = spark.createDataFrame(rows, "lang string, perplexity double").repartition(7)
@@ -100,37 +144,37 @@ def test_translation_by_chunks(spark):
     assert stopped[1] == "cba"
 
 
-def test_translation_stage(spark, docs, language):
+def test_translation_stage(spark, docs, language_model):
     df = docs.withColumn("extra", F.to_json(F.struct(F.col("lang").alias("original_language"))))
-    done = stages.machine_translation(df, dutch_model, language, allowed_values=["en", "de"], languages=["en"])
+    done = stages.machine_translation(df, dutch_model, language_model, allowed_values=["en", "de"], languages=["en"])
     reasons = {r.filter_reason for r in done.removed.select("filter_reason").distinct().collect()}
     assert {"extra_field", "language"} <= reasons
     assert done.kept.count() + done.removed.count() == docs.count()
 
 
-def test_rewriting_stage_drops_junk_lines(spark, language):
+def test_rewriting_stage_drops_junk_lines(spark, language_model):
     df = spark.createDataFrame([(1, "The and of the thing\nsee 12345\nthe with that and")], "id long, text string")
-    done = stages.llm_processing(df, dutch_model, language, prompt="{text}", languages=["en"], language_threshold=0.0)
+    done = stages.llm_processing(df, dutch_model, language_model, prompt="{text}", languages=["en"], language_threshold=0.0)
     assert [r.text for r in done.kept.collect()] == ["The and of the thing\nthe with that and"]
     assert [(r.part_idx, r.filter_reason) for r in done.removed.collect()] == [(1, "regex")]
 
 
-def test_llm_lines_of_rows_with_one_id_stay_apart(spark, language):
+def test_llm_lines_of_rows_with_one_id_stay_apart(spark, language_model):
     df = spark.createDataFrame([(1, "a1 a\na2 a"), (1, "b1 b\nsee x.com\nb2 b"), (2, "see y.com")], "id long, text string")
-    done = stages.llm_processing(df, lambda: lambda texts: list(texts), language, prompt="{text}", languages=["en", "de", "fr", "es"], language_threshold=0.0)
+    done = stages.llm_processing(df, lambda: lambda texts: list(texts), language_model, prompt="{text}", languages=["en", "de", "fr", "es"], language_threshold=0.0)
     assert sorted(r.text for r in done.kept.select("text").collect()) == ["a1 a\na2 a", "b1 b\nb2 b"]
     assert sorted((r.id, r.part_idx) for r in done.removed.collect()) == [(1, 1), (2, 0)]
 
 
-def test_translation_options(spark, language):
+def test_translation_options(spark, language_model):
     df = spark.createDataFrame([(1, 0, "".join(f"e{i:02d} " for i in range(40)), '{"original_language": "en"}'), (1, 1, "end", '{"original_language": "en"}')],
                                "id long, chunk_idx int, text string, extra string")
     options = {"allowed_values": ["en"], "languages": ["en", "de", "fr", "es"], "language_threshold": 0.0}
     def swapped():
         return lambda texts: [t.replace("e", "3") for t in texts]
-    whole = stages.machine_translation(df, swapped, language, **options).kept.collect()
+    whole = stages.machine_translation(df, swapped, language_model, **options).kept.collect()
     assert len(whole) == 1 and whole[0].text == "".join(f"3{i:02d} " for i in range(40)) + "3nd"
-    cut = stages.machine_translation(df, swapped, language, chunk_size=4, batch_size=2, batch_stop_at=1, part_col=None, **options)
+    cut = stages.machine_translation(df, swapped, language_model, chunk_size=4, batch_size=2, batch_stop_at=1, part_col=None, **options)
     assert sorted(r.text for r in cut.kept.collect()) == ["300 301 ", "3nd"]
-    dry = stages.machine_translation(df, swapped, language, dry_run=True, chunk_size=4, batch_size=2, **options).kept.first()
+    dry = stages.machine_translation(df, swapped, language_model, dry_run=True, chunk_size=4, batch_size=2, **options).kept.first()
     assert (dry.n_docs, dry.n_chunks) == (2, 41)

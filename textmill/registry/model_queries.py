@@ -3,31 +3,53 @@
 from pyspark.sql import functions as F
 
 from textmill.functions.fixed_values import PARAGRAPH_PROMPT
-from textmill.operators import filters as flt, inference, perplexity as ppl, toxicity
-from textmill.operators.language import BUCKETS, fit_language_model
+from textmill.operators import filters as flt, inference, language as lng, perplexity as ppl, toxicity
+from textmill.operators.language import BUCKETS, calibrate, calibration_examples, fit_language_model
 from textmill.operators.stats import with_file
 from textmill.registry.base import DOCS, busy_docs, docs, query, table, words_sql
 from textmill.session import materialize
 
 
 def language_model(spark, sf):
-    return fit_language_model(busy_docs(spark, sf))
-
-
-LANGUAGE_CTES = f"""WITH gr AS (SELECT id, lang,
+    """Counted on the even ids, calibrated on examples cut from the odd ones."""
+    rows = busy_docs(spark, sf)
+    even = F.pmod("id", F.lit(2)) == 0
+    return calibrate(fit_language_model(rows.where(even)), calibration_examples(rows.where(~even), step=2))
+
+
+LANGUAGE_CTES = f"""WITH base AS (SELECT id, lang, text, {words_sql()} AS w FROM {DOCS}),
+ cuts AS (SELECT id, j, lang, w, 1 + (id * 31 + j * 17) % {lng.EXCERPT_WORDS} AS n FROM base, range({lng.EXCERPTS}) t(j) WHERE id % 2 = 1),
+ starts AS (SELECT *, (id * 13 + j * 101) % greatest(1, len(w) - n + 1) AS s FROM cuts),
+ mixes AS (SELECT a.id, j, a.lang AS la, b.lang AS lb, a.w AS wa, b.w AS wb, least(len(a.w), 1 + (a.id * 7 + j * 29) % {lng.MIX_WORDS}) AS na,
+   least(len(b.w), 1 + (a.id * 11 + j * 23) % {lng.MIX_WORDS}) AS nb FROM base a JOIN base b ON b.id = a.id + 2 AND b.lang <> a.lang, range({lng.MIXES}) t(j) WHERE a.id % 2 = 1),
+ ex AS (SELECT id, -1 AS j, lang AS label, text FROM base
+   UNION ALL SELECT id, j, lang, array_to_string(w[s + 1:s + n], ' ') FROM starts
+   UNION ALL SELECT id, {lng.EXCERPTS} + j, CASE WHEN na >= nb THEN la ELSE lb END, array_to_string(list_concat(wa[1:na], wb[1:nb]), ' ') FROM mixes),
+ gr AS (SELECT id, j, label,
    (ord(c[i]) * 4398046511104 + ord(c[i + 1]) * 2097152 + ord(c[i + 2])) % {BUCKETS} AS g FROM (
-   SELECT id, lang, c, unnest(range(1, len(c) - 1)) AS i FROM (SELECT id, lang, string_split(lower(text), '') AS c FROM {DOCS}) WHERE len(c) >= 3)),
- cnt AS (SELECT lang, g, count(*) AS c FROM gr GROUP BY lang, g),
+   SELECT id, j, label, c, unnest(range(1, len(c) - 1)) AS i FROM (SELECT id, j, label, string_split(lower(text), '') AS c FROM ex) WHERE len(c) >= 3)),
+ tri AS (SELECT id, j, any_value(label) AS label, g, count(*) AS c FROM gr GROUP BY id, j, g),
+ cnt AS (SELECT label AS lang, g, sum(c) AS c FROM tri WHERE j = -1 AND id % 2 = 0 GROUP BY label, g),
  tot AS (SELECT lang, sum(c) AS n FROM cnt GROUP BY lang),
  voc AS (SELECT DISTINCT g FROM cnt),
  size AS (SELECT count(*) AS v FROM voc),
- pri AS (SELECT lang, round((ln((count(*) + 1)::DOUBLE) - ln(((SELECT count(*) FROM {DOCS}) + (SELECT count(*) FROM tot))::DOUBLE)) * 1000000)::BIGINT AS pi FROM {DOCS} GROUP BY lang),
+ train AS (SELECT lang FROM base WHERE id % 2 = 0),
+ pri AS (SELECT lang, round((ln((count(*) + 1)::DOUBLE) - ln(((SELECT count(*) FROM train) + (SELECT count(*) FROM tot))::DOUBLE)) * 1000000)::BIGINT AS pi FROM train GROUP BY lang),
  theta AS (SELECT tot.lang, voc.g, round((ln((coalesce(c, 0) + 1)::DOUBLE) - ln((n + v)::DOUBLE)) * 1000000)::BIGINT AS t
    FROM voc CROSS JOIN tot CROSS JOIN size LEFT JOIN cnt ON cnt.g = voc.g AND cnt.lang = tot.lang),
- dg AS (SELECT id, g, count(*) AS c FROM gr GROUP BY id, g),
- sc AS (SELECT dg.id, theta.lang, (any_value(pi) + sum(dg.c * t)) / 1000000::DOUBLE AS s FROM dg JOIN theta ON theta.g = dg.g JOIN pri ON pri.lang = theta.lang GROUP BY dg.id, theta.lang),
- best AS (SELECT id, arg_max(lang, s) AS language, max(s) AS m FROM sc GROUP BY id),
- det AS (SELECT best.id, any_value(language) AS language, round(1.0 / sum(exp(s - m)), 4) AS language_score FROM best JOIN sc ON sc.id = best.id GROUP BY best.id)"""
+ keys AS (SELECT id, j, any_value(label) AS label, sum(c) AS n FROM tri GROUP BY id, j),
+ lead AS (SELECT tri.id, tri.j, theta.lang, sum(tri.c * t) AS s FROM tri JOIN theta ON theta.g = tri.g GROUP BY ALL),
+ sc AS (SELECT k.id, k.j, k.label, k.n, pri.lang, pi + coalesce(s, 0) AS s FROM keys k CROSS JOIN pri LEFT JOIN lead l ON l.id = k.id AND l.j = k.j AND l.lang = pri.lang),
+ best AS (SELECT id, j, any_value(label) AS label, any_value(n) AS n, arg_max(lang, s) AS language, list_reverse_sort(list(s)) AS s FROM sc GROUP BY id, j),
+ cell AS (SELECT *, least({lng.LENGTHS - 1}, length(bin(n::BIGINT)) - 1) AS len, least({lng.LEADS - 1}, (s[1] - s[2]) * {lng.STEPS} // (n * 1000000)) AS led FROM best),
+ seen AS (SELECT len, led, count(*) FILTER (language = label) AS r, count(*) AS n FROM cell WHERE id % 2 = 1 GROUP BY len, led),
+ dense AS (SELECT x.len, y.led, 0.5::DOUBLE + coalesce(r, 0) AS r, 1.0::DOUBLE + coalesce(n, 0) AS n
+   FROM range({lng.LENGTHS}) x(len) CROSS JOIN range({lng.LEADS}) y(led) LEFT JOIN seen ON seen.len = x.len AND seen.led = y.led),
+ cum AS (SELECT len, led, r, n, sum(r) OVER w AS cr, sum(n) OVER w AS cn FROM dense WINDOW w AS (PARTITION BY len ORDER BY led)),
+ means AS (SELECT a.len, a.led AS lo, z.led AS hi, (z.cr - a.cr + a.r) / (z.cn - a.cn + a.n) AS m FROM cum a JOIN cum z ON z.len = a.len AND z.led >= a.led),
+ least_of AS (SELECT d.len, d.led, m.lo, min(m.m) AS m FROM dense d JOIN means m ON m.len = d.len AND m.lo <= d.led AND m.hi >= d.led GROUP BY ALL),
+ share AS (SELECT len, led, max(m) AS share FROM least_of GROUP BY len, led),
+ det AS (SELECT id, language, round(share, 4) AS language_score FROM cell JOIN share ON share.len = cell.len AND share.led = cell.led WHERE j = -1)"""
 
 
 @query(
@@ -46,6 +68,8 @@ def detect_language(spark, sf):
 )
 def language_filter(spark, sf):
     out = language_model(spark, sf).detect(busy_docs(spark, sf))
+    # Rounded as in SQL, so that both see the same side of the limit.
+    out = out.withColumn("language_score", F.round("language_score", 4))
     return flt.language_filter(out, ["en", "de"], 0.65).select("id", "filter_reason")
 
 
