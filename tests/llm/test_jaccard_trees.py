@@ -105,21 +105,16 @@ def test_traversal_loses_no_link(spark, monkeypatch):
     monkeypatch.setattr(jaccard_trees, "LEAF", 3)
     monkeypatch.setattr(jaccard_trees, "FAN", 3)
     rows = near_groups()[:120]
-    texts = spark.createDataFrame(rows, "id long, text string")
+    texts = spark.createDataFrame(rows, "id long, text string").withColumn("at", F.lit(0))
     sets = jaccard_trees.set_rows(texts, 80, 5, True).withColumn("no", F.col("id"))
     sets = materialize(jaccard_trees.profiles(sets.select("no", "n", "tokens"), 80))
     first = F.size("tokens") - F.ceil(80 * F.col("n") / 100).cast("int") + 1
     members = sets.select("no", "n", F.explode(F.slice("tokens", F.lit(1), first)).alias("token"))
     members = members.withColumns({"single": F.lit(True), "label": F.col("no")})
     placed = jaccard_trees.ranked(members, ["token"], ["single", "label", "n", "no"], "placed")
-    members = materialize(
-        placed.join(jaccard_trees.bitmaps(sets), "no").withColumns(
-            {"low": F.col("n"), "high": F.col("n"), "label0": F.col("label"), "label1": F.col("label"), "leaf": F.floor(F.col("_pos") / 3)}
-        )
-    )
-    levels = jaccard_trees.tree_levels(members)
-    assert len(levels) > 2
-    pairs = materialize(jaccard_trees.traversed(members, levels, 80))
+    members = materialize(placed.join(jaccard_trees.bitmaps(sets), "no"))
+    assert len(jaccard_trees.tree_levels(jaccard_trees.leaf_rows(members))) > 2
+    pairs = materialize(jaccard_trees.traversed(members, 80))
     found = {tuple(sorted(r)) for r in jaccard_trees.verified(pairs, sets, 80).collect()}
     known = {i: grams(t) for i, t in rows}
     links = {

@@ -32,7 +32,7 @@ Defined results
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Iterator
 from operator import add
 
 import numpy as np
@@ -41,6 +41,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from textmill.llm.rows import left_lookup, ranked, whole_text
 from textmill.llm.text_arrays import SHINGLE, buffers, grouped, mix, shingles, slices, word_hashes, words
+from textmill.operators.addresses import address, is_scan, split_by_bitmap
 from textmill.operators.dedup import cluster_components
 from textmill.session import materialize
 
@@ -52,6 +53,8 @@ WORDS64 = BITS // 64
 LEAF = 128
 FAN = 8
 SHARES = 64
+# Frequent tokens are found in one row of SAMPLE; at most HOT of them.
+SAMPLE, HOT = 16, 100_000
 SLICE_BYTES = 2 << 20
 
 
@@ -95,7 +98,7 @@ def first_of_each(key: np.ndarray, at: np.ndarray, count: np.ndarray) -> pa.Arra
 
 
 def set_rows(texts: DataFrame, percent: int, size: int, whole: bool) -> DataFrame:
-    """(id, n, hi, lo, tokens) of rows (id, text): hi and lo name the set, tokens are its prefix or all."""
+    """(at, id, n, hi, lo, tokens) of rows (at, id, text): hi and lo name the set, tokens are its prefix or all."""
     kind = pa.struct([("n", pa.int64()), ("hi", pa.int64()), ("lo", pa.int64()), ("tokens", pa.list_(pa.int64()))])
 
     @F.arrow_udf("struct<n:long,hi:long,lo:long,tokens:array<long>>")
@@ -110,32 +113,46 @@ def set_rows(texts: DataFrame, percent: int, size: int, whole: bool) -> DataFram
             parts.append(pa.StructArray.from_arrays(columns, fields=list(kind)))
         return pa.concat_arrays(parts) if parts else pa.array([], kind)
 
-    return texts.select("id", described.asNondeterministic()("text").alias("s")).select("id", "s.*")
+    return texts.select("at", "id", described.asNondeterministic()("text").alias("s")).select("at", "id", "s.*")
+
+
+def with_frequency(tokens: DataFrame) -> DataFrame:
+    """(no, token, df) of the rows (no, token) whose token has two rows or more.
+
+    Tokens a sample shows to be very frequent are counted where they are and
+    joined by broadcast, so no task gets all rows of one. The others are sent
+    once: counts and join read the same exchange.
+    """
+    parts = int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sampled = tokens.where(F.pmod(F.xxhash64("no"), F.lit(SAMPLE)) == 0).groupBy("token").agg(F.count("*").alias("c"))
+    sampled = materialize(sampled.where("c > 1"), "sampled")
+    total = sampled.agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
+    # At most HOT tokens can each hold a HOT-th of the uses.
+    hot = materialize(sampled.where(F.col("c") * HOT >= total).select("token"), "hot")
+    often = tokens.join(F.broadcast(hot), "token").groupBy("token").agg(F.count("*").alias("df"))
+    often = materialize(often.where("df > 1"), "often")
+    cold = tokens.join(F.broadcast(hot), "token", "left_anti").repartition(parts, "token")
+    # Both columns are used on both sides, so that both read one exchange.
+    counts = cold.groupBy("token").agg(F.count("no").alias("df"), F.min("no").alias("_a"), F.max("no").alias("_z"))
+    rare = cold.join(counts.where("_a < _z").drop("_a", "_z").hint("merge"), "token")
+    return rare.unionByName(tokens.join(F.broadcast(often), "token"))
 
 
 def common_rows(signed: DataFrame, percent: int) -> DataFrame:
-    """(_row, id, hi, lo) of the rows with enough prefix tokens that another set has in its prefix as well."""
-    tokens = signed.select("_row", "hi", F.explode("tokens").alias("token"))
-    common = tokens.groupBy("token").agg(F.min("hi").alias("_a"), F.max("hi").alias("_z")).where("_a < _z").select("token")
-    counts = tokens.select("_row", "token").join(common, "token", "left_semi").groupBy("_row").agg(F.count("*").alias("_c"))
+    """(hi, lo, no, at) of one row of every set with enough prefix tokens that other rows have in theirs as well."""
+    tokens = signed.select(F.col("_row").alias("no"), F.explode("tokens").alias("token"))
+    counts = with_frequency(tokens).groupBy("no").agg(F.count("*").alias("_c"))
     partner = F.ceil(percent * F.col("n") / 100)
     enough = F.col("_c") >= F.greatest(F.lit(1), F.floor(EXTRA * partner / 100))
-    return signed.select("_row", "id", "n", "hi", "lo").join(counts, "_row").where(enough).drop("_c", "n")
+    rows = signed.select(F.col("_row").alias("no"), "at", "n", "hi", "lo").join(counts, "no").where(enough)
+    return rows.groupBy("hi", "lo").agg(F.min(F.struct("no", "at")).alias("_m")).select("hi", "lo", "_m.no", "_m.at")
 
 
 def whole_sets(texts: DataFrame, alive: DataFrame, percent: int, size: int) -> DataFrame:
-    """(no, n, tokens) of the sets (id, hi, lo, no, copies) of ``alive``, made anew from the texts of their smallest ids."""
-    ids = alive.select(F.col("id").alias("_id")).distinct()
-    wanted = texts.join(ids, texts["id"].eqNullSafe(ids["_id"]), "left_semi")
+    """(no, n, tokens) of the sets of ``alive``, made anew from the rows at its addresses."""
+    _, wanted = split_by_bitmap(texts, alive.select("at"), "at")
     rows = set_rows(wanted, percent, size, True)
-    named = alive.select(F.col("id").alias("_id"), "hi", "lo", "no", "copies")
-    met = (rows["id"].eqNullSafe(named["_id"])) & (rows["hi"] == named["hi"]) & (rows["lo"] == named["lo"])
-    found = materialize(rows.join(named, met).select("no", "n", "tokens", "copies"), "sets")
-    if found.where("copies > 1").isEmpty():
-        return found.drop("copies")
-    # Rows equal in id and set: one of them.
-    once = found.where("copies > 1").dropDuplicates(["no"])
-    return materialize(found.where("copies = 1").unionByName(once).drop("copies"), "sets")
+    return rows.join(alive.select("no", "at"), "at").select("no", "n", "tokens")
 
 
 def profiles(sets: DataFrame, percent: int) -> DataFrame:
@@ -143,12 +160,13 @@ def profiles(sets: DataFrame, percent: int) -> DataFrame:
 
     weight is the number of sets that its tokens stand in, all added up.
     """
-    tokens = sets.select("no", "n", F.explode("tokens").alias("token"))
-    often = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
-    held = tokens.join(often, "token").groupBy("no", "n").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("s"))
-    held = held.where(100 * F.size("s") >= percent * F.col("n"))
-    weight = F.aggregate("s.df", F.lit(0).cast("long"), add)
-    return held.select("no", "n", weight.alias("weight"), F.col("s.token").alias("tokens"))
+    held = with_frequency(sets.select("no", F.explode("tokens").alias("token"))).groupBy("no")
+    # Two lists of one aggregate keep one order.
+    held = held.agg(F.collect_list(F.col("df").cast("int")).alias("_df"), F.collect_list("token").alias("_token"))
+    held = held.join(sets.select("no", "n"), "no").where(100 * F.size("_df") >= percent * F.col("n"))
+    ordered = F.sort_array(F.arrays_zip("_df", "_token"))
+    weight = F.aggregate("_df", F.lit(0).cast("long"), lambda total, df: total + df)
+    return held.select("no", "n", weight.alias("weight"), F.transform(ordered, lambda x: x["_token"]).alias("tokens"))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -167,10 +185,10 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def bitmaps(sets: DataFrame) -> DataFrame:
-    """(no, spare, b0, b1, ...): BITS hashed bits of each set and how many tokens it has more than bits."""
+    """(no, spare, bits): BITS hashed bits of each set and how many tokens it has more than bits."""
 
     @F.arrow_udf("array<long>")
-    def bits(lists: pa.Array) -> pa.Array:
+    def hashed(lists: pa.Array) -> pa.Array:
         offsets = np.asarray(lists.offsets)
         tokens = np.asarray(lists.values)[offsets[0] : offsets[-1]].view(np.uint64) % np.uint64(BITS)
         owner = np.repeat(np.arange(len(lists)), np.diff(offsets))
@@ -179,29 +197,36 @@ def bitmaps(sets: DataFrame) -> DataFrame:
         np.bitwise_or.at(out, place, np.uint64(1) << (tokens & np.uint64(63)))
         return pa.ListArray.from_arrays(pa.array(np.arange(len(lists) + 1, dtype=np.int32) * WORDS64), pa.array(out.view(np.int64)))
 
-    rows = sets.select("no", F.size("tokens").alias("_size"), bits.asNondeterministic()("tokens").alias("_bits"))
-    ones = F.aggregate("_bits", F.lit(0), lambda n, b: n + F.bit_count(b))
-    return rows.select("no", (F.col("_size") - ones).alias("spare"), *[F.col("_bits")[k].alias(f"b{k}") for k in range(WORDS64)])
+    rows = sets.select("no", F.size("tokens").alias("_size"), hashed.asNondeterministic()("tokens").alias("bits"))
+    ones = F.aggregate("bits", F.lit(0), lambda n, b: n + F.bit_count(b))
+    return rows.select("no", (F.col("_size") - ones).alias("spare"), "bits")
 
 
-def tree_levels(members: DataFrame) -> list[DataFrame]:
-    """Nodes of all tokens' trees from the leaves up: (token, at, b..., spare, low, high, label0, label1)."""
-    most = members.agg(F.max("_size")).first()[0] or 0
+def leaf_rows(members: DataFrame) -> DataFrame:
+    """(token, at, ...) with the members of each leaf as lists; ``bits`` are those of all, one after the other."""
+    lists = ["no", "n", "spare", "label", "bits"]
+    grouped = members.groupBy("token", F.floor(F.col("_pos") / LEAF).alias("at"))
+    grouped = grouped.agg(F.max("_size").alias("_size"), *[F.collect_list(c).alias(c) for c in lists])
+    return materialize(grouped.withColumn("bits", F.flatten("bits")), "leaves")
 
-    def above(nodes: DataFrame, at: Column) -> DataFrame:
-        return materialize(
-            nodes.withColumn("at", at).groupBy("token", "at").agg(
-                *[F.bit_or(f"b{k}").alias(f"b{k}") for k in range(WORDS64)],
-                F.max("spare").alias("spare"), F.min("low").alias("low"), F.max("high").alias("high"),
-                F.min("label0").alias("label0"), F.max("label1").alias("label1"),
-            ),
-            "tree",
-        )
 
-    levels = [above(members, F.floor(F.col("_pos") / LEAF))]
-    most = -(-most // LEAF)
+def tree_levels(leaves: DataFrame) -> list[DataFrame]:
+    """Nodes of all tokens' trees from the leaves up: (token, at, bits, spare, low, high, label0, label1)."""
+    most = -(-(leaves.agg(F.max("_size")).first()[0] or 0) // LEAF)
+    words = [F.aggregate(F.transform(F.sequence(F.lit(k), F.size("bits") - 1, F.lit(WORDS64)), lambda i: F.col("bits")[i]),
+                         F.lit(0).cast("long"), lambda a, b: a.bitwiseOR(b)) for k in range(WORDS64)]
+    lowest = leaves.select(
+        "token", "at", F.array(*words).alias("bits"), F.array_max("spare").alias("spare"), F.array_min("n").alias("low"),
+        F.array_max("n").alias("high"), F.array_min("label").alias("label0"), F.array_max("label").alias("label1"),
+    )
+    levels = [materialize(lowest, "tree")]
     while most > 1:
-        levels.append(above(levels[-1], F.floor(F.col("at") / FAN)))
+        grouped = levels[-1].groupBy("token", F.floor(F.col("at") / FAN).alias("at")).agg(
+            F.array(*[F.bit_or(F.col("bits")[k]) for k in range(WORDS64)]).alias("bits"),
+            F.max("spare").alias("spare"), F.min("low").alias("low"), F.max("high").alias("high"),
+            F.min("label0").alias("label0"), F.max("label1").alias("label1"),
+        )
+        levels.append(materialize(grouped, "tree"))
         most = -(-most // FAN)
     return levels
 
@@ -211,31 +236,64 @@ def could_link(percent: int) -> Column:
 
     Shared tokens lie on shared bits, and a member has at most ``spare`` tokens more than bits.
     """
-    shared = reduce(add, [F.bit_count(F.col(f"x.b{k}").bitwiseAND(F.col(f"y.b{k}"))) for k in range(WORDS64)])
-    most = shared + F.least("x.spare", "y.spare")
+    both = F.zip_with("x.bits", "y.bits", lambda a, b: F.bit_count(a.bitwiseAND(b)))
+    most = F.aggregate(both, F.lit(0), add) + F.least("x.spare", "y.spare")
     apart = F.least("x.label0", "y.label0") != F.greatest("x.label1", "y.label1")
     sizes = (100 * F.col("x.high") >= percent * F.col("y.low")) & (100 * F.col("y.high") >= percent * F.col("x.low"))
     return apart & sizes & ((100 + percent) * most >= percent * (F.col("x.low") + F.col("y.low")))
 
 
-def traversed(members: DataFrame, levels: list[DataFrame], percent: int) -> DataFrame:
-    """Distinct pairs (a, b) of members that no bound on the way down rules out."""
+def met(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs (token, i, j) of one level beside their nodes, as p, x and y."""
+    p, x, y = pairs.alias("p"), nodes.alias("x"), nodes.alias("y")
+    left = p.join(x, (F.col("p.token") == F.col("x.token")) & (F.col("p.i") == F.col("x.at")))
+    return left.join(y, (F.col("p.token") == F.col("y.token")) & (F.col("p.j") == F.col("y.at")))
+
+
+def leaf_pairs(pairs: DataFrame, leaves: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of the members of paired leaves that the same bounds leave."""
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = {c: batch.column(c)[k] for c in batch.schema.names}
+                no, n, spare, label, bits = (
+                    [np.asarray(row[f"{side}_{c}"].values) for side in "xy"] for c in ("no", "n", "spare", "label", "bits")
+                )
+                words = [w.view(np.uint64).reshape(-1, WORDS64) for w in bits]
+                shared = np.zeros((len(no[0]), len(no[1])), np.int64)
+                for w in range(WORDS64):
+                    shared += np.bitwise_count(words[0][:, w, None] & words[1][None, :, w])
+                most = shared + np.minimum(spare[0][:, None], spare[1][None, :])
+                left, right = n[0][:, None], n[1][None, :]
+                fits = (100 + percent) * most >= percent * (left + right)
+                fits &= (100 * left >= percent * right) & (100 * right >= percent * left)
+                fits &= label[0][:, None] != label[1][None, :]
+                if row["i"].as_py() == row["j"].as_py():
+                    fits = np.triu(fits, 1)
+                i, j = np.nonzero(fits)
+                a, b = no[0][i], no[1][j]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+    lists = ["no", "n", "spare", "label", "bits"]
+    rows = met(pairs, leaves).select("p.i", "p.j", *[F.col(f"{side}.{c}").alias(f"{side}_{c}") for side in "xy" for c in lists])
+    return rows.mapInArrow(compared, "a long, b long")
+
+
+def traversed(members: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a, b) of the members (token, no, n, label, spare, bits, _pos, _size) that no bound on the way down rules out."""
+    parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    leaves = leaf_rows(members)
+    levels = tree_levels(leaves)
     pairs = levels[-1].select("token", F.col("at").alias("i"), F.col("at").alias("j"))
-
-    def met(pairs: DataFrame, nodes: DataFrame, at: str, once: Column) -> DataFrame:
-        p, x, y = pairs.alias("p"), nodes.alias("x"), nodes.alias("y")
-        left = p.join(x, (F.col("p.token") == F.col("x.token")) & (F.col("p.i") == F.col(f"x.{at}")))
-        same = (F.col("p.token") == F.col("y.token")) & (F.col("p.j") == F.col(f"y.{at}"))
-        return left.join(y, same & once & could_link(percent))
-
     for k in range(len(levels) - 1, -1, -1):
-        pairs = met(pairs, levels[k], "at", F.lit(True)).select("p.token", "p.i", "p.j")
+        pairs = met(pairs, levels[k]).where(could_link(percent)).select("p.token", "p.i", "p.j")
         if k:
             below = [F.explode(F.sequence(F.col(c) * FAN, F.col(c) * FAN + FAN - 1)).alias(c) for c in ("i", "j")]
             pairs = pairs.select("token", below[0], "j").select("token", "i", below[1]).where("i <= j")
-    once = (F.col("p.i") < F.col("p.j")) | (F.col("x._pos") < F.col("y._pos"))
-    found = met(pairs, members, "leaf", once)
-    return found.select(F.least("x.no", "y.no").alias("a"), F.greatest("x.no", "y.no").alias("b")).distinct()
+            # A few rows that stand for much work: dealt out whatever their bytes.
+            pairs = pairs.repartition(parts, "token", "i", "j")
+    return leaf_pairs(pairs.repartition(parts, "token", "i", "j"), leaves, percent).distinct()
 
 
 # Components ------------------------------------------------------------------------
@@ -261,11 +319,8 @@ def set_links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
         return labels
     placed = ranked(rest, ["token"], ["single", "label", "n", "no"], "placed")
     bits = bitmaps(sets.join(rest.select("no").distinct(), "no", "left_semi"))
-    members = placed.join(bits, "no").withColumns(
-        {"low": F.col("n"), "high": F.col("n"), "label0": F.col("label"), "label1": F.col("label"), "leaf": F.floor(F.col("_pos") / LEAF)}
-    )
-    members = materialize(members, "tree-members")
-    left = materialize(traversed(members, tree_levels(members), percent), "open")
+    members = placed.join(bits, "no").select("token", "no", "n", "label", "spare", "bits", "_pos", "_size")
+    left = materialize(traversed(materialize(members, "tree-members"), percent), "open")
     if left.isEmpty():
         return labels
     more = materialize(verified(left, sets, percent), "links")
@@ -275,21 +330,20 @@ def set_links(sets: DataFrame, percent: int = PERCENT) -> DataFrame:
 def jaccard_components(
     df: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = PERCENT, size: int = SHINGLE
 ) -> DataFrame:
-    """(id, n, component_id) of every row."""
+    """(id, n, component_id) of every row. Rows that are no file scan are written first, to be read by address."""
     texts = df.select(F.col(id_col).alias("id"), whole_text(text).alias("text"))
+    texts = texts if is_scan(texts) else materialize(texts, "texts")
+    texts = texts.select(address().alias("at"), "id", "text")
     signed = materialize(set_rows(texts, percent, size, False).withColumn("_row", F.monotonically_increasing_id()), "signed")
-    # Per set its smallest id and how many rows have both.
-    alive = common_rows(signed, percent).groupBy("id", "hi", "lo").agg(F.count("*").alias("copies"))
-    smallest = F.min(F.struct(F.col("id").isNull(), "id", "copies")).alias("_m")
-    alive = alive.groupBy("hi", "lo").agg(smallest).select("_m.id", "_m.copies", "hi", "lo")
-    alive = materialize(alive.withColumn("no", F.monotonically_increasing_id()), "alive")
-    labels = set_links(materialize(profiles(whole_sets(texts, alive, percent, size), percent), "profiles"), percent)
+    alive = materialize(common_rows(signed, percent), "alive")
+    sets = materialize(whole_sets(texts, alive, percent, size), "sets")
+    labels = set_links(materialize(profiles(sets, percent), "profiles"), percent)
 
     labelled = alive.join(labels, alive["no"] == labels["id"]).select("hi", "lo", F.col("cluster_id").alias("label"))
-    sets = signed.where("n > 0").groupBy("hi", "lo").agg(F.min("id").alias("least"), F.count("*").alias("_c"))
-    sets = sets.join(labelled, ["hi", "lo"], "left").where("label is not null or _c > 1").drop("_c")
-    sets = materialize(sets, "components")
-    least = sets.where("label is not null").groupBy("label").agg(F.min("least").alias("component"))
-    by_set = sets.join(least, "label", "left").select("hi", "lo", F.coalesce("component", "least").alias("component_id"))
+    every = signed.where("n > 0").groupBy("hi", "lo").agg(F.min("id").alias("least"), F.count("*").alias("_c"))
+    every = every.join(labelled, ["hi", "lo"], "left").where("label is not null or _c > 1").drop("_c")
+    every = materialize(every, "components")
+    least = every.where("label is not null").groupBy("label").agg(F.min("least").alias("component"))
+    by_set = every.join(least, "label", "left").select("hi", "lo", F.coalesce("component", "least").alias("component_id"))
     rows = left_lookup(signed.select("id", "n", "hi", "lo", "_row"), by_set, ["hi", "lo"], F.col("_row"))
     return rows.select("id", "n", F.coalesce("component_id", "id").alias("component_id"))
