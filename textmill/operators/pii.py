@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from textmill.functions.arrays import char_blocks, explode_once, let, prefix_scan, prefix_sums, runs, total
 from textmill.functions.fixed_values import LOCALE_TERMS, PII_PRECEDENCE
+from textmill.operators.gazetteer import listed_entities
 from textmill.operators.skew import salted_join
 
 ENTITY = "struct<start:int,end:int,type:string,entity:string,public:boolean>"
@@ -24,7 +25,6 @@ ENTITIES = f"array<{ENTITY}>"
 GROUPED = "array<struct<start:int,end:int,type:string,entity:string,public:boolean,no:int>>"
 BLOCK_CHARS = 1024
 MAX_FIGURES = 10_000
-LISTED_TERMS = 200_000
 
 
 # Check digits --------------------------------------------------------------
@@ -212,52 +212,14 @@ def detect(text: Column, types: list[str] | None = None) -> Column:
     )
 
 
-def listed_entities(text: Column, terms: DataFrame, max_words: int = 3) -> Column:
-    """Gazetteer matches inside the row.
-
-    A list of any length is worked through in blocks of about LISTED_TERMS terms,
-    drawn by a hash, so what a task holds at a time is bounded.
-    """
-    blocks = 1 + terms.count() // LISTED_TERMS
-    block = F.pmod(F.xxhash64("term"), F.lit(blocks))
-    found = [_listed_block(text, terms.where(block == i), max_words) for i in range(blocks)]
-    return found[0] if blocks == 1 else F.array_sort(F.concat(*found))
-
-
-def _listed_block(text: Column, terms: DataFrame, max_words: int) -> Column:
-    table: dict[str, list] = {}
-    for row in terms.select("term", "type", "public").collect():
-        table.setdefault(row.term, []).append((row.type, row.public))
-    shared = terms.sparkSession.sparkContext.broadcast(table)
-
-    @F.pandas_udf(ENTITIES)
-    def matches(texts: pd.Series) -> pd.Series:
-        known, word = shared.value, re.compile(r"\w+")
-
-        def scan(value: str) -> list[dict]:
-            spots = [m.span() for m in word.finditer(value)]
-            out = []
-            for i, (start, _) in enumerate(spots):
-                for j in range(i, min(i + max_words, len(spots))):
-                    if j > i and value[spots[j - 1][1] : spots[j][0]] != " ":
-                        break
-                    end = spots[j][1]
-                    for type_, public in known.get(value[start:end], ()):
-                        out.append({"start": start, "end": end, "type": type_, "entity": value[start:end], "public": public})
-            return out
-
-        return texts.map(scan)
-
-    return matches.asNondeterministic()(F.coalesce(text, F.lit("")))
-
-
 def gazetteer_matches(
     df: DataFrame, terms: DataFrame, id_col: str = "id", text: str = "text", max_words: int = 3
 ) -> DataFrame:
     """(id, entities) for token runs found in a term table (term, type, public), as a join.
 
-    For lists too long for many blocks. ``id_col`` must tell rows apart. Hot
-    runs are salted; only matches are regrouped by id.
+    The shuffled way, for terms of up to ``max_words`` words and lists too long for the
+    disks of workers. ``id_col`` must tell rows apart. Hot runs are salted; only matches
+    are regrouped by id.
     """
     tokens = F.col("_t")
 

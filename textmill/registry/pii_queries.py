@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from textmill.functions.arrays import explode_once
 from textmill.functions.fixed_values import PII_PRECEDENCE
 from textmill.operators import pii
-from textmill.registry.base import DOCS, ORACLES, busy_docs, query, table
+from textmill.operators.gazetteer import listed_entities
+from textmill.registry.base import DOCS, ORACLES, busy_docs, docs, query, table
 from textmill.sources.reader import balance
 
 # The documents hold few kinds of personal data. Further ones are derived from
@@ -184,7 +185,40 @@ def gram_sql(n: int) -> str:
 )
 def detect_pii_gazetteer(spark, sf):
     terms = terms_table(spark, sf).withColumn("public", F.lit(False))
-    found = busy_docs(spark, sf).withColumn("listed", pii.listed_entities(F.col("text"), terms))
+    found = busy_docs(spark, sf).withColumn("listed", listed_entities(F.col("text"), terms))
+    return flat(found, "listed", "start", "end", "type", "entity")
+
+
+# Of every seventh document its first one to eight words, where one blank alone parts them.
+LONG_TERM = r"^[\p{L}\p{N}_]+(?: [\p{L}\p{N}_]+){%d}"
+LONG_TERMS_SQL = f"""(SELECT DISTINCT term, 'LOCATION_ADDRESS' AS type FROM (SELECT CASE id // 7 % 8
+   {" ".join(f"WHEN {n} THEN regexp_extract(text, '{LONG_TERM % n}')" for n in range(8))} END AS term FROM {DOCS} WHERE id % 7 = 0) WHERE term <> '')"""
+
+
+def long_terms(spark, sf):
+    """A term list drawn from the documents: one to eight leading words."""
+    cut = F.when(F.lit(False), F.lit(""))
+    for n in range(8):
+        cut = cut.when(F.floor(F.col("id") / 7) % 8 == n, F.regexp_extract("text", LONG_TERM % n, 0))
+    heads = docs(spark, sf).where(F.col("id") % 7 == 0).select(cut.alias("term")).where("term <> ''").distinct()
+    return heads.withColumns({"type": F.lit("LOCATION_ADDRESS"), "public": F.lit(False)})
+
+
+@query(
+    "detect_pii_gazetteer_long",
+    rf"""WITH RECURSIVE m AS (SELECT id, regexp_extract_all(text, '[\p{{L}}\p{{N}}_]+') AS f, string_split_regex(text, '[\p{{L}}\p{{N}}_]+') AS g FROM {DOCS}),
+ k AS (SELECT id, f, g, unnest(range(1, len(f) + 1)) AS k FROM m),
+ st AS (SELECT id, f, g, k, sum(length(g[k]) + length(f[k])) OVER (PARTITION BY id ORDER BY k) - length(f[k]) AS s FROM k),
+ tok AS (SELECT id, any_value(f) AS f, any_value(g) AS g, list(s ORDER BY k) AS st FROM st GROUP BY id),
+ r AS ({" UNION ALL ".join(gram_sql(n) for n in range(1, 9))}),
+ hit AS (SELECT id, s, max(s + length(term)) AS e, arg_max(term, length(term)) AS term FROM r JOIN {LONG_TERMS_SQL} t USING (term) GROUP BY id, s),
+ pick AS (SELECT id, arg_min(hit, s) AS h FROM hit GROUP BY id
+   UNION ALL SELECT p.id, arg_min(n, n.s) FROM pick p JOIN hit n ON n.id = p.id AND n.s >= p.h.e GROUP BY p.id, p.h.s)
+ SELECT id, h.s::INTEGER AS start_index, h.e::INTEGER AS end_index, 'LOCATION_ADDRESS' AS type, h.term AS entity FROM pick""",
+)
+def detect_pii_gazetteer_long(spark, sf):
+    """Leftmost longest matches of terms of up to eight words."""
+    found = busy_docs(spark, sf).withColumn("listed", listed_entities(F.col("text"), long_terms(spark, sf), longest=True, shard_terms=20))
     return flat(found, "listed", "start", "end", "type", "entity")
 
 
