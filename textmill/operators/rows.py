@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import NumericType
 
 from textmill.functions.arrays import char_blocks, explode_once
 from textmill.operators.ordering import ROWS_PER_RANGE, running_total
+from textmill.operators.radix import quantiles
 
 DELIVERY_COLUMNS = {
     "id": "string",
@@ -38,49 +37,23 @@ def delivery_format(df: DataFrame, fill_missing: bool = False) -> DataFrame:
     return df.select(*out)
 
 
-def exact_quantiles(df: DataFrame, column: str, names: dict[str, float]) -> DataFrame:
-    """Interpolated quantiles as one row, one column per name.
+def profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Per numeric column: count, mean, sample std, min, quartiles and max.
 
-    Equal values are counted first, cumulative counts then place the two
-    neighbours of each quantile; no task holds the whole column.
+    Five passes over the rows, however many columns there are: one for the
+    aggregates, four for the quartiles of all columns. The figures are computed here;
+    the result is a table of one row per column.
     """
-    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
-    n_rows = counts.agg(F.sum("_n")).first()[0] or 0
-    placed = running_total(counts, [column], F.col("_n"), "_before")
-
-    def value_at(rank: int):
-        here = (F.col("_before") <= rank) & (rank < F.col("_before") + F.col("_n"))
-        return F.max(F.when(here, F.col(column))).cast("double")
-
-    aggregates = []
-    for name, q in names.items():
-        rank = max(0, n_rows - 1) * q
-        low, high = math.floor(rank), math.ceil(rank)
-        aggregates.append(
-            (value_at(low) + (rank - low) * (value_at(high) - value_at(low))).alias(name)
-        )
-    return placed.agg(*aggregates)
-
-
-def profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Per numeric column: count, mean, sample std, min, quartiles and max."""
     if columns is None:
         columns = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
-    out = None
-    for name in columns:
-        c = F.col(name)
-        base = df.agg(
-            F.count(c).alias("count"),
-            F.avg(c).alias("mean"),
-            F.stddev_samp(c).alias("std"),
-            F.min(c).cast("double").alias("min"),
-            F.max(c).cast("double").alias("max"),
-        ).withColumn("column", F.lit(name))
-        quartiles = exact_quantiles(df, name, {"q25": 0.25, "q50": 0.5, "q75": 0.75})
-        quartiles = quartiles.withColumn("column", F.lit(name))
-        row = base.join(quartiles, "column")
-        out = row if out is None else out.unionByName(row)
-    return out
+    figures = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    exprs = [f(F.col(f"`{c}`")).cast("long" if k == "count" else "double").alias(f"{k}_{i}") for i, c in enumerate(columns) for k, f in figures.items()]
+    found = df.agg(*exprs).first() if columns else {}
+    counts = {c: found[f"count_{i}"] for i, c in enumerate(columns)}
+    quartiles = quantiles(df.select(*[F.col(f"`{c}`") for c in columns]), counts, [0.25, 0.5, 0.75])
+    rows = [(*[found[f"{k}_{i}"] for k in figures], c, *quartiles[c]) for i, c in enumerate(columns)]
+    schema = "count long, mean double, std double, min double, max double, column string, q25 double, q50 double, q75 double"
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 def first_rows(df: DataFrame, n: int, id_col: str = "id") -> DataFrame:
