@@ -49,10 +49,23 @@ def test_unicode_forms(edge, form):
     assert got == [None if t is None else unicodedata.normalize(form, t) for t in EDGE]
 
 
+def misread(text, code):
+    """UTF-8 bytes read in another code; Windows-1252 leaves five bytes as they are."""
+    raw = text.encode()
+    return "".join(bytes([b]).decode(code) if code == "latin-1" or b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D) else chr(b) for b in raw)
+
+
 def test_mojibake(spark):
-    texts = ["cafÃ©", "café", "a — b", "plain", "Ã© —"]
-    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
-    assert values(df, norm.fix_mojibake(F.col("text"))) == ["café", "café", "a — b", "plain", "Ã© —"]
+    right = ["caf\u00e9", "plain", "a \u2014 b", "\u201cna\u00efve\u201d \u2026", "\u00df\u00c9\u00c8", "\u6f22\u5b57 \U0001f600", "\u043f\u0440\u0438\u0432\u0435\u0442", ""]
+    once = [(misread(t, code), t) for t in right for code in ("latin-1", "cp1252")]
+    twice = [(misread(misread(t, "latin-1"), "latin-1"), t) for t in right[:5]]
+    # Right text, with accents before quotes and dashes, and signs that are no valid bytes.
+    stays = [(t, t) for t in [*right, "MANH\u00c3\u2014\u00c9\u201d S\u00c3O \u00c9\u2026", "\u00ab CAF\u00c9\u00bb", "\u00e9\u00e9\u00e9 \u00e0 l\u2019\u00c9t\u00e9", "\u00c3", "\u00c3 \u00a9"]]
+    mixed = [(f"{a} caf\u00e9 \u2014 {m} \u00c9\u2026 {m}", f"{a} caf\u00e9 \u2014 {t} \u00c9\u2026 {t}") for a, (m, t) in zip(["\u00e9", "\u6f22", "x"] * 6, once)]
+    long = [(misread("\u00e9" * 50_000, "latin-1"), "\u00e9" * 50_000)]
+    cases = once + twice + stays + mixed + long
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate([*cases, (None, None)])], "id long, text string")
+    assert values(df, norm.fix_mojibake(F.col("text"))) == [t for _, t in cases] + [None]
 
 
 def test_formatting(edge):

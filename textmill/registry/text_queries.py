@@ -9,7 +9,6 @@ from textmill.operators import rows
 from textmill.registry.base import DOCS, busy_docs, docs, query, table, words_sql
 
 # The documents hold no rare characters, so some are planted by rule on both sides.
-MOJIBAKE = "cafÃ© "
 PLANT_DECOMPOSED = "replace(text, chr(233), 'e' || chr(769))"
 
 
@@ -58,6 +57,27 @@ def profile(spark, sf):
     return out.withColumns({"mean": F.round("mean", 4), "std": F.round("std", 4)})
 
 
+PROFILED = {
+    "l_orderkey": "l_orderkey", "line": "nullif(l_linenumber, 3)", "l_quantity": "l_quantity", "l_extendedprice": "l_extendedprice",
+    "below": "l_discount - 0.05::DOUBLE", "rare": "CASE WHEN l_orderkey < 40 THEN l_tax END",
+}
+
+
+@query(
+    "profile_columns",
+    " UNION ALL ".join(
+        f"""SELECT '{name}' AS "column", count(x) AS count, round(avg(x), 4) AS mean, round(stddev_samp(x), 4) AS std, min(x)::DOUBLE AS min,
+    quantile_cont(x::DOUBLE, 0.25) AS q25, quantile_cont(x::DOUBLE, 0.5) AS q50, quantile_cont(x::DOUBLE, 0.75) AS q75, max(x)::DOUBLE AS max
+    FROM (SELECT {sql} AS x FROM lineitem)""" for name, sql in PROFILED.items()
+    ),
+)
+def profile_columns(spark, sf):
+    """Six columns at once: whole numbers, fractions, negative ones, ties and nulls."""
+    df = table(spark, sf, "lineitem").select(*[F.expr(sql.replace("::DOUBLE", "D")).alias(name) for name, sql in PROFILED.items()])
+    return rows.profile(df).withColumns({"mean": F.round("mean", 4), "std": F.round("std", 4)})
+
+
+
 @query(
     "chunk_text",
     f"""SELECT id, source, (i - 1)::INTEGER AS chunk_idx, substring(text, (i - 1) * 700 + 1, 700) AS text
@@ -106,17 +126,29 @@ def unicode_normalize(spark, sf):
     return out.select("id", "changed", F.length("text").cast("long").alias("n_char"), F.md5("text").alias("digest"))
 
 
+# Two kinds of misreading, and right accents and dashes beside them.
+WRONG = "caf\u00c3\u00a9 \u00e2\u20ac\u0153na\u00c3\u00afve\u00e2\u20ac\u009d \u00e2\u0080\u0094 \u00c3\u0178 \u00f0\u0178\u02dc\u20ac CAF\u00c9\u2014\u00c9\u00a0\u2026 "
+RIGHT = "caf\u00e9 \u201cna\u00efve\u201d \u2014 \u00df \U0001f600 CAF\u00c9\u2014\u00c9\u00a0\u2026 "
+
+
 @query(
     "fix_mojibake",
-    f"""SELECT id, CASE id % 4 WHEN 2 THEN '{MOJIBAKE}— ' || text WHEN 3 THEN 'é {MOJIBAKE}' || text ELSE text END AS text FROM {DOCS}""",
+    f"""SELECT id, CASE id % 6 WHEN 2 THEN '{RIGHT}— ' || text WHEN 3 THEN 'é {RIGHT}' || text WHEN 4 THEN '{RIGHT}' || text ELSE text END AS text FROM {DOCS}""",
 )
 def fix_mojibake(spark, sf):
-    """Whole texts read as Latin-1 come back; texts with real accents, or mixed with other signs, stay."""
-    text, kind = F.col("text"), F.col("id") % 4
+    """Misread texts come back: whole ones, once or twice misread, and parts of right texts."""
+    text, kind = F.col("text"), F.col("id") % 6
+
+    def misread(t):
+        return F.decode(F.encode(t, "UTF-8"), "ISO-8859-1")
+
+    latin, windows = "".join(map(chr, norm.WINDOWS_1252.values())), "".join(norm.WINDOWS_1252)
     planted = (
-        F.when(kind == 0, F.decode(F.encode(text, "UTF-8"), "ISO-8859-1"))
-        .when(kind == 2, F.concat(F.lit(MOJIBAKE + "— "), text))
-        .when(kind == 3, F.concat(F.lit("é " + MOJIBAKE), text))
+        F.when(kind == 0, misread(text))
+        .when(kind == 2, F.concat(F.lit(WRONG + "— "), text))
+        .when(kind == 3, F.concat(F.lit("é " + WRONG), text))
+        .when(kind == 4, F.concat(F.translate(misread(F.lit(RIGHT)), latin, windows), text))
+        .when(kind == 5, misread(misread(text)))
         .otherwise(text)
     )
     return docs(spark, sf).select("id", norm.fix_mojibake(planted).alias("text"))
