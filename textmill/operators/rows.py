@@ -37,6 +37,14 @@ def delivery_format(df: DataFrame, fill_missing: bool = False) -> DataFrame:
     return df.select(*out)
 
 
+def exact_quantiles(df: DataFrame, column: str, names: dict[str, float]) -> DataFrame:
+    """Interpolated quantiles as one row, one column per name; null for an empty column."""
+    only = df.select(F.col(f"`{column}`"))
+    n_values = only.agg(F.count(F.col(f"`{column}`"))).first()[0]
+    values = quantiles(only, {column: n_values}, list(names.values()))[column]
+    return df.sparkSession.createDataFrame([tuple(values)], ", ".join(f"`{n}` double" for n in names))
+
+
 def profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Per numeric column: count, mean, sample std, min, quartiles and max.
 

@@ -6,7 +6,7 @@ from textmill.operators import filters
 from textmill.operators.stats import stage_counts
 from textmill.registry.base import DOCS, docs, query, table
 from textmill.session import scratch_path
-from textmill.sources import files, reader, writer
+from textmill.sources import files, reader, rolling, writer
 from textmill.functions.text import with_parts
 
 
@@ -65,6 +65,23 @@ def write_sized(spark, sf):
     )
 
 
+@query("write_rolling", f"SELECT count(*) AS n_rows, sum(length(text))::BIGINT AS n_char, true AS near_target, true AS same_digests FROM {DOCS}")
+def write_rolling(spark, sf):
+    """Files end at the target; the inventory of the writing tasks is that of the files read back."""
+    path, target = scratch_path(spark, "rolled"), 2**17
+    source = docs(spark, sf)
+    rolling.write_rolling(source, path, target)
+    written, read = rolling.written_inventory(spark, path), files.file_inventory(spark, path)
+    short = F.count_if(F.col("size") < target) <= source.rdd.getNumPartitions()
+    sizes = written.agg(F.sum("n_rows").alias("n_rows"), (short & (F.max("size") < 1.5 * target)).alias("near_target"))
+    both = written.join(read, ["filename", "size", "file_sha256_hex_hash"], "full_outer")
+    same = both.agg((F.count("n_rows") == F.count("*")).alias("same_digests"))
+    chars = spark.read.parquet(path).agg(F.sum(F.length("text")).alias("n_char"))
+    one = F.lit(1).alias("one")
+    found = sizes.select(one, "*").join(same.select(one, "*"), "one").join(chars.select(one, "*"), "one")
+    return found.select("n_rows", "n_char", "near_target", "same_digests")
+
+
 NORDIC_REASON = r"""CASE WHEN CASE WHEN length(text) > 0 THEN length(regexp_replace(text, '[^0-9]', '', 'g'))::DOUBLE / length(text)
    ELSE 0 END > 0.2 THEN 'max_digit_fraction' WHEN length(text) < 50 THEN 'min_n_char' END"""
 

@@ -2,36 +2,16 @@
 
 from __future__ import annotations
 
-from contextlib import contextmanager
-
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from textmill.session import materialize
+from textmill.sources.rolling import reaches, write_rolling
 
 STAGE_FILE_BYTES = 2**28
 SPLIT_FILE_BYTES = 100_000_000
 REMOVED_FILE_BYTES = 2**29
 
 
-@contextmanager
-def _file_target(spark: SparkSession, max_file_bytes: int):
-    """Let adaptive execution aim its rebalanced partitions at the file size."""
-    wanted = {
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(max_file_bytes),
-        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
-        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(min(2**20, max_file_bytes)),
-    }
-    before = {key: spark.conf.get(key) for key in wanted}
-    for key, value in wanted.items():
-        spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)
-
-
 def write_sized(
     df: DataFrame,
     path: str,
@@ -41,14 +21,17 @@ def write_sized(
 ) -> None:
     """Write parquet files near a target size, computing the rows once.
 
-    The rows go through one rebalancing exchange; its measured sizes decide how
-    partitions are merged, and how a folder with most of the rows is split.
+    Rows stay in their tasks, which begin a new file whenever one has reached the
+    size. A folder that Arrow cannot open is written by Spark in files of as many
+    rows as a sample suggests.
     """
-    with _file_target(df.sparkSession, max_file_bytes):
-        writer = df.hint("rebalance", *(partition_by or [])).write.mode(mode)
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.parquet(path)
+    if reaches(path):
+        write_rolling(df, path, max_file_bytes, mode, partition_by)
+        return
+    size = df.select(F.octet_length(F.to_json(F.struct("*"))).alias("n")).limit(1000).agg(F.avg("n")).first()[0]
+    rows = max(1, int(max_file_bytes / max(1.0, (size or 1.0) / 2)))
+    writer = df.write.mode(mode).option("maxRecordsPerFile", rows)
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
 def write_removed(df: DataFrame, path: str, max_file_bytes: int = REMOVED_FILE_BYTES) -> None:
@@ -80,10 +63,22 @@ def _normal(path: str) -> str:
     return path.removeprefix("file://").removeprefix("file:").rstrip("/")
 
 
+def input_roots(df: DataFrame) -> set[str]:
+    """The folders the plan's scans were given; their files are not listed."""
+    leaves, roots = df._jdf.queryExecution().analyzed().collectLeaves(), set()
+    for i in range(leaves.size()):
+        if leaves.apply(i).nodeName() == "LogicalRelation":
+            relation = leaves.apply(i).relation()
+            if relation.getClass().getSimpleName() == "HadoopFsRelation":
+                paths = relation.location().rootPaths()
+                roots |= {_normal(paths.apply(k).toString()) for k in range(paths.size())}
+    return roots
+
+
 def overwrite_stage(df: DataFrame, path: str, max_file_bytes: int = STAGE_FILE_BYTES) -> None:
-    """Replace a stage's output folder. Refused when the plan reads from that folder."""
-    target = _normal(path)
-    for source in df.inputFiles():
-        if _normal(source).startswith(target + "/") or _normal(source) == target:
+    """Replace a stage's output folder. Refused when the plan reads from that folder, or from one around it."""
+    target = _normal(path) + "/"
+    for source in input_roots(df):
+        if target.startswith(source + "/") or (source + "/").startswith(target):
             raise ValueError(f"{path} is an input of this plan; choose another output folder")
     write_sized(df, path, max_file_bytes, mode="overwrite")
