@@ -7,7 +7,7 @@ from textmill.operators import filters as flt, inference, language as lng, perpl
 from textmill.operators.language import BUCKETS, calibrate, calibration_examples, fit_language_model
 from textmill.operators.stats import with_file
 from textmill.registry.base import DOCS, busy_docs, docs, query, table, words_sql
-from textmill.session import materialize
+from textmill.session import materialize, scratch_path
 
 
 def language_model(spark, sf):
@@ -175,6 +175,20 @@ def batched_inference(spark, sf):
     return inference.apply_model(busy_docs(spark, sf).select("id", "text"), stand_in_translator, 32)
 
 
+@query("bucketed_inference", f"SELECT id, replace(text, 'e', '3') AS text FROM {DOCS}")
+def bucketed_inference(spark, sf):
+    """Batches of similar length, rows in their order."""
+    return inference.bucketed_model(docs(spark, sf).select("id", "text"), stand_in_translator, 32)
+
+
+@query("ledgered_inference", f"SELECT id, text, replace(text, 'e', '3') AS answer FROM {DOCS}")
+def ledgered_inference(spark, sf):
+    """Half of the rows first; the second job infers only what the ledger does not hold."""
+    rows, ledger = docs(spark, sf).select("id", "text"), scratch_path(spark, "ledger")
+    inference.ledgered_model(rows.where("id % 2 = 0"), stand_in_translator, ledger, "stand-in", rounds=2, out="answer")
+    return inference.ledgered_model(rows, stand_in_translator, ledger, "stand-in", rounds=2, out="answer")
+
+
 @query("translate", f"SELECT id, replace(text, 'e', '3') AS text FROM {DOCS}")
 def translate(spark, sf):
     return inference.translate(busy_docs(spark, sf).select("id", "text"), stand_in_translator)
