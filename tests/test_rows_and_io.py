@@ -197,3 +197,32 @@ def test_language_rejects_go_by_language(spark, docs):
     by_language = spark.read.parquet(f"{path}/removed_languages")
     assert {r.language for r in by_language.collect()} == {r.language for r in rows.where("id < 4").collect()}
     assert spark.read.parquet(f"{path}/removed_data").count() == rows.where("id >= 4").count()
+
+
+def test_metadata_as_json_and_variant(spark):
+    texts = ['{"a": 1, "b": "x", "text": "m"}', '{"a": 2.5, "c d": [1, 2]}', '{"b": 7}', "[1]", "no json", None, "{}", '{"o": {"p": null}}']
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, metadata string").withColumns({"text": F.lit("t"), "b": F.lit("old")})
+    for form in (df, df.withColumn("metadata", F.try_parse_json("metadata"))):
+        out = reader.expand_metadata(form)
+        assert sorted(out.columns) == ["a", "b", "c d", "id", "o", "text"]
+        rows = {r.id: r for r in out.collect()}
+        assert [float(rows[i].a) for i in (0, 1)] == [1.0, 2.5] and (rows[0].b, rows[2].b, rows[0].text) == ("x", "7", "m")
+        assert rows[1]["c d"] == [1, 2] and all(rows[i].a is None for i in (2, 3, 4, 5, 6, 7))
+    assert reader.expand_metadata(df, keys=["a"]).columns == ["id", "text", "b", "a"]
+    assert reader.expand_metadata(df.where("id = 4")).columns == ["id", "text", "b"]
+
+
+def test_chain_counters_equal_stage_counts(spark, docs):
+    judged = docs.withColumns({"language": F.when(F.col("id") % 3 == 0, "xx").otherwise("en"), "language_score": F.lit(0.9)})
+    steps = [
+        {"stage": "heuristic_filtering", "languages": ["en"], "output_folder": scratch_path(spark, "one")},
+        {"stage": "deduplication", "output_folder": scratch_path(spark, "two")},
+    ]
+    result = curation_chain(spark, {"input_from_previous_output": True, "stages": steps}, judged)
+    from textmill.operators.stats import stage_counts
+    from textmill.plans.stages import annotate_heuristics
+
+    want = {(r.filter_module, r.filter_reason): r.n_rows for r in stage_counts(annotate_heuristics(judged, languages=["en"])).collect()}
+    got = result.counters["1_heuristic_filtering"]
+    assert got["forwarded"] == want.pop((None, None), 0) and got["removed"] == want and got["total"] == docs.count()
+    assert result.counters["2_deduplication"]["forwarded"] == result.kept.count()

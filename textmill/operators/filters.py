@@ -13,6 +13,7 @@ from textmill.functions.arrays import count_where, total
 from textmill.functions.fixed_values import STOP_WORDS
 from textmill.functions.text import Parts, lengths, mean, median, ratio, words
 
+REASONS = "reasons"
 BULLET_LINE = "^[ \\t]*[•*-]"
 ELLIPSIS_LINE = "(\\.\\.\\.|…)[ \\t\\r]*$"
 SENTENCE_JUNK = r"(?U)([\d°]{3,})|(\.(\w{2,4}))|(\/\w+\/\w+)|(WorldCat)|(Wikikids)"
@@ -39,15 +40,18 @@ def annotate(df: DataFrame, module: str, rules: list[tuple[str, Column]]) -> Dat
     df = open_verdict(df)
     if not rules:
         return df
+    known = df.schema["filter_reason"].metadata.get(REASONS, [])
     reason = F.coalesce(*[F.when(failed, F.lit(name)) for name, failed in rules])
     fresh = F.col("filter_reason").isNull()
     # when() keeps the reason lazy: rejected rows skip the rule bodies.
     df = df.withColumn("filter_reason", F.when(fresh, reason).otherwise(F.col("filter_reason")))
-    return df.withColumn(
+    df = df.withColumn(
         "filter_module",
         F.when(F.col("filter_module").isNull() & F.col("filter_reason").isNotNull(), F.lit(module))
         .otherwise(F.col("filter_module")),
     )
+    # The column itself says which reasons it can hold, for counters in the pass that writes it.
+    return df.withMetadata("filter_reason", {REASONS: [*known, *(f"{module}:{name}" for name, _ in rules)]})
 
 
 def outcome(df: DataFrame) -> Outcome:

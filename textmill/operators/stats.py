@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import uuid
+from collections.abc import Callable
 
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+
+from textmill.operators.filters import REASONS
 from textmill.sources.files import file_inventory, list_files
 
 COUNT_COLUMNS = ["n_non_symbol_words", "n_char", "avg_word_length"]
@@ -136,3 +140,25 @@ def stage_totals(annotated: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("total"),
         F.count_if(F.col("filter_reason").isNull()).alias("forwarded"),
     )
+
+
+def observed_counts(annotated: DataFrame, name: str = "stage") -> tuple[DataFrame, Callable[[], dict]]:
+    """The same rows, and what they turn out to be: total, forwarded and rows per module and reason.
+
+    The counts are taken while the rows pass, by whatever action comes first; the
+    function returns them after it. Reasons are those the filters have noted in the column.
+    """
+    noted = annotated.schema["filter_reason"].metadata.get(REASONS, []) if "filter_reason" in annotated.columns else []
+    reasons = list(dict.fromkeys(tuple(r.split(":", 1)) for r in noted))
+    seen = Observation(f"{name}-{uuid.uuid4().hex}")
+    is_kept = F.col("filter_reason").isNull() if "filter_reason" in annotated.columns else F.lit(True)
+    counts = [F.count(F.lit(1)).alias("total"), F.count_if(is_kept).alias("forwarded")]
+    for i, (module, reason) in enumerate(reasons):
+        counts.append(F.count_if((F.col("filter_module") == module) & (F.col("filter_reason") == reason)).alias(f"r{i}"))
+
+    def found() -> dict:
+        got = seen.get
+        per = {key: got[f"r{i}"] for i, key in enumerate(reasons) if got[f"r{i}"]}
+        return {"total": got["total"], "forwarded": got["forwarded"], "removed": per}
+
+    return annotated.observe(seen, *counts), found

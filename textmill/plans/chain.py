@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from textmill.operators.filters import Outcome, outcome
+from textmill.operators.stats import observed_counts
 from textmill.plans import stages as s
 from textmill.sources.reader import balance, read_documents, read_paths_file, scan_skip_limit
 from textmill.sources.writer import (
@@ -34,6 +35,8 @@ STAGES = {
 class ChainResult:
     kept: DataFrame
     removed: dict[str, DataFrame] = field(default_factory=dict)
+    # Per written stage: total, forwarded, and removed rows per (module, reason), counted in the pass that wrote it.
+    counters: dict[str, dict] = field(default_factory=dict)
 
 
 # Keys of a step that say how its input is read and its output written; all others are the stage's own.
@@ -90,15 +93,20 @@ def curation_chain(spark: SparkSession, config: dict, source: DataFrame | None =
         if at == 0 or step.get("input_folder") or step.get("paths_file"):
             df = balance(df)
         done: Outcome = STAGES[step["stage"]](df, **params)
-        folder = step.get("output_folder")
+        folder, name, counted = step.get("output_folder"), f"{at + 1}_{step['stage']}", None
         if folder and done.annotated is not None:
-            # Both outputs are written, so the verdicts are computed once and kept.
-            done = outcome(tee_write(done.annotated))
-        result.removed[f"{at + 1}_{step['stage']}"] = done.removed
+            # Both outputs are written, so the verdicts are computed once, counted and kept.
+            observed, counted = observed_counts(done.annotated, name)
+            done = outcome(tee_write(observed))
+        elif folder:
+            observed, counted = observed_counts(done.kept, name)
+            done = Outcome(observed, done.removed)
+        result.removed[name] = done.removed
         result.kept = done.kept
         if folder:
             size = step.get("max_file_bytes", FILE_BYTES.get(step["stage"], STAGE_FILE_BYTES))
             overwrite_stage(done.kept, folder, size)
             write_removed(done.removed, f"{folder.rstrip('/')}_removed", step.get("removed_file_bytes", REMOVED_FILE_BYTES))
+            result.counters[name] = counted()
             result.kept = read_documents(spark, folder)
     return result

@@ -55,6 +55,23 @@ def expand_metadata(spark, sf):
     return reader.expand_metadata(df)
 
 
+@query("expand_metadata_forms", f"SELECT id, upper(lang) AS text, source, n_chars, CASE WHEN id % 3 = 2 AND id % 2 = 0 THEN 'x' END AS note FROM {DOCS}")
+def expand_metadata_forms(spark, sf):
+    """Structs, maps and JSON text whose objects differ; the metadata's text wins."""
+    df, form = docs(spark, sf), F.col("id") % 3
+    struct = df.where(form == 0).select("id", "text", F.struct("source", F.upper("lang").alias("text"), "n_chars").alias("metadata"))
+    pairs = F.create_map(F.lit("source"), F.col("source"), F.lit("text"), F.upper("lang"), F.lit("n_chars"), F.col("n_chars").cast("string"))
+    mapped = df.where(form == 1).select("id", "text", pairs.alias("metadata"))
+    note = F.when(F.col("id") % 2 == 0, F.lit("x")).alias("note")
+    json = F.to_json(F.struct("source", F.upper("lang").alias("text"), "n_chars", note))
+    texts = df.where(form == 2).select("id", "text", json.alias("metadata"))
+    out = reader.expand_metadata(texts)
+    for part in (struct, mapped):
+        flat = reader.expand_metadata(part)
+        out = out.unionByName(flat.withColumn("n_chars", F.col("n_chars").cast("long")), allowMissingColumns=True)
+    return out.select("id", "text", "source", "n_chars", "note")
+
+
 @query("write_sized", f"SELECT source, count(*) AS n_rows, sum(length(text))::BIGINT AS n_char FROM {DOCS} GROUP BY source")
 def write_sized(spark, sf):
     path = scratch_path(spark, "sized")

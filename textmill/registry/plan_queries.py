@@ -227,6 +227,19 @@ def curation_chain_(spark, sf):
     return curation_chain(spark, config, source).kept.select("id", "text")
 
 
+@query("chain_counters", heuristics_sql() + " SELECT coalesce(filter_reason, 'kept') AS reason, count(*) AS n_rows FROM verdict GROUP BY ALL")
+def chain_counters(spark, sf):
+    """What the chain counted while it wrote the filtered rows."""
+    source = table(spark, sf, "documents").select(
+        F.col("doc_id").alias("extraction_uid"), "text", F.col("lang").alias("language"), F.lit(1.0).alias("language_score")
+    )
+    steps = [{"stage": "data_splitting"}, {"stage": "heuristic_filtering", "languages": ["en", "de", "fr"], "output_folder": scratch_path(spark, "counted")}]
+    counted = curation_chain(spark, {"stages": steps}, source).counters["2_heuristic_filtering"]
+    assert counted["total"] == counted["forwarded"] + sum(counted["removed"].values())
+    rows = [("kept", counted["forwarded"]), *((reason, n) for (_, reason), n in counted["removed"].items())]
+    return spark.createDataFrame(rows, "reason string, n_rows long")
+
+
 @query("delivery", f"SELECT count(*) AS n_rows, sum(length(text))::BIGINT AS n_char, true AS valid, true AS named FROM {DOCS}")
 def delivery(spark, sf):
     source, target = scratch_path(spark, "collection"), scratch_path(spark, "delivered")

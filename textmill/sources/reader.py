@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import MapType, StringType, StructType
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, NullType, StringType, StructField, StructType, VariantType
 
 from textmill.operators.ordering import global_row_number
 
@@ -79,8 +79,10 @@ def null_guard(df: DataFrame) -> DataFrame:
 def expand_metadata(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Turn the metadata column into top-level columns; metadata wins a name clash.
 
-    A map needs its keys named, or they are listed from the data: distinct keys
-    are few, the rows are not.
+    A struct, a map, JSON text or a VARIANT, whose objects may differ from row to
+    row. The keys of a map and the fields of objects are listed from the data
+    unless ``keys`` names them: distinct keys are few, the rows are not. Fields
+    of several types become text. Text that is no JSON object has no fields.
     """
     if "metadata" not in df.columns:
         return df
@@ -95,12 +97,44 @@ def expand_metadata(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
             if len(keys) > MAX_METADATA_KEYS:
                 raise ValueError("too many metadata keys to become columns; pass keys")
         values = {n: F.try_element_at("metadata", F.lit(n)) for n in keys}
+    elif isinstance(kind, (StringType, VariantType)):
+        values = _variant_fields(df, kind, keys)
     else:
         raise TypeError(f"metadata is {kind.simpleString()}")
     kept = [F.col(f"`{c}`") for c in df.columns if c != "metadata" and c not in values]
     return df.select(*kept, *[v.alias(n) for n, v in values.items()])
 
 
+def _variant_fields(df: DataFrame, kind: DataType, keys: list[str] | None) -> dict[str, Column]:
+    """The fields of all objects; their common types come from one aggregate over the column."""
+    value = F.col("metadata")
+    if isinstance(kind, StringType):
+        value = F.when(F.json_object_keys(value).isNotNull(), F.try_parse_json(value))
+    else:
+        value = F.when(F.schema_of_variant(value).startswith("OBJECT<"), value)
+    found = df.agg(F.schema_of_variant_agg(value)).first()[0]
+    fields = {}
+    if found and found.startswith("OBJECT<"):
+        described = StructType.fromDDL(found[len("OBJECT<") : -1].replace("OBJECT<", "STRUCT<"))
+        if len(described) > MAX_METADATA_KEYS and keys is None:
+            raise ValueError("too many metadata keys to become columns; pass keys")
+        fields = {f.name: f.dataType for f in described if keys is None or f.name in keys}
+    out = {}
+    for name, type_ in fields.items():
+        path = "$['{}']".format(name.replace("\\", "\\\\").replace("'", "\\'"))
+        out[name] = F.try_variant_get(value, path, _settled(type_).simpleString())
+    return out
+
+
+def _settled(kind: DataType) -> DataType:
+    """The type with text for what has no type of its own, or several."""
+    if isinstance(kind, ArrayType):
+        return ArrayType(_settled(kind.elementType))
+    if isinstance(kind, StructType):
+        return StructType([StructField(f.name, _settled(f.dataType)) for f in kind])
+    return StringType() if isinstance(kind, (VariantType, NullType)) else kind
+
+
 MAX_METADATA_KEYS = 1000
 
 
