@@ -17,13 +17,16 @@ def language_model(spark, sf):
     return calibrate(fit_language_model(rows.where(even)), calibration_examples(rows.where(~even), step=2))
 
 
-LANGUAGE_CTES = f"""WITH base AS (SELECT id, lang, text, {words_sql()} AS w FROM {DOCS}),
+def language_ctes(judged: str = "text") -> str:
+    """Ends with det(id, language, language_score) of every document's ``judged`` text."""
+    return f"""WITH base AS (SELECT id, lang, text, {words_sql()} AS w FROM {DOCS}),
  cuts AS (SELECT id, j, lang, w, 1 + (id * 31 + j * 17) % {lng.EXCERPT_WORDS} AS n FROM base, range({lng.EXCERPTS}) t(j) WHERE id % 2 = 1),
  starts AS (SELECT *, (id * 13 + j * 101) % greatest(1, len(w) - n + 1) AS s FROM cuts),
  mixes AS (SELECT a.id, j, a.lang AS la, b.lang AS lb, a.w AS wa, b.w AS wb, least(len(a.w), 1 + (a.id * 7 + j * 29) % {lng.MIX_WORDS}) AS na,
    least(len(b.w), 1 + (a.id * 11 + j * 23) % {lng.MIX_WORDS}) AS nb FROM base a JOIN base b ON b.id = a.id + 2 AND b.lang <> a.lang, range({lng.MIXES}) t(j) WHERE a.id % 2 = 1),
  ex AS (SELECT id, -1 AS j, lang AS label, text FROM base
    UNION ALL SELECT id, j, lang, array_to_string(w[s + 1:s + n], ' ') FROM starts
+   UNION ALL SELECT id, -2, lang, {judged} FROM base
    UNION ALL SELECT id, {lng.EXCERPTS} + j, CASE WHEN na >= nb THEN la ELSE lb END, array_to_string(list_concat(wa[1:na], wb[1:nb]), ' ') FROM mixes),
  gr AS (SELECT id, j, label,
    (ord(c[i]) * 4398046511104 + ord(c[i + 1]) * 2097152 + ord(c[i + 2])) % {BUCKETS} AS g FROM (
@@ -42,14 +45,17 @@ LANGUAGE_CTES = f"""WITH base AS (SELECT id, lang, text, {words_sql()} AS w FROM
  sc AS (SELECT k.id, k.j, k.label, k.n, pri.lang, pi + coalesce(s, 0) AS s FROM keys k CROSS JOIN pri LEFT JOIN lead l ON l.id = k.id AND l.j = k.j AND l.lang = pri.lang),
  best AS (SELECT id, j, any_value(label) AS label, any_value(n) AS n, arg_max(lang, s) AS language, list_reverse_sort(list(s)) AS s FROM sc GROUP BY id, j),
  cell AS (SELECT *, least({lng.LENGTHS - 1}, length(bin(n::BIGINT)) - 1) AS len, least({lng.LEADS - 1}, (s[1] - s[2]) * {lng.STEPS} // (n * 1000000)) AS led FROM best),
- seen AS (SELECT len, led, count(*) FILTER (language = label) AS r, count(*) AS n FROM cell WHERE id % 2 = 1 GROUP BY len, led),
+ seen AS (SELECT len, led, count(*) FILTER (language = label) AS r, count(*) AS n FROM cell WHERE id % 2 = 1 AND j > -2 GROUP BY len, led),
  dense AS (SELECT x.len, y.led, 0.5::DOUBLE + coalesce(r, 0) AS r, 1.0::DOUBLE + coalesce(n, 0) AS n
    FROM range({lng.LENGTHS}) x(len) CROSS JOIN range({lng.LEADS}) y(led) LEFT JOIN seen ON seen.len = x.len AND seen.led = y.led),
  cum AS (SELECT len, led, r, n, sum(r) OVER w AS cr, sum(n) OVER w AS cn FROM dense WINDOW w AS (PARTITION BY len ORDER BY led)),
  means AS (SELECT a.len, a.led AS lo, z.led AS hi, (z.cr - a.cr + a.r) / (z.cn - a.cn + a.n) AS m FROM cum a JOIN cum z ON z.len = a.len AND z.led >= a.led),
  least_of AS (SELECT d.len, d.led, m.lo, min(m.m) AS m FROM dense d JOIN means m ON m.len = d.len AND m.lo <= d.led AND m.hi >= d.led GROUP BY ALL),
  share AS (SELECT len, led, max(m) AS share FROM least_of GROUP BY len, led),
- det AS (SELECT id, language, round(share, 4) AS language_score FROM cell JOIN share ON share.len = cell.len AND share.led = cell.led WHERE j = -1)"""
+ det AS (SELECT id, language, round(share, 4) AS language_score FROM cell JOIN share ON share.len = cell.len AND share.led = cell.led WHERE j = -2)"""
+
+
+LANGUAGE_CTES = language_ctes()
 
 
 @query(
@@ -101,6 +107,53 @@ def toxic_doc_flag(spark, sf):
     return toxicity.toxic_doc_flag(out).select("id", "is_toxic", "max_toxicity")
 
 
+# A model with weights by a rule: sums of its 512ths have one value in whatever order they are added.
+RULED_WEIGHT = "((({0}) * 7919) % 2001 - 1000) / 512.0"
+RULED_INTERCEPT, RULED_THRESHOLD = -2.0, 0.9
+
+
+def ruled_toxicity_model():
+    return toxicity.ToxicityModel([((b * 7919) % 2001 - 1000) / 512.0 for b in range(toxicity.BUCKETS)], RULED_INTERCEPT)
+
+
+# The hash of a word: a polynomial of its bytes modulo 2^64, mixed (toxicity._hashed).
+_M = "18446744073709551616::UHUGEINT"
+PIECE = rf"(?s)(?:[^.!?\n]{{1,256}}[.!?\n]*[ ]*|[.!?\n]+[ ]*)"
+TOXIC_CTES = rf"""WITH long_pieces AS (SELECT id, regexp_extract_all(text, '{PIECE}') AS p FROM {DOCS}),
+ pieces AS (SELECT id, flatten(list_transform(p, lambda s: regexp_extract_all(s, '(?s).{{1,256}}'))) AS p FROM long_pieces),
+ piece AS (SELECT id, k, p[k] AS sentence, coalesce(list_sum(list_transform(p[1:k - 1], lambda s: length(s))), 0)::BIGINT AS start_index
+   FROM (SELECT id, p, unnest(range(1, len(p) + 1)) AS k FROM pieces)),
+ used AS (SELECT id, k, unnest(regexp_extract_all(sentence, '[A-Za-z\x{{80}}-\x{{10FFFF}}]+')) AS w FROM piece),
+ bytes AS (SELECT w, list_transform(range(1, strlen(w) + 1), lambda i: ('0x' || substr(hex(encode(w)), 2 * i - 1, 2))::UHUGEINT) AS b
+   FROM (SELECT DISTINCT w FROM used)),
+ folded AS (SELECT w, list_reduce(list_concat([{{'h': 0::UHUGEINT, 'p': 6364136223846793005::UHUGEINT, 'b': 0::UHUGEINT}}],
+     list_transform(b, lambda x: {{'h': 0::UHUGEINT, 'p': 1::UHUGEINT, 'b': CASE WHEN x BETWEEN 65 AND 90 THEN x + 32 ELSE x END}})),
+   lambda a, x: {{'h': (a.h + (((x.b + 1) * 11400714819323198485::UHUGEINT) % {_M}) * a.p % {_M}) % {_M},
+     'p': a.p * 6364136223846793005::UHUGEINT % {_M}, 'b': 0::UHUGEINT}}).h AS h FROM bytes),
+ mixed AS (SELECT w, xor(h::UBIGINT, (h // 4294967296)::UBIGINT)::UHUGEINT AS h FROM folded),
+ bucket AS (SELECT w, ((h * 13787848793156543929::UHUGEINT % {_M}) // 1099511627776 % {toxicity.BUCKETS})::BIGINT AS b FROM mixed),
+ logit AS (SELECT id, k, sum({RULED_WEIGHT.format("b")}) AS x FROM used JOIN bucket USING (w) GROUP BY id, k),
+ scored AS (SELECT id, k, start_index, sentence, 1.0::DOUBLE / (1.0::DOUBLE + exp(-({RULED_INTERCEPT}::DOUBLE + coalesce(x, 0)))) AS score
+   FROM piece LEFT JOIN logit USING (id, k)),
+ spans AS (SELECT * FROM scored WHERE score >= {RULED_THRESHOLD})"""
+
+
+@query("toxic_spans_ruled", TOXIC_CTES + " SELECT id, start_index, sentence, 'toxic' AS label, round(score, 9) AS score FROM spans")
+def toxic_spans_ruled(spark, sf):
+    out = toxicity.toxic_spans(busy_docs(spark, sf), ruled_toxicity_model(), RULED_THRESHOLD)
+    spans = out.select("id", F.explode("ToxicLanguage").alias("x")).select("id", "x.*")
+    return spans.withColumn("score", F.round("score", 9))
+
+
+@query(
+    "toxic_doc_flag_ruled",
+    TOXIC_CTES + f" SELECT d.id, count(score) > 0 AS is_toxic, round(max(score), 9) AS max_toxicity FROM {DOCS} d LEFT JOIN spans s ON s.id = d.id GROUP BY d.id",
+)
+def toxic_doc_flag_ruled(spark, sf):
+    out = toxicity.toxic_spans(busy_docs(spark, sf), ruled_toxicity_model(), RULED_THRESHOLD)
+    return toxicity.toxic_doc_flag(out).select("id", "is_toxic", F.round("max_toxicity", 9).alias("max_toxicity"))
+
+
 # Even ids are scored by the counts of odd ones and the other way round (side is the fold that is scored).
 BIGRAM_CTES = f"""WITH w AS (SELECT id, lang, {words_sql()} AS words FROM {DOCS}),
  b AS (SELECT id, lang, id % 2 AS side, words[i] AS w1, words[i + 1] AS w2 FROM (SELECT *, unnest(range(1, len(words))) AS i FROM w)),

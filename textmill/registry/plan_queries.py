@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from textmill.functions.normalize import normalize_whitespace
-from textmill.functions.text import drop_parts, text_metrics, with_parts
+from textmill.functions.text import drop_parts, text_metrics, with_parts, words
 from textmill.operators import filters as flt, stats
 from textmill.plans import stages
 from textmill.plans.chain import curation_chain
@@ -13,7 +13,8 @@ from textmill.registry.dedup_queries import CLUSTER_CTES
 from textmill.registry.filter_queries import QUALITY_SQL, dup_sql, list_mean, list_median, planted_parts, repetition_ctes, CHARS, LINE_WORDS
 from textmill.registry.io_queries import NORDIC_REASON
 from textmill.registry.model_queries import (
-    BIGRAM_CTES, SUMMARY_SQL, language_model, lead_model, rounded, stand_in_translator, toxicity_model,
+    BIGRAM_CTES, RULED_THRESHOLD, SUMMARY_SQL, TOXIC_CTES, language_ctes, language_model, lead_model, rounded, ruled_toxicity_model,
+    stand_in_translator, toxicity_model,
 )
 from textmill.registry.pii_queries import MASKED_SQL, grouped_ctes, planted
 from textmill.registry.text_queries import punctuation_sql, whitespace_sql
@@ -177,6 +178,43 @@ def machine_translation(spark, sf):
     return done.kept.select("id", "text").unionByName(done.removed.select("id", "text"))
 
 
+@query("toxic_language_detection_ruled", TOXIC_CTES + f" SELECT d.id, count(score) AS n_spans FROM {DOCS} d LEFT JOIN spans s ON s.id = d.id GROUP BY d.id")
+def toxic_language_detection_ruled(spark, sf):
+    out = stages.toxic_language_detection(busy_docs(spark, sf), ruled_toxicity_model(), RULED_THRESHOLD).kept
+    return out.select("id", F.size("ToxicLanguage").cast("long").alias("n_spans"))
+
+
+def to_english_model():
+    """Stand-in for a translation that leaves its mark on every e."""
+    return lambda texts: [t.replace("e", "3") for t in texts]
+
+
+NUMBERED_SQL = "array_to_string(list_transform(w, lambda x, i: regexp_replace(x, '[^A-Za-z]', '', 'g') || (i - 1)), ' ')"
+
+
+@query(
+    "machine_translation_verdicts",
+    language_ctes(f"replace({NUMBERED_SQL}, 'e', '3')") + f""" SELECT d.id, CASE WHEN lang NOT IN ('de', 'fr') THEN 'extra_field'
+   WHEN coalesce(language, '') NOT IN ('de') THEN 'language' WHEN coalesce(language_score, 0.0) < 0.9 THEN 'language_score' ELSE 'kept' END AS verdict,
+   md5(CASE WHEN lang IN ('de', 'fr') THEN replace({NUMBERED_SQL}, 'e', '3') ELSE {NUMBERED_SQL} END) AS digest FROM base d LEFT JOIN det ON det.id = d.id""",
+)
+def machine_translation_verdicts(spark, sf):
+    """Rows of two languages are translated; what does not read as German with some certainty is rejected.
+
+    Words are numbered, so that the clean-up before has nothing to collapse.
+    """
+    numbered = F.transform(words(F.col("text")), lambda w, i: F.concat(F.regexp_replace(w, "[^A-Za-z]", ""), i.cast("string")))
+    df = busy_docs(spark, sf).select(
+        "id", F.array_join(numbered, " ").alias("text"), F.to_json(F.struct(F.col("lang").alias("original_language"))).alias("extra")
+    )
+    done = stages.machine_translation(
+        df, to_english_model, language_model(spark, sf), allowed_values=["de", "fr"], languages=["de"], language_threshold=0.9
+    )
+    kept = done.kept.select("id", "text", F.lit("kept").alias("verdict"))
+    rows = kept.unionByName(done.removed.select("id", "text", F.col("filter_reason").alias("verdict")))
+    return rows.select("id", "verdict", F.md5("text").alias("digest"))
+
+
 JUNK = r"([0-9°]{3,})|(\.(\w{2,4}))|(/\w+/\w+)|(WorldCat)|(Wikikids)"
 
 
