@@ -22,6 +22,8 @@ Defined results
     id is the smallest id in the class (null only when all its ids are null), so
     classes that share a repeated id share the class id, but not the label.
     Very long texts count whole.
+    Empty table: no rows. Only the id and the text are read; a column named _id or _node
+    is replaced in keep_one.
 """
 
 from __future__ import annotations
@@ -33,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from textmill.llm.rows import left_lookup, whole_text
-from textmill.llm.text_arrays import SHINGLE, grouped, mix, slices, text_shingles
+from textmill.llm.text_arrays import SHINGLE, give_back, grouped, mix, slices, text_shingles
 from textmill.operators.dedup import cluster_components
 from textmill.session import materialize
 
@@ -41,7 +43,10 @@ BANDS = 24
 ROWS = 5
 THRESHOLD = 0.8
 SHARES = 64
-PARTS = 64
+# Bits and members of a comparison.
+BITS = 2048
+WORDS64 = BITS // 64
+LEAF = 256
 # Text signed or compared at a time, which bounds a worker's arrays.
 SIGNED_BYTES = 2 << 20
 
@@ -87,6 +92,7 @@ def band_keys(texts: pa.Array, bands: int = BANDS, rows: int = ROWS, size: int =
         some = np.zeros(last - first, bool)
         some[doc] = True
         out += [c.view(np.int64) if s else c[:0].view(np.int64) for c, s in zip(code, some)]
+    give_back()
     return out
 
 
@@ -193,10 +199,10 @@ def bucket_members(nodes: DataFrame) -> DataFrame:
 
 
 def masses(texts: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """Per text (node) its weight in shingles that other texts have too and in its own.
+    """Per text (node) its weight in shingles that other texts have too and in its own, and a bitmap of the former.
 
     own, common: weight of shingles no other text has, and of the others;
-    kinds: number of different common shingles; parts: the same by PARTS classes of their hash.
+    bits: BITS hashed bits of the different common shingles.
     """
 
     def exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -208,19 +214,24 @@ def masses(texts: DataFrame, size: int = SHINGLE) -> DataFrame:
                     ["node", "key", "weight"],
                 )
 
+    @F.arrow_udf("array<long>")
+    def hashed(lists: pa.Array) -> pa.Array:
+        offsets = np.asarray(lists.offsets)
+        place = np.asarray(lists.values)[offsets[0] : offsets[-1]].view(np.uint64) % np.uint64(BITS)
+        word = np.repeat(np.arange(len(lists)) * WORDS64, np.diff(offsets)) + (place >> np.uint64(6)).astype(np.int64)
+        out = np.zeros(len(lists) * WORDS64, np.uint64)
+        np.bitwise_or.at(out, word, np.uint64(1) << (place & np.uint64(63)))
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(lists) + 1, dtype=np.int32) * WORDS64), pa.array(out.view(np.int64)))
+
     rows = texts.select("node", "text").mapInArrow(exploded, "node binary, key long, weight long")
     common = rows.groupBy("key").agg(F.count("*").alias("_n")).where("_n > 1").select("key", F.lit(1).alias("_c"))
     shared = F.col("_c").isNotNull()
-    return (
-        rows.join(common, "key", "left")
-        .groupBy("node")
-        .agg(
-            F.sum(F.when(shared, 0).otherwise(F.col("weight"))).alias("own"),
-            F.sum(F.when(shared, F.col("weight")).otherwise(0)).alias("common"),
-            F.count("_c").alias("kinds"),
-            F.array(*[F.count(F.when(F.pmod("key", F.lit(PARTS)) == i, F.col("_c"))) for i in range(PARTS)]).alias("parts"),
-        )
+    summed = rows.join(common, "key", "left").groupBy("node").agg(
+        F.sum(F.when(shared, 0).otherwise(F.col("weight"))).alias("own"),
+        F.sum(F.when(shared, F.col("weight")).otherwise(0)).alias("common"),
+        F.collect_list(F.when(shared, F.col("key"))).alias("_keys"),
     )
+    return summed.select("node", "own", "common", hashed.asNondeterministic()("_keys").alias("bits"))
 
 
 def open_members(members: DataFrame, sims: DataFrame, labels: DataFrame) -> DataFrame:
@@ -236,42 +247,58 @@ def open_members(members: DataFrame, sims: DataFrame, labels: DataFrame) -> Data
     return known.join(mixed.select("band"), "band", "left_semi").where("far > 0")
 
 
-def open_pairs(members: DataFrame, mass: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
+def open_pairs(members: DataFrame, mass: DataFrame, threshold: float) -> DataFrame:
     """Pairs of one bucket and of different classes that no bound rules out as links.
 
     Two bounds, both exact. The distances to the head may not differ by more
     than 1 - threshold. And with own weight p and common weight g on each side
     J_P is at most 1 / (1 + p/g + p'/g'), where common weight that the other side
-    cannot match counts as own: of the common shingles in a class of hashes, at
-    least as many as one side has more than the other.
+    does not have counts as own: a bit of one bitmap that the other lacks stands for
+    one shingle at least. A bucket's members are dealt to leaves of about LEAF;
+    pairs of leaves are rows, so a large bucket is spread over tasks, and what
+    leaves them are the few pairs that pass.
     """
     edge = 1 / threshold
     alive = mass.where((F.col("common") > 0) & (1 + F.col("own") / F.col("common") <= edge + 1e-9))
-    sized = members.join(alive.join(nodes.select("node", "bands"), "node"), "node")
-    names = ["node", "label", "far", "own", "common", "kinds", "parts", "bands"]
-    left = sized.select("band", *[F.col(c).alias(f"a_{c}") for c in names])
-    right = sized.select("band", *[F.col(c).alias(f"b_{c}") for c in names])
-
-    def share(x: str, missing: Column) -> Column:
-        return (F.col(f"{x}_own") + missing) / F.greatest(F.col(f"{x}_common") - missing, F.lit(1e-9))
-
-    def by_total(x: str, y: str) -> Column:
-        return share(x, F.greatest(F.col(f"{x}_kinds") - F.col(f"{y}_kinds"), F.lit(0)))
-
-    def by_parts(x: str, y: str) -> Column:
-        more = F.zip_with(f"{x}_parts", f"{y}_parts", lambda m, n: F.greatest(m - n, F.lit(0)))
-        return share(x, F.aggregate(more, F.lit(0).cast("long"), lambda total, m: total + m))
-
-    near = F.abs(F.col("a_far") - F.col("b_far")) <= 1 - threshold + 1e-9
-    # A pair is made in the first bucket it shares, where a head's pairs are settled already.
-    once = left["band"] == F.array_min(F.array_intersect("a_bands", "b_bands"))
-    # In order of cost: each test spares most pairs the next one.
-    cheap = 1 + by_total("a", "b") + by_total("b", "a") <= edge + 1e-9
-    dear = 1 + by_parts("a", "b") + by_parts("b", "a") <= edge + 1e-9
-    met = left.join(
-        right, (left["band"] == right["band"]) & (F.col("a_label") < F.col("b_label")) & near & cheap & once & dear
-    )
-    return met.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b"))
+    sized = materialize(members.join(alive, "node"), "open-members")
+    leaves = sized.groupBy("band").agg(F.ceil(F.count("*") / LEAF).alias("_leaves")).where("_leaves > 0")
+    lists = ["node", "label", "far", "own", "common", "bits"]
+    # A band's number of leaves is one row beside all its members: small, and joined as the planner likes.
+    dealt = sized.join(leaves, "band").withColumn("leaf", F.pmod(F.xxhash64("node"), F.col("_leaves")))
+    packed = dealt.groupBy("band", "leaf").agg(*[F.collect_list(c).alias(c) for c in lists])
+    packed = materialize(packed.withColumn("bits", F.flatten("bits")), "open-leaves")
+
+    def left_open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                x, y = ({c: batch.column(f"{side}_{c}")[k].values for c in lists} for side in "xy")
+                words = [np.asarray(side["bits"]).view(np.uint64).reshape(-1, WORDS64) for side in (x, y)]
+                both = np.zeros((len(words[0]), len(words[1])), np.int64)
+                for w in range(WORDS64):
+                    both += np.bitwise_count(words[0][:, w, None] & words[1][None, :, w])
+                bound = np.ones(both.shape)
+                for side, axis, w in ((x, (slice(None), None), words[0]), (y, (None, slice(None)), words[1])):
+                    missing = np.bitwise_count(w).sum(axis=1, dtype=np.int64)[axis] - both
+                    own, common = np.asarray(side["own"])[axis], np.asarray(side["common"])[axis]
+                    bound += (own + missing) / np.maximum(common - missing, 1e-9)
+                far = np.abs(np.asarray(x["far"])[:, None] - np.asarray(y["far"])[None, :])
+                label = np.unique(np.array(x["label"].to_pylist() + y["label"].to_pylist(), object), return_inverse=True)[1]
+                keep = (bound <= edge + 1e-9) & (far <= 1 - threshold + 1e-9)
+                keep &= label[: len(both), None] != label[None, len(both) :]
+                if batch.column("i")[k].as_py() == batch.column("j")[k].as_py():
+                    keep = np.triu(keep, 1)
+                i, j = np.nonzero(keep)
+                yield pa.RecordBatch.from_arrays([x["node"].take(pa.array(i)), y["node"].take(pa.array(j))], ["a", "b"])
+
+    parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    last = F.col("_leaves") - 1
+    pairs = leaves.select("band", "_leaves", F.explode(F.sequence(F.lit(0), last)).alias("i"))
+    pairs = pairs.select("band", "i", F.explode(F.sequence(F.col("i"), last)).alias("j")).repartition(parts, "band", "i", "j")
+    left = packed.select("band", F.col("leaf").alias("i"), *[F.col(c).alias(f"x_{c}") for c in lists])
+    right = packed.select("band", F.col("leaf").alias("j"), *[F.col(c).alias(f"y_{c}") for c in lists])
+    met = pairs.join(left, ["band", "i"]).join(right, ["band", "j"]).select("i", "j", *[f"{side}_{c}" for side in "xy" for c in lists])
+    found = met.mapInArrow(left_open, "a binary, b binary")
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def near_classes(
@@ -299,7 +326,7 @@ def near_classes(
     labels = cluster_components(links)
     parts = materialize(open_members(members, sims, labels), "mixed")
     held = texts.join(parts.select("node"), "node", "left_semi")
-    left = materialize(open_pairs(parts, masses(held), nodes, threshold), "open")
+    left = materialize(open_pairs(parts, masses(held), threshold), "open")
     if not left.isEmpty():
         more = verified(left, texts).where(F.col("sim") >= threshold)
         labels = cluster_components(links.union(more.select(F.col("a").alias("src"), F.col("b").alias("dst"))))
