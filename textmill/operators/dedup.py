@@ -63,7 +63,8 @@ def exact_duplicate_keys(digests: DataFrame, key: str = ROW_KEY) -> DataFrame:
 def exact_dedup(df: DataFrame, id_col: str = "id", text: str = "text") -> DataFrame:
     """One row per distinct text, the one with the smallest id (any one of several equal rows)."""
     rows = keyed_rows(df, id_col)
-    digests = rows.select(ROW_KEY, F.unhex(F.sha2(text, 256)).alias("_digest"))
+    # Digests are read twice, texts once for them and once for the result.
+    digests = materialize(rows.select(ROW_KEY, F.unhex(F.sha2(text, 256)).alias("_digest")), "digests")
     kept, _ = split_rows_by_key(rows, exact_duplicate_keys(digests))
     return kept.drop(ROW_KEY)
 

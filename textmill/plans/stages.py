@@ -48,9 +48,10 @@ def data_splitting(df: DataFrame, id_key: str = "extraction_uid", line_chunk_siz
 
 def string_normalization(df: DataFrame, normalization: str = "NFC", repair: bool = True) -> Outcome:
     """Mojibake repair and Unicode form, then punctuation, then white space."""
-    text = F.col("text")
-    repaired = norm.fix_mojibake(text) if repair else text
-    unicode_form = norm.unicode_normalize(repaired, normalization)
+    if repair:
+        # A column of its own: the Unicode form uses it several times, and it is to be computed once.
+        df = df.withColumn("text", norm.fix_mojibake(F.col("text")))
+    unicode_form = norm.unicode_normalize(F.col("text"), normalization)
     return _all_kept(df.withColumn("text", norm.normalize_whitespace(norm.normalize_punctuation(unicode_form))))
 
 
