@@ -15,6 +15,7 @@ Defined results
     Unclosed, nested or cut-off tags are read as far as they go.
     Repeated pages are each extracted. No pages at all: no rows.
     Pages are read whole, however long.
+    Other columns stay; one named like the output (text) is replaced.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ from textmill.llm.text_arrays import buffers, slices, word_hashes, words
 TRAIN_PAGES = 400
 PATH, WORDS, SHAPE, HIDDEN = 64, 32, 8, 24
 WIDTH = PATH + WORDS + SHAPE
-EPOCHS = 10
+EPOCHS = 16
 BLOCKS_AT_ONCE = 16_384
 SEED = 17
 
@@ -65,14 +66,23 @@ SAME_LEVEL = {"li": "li", "dt": "dt dd", "dd": "dt dd", "td": "td th", "th": "td
 BOILERPLATE_TAGS = frozenset("nav header footer aside form title button select option label menu dialog".split())
 BOILERPLATE_NAMES = frozenset(
     "ad ads advert advertisement banner menu nav navbar navigation sidebar cookie cookies notice consent comment comments "
-    "promo related share social footer header breadcrumb subscribe newsletter sponsor login search popup widget".split()
+    "promo related share social footer header breadcrumb subscribe newsletter sponsor login search popup widget "
+    "reply replies response responses discussion thread".split()
 )
-CONTAINERS = ["main", "div.content", "div.post", "div.article.body", "section.story", "div.entry", "td", "div", "article.post"]
+CONTAINERS = ["main", "div.content", "div.post", "div.article.body", "section.story", "div.entry", "td", "div", "article.post", "div/div", "section", "div.c1/div.x"]
+# What text consists of besides paragraphs: path, blocks in a row at most, words of each at most.
+CONTENT = [
+    ("ul/li", 6, 25), ("ol/li", 6, 25), ("table/tr/td", 8, 6), ("table/tbody/tr/td", 8, 6), ("table/tr/th", 4, 3), ("h2", 1, 9), ("h3", 1, 9), ("h4", 1, 8),
+    ("h5", 1, 8), ("h6", 1, 8), ("blockquote/p", 2, 40), ("blockquote", 1, 40), ("figure/figcaption", 1, 20), ("pre", 1, 60), ("dl/dt", 1, 4),
+    ("dl/dd", 2, 25), ("section/p", 3, 60), ("div", 3, 60), ("section/h2", 1, 9), ("header/h1", 1, 12), ("header/p", 1, 25), ("h1", 1, 12), ("div/p", 3, 60),
+    ("ul/li/p", 4, 25), ("table/caption", 1, 8), ("details/summary", 1, 6), ("address", 1, 12),
+]
 EXTRAS = [
     "aside.sidebar/p", "aside/ul/li", "div.sidebar/p", "div.comments/p", "section.comments/div.comment", "ul.comment.list/li/p",
     "div.comment/p", "div.cookie.notice/p", "div.notice/p", "div.banner/p", "form/label", "form/p", "form/button", "div.advert/p",
     "div.ad", "div.ads/p", "header/h1", "header/p", "header.site/div", "div.related/ul/li", "div.newsletter/p", "nav/a", "div.menu/li",
     "footer/p", "div.footer/p", "div.promo/p", "aside.ad/p", "section.related/h2", "div.share",
+    "section.responses/div.reply/p", "div.thread/div/p", "ol.replies/li/p", "section.discussion/div.reply", "aside/h2", "footer/ul/li", "nav/ul/li", "div.widget/ul/li",
 ]
 
 
@@ -314,34 +324,62 @@ def taught(page: list[Block]) -> list[bool] | None:
     if not any(inside):
         return None
     names = {"." + n for n in BOILERPLATE_NAMES}
-    return [yes and not (names & set(b.path) or BOILERPLATE_TAGS & set(b.path)) for b, yes in zip(page, inside)]
+    # A header inside the article is the article's own.
+    return [yes and not (names & set(b.path) or (BOILERPLATE_TAGS - {"header"}) & set(b.path)) for b, yes in zip(page, inside)]
 
 
-def varied(page: list[Block], labels: list[bool], spare: list[str], rng: np.random.Generator) -> tuple[list[Block], list[bool]]:
-    """A variant of a page: another container, some paths thinned, further boilerplate."""
+def tokens_of(path: str) -> list[str]:
+    return [t if k == 0 else "." + t for step in path.split("/") for k, t in enumerate(step.split("."))]
 
-    def tokens(path: str) -> list[str]:
-        return [t if k == 0 else "." + t for step in path.split("/") for k, t in enumerate(step.split("."))]
 
-    container = tokens(CONTAINERS[rng.integers(len(CONTAINERS))]) if rng.random() < 0.6 else ["article"]
+def varied(page: list[Block], labels: list[bool], spare: list[str], rng: np.random.Generator) -> tuple[list[Block], list[bool]]:
+    """A variant of a page: another container, other kinds of text in it, further boilerplate, names hidden."""
+    container = tokens_of(CONTAINERS[rng.integers(len(CONTAINERS))]) if rng.random() < 0.6 else ["article"]
+    # In some pages nothing is named: place, links, shape and words must do.
+    unnamed = rng.random() < 0.25
+    rich = rng.random() < 0.6
     out, kept = [], []
 
-    def extra() -> None:
-        path = ["html", "body", *(container if rng.random() < 0.5 else []), *tokens(EXTRAS[rng.integers(len(EXTRAS))])]
-        for _ in range(rng.integers(1, 5)):
-            text = spare[rng.integers(len(spare))]
-            some = text.split()[: int(rng.integers(2, 60))]
-            out.append(Block(tuple(path), " ".join(some), 0))
-            kept.append(False)
+    def put(path: list[str], text: str, linked: int, yes: bool) -> None:
+        if unnamed:
+            path = ["div" if t in NAMED or t in ("section", "main") else t for t in path if t[0] != "."]
+        out.append(Block(tuple(dict.fromkeys(path)), text, linked))
+        kept.append(yes)
+
+    def some(words: int) -> str:
+        picked = spare[rng.integers(len(spare))].split()
+        first = int(rng.integers(max(1, len(picked) - words)))
+        return " ".join(picked[first : first + int(rng.integers(1, words + 1))])
 
+    def extra() -> None:
+        kind = EXTRAS[rng.integers(len(EXTRAS))]
+        # Headers are the page's own only outside the text.
+        inside = rng.random() < 0.5 and not kind.startswith("header") and not unnamed
+        path = ["html", "body", *(container if inside else []), *tokens_of(kind)]
+        links = rng.random() < (0.9 if "li" in path or "a" in path else 0.15) or unnamed
+        for _ in range(rng.integers(1, 7)):
+            text = some(8 if links or "li" in path else 60)
+            put(path, text, len(text) if links else 0, False)
+
+    def content() -> None:
+        kind, most, words = CONTENT[rng.integers(len(CONTENT))]
+        for _ in range(rng.integers(1, most + 1)):
+            text = some(words)
+            put(["html", "body", *container, *tokens_of(kind)], text, int(len(text) * (rng.random() < 0.15) * rng.random()), True)
+
+    begun = ended = False
     for block, yes in zip(page, labels):
-        if rng.random() < 0.12:
+        if rng.random() < 0.12 and not (unnamed and begun and not ended):
             extra()
+        if yes and not begun and rich and rng.random() < 0.5:
+            put(["html", "body", *container, *tokens_of(("header/h1", "h1", "header/p", "div/h1")[rng.integers(4)])], some(12), 0, True)
+        begun, ended = begun or yes, begun and not yes
         path = [t for p in block.path for t in (container if p in ("article", "main") else [p])]
         if rng.random() < 0.1:
             path = [t for t in path if rng.random() < 0.5]
-        out.append(Block(tuple(path), block.text, block.linked))
-        kept.append(yes)
+        put(path, block.text, block.linked, yes)
+        if yes and rich and rng.random() < 0.35:
+            content()
     if rng.random() < 0.5:
         extra()
     return out, kept
