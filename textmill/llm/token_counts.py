@@ -8,6 +8,7 @@ lengths and counts travel.
 Defined results
     null and empty texts have length 0. Repeated rows count as often as they
     occur. An empty table has an empty histogram.
+    Very long texts are encoded whole. Other columns stay; one named like the output is replaced.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from textmill.llm.rows import whole_text
+from textmill.session import materialize
 
 # Lengths per block of the suffix sums. A text has fewer than 2^31 tokens, so
 # there are at most 2^19 blocks, of at most 2^12 rows each.
@@ -64,7 +66,8 @@ def with_token_count(
     def counted(texts: pa.Array) -> pa.Array:
         return pa.array(counter(texts.to_pylist()), pa.int64())
 
-    return df.withColumn(out, counted(whole_text(text)))
+    # Marked so that no filter pushed below it makes the call a second time.
+    return df.withColumn(out, counted.asNondeterministic()(whole_text(text)))
 
 
 def length_histogram(lengths: DataFrame, length: str = "n_tokens") -> DataFrame:
@@ -75,7 +78,8 @@ def length_histogram(lengths: DataFrame, length: str = "n_tokens") -> DataFrame:
     docs_share: share of documents of this length or less.
     """
     counted = lengths.groupBy(F.col(length).alias("length")).agg(F.count("*").alias("n_docs"))
-    counted = counted.select("length", "n_docs", (F.col("length") * F.col("n_docs")).alias("n_tokens"))
+    # A row per length that occurs, read twice below: written, so that every text is encoded once.
+    counted = materialize(counted.select("length", "n_docs", (F.col("length") * F.col("n_docs")).alias("n_tokens")), "lengths")
     blocked = counted.withColumn("_block", F.floor(F.col("length") / BLOCK))
     inside = Window.partitionBy("_block").orderBy(F.desc("length"))
     sums = blocked.select(
