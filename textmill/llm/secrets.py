@@ -4,8 +4,8 @@ Every version of every path is named by the SHA-256 of its text. The ledger
 holds one row per blob and rule version that has been scanned, with the spans
 found. A scan looks only at blobs whose pair is not in the ledger, once per
 blob however many paths share it, and findings are joined back to all paths.
-Only DataFrame functions are used. What travels are digests; the texts of
-unseen blobs move once, keyed by blob and path, so copies do not pile up.
+Only DataFrame functions are used. What travels are digests and addresses; texts
+are scanned where they lie (those of inputs that are no file scan move once).
 
 Defined results
     null text: the empty text; empty text: no spans, and still a ledger row.
@@ -13,6 +13,7 @@ Defined results
     Failing matches (too short) are dropped after matching, so they still use
     up their characters. Offsets are code points, end exclusive.
     Extra columns stay; columns named like an output are replaced.
+    Very long texts are scanned whole. Empty table: an empty ledger, no rows.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from textmill.llm.rows import left_lookup, whole_text
+from textmill.operators.addresses import address, is_scan, split_by_bitmap
 from textmill.session import materialize, shared_dir
 
 SPANS = "array<struct<start:int,rank:int,kind:string,end:int>>"
@@ -114,21 +116,30 @@ def scan_unseen(
 ) -> DataFrame:
     """Ledger rows for the blobs of ``versions`` that the ledger does not hold under these rules.
 
-    The digests are written before the texts are fetched, so the fetch plans
-    with true sizes: few unseen blobs are broadcast and no text moves at all.
+    Digests choose one row of every unseen blob. In a file scan that row is known
+    by its address: the texts are read once more and scanned where they lie, and
+    only digests travel. Texts of other inputs move once, by blob and path.
     """
     version = rule_version(rules)
     spark = versions.sparkSession
-    named = content_address(versions.select(F.col(path).alias("_path"), F.col(text).alias("_text")), "_text")
+    rows = versions.select(F.col(path).alias("_path"), F.col(text).alias("_text"))
+    in_place = is_scan(rows)
+    rows = rows.withColumn("_path", address()) if in_place else rows
+    named = content_address(rows, "_text")
     one_path = named.groupBy("blob").agg(F.min("_path").alias("_path"))
     if ledger is not None:
         seen = ledger.where(F.col("rule_version") == version).select("blob").distinct()
         one_path = one_path.join(seen, "blob", "left_anti")
-    wanted = materialize(one_path, "unseen").select(F.col("blob").alias("_blob"), F.col("_path").alias("_first"))
-    fetched = named.join(wanted, (F.col("blob") == F.col("_blob")) & F.col("_path").eqNullSafe(F.col("_first")), "left_semi")
-    # A path may hold one text several times; nothing is scanned twice for the ledger's sake.
-    scanned = fetched.select("blob", find_spans(whole_text("_text"), rules).alias("spans"))
-    once = scanned.groupBy("blob").agg(F.max("spans").alias("spans"))
+    wanted = materialize(one_path, "unseen")
+    if in_place:
+        _, fetched = split_by_bitmap(rows, wanted.select("_path"), "_path")
+        once = content_address(fetched, "_text").select("blob", find_spans(whole_text("_text"), rules).alias("spans"))
+    else:
+        wanted = wanted.select(F.col("blob").alias("_blob"), F.col("_path").alias("_first"))
+        fetched = named.join(wanted, (F.col("blob") == F.col("_blob")) & F.col("_path").eqNullSafe(F.col("_first")), "left_semi")
+        # A path may hold one text several times; nothing is scanned twice for the ledger's sake.
+        scanned = fetched.select("blob", find_spans(whole_text("_text"), rules).alias("spans"))
+        once = scanned.groupBy("blob").agg(F.max("spans").alias("spans"))
     return spark.createDataFrame([], LEDGER_SCHEMA).unionByName(once.withColumn("rule_version", F.lit(version)))
 
 
