@@ -16,6 +16,8 @@ Defined results
     Rows labelled more than once count as toxic when any label is 1; null ids
     and labels teach nothing. No labels at all: the fixed words and weights.
     Texts are read whole, a clause of any length included.
+    Empty table: no rows; equal rows get equal scores. Other columns stay; one named
+    like the output is replaced.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from textmill.llm.rows import whole_text
-from textmill.llm.text_arrays import buffers, slices
+from textmill.llm.text_arrays import buffers, give_back, slices
 from textmill.session import materialize
 
 LABELLED_ROWS = 20_000
@@ -223,7 +225,7 @@ def features(model: ToxicityModel, texts: pa.Array) -> np.ndarray:
 
 def scores(model: ToxicityModel, texts: pa.Array) -> np.ndarray:
     out = np.empty(len(texts))
-    for first, last in slices(texts):
+    for first, last in slices(texts, 1 << 20):
         x = features(model, texts.slice(first, last - first))
         out[first:last] = 1.0 / (1.0 + np.exp(-(x @ model.weights + model.bias)))
     return out
@@ -334,7 +336,7 @@ def fit_model(sample: DataFrame) -> ToxicityModel:
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, last in slices(batch.column("text")):
+            for first, last in slices(batch.column("text"), 1 << 20):
                 x = features(model, batch.column("text").slice(first, last - first))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(list(x), pa.list_(pa.float64())), batch.column("toxic").slice(first, last - first)], ["x", "toxic"]
@@ -352,7 +354,9 @@ def score_texts(df: DataFrame, model: ToxicityModel, text: str = "text", out: st
 
     @F.arrow_udf("double")
     def scored(texts: pa.Array) -> pa.Array:
-        return pa.array(scores(model, texts))
+        out = pa.array(scores(model, texts))
+        give_back()
+        return out
 
     return df.withColumn(out, scored(whole_text(text)))
 
