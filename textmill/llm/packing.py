@@ -13,13 +13,15 @@ Defined results
     null or empty text: its end token alone. Repeated rows are packed each.
     A null id stays null. An empty table gives no pieces.
     Sequences are full but for the last of each second-level group.
+    Very long texts are cut over several sequences. Equally long documents are placed in
+    the order they come. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
-import itertools
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -30,7 +32,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from textmill.llm.rows import whole_text
-from textmill.llm.text_arrays import buffers, slices, words
+from textmill.llm.text_arrays import buffers, give_back, slices, words
 from textmill.session import materialize
 
 LENGTH = 2048
@@ -38,6 +40,8 @@ END_ID = 1
 LINEAR = 4096.0
 GROUP_TOKENS = 1 << 21
 CACHED_WORDS = 300_000
+# Text encoded at a time; a task's arrays are some forty times as large.
+ENCODED_BYTES = 1 << 20
 SECOND_LEVEL = 1 << 60
 
 # Byte classes: 0 white space, 1 letter, 2 digit, 3 other printable ASCII, 4 all
@@ -64,28 +68,29 @@ class WordTokenizer:
     def __init__(self, path: str, cached: int = CACHED_WORDS):
         from tokenizers import Tokenizer, pre_tokenizers
 
-        self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
-        self.merges = Tokenizer.from_file(path)
-        self.merges.encode_special_tokens = True
-        self.merges.normalizer = None
-        self.merges.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self.tool = Tokenizer.from_file(path)
+        self.tool.encode_special_tokens = True
+        # One tokenizer serves both ways: its own rules, or blanks alone.
+        self.rules = self.tool.normalizer, self.tool.pre_tokenizer
+        self.blanks = None, pre_tokenizers.WhitespaceSplit()
+        # The ids of a word as bytes, which are joined without making numbers of them.
         self.cached, self.memo = cached, {}
 
     def _learn(self, unknown: list[str]) -> None:
-        plain = [w for w in unknown if _SHORT_WAY.fullmatch(w)]
+        plain, odd, short = [], [], _SHORT_WAY.fullmatch
+        for w in unknown:
+            (plain if short(w) else odd).append(w)
+        self.tool.normalizer, self.tool.pre_tokenizer = self.blanks
         for i in range(0, len(plain), 4096):
             part = plain[i : i + 4096]
-            coded = self.merges.encode(" ".join(part), add_special_tokens=False)
-            ids = coded.ids
-            ends = np.cumsum(np.bincount(coded.word_ids, minlength=len(part))).tolist()
-            first = 0
-            for word, last in zip(part, ends):
-                self.memo[word] = ids[first:last]
-                first = last
-        odd = [w for w in unknown if not _SHORT_WAY.fullmatch(w)]
-        for word, coded in zip(odd, self.whole.encode_batch_fast(odd, add_special_tokens=False)):
-            self.memo[word] = coded.ids
+            coded = self.tool.encode(" ".join(part), add_special_tokens=False)
+            ids = np.array(coded.ids, "<u4").tobytes()
+            ends = (4 * np.cumsum(np.bincount(coded.word_ids, minlength=len(part)))).tolist()
+            self.memo.update(zip(part, [ids[a:b] for a, b in zip([0, *ends], ends)]))
+        if odd:
+            self.tool.normalizer, self.tool.pre_tokenizer = self.rules
+            for word, coded in zip(odd, self.tool.encode_batch_fast(odd, add_special_tokens=False)):
+                self.memo[word] = array("I", coded.ids).tobytes()
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order and the number of ids of each text."""
@@ -116,8 +121,8 @@ class WordTokenizer:
         if unknown:
             self._learn(unknown)
         lists = [memo[w] for w in distinct]
-        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        flat = np.fromiter(itertools.chain.from_iterable(lists), np.uint32, int(sizes.sum()))
+        sizes = np.fromiter(map(len, lists), np.int64, len(lists)) // 4
+        flat = np.frombuffer(b"".join(lists), np.uint32)
         code = pieces.indices.to_numpy()
         count = sizes[code]
         ends = np.cumsum(count)
@@ -140,7 +145,7 @@ def tokenizer_path() -> str:
 def encoded_documents(texts: pa.Array, path: str, end_id: int = END_ID) -> Iterator[np.ndarray]:
     """The ids of each text with the end id, as unsigned 32-bit numbers."""
     tokenizer = word_tokenizer(path)
-    for first, last in slices(texts):
+    for first, last in slices(texts, ENCODED_BYTES):
         ids, count = tokenizer.encode(texts.slice(first, last - first))
         ends = np.cumsum(count)
         out = np.full(len(ids) + len(count), end_id, np.uint32)
@@ -257,6 +262,7 @@ def _packer(items_of, schema: pa.Schema, length: int, linear: float, final: bool
         yield _rows(placed, base, schema, keep_ids)
         if held:
             yield _left_rows(held, schema)
+        give_back()
 
     return run
 
