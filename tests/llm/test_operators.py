@@ -631,3 +631,30 @@ def test_toxic_scores(spark, odd, none):
     assert set(untaught.stems) == {toxicity.code_of(w) for w in toxicity.INSULTS}
     clauses = toxicity.matched_clauses(docs.where("doc_id = 0"), model).first()["clauses"]
     assert clauses and all("zorkish" in c["clause"] for c in clauses)
+
+
+# Pipeline
+
+
+def test_stages_keep_columns_whatever_their_names(spark, sf):
+    """Names the stages use inside, a missing n_chars, nulls, repeated rows and an empty table."""
+    import corpus_pipeline
+
+    names = ["blob", "secret_spans", "score", "_score", "_leaks", "_id", "_node", "rest", "label", "a.b"]
+    texts = [prose(11, 80), prose(11, 80), f"{prose(12, 40)} password = hunter2hunter2", None, "", prose(13, 60)]
+    rows = [(i, t, *[f"{n}{i}" for n in names]) for i, t in enumerate(texts)] + [(None, prose(14, 50), *names)]
+    rows.append(rows[-2])
+    schema = "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names)
+    df = spark.createDataFrame(rows, schema)
+    for docs in (df, df.where("false")):
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, docs, sf)
+            assert out.schema == docs.schema, name
+            for r in out.collect():
+                assert tuple(r)[2:] == tuple(f"{n}{r.doc_id}" for n in names) if r.doc_id is not None else tuple(names)
+    cleaned = corpus_pipeline.blank_secrets(spark, df, sf).where("doc_id = 2").first()
+    assert "[SECRET]" in cleaned["text"] and cleaned["blob"] == "blob2"
+    kept = [r.doc_id for r in corpus_pipeline.drop_near_copies(spark, df, sf).collect()]
+    assert sorted(kept, key=str) == sorted([0, 2, 3, 5, None], key=str)
+    counted = df.where("doc_id = 2").withColumn("n_chars", F.lit(0).cast("long"))
+    assert corpus_pipeline.blank_secrets(spark, counted, sf).where("n_chars = length(text)").count() == 1

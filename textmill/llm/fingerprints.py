@@ -15,6 +15,7 @@ Defined results
     Likeness of two wordless texts is 1, of one with any other text 0.
     Equal texts have equal fingerprints; very long texts are read whole, in
     slices that bound the working memory.
+    Empty table: no rows. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations

@@ -21,6 +21,7 @@ Defined results
     Words are runs of characters other than ASCII white space.
     An n-gram is a 64-bit hash. Repeated rows count as often as they occur and
     get equal scores. Words never counted are taken as counted once.
+    Very long texts are scored whole. Empty table: no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
