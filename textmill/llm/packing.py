@@ -39,9 +39,9 @@ LENGTH = 2048
 END_ID = 1
 LINEAR = 4096.0
 GROUP_TOKENS = 1 << 21
-CACHED_WORDS = 300_000
+CACHED_WORDS = 400_000
 # Text encoded at a time; a task's arrays are some forty times as large.
-ENCODED_BYTES = 1 << 20
+ENCODED_BYTES = 2 << 20
 SECOND_LEVEL = 1 << 60
 
 # Byte classes: 0 white space, 1 letter, 2 digit, 3 other printable ASCII, 4 all
