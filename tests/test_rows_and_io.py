@@ -107,6 +107,13 @@ def test_scan_stays_in_the_root(spark, docs, tmp_path):
     assert reader.read_documents(spark, str(tmp_path / "in"), recursive=True).count() == 8
 
 
+def test_scan_of_a_table_that_is_a_folder(spark, docs, tmp_path):
+    docs.limit(5).repartition(2).write.parquet(str(tmp_path / "documents.parquet"))
+    docs.limit(3).coalesce(1).write.parquet(str(tmp_path / "other.parquet"))
+    assert reader.read_documents(spark, str(tmp_path), glob="documents.parquet").count() == 5
+    assert reader.read_documents(spark, str(tmp_path), glob="{doc,oth}*.parquet").count() == 8
+
+
 def test_audit_finds_bad_files(spark, docs, tmp_path):
     run = tmp_path / "stage1_string_normalization"
     docs.write.parquet(str(run))
