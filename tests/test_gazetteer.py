@@ -79,3 +79,12 @@ def test_two_million_terms_one_shard_at_a_time(spark):
     for r in out:
         found = [x.entity for x in r.e]
         assert r.term in found and all(x in (r.term, f"{r.term} w") or r.term.startswith(x) for x in found)
+
+
+def test_passes_do_not_grow_with_small_shards(spark):
+    terms = spark.range(600).select(F.concat(F.lit("t"), F.col("id") % 300, F.lit(" w"), "id").alias("term"), F.lit("NAME").alias("type"), F.lit(False).alias("public"))
+    rows = gazetteer.shard_rows(terms, 20)
+    sent, shards = gazetteer.send_shards(rows)
+    assert shards == 31 and rows.count() > 20 and len(sent) == 1
+    n = gazetteer.SHARD_TERMS
+    assert gazetteer.bundles([(0, 1, n // 2), (1, 0, n // 2), (3, 5, 1), (4, 8 * n, 1), (6, 0, n + 5)]) == [(0, 1), (3, 3), (4, 4), (6, 6)]
