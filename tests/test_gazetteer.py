@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from textmill.operators import gazetteer
+from textmill.operators import gazetteer, pii
 from textmill.operators.gazetteer import listed_entities
 
 SCHEMA = "term string, type string, public boolean"
@@ -88,3 +88,15 @@ def test_passes_do_not_grow_with_small_shards(spark):
     assert shards == 31 and rows.count() > 20 and len(sent) == 1
     n = gazetteer.SHARD_TERMS
     assert gazetteer.bundles([(0, 1, n // 2), (1, 0, n // 2), (3, 5, 1), (4, 8 * n, 1), (6, 0, n + 5)]) == [(0, 1), (3, 3), (4, 4), (6, 6)]
+
+
+def test_joined_runs_are_few_and_whole(spark):
+    rng = random.Random(5)
+    terms = [(f"a{i} b{i}", "NAME", False) for i in range(50)] + [("c1", "NAME", None), ("d e f", "PLACE", True), (None, "NAME", False), ("g  h", "NAME", False), ("d e f g", "NAME", True)]
+    texts = [None, "", "c1", "d\u0001e f g", "g  h"] + [" ".join(f"{rng.choice('abcdefg')}{rng.choice(['', rng.randint(0, 300)])}" for _ in range(400)) for _ in range(30)]
+    df, listed = spark.createDataFrame(list(enumerate(texts)), "id int, text string"), spark.createDataFrame(terms, SCHEMA)
+    runs = gazetteer.likely_runs(df, listed, "id", F.col("text"), 3)
+    assert runs.count() < 1000
+    got = {r.id: sorted((*e[:4], bool(e[4])) for e in r.entities) for r in pii.gazetteer_matches(df, listed).collect()}
+    for i, text in enumerate(texts):
+        assert got.get(i, []) == plain((text or "").replace("\u0001", " "), [t for t in terms if t[0] and t[0] != "d e f g"], False)
