@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -136,3 +138,25 @@ def test_public_figures_stay(spark, terms):
     assert "Rembrandt" not in all_gone.text
     listed = pii.mask_documents(df, replacement_type="MARKER", terms=terms, figures=["Jan"]).first()
     assert listed.text.startswith("Jan zag")
+
+
+def test_searches_see_only_what_can_hold_an_entity(spark):
+    rng = random.Random(7)
+    atoms = [
+        "a@b.co", "x.y-z@q.example.com.", "10.0.300.1", "+31 6 12345678", "020-1234567 ", "NL91ABNA0417164300", "4111 1111 1111 1111", "04/25", "cvv:", "CVV2", "123",
+        "Driver's licence number is", "rijbewijs", "1234567890", "polis", "zorg", "123456789", "111222333", "1234", "AB", "52.1234, 4.8952", "GB-123-K", "well-known",
+        "https://a.b/c", "://", "ſ", "\U0001F600", "漢字", "\u0001",
+    ]
+    ends = [" ", " ", " ", "  ", "\n", "\t", "", "-", ",", ".", "\r\n"]
+
+    def dull():
+        return "".join(rng.choice(["lorem", "dolor-sit", "amet,", "\U0001F600", "漢字"]) + rng.choice([" ", " ", "\n", "", "\f"]) for _ in range(rng.randint(0, 30)))
+
+    texts = ["".join((rng.choice(atoms) if rng.random() < 0.6 else dull()) + rng.choice(ends) for _ in range(rng.randint(1, 25))) for _ in range(1500)]
+    texts += [None, "", ":", " " * 200, "x" * 300, "\U0001F600a" * 20000, "\U0001F600 a" * 20000, "漢 字" * 30000 + " a@b.co"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    whole = pii._found(pii.without_sentinel(F.col("text")), pii.DETECTORS)
+    assert df.where(~pii.detect(F.col("text")).eqNullSafe(whole)).isEmpty()
+    long = spark.createDataFrame([("lorem ipsum " * 500 + "mail a@b.co or c@d.nl " + "dolor sit " * 500,)], "text string")
+    pieces = long.select(pii._shortened(F.col("text"))).first()[0]
+    assert "".join(pieces) == long.first().text and sum(map(len, pieces[::2])) < 300
