@@ -1,4 +1,5 @@
 import sys
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -178,3 +179,19 @@ def test_translation_options(spark, language_model):
     assert sorted(r.text for r in cut.kept.collect()) == ["300 301 ", "3nd"]
     dry = stages.machine_translation(df, swapped, language_model, dry_run=True, chunk_size=4, batch_size=2, **options).kept.first()
     assert (dry.n_docs, dry.n_chunks) == (2, 41)
+
+
+def test_language_scores_need_memory_for_some_texts_only():
+    languages, weights = ["a", "b"], np.zeros((language.BUCKETS, 2), np.int64)
+    weights[::2, 0] = weights[1::2, 1] = 1000
+    model = (languages, np.ones(language.BUCKETS, bool), weights, np.zeros(2, np.int64), None)
+    texts = ["", *(f"text {i} " * 30_000 for i in range(40)), "ab"]
+    tracemalloc.start()
+    out = language.judged(texts, *model)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # Ten million code points at eight bytes, several times over, would be far more.
+    assert peak < 150 << 20
+    assert out["language"].isna().tolist() == [True, *[False] * 40, True]
+    alone = [language.judged([t], *model).iloc[0].tolist() for t in texts]
+    assert [r.tolist() for _, r in out.iterrows()][1:-1] == alone[1:-1]
