@@ -1,11 +1,12 @@
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from textmill.functions.text import with_parts
-from textmill.operators import filters as flt
+from textmill.operators import filters as flt, repetition
 from textmill.operators.repetition import with_ngram_fractions
 from textmill.plans.stages import annotate_heuristics, heuristic_filtering
 
@@ -119,3 +120,15 @@ def test_regex_filter_is_unicode_aware(spark):
     df = spark.createDataFrame([(1, "twee woorden"), (2, "zie 1234"), (3, "bestand.één"), (4, "/pad/één")], "id long, text string")
     out = flt.regex_filter(df).where("filter_reason is null")
     assert [r.id for r in out.collect()] == [1]
+
+
+def test_repetition_sorts_some_documents_at_a_time():
+    n = repetition.WORDS_AT_ONCE
+    lists = [np.zeros(k, np.int64) for k in (n // 2, n // 2, 1, 3 * n, 0, 5)]
+    assert list(repetition.slices(lists)) == [(0, 2), (2, 3), (3, 5), (5, 6)]
+    rng = np.random.default_rng(3)
+    hashes = [rng.integers(0, 40, k) for k in (0, 3, 200, 1, 900)]
+    lens = [rng.integers(1, 9, len(h)) for h in hashes]
+    together = repetition.measured(hashes, lens, [2, 3], [5, 6])
+    alone = [repetition.measured([h], [x], [2, 3], [5, 6])[0].tolist() for h, x in zip(hashes, lens)]
+    assert together.tolist() == alone

@@ -1,11 +1,13 @@
 """n-gram repetition inside one document.
 
 Documents are independent, so nothing is shuffled: words become 64-bit hashes in
-the JVM and the hashes of an Arrow batch are sorted together with numpy.
+the JVM and the hashes of some documents at a time are sorted together with numpy.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
@@ -15,6 +17,8 @@ from textmill.functions.text import Parts, lengths, ratio
 
 TOP_N_GRAMS = [(2, 0.25), (3, 0.23), (4, 0.21)]
 DUP_N_GRAMS = [(5, 0.20), (6, 0.19), (7, 0.18), (8, 0.17), (9, 0.16), (10, 0.15)]
+# Words sorted together: few enough for a processor's cache.
+WORDS_AT_ONCE = 1 << 16
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -76,23 +80,42 @@ def _dup_chars(hashes, lens, doc, ends, n_docs: int, n: int) -> np.ndarray:
     return np.bincount(doc[again], stop - begin, n_docs).astype(np.int64)
 
 
+def measured(hash_lists: list[np.ndarray], length_lists: list[np.ndarray], top: list[int], dup: list[int]) -> np.ndarray:
+    """One row of character counts per document."""
+    n_docs = len(hash_lists)
+    sizes = np.fromiter((len(h) for h in hash_lists), np.int64, n_docs)
+    if not sizes.sum():
+        return np.zeros((n_docs, len(top) + len(dup)), np.int64)
+    hashes = np.concatenate(hash_lists).astype(np.int64).view(np.uint64)
+    lens = np.concatenate(length_lists).astype(np.int64)
+    doc = np.repeat(np.arange(n_docs), sizes)
+    # Offsets in the words joined by single blanks; only differences inside a document count.
+    ends = np.cumsum(lens + 1) - 1
+    columns = [_top_chars(hashes, lens, doc, ends, n_docs, n) for n in top]
+    columns += [_dup_chars(hashes, lens, doc, ends, n_docs, n) for n in dup]
+    return np.stack(columns, axis=1)
+
+
+def slices(lists: list) -> Iterator[tuple[int, int]]:
+    """First and end of runs of whole documents of about WORDS_AT_ONCE words."""
+    size = np.cumsum([0, *(len(x) for x in lists)])
+    first = 0
+    while first < len(lists):
+        last = int(np.searchsorted(size, size[first] + WORDS_AT_ONCE, "right")) - 1
+        last = min(max(first + 1, last), len(lists))
+        yield first, last
+        first = last
+
+
 def ngram_chars(words: Column, top: list[int], dup: list[int]) -> Column:
     """Array of character counts: one per n in ``top``, then one per n in ``dup``."""
 
     @F.pandas_udf(ArrayType(IntegerType()))
     def measure(hash_lists: pd.Series, length_lists: pd.Series) -> pd.Series:
-        n_docs = len(hash_lists)
-        sizes = np.fromiter((len(h) for h in hash_lists), np.int64, n_docs)
-        if not sizes.sum():
-            return pd.Series([[0] * (len(top) + len(dup))] * n_docs)
-        hashes = np.concatenate(list(hash_lists)).astype(np.int64).view(np.uint64)
-        lens = np.concatenate(list(length_lists)).astype(np.int64)
-        doc = np.repeat(np.arange(n_docs), sizes)
-        # Offsets in the words joined by single blanks; only differences inside a document count.
-        ends = np.cumsum(lens + 1) - 1
-        columns = [_top_chars(hashes, lens, doc, ends, n_docs, n) for n in top]
-        columns += [_dup_chars(hashes, lens, doc, ends, n_docs, n) for n in dup]
-        return pd.Series(list(np.stack(columns, axis=1)))
+        hashes, lens, out = hash_lists.tolist(), length_lists.tolist(), []
+        for first, last in slices(hashes):
+            out += list(measured(hashes[first:last], lens[first:last], top, dup))
+        return pd.Series(out, dtype=object)
 
     # Marked so that the plan never copies the call into each of the fractions.
     measure = measure.asNondeterministic()
