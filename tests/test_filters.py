@@ -125,7 +125,7 @@ def test_regex_filter_is_unicode_aware(spark):
 def test_repetition_sorts_some_documents_at_a_time():
     n = repetition.WORDS_AT_ONCE
     lists = [np.zeros(k, np.int64) for k in (n // 2, n // 2, 1, 3 * n, 0, 5)]
-    assert list(repetition.slices(lists)) == [(0, 2), (2, 3), (3, 5), (5, 6)]
+    assert list(repetition.slices(lists)) == [(0, 2), (2, 3), (3, 4), (4, 6)]
     rng = np.random.default_rng(3)
     hashes = [rng.integers(0, 40, k) for k in (0, 3, 200, 1, 900)]
     lens = [rng.integers(1, 9, len(h)) for h in hashes]
