@@ -37,7 +37,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from textmill.llm.rows import whole_text
-from textmill.llm.text_arrays import buffers, mix, slices, word_hashes
+from textmill.llm.text_arrays import buffers, give_back, mix, slices, word_hashes
 
 THRESHOLD = 0.8
 WALKS = 6
@@ -45,6 +45,7 @@ TABLES = 8
 SAMPLED = 2
 SHIFTS = (0, -1, 1, -2, 2)
 BLOCK_BYTES = 8 << 20
+SEARCHED_BYTES = 1 << 20
 WINDOWS_AT_ONCE = 1 << 14
 
 _SOLID = np.zeros(256, bool)
@@ -272,12 +273,13 @@ def with_leaks(
                 some = [i for i in range(len(texts)) if cut[i + 1] > cut[i]]
                 index.append(Items([ids[i] for i in some], [words[cut[i] : cut[i + 1]] for i in some], threshold))
             items, lists = index[0], [[] for _ in range(len(column))]
-            for a, b in slices(column):
+            for a, b in slices(column, SEARCHED_BYTES):
                 for at, item, edits, start, end in find_items(items, column.slice(a, b - a)):
                     share = 1 - edits / len(items.words[item])
                     lists[a + at].append(
                         {"item_id": items.ids[item], "edits": edits, "similarity": share, "start": start, "end": end}
                     )
+            give_back()
             return pa.array(lists, arrow)
 
         return leaks(whole_text(text))
