@@ -1,5 +1,7 @@
 """Perplexity against SQL that counts whole words, not buckets."""
 
+import math
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
@@ -40,6 +42,35 @@ def test_rows_of_a_fold(spark):
     assert got[3][2] == pytest.approx(back ** (-1 / 3), rel=1e-5)
 
 
+def test_blocks_cut_long_documents(spark, monkeypatch):
+    """Blocks of 16 words: documents lie in several, words of all slots return to their places."""
+    monkeypatch.setattr(ppl, "WORDS_AT_ONCE", 16)
+    rows = [(i, " ".join(f"w{(i * 7 + j * j) % 23}" for j in range(i * 11 % 90))) for i in range(40)] + [(4, "a b"), (4, "a b")]
+    got = ppl.fold_perplexity(spark.createDataFrame(rows, "id long, text string"), "id", ["text"], F.col("id") % 2).collect()
+    pairs, firsts, known = ([{}, {}] for _ in range(3))
+    for i, text in rows:
+        w = text.split()
+        for a, b in zip(w, w[1:]):
+            pairs[i % 2][a, b] = pairs[i % 2].get((a, b), 0) + 1
+            firsts[i % 2][a] = firsts[i % 2].get(a, 0) + 1
+            known[i % 2][a] = known[i % 2][b] = 1
+    want = []
+    for i, text in rows:
+        w, o = text.split(), 1 - i % 2
+        p = [(pairs[o].get((a, b), 0) + 0.1) / (firsts[o].get(a, 0) + 0.1 * len(known[o])) for a, b in zip(w, w[1:])]
+        if p:
+            want.append((i, text, len(p), pytest.approx(math.exp(-sum(map(math.log, p)) / len(p)), rel=1e-5)))
+    assert sorted(tuple(r) for r in got) == sorted(want, key=lambda r: r[:3])
+
+
+def test_an_ngram_travels_once_per_block(spark):
+    """Not once per document: 3,000 documents with the same words are a few entries."""
+    coded = spark.range(3000).selectExpr("id AS doc", "id % 2 AS fold", "array(11L, 12L, 13L, id) AS codes").coalesce(1)
+    blocks = ppl.gram_blocks(coded)
+    # Per fold: bigrams 11-12 and 12-13, words 11, 12 and 13; per document a bigram and a last word (2, 3 and so on share one).
+    assert 3000 < blocks.where("slot >= 0").agg(F.sum("size")).first()[0] < 2 * 3000 + 20
+
+
 def test_registered_query_counts_exactly(spark):
     folder = "/root/testdata/sf0.01"
     got = {r.id: r.perplexity for r in all_queries()["perplexity"](spark, folder).collect()}

@@ -2,6 +2,10 @@
 
 fold_perplexity counts every bigram and word by 64-bit hashes, in partitioned tables
 that grow with the corpus. Log-probabilities are kept as whole micro-nats, so sums do not depend on their order.
+
+Texts are split once. Their n-grams travel as arrays: a block of about a million words of
+one fold sends each of its n-grams once, with the uses in the block, and gets the uses in the
+other fold back. A frequent n-gram is thus one entry per block, however many documents have it.
 """
 
 from __future__ import annotations
@@ -12,6 +16,7 @@ from operator import and_
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from textmill.functions.text import words
@@ -19,48 +24,172 @@ from textmill.session import materialize
 
 MICRO = 1_000_000
 TOP_VALUES = 100_000
-# No more than HOT n-grams can each hold a HOT-th of the uses in a sample (one document of SAMPLE); those are broadcast.
-HOT, SAMPLE = 1_000_000, 16
-WORDS_AT_ONCE = 1 << 18
+WORDS_AT_ONCE = 1 << 20
+# The n-grams of a block are cut by their leading bits; a task counts those of one slot, or of some while they are few.
+SLOT_BITS, GRAMS_AT_ONCE = 10, 4_000_000
+BLOCK = "block long, slot int, fold int, size int, grams binary, uses binary, docs binary, runs binary, begins binary, pairs binary, firsts binary"
 
 
-def gram_rows(coded: DataFrame) -> DataFrame:
-    """(doc, gram, both) of coded(doc, fold, codes): the bigrams of a document and its words that begin one.
+def packed(values: np.ndarray) -> bytes:
+    """The first bytes of all values, then the second ones and so on: small values compress well."""
+    return values.view(np.uint8).reshape(len(values), -1).T.tobytes()
 
-    A bigram's gram is odd, a word's even; ``both`` is twice the uses plus the fold.
-    """
 
-    def exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one = np.uint64(1)
-        for batch in batches:
-            docs, folds = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            lists = batch.column(2)
-            offsets = lists.offsets.to_numpy()
-            values = lists.values.to_numpy().view(np.uint64)
-            a = 0
-            while a < len(docs):
-                # As many whole documents as fit, and one at least.
-                b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + WORDS_AT_ONCE, "right")) - 1)
-                b = min(b, len(docs))
-                code = values[offsets[a] : offsets[b]]
-                owner = np.repeat(np.arange(a, b), np.diff(offsets[a : b + 1]))
-                inside = np.flatnonzero(owner[1:] == owner[:-1])
-                owner, w1, w2 = owner[inside], code[inside], code[inside + 1]
-                a = b
+def unpacked(value: pa.Scalar, kind: type) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.frombuffer(value.as_buffer(), np.uint8).reshape(width, -1).T.copy().view(kind).ravel()
+
+
+def packed_places(places: np.ndarray, runs: np.ndarray) -> bytes:
+    """Places in runs, ascending in each, as distances."""
+    far = np.sort(np.repeat(np.arange(len(runs)) << 32, runs) | places) & 0xFFFFFFFF
+    steps = np.diff(far, prepend=0)
+    start = np.cumsum(runs) - runs
+    steps[start] = far[start]
+    return packed(steps.astype(np.uint32))
+
+
+def unpacked_places(value: pa.Scalar, runs: np.ndarray) -> np.ndarray:
+    steps = unpacked(value, np.uint32).astype(np.int64)
+    sums = np.cumsum(steps)
+    start = np.cumsum(runs) - runs
+    return sums - np.repeat(sums[start] - steps[start], runs)
+
+
+def gram_blocks(coded: DataFrame) -> DataFrame:
+    """Blocks of the documents of coded(doc, fold, codes), as rows of BLOCK.
+
+    Per block and slot, a row with the block's n-grams in ascending order and their uses; a bigram
+    is odd, a word even. Words that begin no bigram have no use. The row with slot -1 has the
+    documents (runs of bigrams, and whether a run is the first of its document) and the places of
+    their bigrams, and of the first words of these, among the n-grams of the block.
+    """
+    at_once, slot_bits = WORDS_AT_ONCE, SLOT_BITS
+
+    def cut_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        zero, one, shift = np.uint64(0), np.uint64(1), np.uint64(64 - slot_bits)
+        block = TaskContext.get().partitionId() << 32
+        names = [part.split()[0] for part in BLOCK.split(", ")]
+        types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), *[pa.binary()] * 7]
+
+        def blocks_of(fold: int, docs: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> Iterator[pa.RecordBatch]:
+            nonlocal block
+            owner = np.repeat(np.arange(len(docs)), lengths)
+            spots = np.flatnonzero(owner[1:] == owner[:-1])
+            owner = owner[spots]
+            change = np.flatnonzero(owner[1:] != owner[:-1])
+            first, last = np.zeros(len(spots), bool), np.zeros(len(spots), bool)
+            first[np.append(0, change + 1)] = True
+            last[np.append(change, len(spots) - 1)] = True
+            for a in range(0, len(spots), at_once):
+                here = slice(a, a + at_once)
+                w1, w2 = codes[spots[here]], codes[spots[here] + 1]
                 pair = w1 * np.uint64(0x9E3779B97F4A7C15) + w2 * np.uint64(0xC2B2AE3D27D4EB4F)
                 pair = (pair ^ (pair >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
                 pair ^= pair >> np.uint64(29)
-                gram, owner = np.concatenate([pair | one, w1 & ~one]), np.concatenate([owner, owner])
-                order = np.lexsort((gram, owner))
-                gram, owner = gram[order], owner[order]
-                new = np.ones(len(gram), bool)
-                new[1:] = (gram[1:] != gram[:-1]) | (owner[1:] != owner[:-1])
-                start = np.flatnonzero(new)
-                uses, owner = np.diff(np.append(start, len(gram))).astype(np.int64), owner[start]
-                columns = [pa.array(docs[owner]), pa.array(gram[start].view(np.int64)), pa.array(2 * uses + folds[owner])]
-                yield pa.RecordBatch.from_arrays(columns, ["doc", "gram", "both"])
+                n = len(w1)
+                gram, places = np.unique(np.concatenate([pair | one, w1 & ~one, w2[last[here]] & ~one]), return_inverse=True)
+                uses = np.bincount(places[: 2 * n], minlength=len(gram)).astype(np.int32)
+                slot = (gram >> shift).astype(np.int32)
+                cut = np.append(np.flatnonzero(np.append(True, slot[1:] != slot[:-1])), len(gram))
+                start = np.flatnonzero(np.append(True, owner[here][1:] != owner[here][:-1]))
+                runs = np.diff(np.append(start, n))
+                block += 1
+                k = len(cut) - 1
+                pieces = [
+                    [block] * k, slot[cut[:-1]], [fold] * k, np.diff(cut).astype(np.int32),
+                    [packed(np.diff(gram[i:j], prepend=zero)) for i, j in zip(cut[:-1], cut[1:])],
+                    [packed(uses[i:j]) for i, j in zip(cut[:-1], cut[1:])], *[[None] * k] * 5,
+                ]
+                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(pieces, types)], names)
+                whole = [
+                    block, -1, fold, len(gram), None, None, docs[owner[here][start]].tobytes(), packed(runs),
+                    first[here][start].tobytes(), packed_places(places[:n], runs), packed_places(places[n : 2 * n], runs),
+                ]
+                yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(whole, types)], names)
+
+        held: dict[int, list] = {0: [], 1: []}
+        count = {0: 0, 1: 0}
+
+        def emptied(fold: int) -> Iterator[pa.RecordBatch]:
+            if held[fold]:
+                parts = [np.concatenate(x) for x in zip(*held[fold])]
+                held[fold], count[fold] = [], 0
+                yield from blocks_of(fold, *parts)
 
-    return coded.mapInArrow(exploded, "doc long, gram long, both long")
+        for batch in batches:
+            docs, folds = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            offsets = batch.column(2).offsets.to_numpy()
+            lengths = np.diff(offsets)
+            codes = batch.column(2).values.to_numpy()[offsets[0] : offsets[-1]].view(np.uint64)
+            for fold in (0, 1):
+                mine = (folds == fold) & (lengths > 1)
+                if mine.any():
+                    held[fold].append((docs[mine], lengths[mine], codes[np.repeat(mine, lengths)]))
+                    count[fold] += int(lengths[mine].sum())
+                if count[fold] >= at_once:
+                    yield from emptied(fold)
+        for fold in (0, 1):
+            yield from emptied(fold)
+
+    return coded.mapInArrow(cut_up, BLOCK)
+
+
+def other_uses(blocks: DataFrame, buckets: int) -> DataFrame:
+    """(block, slot, uses) per piece of gram_blocks: uses of its n-grams in the other fold; and (fold, words), adding up to the distinct words of a fold."""
+
+    def counted(table: pa.Table) -> pa.Table:
+        block, slot, fold, size = (table.column(c).to_numpy() for c in ("block", "slot", "fold", "size"))
+        gram = np.concatenate([np.cumsum(unpacked(x, np.uint64)) for x in table.column("grams")])
+        uses = np.concatenate([unpacked(x, np.int32) for x in table.column("uses")])
+        side = np.repeat(fold, size)
+        distinct, place = np.unique(gram, return_inverse=True)
+        n = [np.bincount(place[side == f], uses[side == f], len(distinct)).astype(np.int64) for f in (0, 1)]
+        there = [np.bincount(place[side == f], minlength=len(distinct)) > 0 for f in (0, 1)]
+        found = np.where(side == 0, n[1][place], n[0][place])
+        ends = np.cumsum(size)
+        words_of = [int(np.count_nonzero(t & (distinct & np.uint64(1) == 0))) for t in there]
+        columns = [
+            pa.array([*block.tolist(), None, None], pa.int64()), pa.array([*slot.tolist(), None, None], pa.int32()),
+            pa.array([*[packed(found[e - s : e]) for s, e in zip(size, ends)], None, None], pa.binary()),
+            pa.array([*[None] * len(block), 0, 1], pa.int32()), pa.array([*[None] * len(block), *words_of], pa.int64()),
+        ]
+        return pa.Table.from_arrays(columns, ["block", "slot", "uses", "fold", "words"])
+
+    bucket = F.shiftright(F.col("slot") * buckets, SLOT_BITS).alias("bucket")
+    pieces = blocks.where("slot >= 0").select(bucket, "block", "slot", "fold", "size", "grams", "uses")
+    return pieces.groupBy("bucket").applyInArrow(counted, "block long, slot int, uses binary, fold int, words long")
+
+
+def block_sums(blocks: DataFrame, other: DataFrame, sizes: dict[int, int], k: float) -> DataFrame:
+    """(doc, micro, uses, open, rows) per document and block: its log-probabilities, bigrams, bigrams without a value, first runs."""
+
+    def summed(table: pa.Table) -> pa.Table:
+        slot = table.column("slot").to_numpy()
+        top = int(np.flatnonzero(slot == -1)[0])
+        fold = table.column("fold")[top].as_py()
+        docs = np.frombuffer(table.column("docs")[top].as_buffer(), np.int64)
+        begins = np.frombuffer(table.column("begins")[top].as_buffer(), bool)
+        runs = unpacked(table.column("runs")[top], np.int64)
+        n = np.concatenate([unpacked(table.column("uses")[int(i)], np.int64) for i in np.argsort(slot)[1:]])
+        pairs, firsts = (n[unpacked_places(table.column(c)[top], runs)] for c in ("pairs", "firsts"))
+        vocabulary = sizes.get(1 - fold, 0)
+        args = [pairs + k, firsts + k * vocabulary]
+        logs = [np.log(np.where(x > 0, x, 1.0)) * MICRO for x in args]
+        # Halves away from zero, as Spark rounds. Places are in no order within a run, their sums have none.
+        up, down = (np.trunc(x + np.copysign(0.5, x)).astype(np.int64) for x in logs)
+        unknown = ((args[0] <= 0) | (args[1] <= 0) | (vocabulary == 0)).astype(np.int64)
+        start = np.cumsum(runs) - runs
+        columns = [
+            pa.array(docs), pa.array(np.add.reduceat(up - down, start)), pa.array(runs),
+            pa.array(np.add.reduceat(unknown, start)), pa.array(begins.astype(np.int64)),
+        ]
+        return pa.Table.from_arrays(columns, ["doc", "micro", "uses", "open", "rows"])
+
+    back = other.where("block is not null").select("block", "slot", "uses")
+    places = blocks.where("slot = -1").select("block", "slot", "fold", "docs", "runs", "begins", "pairs", "firsts")
+    both = places.unionByName(back, allowMissingColumns=True)
+    return both.groupBy("block").applyInArrow(summed, "doc long, micro long, uses long, open long, rows long")
 
 
 def fold_perplexity(
@@ -74,44 +203,23 @@ def fold_perplexity(
     spark = df.sparkSession
     body = F.coalesce(text, F.lit(""))
     side = fold.cast("long")
-    named = df.select(id_col, *keep, F.xxhash64(id_col, body, side).alias("doc"), side.alias("fold"), words(body).alias("_w"))
-    coded = named.select("doc", "fold", F.transform("_w", lambda w: F.xxhash64(w)).alias("codes"))
-    seen = coded.where(F.size("codes") > 1).select("fold", F.explode(F.array_distinct("codes")).alias("w")).distinct()
-    sizes = {r["fold"]: r["v"] for r in seen.groupBy("fold").agg(F.count("w").alias("v")).collect()}
-
-    uses, of_fold = F.shiftright("both", 1), F.col("both") % 2
-    counts = [F.sum(F.when(of_fold == i, uses).otherwise(0)).alias(f"n{i}") for i in (0, 1)]
-    sampled = gram_rows(coded.where(F.pmod("doc", F.lit(SAMPLE)) == 0)).groupBy("gram").agg(F.sum(uses).alias("c"))
-    sampled = materialize(sampled.where("c > 1"), "sampled")
-    total = sampled.agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
-    # Which way a gram goes changes no result: a sample may choose the frequent ones.
-    hot = materialize(sampled.where(F.col("c") * HOT >= total).select("gram"), "hot")
-    rows = gram_rows(coded)
-    hot_counts = materialize(rows.join(F.broadcast(hot), "gram").groupBy("gram").agg(*counts), "hot_counts")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cold = rows.join(F.broadcast(hot), "gram", "left_anti").repartition(parts, "gram")
-    # Both sides use all columns of the exchange (df is the number of documents), so both read the same one.
-    table = cold.groupBy("gram").agg(*counts, F.count("doc").alias("df"))
-
-    def summed(joined: DataFrame) -> DataFrame:
-        other = F.when(of_fold == 0, F.col("n1")).otherwise(F.col("n0"))
-        vocabulary = F.when(of_fold == 0, F.lit(sizes.get(1))).otherwise(F.lit(sizes.get(0)))
-        is_pair = F.col("gram").bitwiseAND(1) == 1
-        micro = F.round(F.ln(other + F.when(is_pair, F.lit(k)).otherwise(k * vocabulary)) * MICRO).cast("long") * uses
-        return joined.groupBy("doc").agg(
-            F.sum(F.when(is_pair, micro).otherwise(-micro)).alias("micro"), F.sum(F.when(is_pair, uses)).alias("uses"),
-            F.count_if(micro.isNull()).alias("open"),
-        )
-
-    frequent = summed(rows.join(F.broadcast(hot_counts), "gram"))
-    # Not broadcast: a small table would be, and the rows counted twice.
-    rare = summed(cold.join(table.where("df > 0").hint("merge"), "gram"))
-    # Equal rows share one sum, which holds the uses of all of them.
-    sums = materialize(rare, "rare").unionByName(materialize(frequent, "frequent")).groupBy("doc").agg(
-        F.when(F.sum("open") == 0, F.sum("micro") / MICRO / F.sum("uses")).alias("_mean")
+    doc = F.xxhash64(id_col, body, side).alias("doc")
+    coded = df.where(side.isin(0, 1)).select(doc, side.alias("fold"), F.transform(words(body), lambda w: F.xxhash64(w)).alias("codes"))
+    blocks = materialize(gram_blocks(coded), "blocks")
+    entries = blocks.where("slot >= 0").agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    # Several buckets to a partition, so that their hashes deal them out evenly.
+    spread = 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    other = materialize(other_uses(blocks, min(1 << SLOT_BITS, max(spread, entries // GRAMS_AT_ONCE))), "other")
+    sizes = {r["fold"]: r["v"] for r in other.where("fold is not null").groupBy("fold").agg(F.sum("words").alias("v")).collect()}
+
+    # Equal rows share one sum, which holds the uses of all of them; a long document may lie in several blocks.
+    sums = block_sums(blocks, other, sizes, k).groupBy("doc").agg(
+        (F.sum("uses") / F.sum("rows")).cast("long").alias("n_bigrams"),
+        F.when(F.sum("open") == 0, F.sum("micro") / MICRO / F.sum("uses")).alias("_mean"),
     )
-    texts = named.select(id_col, *keep, "doc", (F.size("_w") - 1).cast("long").alias("n_bigrams")).where("n_bigrams > 0")
-    return texts.join(sums, "doc").withColumn("perplexity", F.exp(-F.col("_mean"))).drop("doc", "_mean")
+    texts = df.select(id_col, *keep, doc)
+    joined = texts.join(sums, "doc").withColumn("perplexity", F.exp(-F.col("_mean")))
+    return joined.select(id_col, *keep, "n_bigrams", "perplexity")
 
 
 def partial_stats(scored: DataFrame, group: list[str]) -> DataFrame:
