@@ -1,6 +1,8 @@
+import hashlib
 import random
 from itertools import combinations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -120,3 +122,37 @@ def test_short_texts_have_no_band_but_copies_go(spark):
 def test_components_of_hubs_and_chains(spark):
     edges = [(1000 + i, 1000) for i in range(1, 120)] + [(i + 1, i) for i in range(30)] + [(1050, 3)]
     assert run_components(spark, edges) == components(edges)
+
+
+def test_md5_heads_are_those_of_md5():
+    rng = np.random.default_rng(3)
+    data = rng.integers(0, 256, 9000).astype(np.uint8)
+    size = np.append(rng.integers(0, 130, 6000), [0, 55, 56, 63, 64])
+    start = rng.integers(0, 8800, len(size))
+    start[:50] = 9000 - size[:50]
+    want = [int(hashlib.md5(data[i : i + n].tobytes()).hexdigest()[:8], 16) for i, n in zip(start, size)]
+    assert dedup.md5_heads(data, start, size).tolist() == want
+
+
+def test_minima_are_remainders_by_the_prime():
+    """Hashes at the borders, among them those whose value is the prime or a multiple of it."""
+    pairs = dedup.hash_coefficients(112, 32)
+    a, b = (np.array(x, np.uint64) for x in zip(*pairs))
+    p = dedup.PRIME_31
+    zeros = [(-int(y) * pow(int(x), -1, p)) % p for x, y in pairs]
+    for hashes in ([0, 1, p - 1, p, p + 1, 2**32 - 1, 2**32 - 2], zeros, list(range(4000, 4300)), [2**32 - 1]):
+        want = [min((h * int(x) + int(y)) % p for h in hashes) for x, y in pairs]
+        assert dedup._minima(np.array(hashes), a, b, 32).tolist() == want
+
+
+def test_signature_of_32_bits_hashes_runs_of_words(spark, monkeypatch):
+    """Texts in several slices; null, empty and short ones between them."""
+    monkeypatch.setattr(dedup, "TEXT_AT_ONCE", 60)
+    texts = [None, "", "a b c d", " é  b\tc d e f ", "x" * 70 + " b c d e", *[f"t{i} u v w x y{i} z" for i in range(40)], " ", "a b c d e"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, text string").coalesce(1)
+    a, b = (np.array(x, np.uint64) for x in zip(*dedup.hash_coefficients(112, 32)))
+    for r in dedup.signature(df, bit_precision=32).collect():
+        w = (r.text or "").split()
+        runs = [" ".join(w[i : i + 5]) for i in range(len(w) - 4)]
+        hashes = np.array([int(hashlib.md5(x.encode()).hexdigest()[:8], 16) for x in runs], np.int64)
+        assert r.signature == (dedup._minima(hashes, a, b, 32).tolist() if runs else [])

@@ -7,6 +7,9 @@ spread over many tasks and still yields a linear number of edges.
 
 from __future__ import annotations
 
+import hashlib
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
@@ -24,6 +27,7 @@ N_GRAMS = 5
 BUCKET_SALTS = 256
 PRIME_31 = 2**31 - 1
 _MASK = 2**64 - 1
+TEXT_AT_ONCE = 1 << 20
 
 
 ROW_KEY = "_key"
@@ -102,15 +106,74 @@ def shingle_hashes(word_list: Column, n: int, precision: int) -> Column:
     return let(word_list, hashed)
 
 
+_MD5_SINES = [int(abs(math.sin(i + 1)) * 2**32) for i in range(64)]
+_MD5_TURNS = [[7, 12, 17, 22], [5, 9, 14, 20], [4, 11, 16, 23], [6, 10, 15, 21]]
+_MD5_START = [0x67452301, 0xEFCDAB89, 0x98BADCFE, 0x10325476]
+
+
+def md5_heads(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The leading 32 bits of the MD5 of each run of bytes; runs of one MD5 block are worked on side by side."""
+    out = np.empty(len(start), np.uint32)
+    many = np.flatnonzero(size > 55)
+    out[many] = [int.from_bytes(hashlib.md5(data[i : i + n].tobytes()).digest()[:4], "big") for i, n in zip(start[many], size[many])]
+    few, at = np.flatnonzero(size <= 55), np.arange(64)
+    # By length: which bytes of a block are the run's, and what stands behind them.
+    own = np.where(at < np.arange(56)[:, None], 255, 0).astype(np.uint8)
+    behind = np.where(at == np.arange(56)[:, None], 128, 0).astype(np.uint8)
+    behind.view("<u8")[:, 7] = np.arange(56) * 8
+    windows = np.lib.stride_tricks.sliding_window_view(np.append(data, np.zeros(64, np.uint8)), 64)
+    for part in np.array_split(few, len(few) // 4096 + 1):
+        block = windows[start[part]] & own[size[part]] | behind[size[part]]
+        words_of = np.ascontiguousarray(block.view("<u4").T)
+        a, b, c, d = (np.full(len(part), x, np.uint32) for x in _MD5_START)
+        for i in range(64):
+            if i < 16:
+                mixed, g = d ^ (b & (c ^ d)), i
+            elif i < 32:
+                mixed, g = c ^ (d & (b ^ c)), (5 * i + 1) % 16
+            elif i < 48:
+                mixed, g = b ^ c ^ d, (3 * i + 5) % 16
+            else:
+                mixed, g = c ^ (b | ~d), 7 * i % 16
+            mixed += a
+            mixed += words_of[g]
+            mixed += np.uint32(_MD5_SINES[i])
+            turn = _MD5_TURNS[i // 16][i % 4]
+            a, d, c, b = d, c, b, b + ((mixed << np.uint32(turn)) | (mixed >> np.uint32(32 - turn)))
+        out[part] = (a + np.uint32(_MD5_START[0])).byteswap()
+    return out
+
+
+def _md5_shingles(joined: list[bytes], counts: np.ndarray, n: int) -> list[np.ndarray]:
+    """Per text (its words, joined by spaces) the hashes of its runs of n words; as shingle_hashes with 32 bits."""
+    data = np.frombuffer(b" ".join(joined), np.uint8)
+    gaps = np.flatnonzero(data == 32)
+    start, end = np.append(0, gaps + 1), np.append(gaps, len(data))
+    owner = np.repeat(np.arange(len(counts)), counts)
+    whole = np.flatnonzero(owner[n - 1 :] == owner[: len(owner) - n + 1])
+    heads = md5_heads(data, start[whole], end[whole + n - 1] - start[whole])
+    return np.split(heads.astype(np.int64), np.cumsum(counts - n + 1)[:-1])
+
+
 def _minima(hashes: np.ndarray, a: np.ndarray, b: np.ndarray, precision: int) -> np.ndarray:
     best = None
-    for part in np.array_split(hashes, len(hashes) // 16384 + 1):
-        column = part.astype(np.int64).view(np.uint64)[:, None]
+    prime, bits = np.uint64(PRIME_31), np.uint64(31)
+    # Short parts, whose values stay in the processor's cache.
+    for at in range(0, len(hashes), 128):
+        column = hashes[at : at + 128].astype(np.int64).view(np.uint64)[:, None]
         if precision == 64:
             value = (column ^ b) * a
             value ^= value >> np.uint64(32)
         else:
-            value = (column * a + b) % np.uint64(PRIME_31)
+            # The remainder by 2^31 - 1: the bits above the 31st are added to those below, twice; the prime itself is 0.
+            value = column * a
+            value += b
+            for _ in range(2):
+                high = value >> bits
+                value &= prime
+                value += high
+            if value.max() >= prime:
+                value[value >= prime] -= prime
         low = value.min(axis=0)
         best = low if best is None else np.minimum(best, low)
     return best.view(np.int64)
@@ -131,13 +194,36 @@ def signature(
     a = np.array([p[0] for p in pairs], np.uint64)
     b = np.array([p[1] for p in pairs], np.uint64)
 
+    empty = np.empty(0, np.int64)
+
     @F.pandas_udf(ArrayType(LongType()))
     def minima(lists: pd.Series, sizes: pd.Series) -> pd.Series:
-        empty = np.empty(0, np.int64)
         return pd.Series([_minima(h, a, b, bit_precision) if n else empty for h, n in zip(lists, sizes)])
 
+    @F.pandas_udf(ArrayType(LongType()))
+    def md5_minima(joined: pd.Series, counts: pd.Series) -> pd.Series:
+        out = [empty] * len(joined)
+        held = [i for i, n in enumerate(counts) if n >= n_grams]
+        ends = np.cumsum([len(joined[i]) for i in held])
+        first = 0
+        while first < len(held):
+            # Some texts at a time, and one at least.
+            done = ends[first - 1] if first else 0
+            last = max(first + 1, int(np.searchsorted(ends, done + TEXT_AT_ONCE, "right")))
+            some = held[first:last]
+            lists = _md5_shingles([joined[i] for i in some], counts.to_numpy()[some], n_grams)
+            for i, hashes in zip(some, lists):
+                out[i] = _minima(hashes, a, b, bit_precision)
+            first = last
+        return pd.Series(out)
+
     # Marked so that the plan never copies the call into later expressions.
-    minima = minima.asNondeterministic()
+    minima, md5_minima = minima.asNondeterministic(), md5_minima.asNondeterministic()
+    if bit_precision == 32:
+        # Words hold no spaces, so joined by them they can be told apart again.
+        df = df.withColumn("_words", words(F.col(text)))
+        joined = F.coalesce(F.array_join("_words", " "), F.lit("")).cast("binary")
+        return df.withColumn("signature", md5_minima(joined, F.coalesce(F.size("_words"), F.lit(0)))).drop("_words")
     # The hashes are used twice, which keeps them a column of their own: nested
     # lambdas must not end up inside the arguments of a Python function.
     df = df.withColumn("_hashes", shingle_hashes(words(F.col(text)), n_grams, bit_precision))
