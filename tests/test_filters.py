@@ -132,3 +132,34 @@ def test_repetition_sorts_some_documents_at_a_time():
     together = repetition.measured(hashes, lens, [2, 3], [5, 6])
     alone = [repetition.measured([h], [x], [2, 3], [5, 6])[0].tolist() for h, x in zip(hashes, lens)]
     assert together.tolist() == alone
+
+
+def test_ngrams_that_occur_once_are_not_sorted_further():
+    rng = np.random.default_rng(6)
+    hashes, doc = rng.integers(-(2**63), 2**63, 4000).view(np.uint64), np.repeat(np.arange(4), 1000)
+    # The second document has the first one's words, the third a passage twice.
+    hashes[1000:2000], hashes[2500:2520] = hashes[:1000], hashes[2100:2120]
+    again = repetition._repeated(hashes, doc, [10, 2, 5])
+    for n in (2, 5, 10):
+        assert again[n][1].tolist() == [*range(2100, 2121 - n), *range(2500, 2521 - n)]
+
+
+def test_measured_against_plain_counts():
+    rng = np.random.default_rng(7)
+    word = rng.integers(-(2**63), 2**63, 30)
+    docs = [rng.integers(0, v, n) for v in (2, 6, 30) for n in (0, 1, 2, 4, 11, 80)] + [np.tile(np.arange(9), 5)]
+    got = repetition.measured([word[d] for d in docs], [d + 1 for d in docs], [3, 2], [6, 2, 3])
+    for d, row in zip(docs, got):
+        want, size = [], d + 1
+        ends = np.cumsum(size + 1) - 1
+        for n in (3, 2):
+            grams = [tuple(d[i : i + n]) for i in range(len(d) - n + 1)]
+            most = max(map(grams.count, grams), default=0)
+            want.append(max((most * (sum(x + 1 for x in g) + n - 1) for g in grams if grams.count(g) == most), default=0))
+        for n in (6, 2, 3):
+            grams, chars = [tuple(d[i : i + n]) for i in range(len(d) - n + 1)], set()
+            for i, g in enumerate(grams):
+                if g in grams[:i]:
+                    chars |= set(range(ends[i] - size[i], ends[i + n - 1]))
+            want.append(len(chars))
+        assert row.tolist() == want

@@ -2,6 +2,7 @@
 
 Documents are independent, so nothing is shuffled: words become 64-bit hashes in
 the JVM and the hashes of some documents at a time are sorted together with numpy.
+Only n-grams that a document has twice are looked at longer than by one sort.
 """
 
 from __future__ import annotations
@@ -22,17 +23,34 @@ WORDS_AT_ONCE = 1 << 16
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _grams(hashes: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and start index of every n-gram that stays within one document."""
-    count = len(hashes) - n + 1
-    if count <= 0:
-        return np.empty(0, np.uint64), np.empty(0, np.int64)
-    key = np.zeros(count, np.uint64)
+def _grams(hashes: np.ndarray, doc: np.ndarray, n: int, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and start index of the n-grams at ``start`` that stay within one document."""
+    start = start[: np.searchsorted(start, len(hashes) - n, "right")]
+    start = start[doc[start] == doc[start + n - 1]]
+    key = np.zeros(len(start), np.uint64)
     for k in range(n):
-        key = (key ^ hashes[k : k + count]) * _MIX
+        key = (key ^ hashes[start + k]) * _MIX
         key ^= key >> np.uint64(29)
-    start = np.flatnonzero(doc[:count] == doc[n - 1 :])
-    return key[start], start
+    return key, start
+
+
+def _repeated(hashes: np.ndarray, doc: np.ndarray, sizes: list[int]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    """Per n, hash and start of all n-grams that their document has twice or more; by a hash, so others may be among them.
+
+    Where an n-gram occurs again, so do the shorter ones that begin there.
+    """
+    out, start = {}, np.arange(len(hashes))
+    for n in sorted(set(sizes)):
+        key, start = _grams(hashes, doc, n, start)
+        mixed = key ^ (doc[start].astype(np.uint64) * _MIX)
+        order = np.argsort(mixed)
+        mixed = mixed[order]
+        same = mixed[1:] == mixed[:-1]
+        again = np.zeros(len(start), bool)
+        again[order[1:][same]] = True
+        again[order[:-1][same]] = True
+        out[n] = key, start = key[again], start[again]
+    return out
 
 
 def _sorted_runs(key: np.ndarray, doc: np.ndarray):
@@ -44,15 +62,21 @@ def _sorted_runs(key: np.ndarray, doc: np.ndarray):
     return order, first
 
 
-def _top_chars(hashes, lens, doc, ends, n_docs: int, n: int) -> np.ndarray:
+def _top_chars(key, start, lens, doc, ends, n_docs: int, n: int) -> np.ndarray:
     """Length times count of the most frequent gram per document, the longest on a tie."""
     out = np.zeros(n_docs, np.int64)
-    key, start = _grams(hashes, doc, n)
-    if not len(key):
+    # The longest one, for documents in which all occur once.
+    at = np.flatnonzero(doc[: max(len(doc) - n + 1, 0)] == doc[n - 1 :])
+    if not len(at):
         return out
+    heads = np.flatnonzero(np.append(True, np.diff(doc[at])))
+    out[doc[at[heads]]] = np.maximum.reduceat(ends[at + n - 1] - (ends[at] - lens[at]), heads)
     order, first = _sorted_runs(key, doc[start])
     heads = np.flatnonzero(first)
     count = np.diff(np.append(heads, len(order)))
+    heads, count = heads[count > 1], count[count > 1]
+    if not len(heads):
+        return out
     at = start[order[heads]]
     length = ends[at + n - 1] - (ends[at] - lens[at])
     owner = doc[at]
@@ -63,11 +87,8 @@ def _top_chars(hashes, lens, doc, ends, n_docs: int, n: int) -> np.ndarray:
     return out
 
 
-def _dup_chars(hashes, lens, doc, ends, n_docs: int, n: int) -> np.ndarray:
+def _dup_chars(key, start, lens, doc, ends, n_docs: int, n: int) -> np.ndarray:
     """Characters inside second and later occurrences of a gram, overlaps counted once."""
-    key, start = _grams(hashes, doc, n)
-    if not len(key):
-        return np.zeros(n_docs, np.int64)
     order, first = _sorted_runs(key, doc[start])
     again = np.sort(start[order[~first]])
     if not len(again):
@@ -91,8 +112,9 @@ def measured(hash_lists: list[np.ndarray], length_lists: list[np.ndarray], top:
     doc = np.repeat(np.arange(n_docs), sizes)
     # Offsets in the words joined by single blanks; only differences inside a document count.
     ends = np.cumsum(lens + 1) - 1
-    columns = [_top_chars(hashes, lens, doc, ends, n_docs, n) for n in top]
-    columns += [_dup_chars(hashes, lens, doc, ends, n_docs, n) for n in dup]
+    again = _repeated(hashes, doc, [*top, *dup])
+    columns = [_top_chars(*again[n], lens, doc, ends, n_docs, n) for n in top]
+    columns += [_dup_chars(*again[n], lens, doc, ends, n_docs, n) for n in dup]
     return np.stack(columns, axis=1)
 
 
