@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from textmill.operators.ordering import global_row_number
+from textmill.sources.digests import chained_digests, literal_path
 
 STAGE_NAMES = [
     "data_splitting",
@@ -19,6 +20,8 @@ STAGE_NAMES = [
     "machine_translation",
     "llm_processing",
 ]
+# Files of more bytes are not read by one task.
+WHOLE = 1 << 29
 
 
 def list_files(spark: SparkSession, path: str, glob: str = "*.parquet", recursive: bool = True) -> DataFrame:
@@ -88,18 +91,38 @@ def stage_audit(audit: DataFrame, stages: list[str] = STAGE_NAMES) -> DataFrame:
 
 
 def file_inventory(spark: SparkSession, path: str, glob: str = "*.parquet") -> DataFrame:
-    """filename, size and SHA-256 of every file in the folder."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", "false")
-        .load(path if path.endswith(".parquet") else f"{path.rstrip('/')}/{glob}")
-    )
-    return files.select(
-        file_name(F.col("path")).alias("filename"),
-        F.col("length").alias("size"),
-        F.sha2("content", 256).alias("file_sha256_hex_hash"),
-    )
+    """filename, size and SHA-256 of every file in the folder.
+
+    Files of up to WHOLE bytes are read by one task each. Larger ones are digested split
+    by split, so that no task reads or holds the whole of them.
+    """
+
+    def files(at: str | list[str]) -> DataFrame:
+        return (
+            spark.read.format("binaryFile")
+            .option("pathGlobFilter", glob)
+            .option("recursiveFileLookup", "false")
+            .load(at)
+        )
+
+    def whole(found: DataFrame) -> DataFrame:
+        return found.select(
+            file_name(F.col("path")).alias("filename"),
+            F.col("length").alias("size"),
+            F.sha2("content", 256).alias("file_sha256_hex_hash"),
+        )
+
+    found = files(path if path.endswith(".parquet") else f"{path.rstrip('/')}/{glob}")
+    most = min(WHOLE, int(spark.conf.get("spark.sql.sources.binaryFile.maxLength")))
+    large = [(r.path, r.length) for r in found.where(F.col("length") > most).select("path", "length").collect()]
+    if not large:
+        return whole(found)
+    digests = chained_digests(spark, large)
+    rows = [(p.rsplit("/", 1)[-1], size, digests[p]) for p, size in large if p in digests]
+    out = whole(found.where(F.col("length") <= most))
+    out = out.unionByName(spark.createDataFrame(rows, "filename string, size long, file_sha256_hex_hash string"))
+    left = [literal_path(p) for p, _ in large if p not in digests]
+    return out.unionByName(whole(files(left))) if left else out
 
 
 def delivery_names(files: DataFrame, prefix: str, path_col: str = "path") -> DataFrame:
