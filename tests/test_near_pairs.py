@@ -87,3 +87,37 @@ def test_a_large_group_of_near_copies_stays_below_quadratic_work(spark):
     # Links are the result. Of 12.5 million other pairs fewer than members leave the join, and
     # their number grows far slower than sixteen times.
     assert many - len(found) < 5000 and many - len(found) <= 8 * max(wasted, 50), (few, many, len(links), len(found))
+
+
+def test_only_texts_that_may_have_a_partner_are_looked_at_as_a_whole(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    junk = [f"junk{k}" for k in range(12)]
+    texts = [" ".join([*prose(rng, int(rng.integers(60, 300))), *junk]) for _ in range(300)]
+    pairs = [prose(rng, int(rng.integers(60, 300))) for _ in range(12)]
+    texts += [edited(rng, p, k) for p in pairs for k in (0, 1)]
+    written, write = {}, near_pairs.materialize
+
+    def recorded(df, label):
+        written[label] = write(df, label)
+        return written[label]
+
+    monkeypatch.setattr(near_pairs, "materialize", recorded)
+    rows = list(enumerate(texts))
+    got = near_pairs.near_dup_pairs(spark.createDataFrame(rows, "id long, text string"))
+    assert sorted(map(tuple, got.collect())) == plain(rows, 0.8)
+    assert {r["id"] for r in written["sets"].select("id").collect()} == set(range(300, 324))
+    whole = sum(len(shingles(t)) for t in texts)
+    assert written["heads"].agg(F.sum(F.size("_h.first"))).first()[0] < 0.35 * whole
+
+
+def test_pairs_that_just_reach_the_threshold(spark, tmp_path):
+    """Of n shingles the other text has 0.8 n and no others; rows of a file scan, some of them copies."""
+    texts = []
+    for n in range(5, 205, 5):
+        words = [f"a{n}b{k}" for k in range(n + 4)]
+        texts += [" ".join(words), " ".join(words[: n * 4 // 5 + 4]), " ".join(words[n // 5 - 1 :] if n % 2 else words)]
+    rows = [(i * 7 % len(texts), t) for i, t in enumerate(texts)]
+    spark.createDataFrame([*rows, (None, texts[0]), (500, None)], "id long, text string").repartition(3).write.parquet(str(tmp_path / "t"))
+    got = near_pairs.near_dup_pairs(spark.read.parquet(str(tmp_path / "t")))
+    want = plain(rows, 0.8)
+    assert sum(j == 0.8 for _, _, j, _ in want) >= 40 and sorted(map(tuple, got.collect())) == want

@@ -1,7 +1,8 @@
 """All pairs of different texts with a shingle Jaccard at or above a threshold.
 
-Equal texts are one node, named by their smallest id. Shingles have one order for
-all: rarest first. Two sets that reach the threshold share a shingle among the
+Equal texts are one node, named by their smallest id. Most texts have no partner,
+which a third of their shingles tells; those of the others alone travel as a whole,
+and no text does. Shingles have one order for all: rarest first. Two sets that reach the threshold share a shingle among the
 first few of each, so only those are indexed. A shingle at place i of a set of n
 leaves n - i that can still be shared, which bounds the sizes of the partners it
 can lead to; sets look their partners up by shingle and size class, and a hash
@@ -23,8 +24,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from textmill.functions.arrays import let
 from textmill.functions.text import words
-from textmill.operators.dedup import N_GRAMS, shingle_hashes
+from textmill.operators.dedup import N_GRAMS, ROW_KEY, keyed_rows, shingle_hashes, split_rows_by_key
 from textmill.session import materialize
 
 THRESHOLD = 0.8
@@ -33,6 +35,8 @@ CLASS_STEP = 1.02
 BITMAP_LONGS = 16
 SHARES = 64
 SLACK = 1e-9
+# Of the shingles two sets must share, the share by which the first ones looked at exceed the least that would do.
+EXTRA = 1 / 8
 
 
 def text_nodes(df: DataFrame, id_col: str = "id", text: str = "text") -> DataFrame:
@@ -42,13 +46,47 @@ def text_nodes(df: DataFrame, id_col: str = "id", text: str = "text") -> DataFra
     return digests.join(nodes, "digest")
 
 
+def text_set(text: str, n_grams: int) -> Column:
+    """The distinct shingles of a text, by hash."""
+    return F.sort_array(F.array_distinct(shingle_hashes(words(F.col(text)), n_grams, 64)))
+
+
+def likely_rows(rows: DataFrame, threshold: float, n_grams: int, id_col: str, text: str) -> DataFrame:
+    """Keys of the keyed rows (of different texts) that may have a partner.
+
+    By hash, a set of n holds at most n - ceil(t * n) shingles that a partner lacks. So
+    among that many and ``extra(n)`` more, the first ones of both, there are as many that
+    both have as the smaller set has extra ones. Only these first shingles travel.
+    """
+
+    def fewest(n: Column) -> Column:
+        return F.ceil(threshold * n - SLACK)
+
+    def extra(n: Column) -> Column:
+        return F.floor(n * threshold * EXTRA) + 1
+
+    def first_of(s: Column) -> Column:
+        n = F.size(s)
+        # A partner has fewest(n) shingles at least.
+        return F.struct(F.slice(s, 1, (n - fewest(n) + extra(n)).cast("int")).alias("first"), extra(fewest(n)).alias("need"))
+
+    heads = rows.select(ROW_KEY, F.col(id_col).alias("id"), let(text_set(text, n_grams), first_of).alias("_h"))
+    heads = materialize(heads, "heads")
+    tokens = heads.select("id", F.explode("_h.first").alias("token"))
+    often = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1").select("token")
+    met = tokens.join(often, "token", "left_semi").groupBy("id").agg(F.count(F.lit(1)).alias("_met"))
+    return heads.select(ROW_KEY, "id", "_h.need").join(met, "id").where("_met >= need").select(ROW_KEY)
+
+
 def shared_shingles(df: DataFrame, nodes: DataFrame, threshold: float, n_grams: int, id_col: str, text: str) -> DataFrame:
-    """(id, n, shared) per distinct text that can have a partner: its shingles that other texts have, rarest first."""
-    first = nodes.where("id = node").select(F.col("id").alias("_id"), "digest").distinct()
-    rows = df.select(F.col(id_col).alias("id"), F.unhex(F.sha2(text, 256)).alias("_digest"), F.col(text).alias("_text"))
-    rows = rows.join(first, (rows["id"] == first["_id"]) & (rows["_digest"] == first["digest"]), "left_semi")
-    hashed = rows.select("id", "_digest", F.array_distinct(shingle_hashes(words(F.col("_text")), n_grams, 64)).alias("_set"))
-    sets = materialize(hashed.where(F.size("_set") > 0).dropDuplicates(["id", "_digest"]).drop("_digest"), "sets")
+    """(id, n, shared) per distinct text that can have a partner: its shingles that such texts share, rarest first."""
+    rows = keyed_rows(df.select(id_col, text).where(F.col(id_col).isNotNull() & F.col(text).isNotNull()), id_col)
+    digests = rows.select(ROW_KEY, F.col(f"{ROW_KEY}.id").alias("id"), F.unhex(F.sha2(text, 256)).alias("digest"))
+    first = nodes.where("id = node").select("id", "digest")
+    first = digests.join(first, ["id", "digest"], "left_semi").groupBy("id", "digest").agg(F.min(ROW_KEY).alias(ROW_KEY))
+    _, rows = split_rows_by_key(rows, first.select(ROW_KEY))
+    _, rows = split_rows_by_key(rows, likely_rows(rows, threshold, n_grams, id_col, text))
+    sets = materialize(rows.select(F.col(id_col).alias("id"), text_set(text, n_grams).alias("_set")), "sets")
     tokens = sets.select("id", F.size("_set").alias("n"), F.explode("_set").alias("token"))
     often = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     held = tokens.join(often, "token").groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("_s"))
