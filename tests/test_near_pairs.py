@@ -121,3 +121,25 @@ def test_pairs_that_just_reach_the_threshold(spark, tmp_path):
     got = near_pairs.near_dup_pairs(spark.read.parquet(str(tmp_path / "t")))
     want = plain(rows, 0.8)
     assert sum(j == 0.8 for _, _, j, _ in want) >= 40 and sorted(map(tuple, got.collect())) == want
+
+
+def test_a_set_travels_once_per_block_of_pairs(spark, monkeypatch):
+    monkeypatch.setattr(near_pairs, "BLOCK", 8)
+    rng = np.random.default_rng(7)
+    sets = {i: sorted(rng.choice(60, 50, replace=False).tolist()) for i in range(40)} | {i: [900, 901, i] for i in range(50, 53)}
+    pairs = [(a, b) for a in range(40) for b in range(a + 1, 40)] + [(50, 51), (51, 52)]
+    held = spark.createDataFrame([(i, len(s) + i % 3, s) for i, s in sets.items()], "id long, n int, shared array<long>")
+    asked = spark.createDataFrame(pairs, "a long, b long")
+    blocks = near_pairs.pair_blocks(asked)
+    assert sorted(tuple(r) for r in blocks.select("a", "b").collect()) == sorted(pairs)
+    # 1,564 sets if every pair brought its own.
+    sent = blocks.selectExpr("lead", "i", "j", "explode(array(a, b)) as id").distinct().count()
+    assert sent < 600 and blocks.groupBy("lead", "i", "j").count().agg(F.max("count")).first()[0] < 400
+
+    def jaccard(a, b):
+        both = len(set(sets[a]) & set(sets[b]))
+        return both / (len(sets[a]) + a % 3 + len(sets[b]) + b % 3 - both)
+
+    for threshold in (0.4, 0.7, 2.0):
+        got = near_pairs.verified_pairs(asked, held, threshold)
+        assert sorted(map(tuple, got.collect())) == sorted((a, b, jaccard(a, b)) for a, b in pairs if jaccard(a, b) >= threshold)

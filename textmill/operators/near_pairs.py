@@ -7,7 +7,8 @@ first few of each, so only those are indexed. A shingle at place i of a set of n
 leaves n - i that can still be shared, which bounds the sizes of the partners it
 can lead to; sets look their partners up by shingle and size class, and a hash
 bitmap of each set rules out most pairs before they leave the join. What is left
-is verified on the sets, each pair once.
+is verified on the sets, each pair once, the pairs of a group of near copies side by
+side, so that a set travels once for all of them.
 
 Shingles that one text alone has come first and lead nowhere. A group of near
 copies whose own shingles exceed what the threshold allows therefore makes no
@@ -33,7 +34,8 @@ THRESHOLD = 0.8
 # Sizes of one class differ by no more than this factor.
 CLASS_STEP = 1.02
 BITMAP_LONGS = 16
-SHARES = 64
+# Different texts on either side of the pairs that are verified side by side.
+BLOCK = 256
 SLACK = 1e-9
 # Of the shingles two sets must share, the share by which the first ones looked at exceed the least that would do.
 EXTRA = 1 / 8
@@ -146,16 +148,56 @@ def candidate_pairs(sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     return met.select(F.least("a.id", "b.id").alias("a"), F.greatest("a.id", "b.id").alias("b")).distinct()
 
 
+def pair_blocks(pairs: DataFrame) -> DataFrame:
+    """(a, b, lead, i, j): pairs of one group of near copies share a block, those of a large group some blocks.
+
+    ``lead`` is the smallest id that ``a`` pairs with, or ``a`` itself; i and j are shares of
+    about BLOCK different ``a`` and ``b`` each.
+    """
+    leads = pairs.groupBy(F.col("b").alias("_id")).agg(F.min("a").alias("_lead"))
+    led = pairs.join(leads, F.col("a") == F.col("_id"), "left").select("a", "b", F.coalesce("_lead", "a").alias("lead"))
+    led = materialize(led, "led")
+
+    def shares(c: str) -> Column:
+        return F.ceil(F.approx_count_distinct(c) / BLOCK)
+
+    sizes = led.groupBy("lead").agg(shares("a").alias("_i"), shares("b").alias("_j"))
+    i, j = F.pmod(F.xxhash64("a"), F.col("_i")), F.pmod(F.xxhash64("b"), F.col("_j"))
+    return materialize(led.join(sizes, "lead").select("a", "b", "lead", i.alias("i"), j.alias("j")), "blocks")
+
+
 def verified_pairs(pairs: DataFrame, sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(a, b, jaccard) of the pairs that reach the threshold. The partners of a hot ``a`` fall into shares."""
-    shared = pairs.withColumn("_share", F.pmod(F.xxhash64("b"), F.lit(SHARES)).cast("int"))
-    left = sets.select(F.col("id").alias("a"), F.col("n").alias("_na"), F.col("shared").alias("_sa"))
-    right = sets.select(F.col("id").alias("b"), F.col("n").alias("_nb"), F.col("shared").alias("_sb"))
-    heads = shared.select("a", "_share").distinct().join(left, "a")
-    both = F.size(F.array_intersect("_sa", "_sb"))
-    jaccard = both / (F.col("_na") + F.col("_nb") - both)
-    met = shared.join(right, "b").join(heads, ["a", "_share"])
-    return met.select("a", "b", jaccard.alias("jaccard")).where(F.col("jaccard") >= threshold)
+    """(a, b, jaccard) of the pairs that reach the threshold. A set travels once per block of pairs, not per pair."""
+    blocks, block = pair_blocks(pairs), ["lead", "i", "j"]
+    ends = blocks.select(*[F.col(c).alias(f"_{c}") for c in block], F.explode(F.array("a", "b")).alias("id"))
+    members = ends.distinct().join(sets, "id")
+
+    def verify(left: pa.Table, right: pa.Table) -> pa.Table:
+        lists, n, rows = right["shared"].combine_chunks(), right["n"].to_pylist(), {}
+        for row, key in enumerate(right["id"].to_pylist()):
+            rows.setdefault(key, []).append(row)
+        _, codes = np.unique(lists.flatten().to_numpy(), return_inverse=True)
+        parts = np.split(codes, np.cumsum(lists.value_lengths().to_numpy())[:-1])
+        partners, found = {}, []
+        for x, y in zip(left["a"].to_pylist(), left["b"].to_pylist()):
+            partners.setdefault(x, []).append(y)
+        for x, others in partners.items():
+            for p in rows.get(x, []):
+                mine = np.zeros(len(codes), bool)
+                mine[parts[p]] = True
+                for y in others:
+                    for q in rows.get(y, []):
+                        both = int(np.count_nonzero(mine[parts[q]]))
+                        jaccard = both / (n[p] + n[q] - both)
+                        if jaccard >= threshold:
+                            found.append((x, y, jaccard))
+        a, b, jaccards = zip(*found) if found else ((), (), ())
+        key = left.schema.field("a").type
+        return pa.table({"a": pa.array(a, key), "b": pa.array(b, key), "jaccard": pa.array(jaccards, pa.float64())})
+
+    key = sets.schema["id"].dataType.simpleString()
+    met = blocks.groupBy(*block).cogroup(members.groupBy(*[f"_{c}" for c in block]))
+    return met.applyInArrow(verify, f"a {key}, b {key}, jaccard double")
 
 
 def near_dup_pairs(
