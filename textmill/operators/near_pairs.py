@@ -32,7 +32,7 @@ from textmill.session import materialize
 
 THRESHOLD = 0.8
 # Sizes of one class differ by no more than this factor.
-CLASS_STEP = 1.02
+CLASS_STEP = 1.05
 BITMAP_LONGS = 16
 # Different texts on either side of the pairs that are verified side by side.
 BLOCK = 256
